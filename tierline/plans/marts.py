@@ -2,7 +2,7 @@
 
 Marts are returned unsorted: row order is not a property of a stored table,
 and a global sort before a write costs a sampling job plus a range shuffle.
-:data:`MART_ORDER` gives the presentation order (with a tie-break) to apply
+:func:`presentation_order` gives the order (with a tie-break) to apply
 when a mart is read for display.
 """
 
@@ -78,12 +78,18 @@ GOLD_BUILDERS: dict[str, Callable[[Catalog], DataFrame]] = {
     "country_performance": country_performance,
 }
 
-MART_ORDER: dict[str, list[Column]] = {
-    "medal_standings": [F.col("rank_by_points").asc(), F.col("country").asc()],
-    "gender_participation": [F.col("total").desc(), F.col("discipline").asc()],
-    "athletes_by_country": [F.col("athlete_count").desc(), F.col("country").asc()],
-    "country_performance": [
-        F.col("medals_per_100_athletes").desc_nulls_last(),
-        F.col("country").asc(),
-    ],
+# Presentation order of each mart: (column, descending) pairs, tie-break last.
+MART_ORDER: dict[str, list[tuple[str, bool]]] = {
+    "medal_standings": [("rank_by_points", False), ("country", False)],
+    "gender_participation": [("total", True), ("discipline", False)],
+    "athletes_by_country": [("athlete_count", True), ("country", False)],
+    "country_performance": [("medals_per_100_athletes", True), ("country", False)],
 }
+
+
+def presentation_order(name: str) -> list[Column]:
+    """Sort columns for reading mart ``name`` for display (NULL last when descending)."""
+    return [
+        F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_first()
+        for c, desc in MART_ORDER[name]
+    ]

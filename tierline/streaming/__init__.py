@@ -1,0 +1,5 @@
+"""Structured Streaming variants of the layer jobs."""
+
+from tierline.streaming.ingest import stream_to_bronze
+
+__all__ = ["stream_to_bronze"]
