@@ -3,7 +3,8 @@
 ``rank() OVER (ORDER BY score)`` with no partition key moves all rows into a
 single partition: fine for a table of a checked small size, fatal at scale.
 :func:`global_ranks` first gathers cheap statistics in one aggregate
-(rows, non-NULL scores, min, max, approximate distinct scores) and picks:
+(rows, non-NULL scores, min, max) and, for large inputs only, a second one
+(approximate distinct scores and row quantiles). It then picks:
 
 1. ``rows <= rows_per_task`` - the plain window; one task sorts at most
    ``rows_per_task`` rows.
@@ -102,7 +103,6 @@ def global_ranks(
             F.count(_c(r.column)).alias(f"nn{i}"),
             F.min(_c(r.column)).alias(f"lo{i}"),
             F.max(_c(r.column)).alias(f"hi{i}"),
-            F.approx_count_distinct(_c(r.column), 0.02).alias(f"nd{i}"),
         ]
     stats = df.agg(*stats_cols).first()
     n_rows = stats["n"]
@@ -111,35 +111,33 @@ def global_ranks(
             {r.name: F.rank().over(Window.orderBy(_order(r.column, r.ascending))) for r in ranks}
         )
 
+    # Second pass, only for large inputs: distinct-score estimate and quantiles together.
+    n_buckets = max(2, min(max_buckets, math.ceil(n_rows / rows_per_task)))
+    fractions = [k / n_buckets for k in range(1, n_buckets)]
+    accuracy = max(10_000, 4 * n_buckets)
+    shape_cols = []
+    for i, r in enumerate(ranks):
+        shape_cols += [
+            F.approx_count_distinct(_c(r.column), 0.02).alias(f"nd{i}"),
+            F.percentile_approx(_finite(r.column), fractions, accuracy).alias(f"q{i}"),
+        ]
+    shape = df.agg(*shape_cols).first()
+
     out = df
-    bucketed_specs = []
     for i, r in enumerate(ranks):
-        n_null = n_rows - stats[f"nn{i}"]
+        n_null, n_nonnull = n_rows - stats[f"nn{i}"], stats[f"nn{i}"]
         # 2% relative error of the estimate, with margin.
-        if stats[f"nd{i}"] * 1.1 <= rows_per_task:
-            out = _rank_by_counts(out, df, r, n_null=n_null, n_nonnull=stats[f"nn{i}"])
+        if shape[f"nd{i}"] * 1.1 <= rows_per_task:
+            out = _rank_by_counts(out, df, r, n_null=n_null, n_nonnull=n_nonnull)
         else:
-            bucketed_specs.append((i, r))
-
-    if bucketed_specs:
-        n_buckets = max(2, min(max_buckets, math.ceil(n_rows / rows_per_task)))
-        fractions = [k / n_buckets for k in range(1, n_buckets)]
-        accuracy = max(10_000, 4 * n_buckets)
-        quantiles = df.agg(
-            *[
-                F.percentile_approx(_finite(r.column), fractions, accuracy).alias(f"q{i}")
-                for i, r in bucketed_specs
-            ]
-        ).first()
-        for i, r in bucketed_specs:
             exact = _double_is_exact(df.schema[r.column].dataType, stats[f"lo{i}"], stats[f"hi{i}"])
             out = _rank_by_buckets(
                 out,
                 df,
                 r,
-                quantiles[f"q{i}"] or [],
-                n_null=n_rows - stats[f"nn{i}"],
-                n_nonnull=stats[f"nn{i}"],
+                shape[f"q{i}"] or [],
+                n_null=n_null,
+                n_nonnull=n_nonnull,
                 point_buckets=exact,
             )
     return out.select(*[_c(c) for c in df.columns], *[r.name for r in ranks])

@@ -13,13 +13,14 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.functions.columns import row_total
+from tierline.functions.columns import ratio, row_total
 from tierline.operators.measures import (
     headcount_and_breadth,
     rate_per_100,
     share_of_total,
     weighted_standings,
 )
+from tierline.operators.ranking import top_k
 
 Catalog = Mapping[str, DataFrame]
 
@@ -71,6 +72,21 @@ def country_performance(silver: Catalog) -> DataFrame:
     )
 
 
+def top_gold_countries(silver: Catalog, k: int = 20) -> DataFrame:
+    """Legacy view: the ``k`` countries with most golds (country as tie-break)."""
+    medals = silver["medals"].select("country", "gold")
+    return top_k(medals, [F.col("gold").desc_nulls_last(), F.col("country").asc()], k)
+
+
+def entries_ratio(silver: Catalog) -> DataFrame:
+    """Legacy view: unrounded female and male share of the supplied total
+    (NULL instead of an error on a zero total)."""
+    entries = silver["entriesgender"].select("discipline", "female", "male", "total")
+    return entries.withColumns(
+        {"avg_female": ratio("female", "total"), "avg_male": ratio("male", "total")}
+    )
+
+
 GOLD_BUILDERS: dict[str, Callable[[Catalog], DataFrame]] = {
     "medal_standings": medal_standings,
     "gender_participation": gender_participation,

@@ -152,3 +152,8 @@ OLYMPIC_SPECS: dict[str, DatasetSpec] = {
         ],
     ),
 }
+
+
+def suite_for(dataset: str) -> ValidationSuite:
+    """A fresh quality suite for one of the five source datasets (KeyError if unknown)."""
+    return OLYMPIC_SPECS[dataset].suite()
