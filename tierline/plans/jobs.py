@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,23 @@ logger = logging.getLogger(__name__)
 
 Builder = Callable[[Mapping[str, DataFrame]], DataFrame]
 
+# Independent tables of one layer are submitted as concurrent Spark jobs so
+# that small tables do not leave executors idle; every job is still a
+# distributed plan of its own.
+DEFAULT_CONCURRENT_JOBS = 4
+
+
+def run_concurrently(tasks: Iterable[Callable[[], None]], max_concurrent: int) -> None:
+    """Run independent driver-side job submissions; re-raise the first failure."""
+    tasks = list(tasks)
+    if max_concurrent <= 1 or len(tasks) <= 1:
+        for task in tasks:
+            task()
+        return
+    with ThreadPoolExecutor(max_workers=min(max_concurrent, len(tasks))) as pool:
+        for future in [pool.submit(task) for task in tasks]:
+            future.result()
+
 
 def layer_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
@@ -36,11 +54,20 @@ def run_bronze(
     lake_root: str,
     *,
     fmt: str = DEFAULT_FORMAT,
+    max_concurrent: int = DEFAULT_CONCURRENT_JOBS,
 ) -> None:
     """Each raw CSV (declared schema and encoding) + lineage -> one bronze table."""
-    for spec in specs.values():
-        raw = read_csv(spark, f"{raw_root.rstrip('/')}/{spec.file}", spec.schema, encoding=spec.encoding)
-        write_table(stamp_lineage(raw, spec.file), layer_path(lake_root, "bronze", spec.name), fmt=fmt)
+
+    def load(spec: DatasetSpec) -> Callable[[], None]:
+        def task() -> None:
+            raw = read_csv(
+                spark, f"{raw_root.rstrip('/')}/{spec.file}", spec.schema, encoding=spec.encoding
+            )
+            write_table(stamp_lineage(raw, spec.file), layer_path(lake_root, "bronze", spec.name), fmt=fmt)
+
+        return task
+
+    run_concurrently([load(spec) for spec in specs.values()], max_concurrent)
 
 
 def run_silver(
@@ -53,10 +80,10 @@ def run_silver(
 ) -> dict[str, list[ValidationResult]]:
     """Conform, audit and write each dataset in order.
 
-    The silver plan is persisted across its audit and its write so it is
-    computed once; a caller's own cache is left alone. A failed critical rule
-    with ``fail_fast`` stops before this dataset's write (earlier datasets
-    are already written).
+    Datasets run one after another: a failed critical rule with ``fail_fast``
+    stops before this dataset's write and every later one (earlier datasets
+    are already written). The silver plan is persisted across its audit and
+    its write so it is computed once, and released afterwards.
     """
     report: dict[str, list[ValidationResult]] = {}
     for spec in specs.values():
@@ -77,11 +104,15 @@ def run_gold(
     lake_root: str,
     *,
     fmt: str = DEFAULT_FORMAT,
+    max_concurrent: int = DEFAULT_CONCURRENT_JOBS,
 ) -> None:
     """Read every silver table from storage, build and write each mart."""
     silver = {n: read_table(spark, layer_path(lake_root, "silver", n), fmt=fmt) for n in silver_names}
-    for name, build in builders.items():
-        write_table(build(silver), layer_path(lake_root, "gold", name), fmt=fmt)
+
+    def publish(name: str, build: Builder) -> Callable[[], None]:
+        return lambda: write_table(build(silver), layer_path(lake_root, "gold", name), fmt=fmt)
+
+    run_concurrently([publish(n, b) for n, b in builders.items()], max_concurrent)
 
 
 def run_all(
@@ -93,11 +124,12 @@ def run_all(
     *,
     fail_fast: bool = True,
     fmt: str = DEFAULT_FORMAT,
+    max_concurrent: int = DEFAULT_CONCURRENT_JOBS,
 ) -> dict[str, list[ValidationResult]]:
     """bronze -> silver -> gold, strictly in that order; logs the elapsed time."""
     start = time.monotonic()
-    run_bronze(spark, specs, raw_root, lake_root, fmt=fmt)
+    run_bronze(spark, specs, raw_root, lake_root, fmt=fmt, max_concurrent=max_concurrent)
     report = run_silver(spark, specs, lake_root, fail_fast=fail_fast, fmt=fmt)
-    run_gold(spark, builders, list(specs), lake_root, fmt=fmt)
+    run_gold(spark, builders, list(specs), lake_root, fmt=fmt, max_concurrent=max_concurrent)
     logger.info("layers built in %.1fs", time.monotonic() - start)
     return report

@@ -51,7 +51,7 @@ from tierline.operators.quality import (
 )
 from tierline.operators.ranking import global_rank, top_k
 from tierline.plans import commerce
-from tierline.plans.jobs import layer_path, run_all
+from tierline.plans.jobs import DEFAULT_CONCURRENT_JOBS, layer_path, run_all, run_concurrently
 from tierline.session import scratch_path
 from tierline.sources.tables import (
     export_csv,
@@ -715,10 +715,15 @@ def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Driver tables -> raw CSV -> bronze -> silver (gated) -> gold; returns one mart."""
     root = scratch_path(spark, "layers")
     raw_root = f"{root}/raw"
-    for name, spec in commerce.COMMERCE_SPECS.items():
+
+    def land(name: str, spec) -> Callable[[], None]:
         source = table(spark, sf_dir, name).select(*spec.schema.fieldNames())
         # Each raw "file" is a folder of CSV part files written in parallel.
-        export_csv(source, f"{raw_root}/{spec.file}", encoding=spec.encoding)
+        return lambda: export_csv(source, f"{raw_root}/{spec.file}", encoding=spec.encoding)
+
+    run_concurrently(
+        [land(n, s) for n, s in commerce.COMMERCE_SPECS.items()], DEFAULT_CONCURRENT_JOBS
+    )
     run_all(spark, commerce.COMMERCE_SPECS, commerce.COMMERCE_MARTS, raw_root, root)
     return read_table(spark, layer_path(root, "gold", "customer_reach"))
 
