@@ -106,15 +106,25 @@ def clean_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_strings_op(docs)
 
 
+_CUSTOMER_RENAMES = {
+    "c_custkey": "customer_id",
+    "c_name": "customer_name",
+    "c_nationkey": "country_id",
+    "c_acctbal": "balance",
+    "c_mktsegment": "segment",
+}
+
+
 @register(
     "rename_columns",
-    "SELECT n_nationkey AS country_id, n_name AS country, n_regionkey AS region_id FROM nation",
+    "SELECT "
+    + ", ".join(f"{src} AS {dst}" for src, dst in _CUSTOMER_RENAMES.items())
+    + " FROM customer",
 )
 def rename_columns_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation")
-    return rename_columns(
-        nation, {"n_nationkey": "country_id", "n_name": "country", "n_regionkey": "region_id"}
-    )
+    customer = table(spark, sf_dir, "customer")
+    # A name absent from the table is ignored, as a rename map may cover several layouts.
+    return rename_columns(customer, {**_CUSTOMER_RENAMES, "c_comment": "comment"})
 
 
 @register(
