@@ -106,3 +106,26 @@ def test_streaming_bronze_picks_up_new_files_only(spark, tmp_path):
     back = read_table(spark, out)
     assert back.count() == 3
     assert back.where("_source_file = 'EntriesGender.csv' AND _ingested_at IS NOT NULL").count() == 3
+
+
+def test_gate_publishes_in_order_up_to_first_failure(spark, tmp_path):
+    raw, lake = _raw(tmp_path), str(tmp_path / "lake")
+    order = ["medals", "entriesgender", "athletes", "coaches", "teams"]
+    specs = {k: OLYMPIC_SPECS[k] for k in order}
+    run_bronze(spark, specs, raw, lake)
+    with pytest.raises(DataQualityError, match="'athletes'"):
+        run_silver(spark, specs, lake)
+    silver = tmp_path / "lake" / "silver"
+    assert (silver / "medals").exists() and (silver / "entriesgender").exists()
+    assert not any((silver / n).exists() for n in ("athletes", "coaches", "teams"))
+
+
+@pytest.mark.parametrize("materialize", ["cache", "stage"])
+def test_silver_modes_agree(spark, tmp_path, materialize):
+    raw, lake = _raw(tmp_path), str(tmp_path / "lake")
+    specs = {k: OLYMPIC_SPECS[k] for k in ("medals", "entriesgender", "teams")}
+    run_bronze(spark, specs, raw, lake)
+    report = run_silver(spark, specs, lake, materialize=materialize, fail_fast=False)
+    assert [r.passed for r in report["teams"]] == [True, True, False]
+    medals = read_table(spark, layer_path(lake, "silver", "medals"))
+    assert medals.count() == 4 and "_ingested_at" in medals.columns

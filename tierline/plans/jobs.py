@@ -17,8 +17,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tierline.operators.conform import stamp_lineage
-from tierline.operators.quality import ValidationResult
+from tierline.operators.quality import ValidationResult, gate
 from tierline.plans.specs import DatasetSpec
+from tierline.session import scratch_path
 from tierline.sources.tables import DEFAULT_FORMAT, read_csv, read_table, write_table
 
 logger = logging.getLogger(__name__)
@@ -77,23 +78,70 @@ def run_silver(
     *,
     fail_fast: bool = True,
     fmt: str = DEFAULT_FORMAT,
+    materialize: str = "stage",
+    max_concurrent: int = DEFAULT_CONCURRENT_JOBS,
 ) -> dict[str, list[ValidationResult]]:
-    """Conform, audit and write each dataset in order.
-
-    Datasets run one after another: a failed critical rule with ``fail_fast``
-    stops before this dataset's write and every later one (earlier datasets
-    are already written). The silver plan is persisted across its audit and
-    its write so it is computed once, and released afterwards.
+    """Conform, audit and publish each dataset.
+
+    Publication follows the order of ``specs``: with ``fail_fast`` a failed
+    critical rule stops this dataset's write and every later one (earlier
+    datasets are already written). The conformed table is computed once:
+
+    * ``materialize="stage"`` (default) writes it under the session's shared
+      checkpoint folder, audits that written copy and publishes it by copying
+      plain files. The staged table cuts the lineage, so a lost executor
+      costs a re-read, never a re-run of the clean and de-duplicate shuffle.
+      Staging and auditing are not publication, so they run for up to
+      ``max_concurrent`` datasets at once; publication stays in order.
+    * ``materialize="cache"`` persists it (memory, spilling to local disk)
+      across the audit and the write, one dataset after another.
     """
+    if materialize not in ("stage", "cache"):
+        raise ValueError(f"materialize must be 'stage' or 'cache', not {materialize!r}")
+    names = list(specs)
     report: dict[str, list[ValidationResult]] = {}
-    for spec in specs.values():
-        silver = spec.to_silver(read_table(spark, layer_path(lake_root, "bronze", spec.name), fmt=fmt))
-        silver.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            report[spec.name] = spec.suite().run(silver, fail_fast=fail_fast)
-            write_table(silver, layer_path(lake_root, "silver", spec.name), fmt=fmt)
-        finally:
-            silver.unpersist()
+
+    def conformed(spec: DatasetSpec) -> DataFrame:
+        return spec.to_silver(read_table(spark, layer_path(lake_root, "bronze", spec.name), fmt=fmt))
+
+    if materialize == "cache":
+        for name in names:
+            spec = specs[name]
+            silver = conformed(spec)
+            silver.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                report[name] = spec.suite().run(silver, fail_fast=False)
+                if fail_fast:
+                    gate(name, report[name])
+                write_table(silver, layer_path(lake_root, "silver", name), fmt=fmt)
+            finally:
+                silver.unpersist()
+        return report
+
+    staged: dict[str, DataFrame] = {}
+
+    def stage_and_audit(spec: DatasetSpec) -> Callable[[], None]:
+        def task() -> None:
+            path = scratch_path(spark, f"silver-{spec.name}")
+            write_table(conformed(spec), path)
+            staged[spec.name] = read_table(spark, path)
+            report[spec.name] = spec.suite().run(staged[spec.name], fail_fast=False)
+
+        return task
+
+    run_concurrently([stage_and_audit(specs[n]) for n in names], max_concurrent)
+    publishable = []
+    for name in names:
+        if fail_fast and any(r.critical and not r.passed for r in report[name]):
+            break
+        publishable.append(name)
+
+    def publish(name: str) -> Callable[[], None]:
+        return lambda: write_table(staged[name], layer_path(lake_root, "silver", name), fmt=fmt)
+
+    run_concurrently([publish(n) for n in publishable], max_concurrent)
+    if len(publishable) < len(names):
+        gate(names[len(publishable)], report[names[len(publishable)]])
     return report
 
 
@@ -129,7 +177,9 @@ def run_all(
     """bronze -> silver -> gold, strictly in that order; logs the elapsed time."""
     start = time.monotonic()
     run_bronze(spark, specs, raw_root, lake_root, fmt=fmt, max_concurrent=max_concurrent)
-    report = run_silver(spark, specs, lake_root, fail_fast=fail_fast, fmt=fmt)
+    report = run_silver(
+        spark, specs, lake_root, fail_fast=fail_fast, fmt=fmt, max_concurrent=max_concurrent
+    )
     run_gold(spark, builders, list(specs), lake_root, fmt=fmt, max_concurrent=max_concurrent)
     logger.info("layers built in %.1fs", time.monotonic() - start)
     return report
