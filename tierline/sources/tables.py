@@ -33,8 +33,14 @@ def read_csv(
     PERMISSIVE (the default) turns malformed or overflowing fields into NULL,
     pads short rows with NULL and drops extra fields; columns bind by position.
     Pass ``corrupt_record_column`` to keep the raw line of such rows so the loss
-    can be counted, ``multi_line=True`` for quoted fields spanning lines, and
-    ``enforce_schema=False`` to make a header/schema name mismatch fail.
+    can be counted, ``multi_line=True`` for quoted fields spanning lines
+    (a file is then read by one task), and ``enforce_schema=False`` to make a
+    header/schema name mismatch fail.
+
+    Count corrupt rows on the written bronze table, not on the raw scan:
+    Spark parses only the columns a query needs, so a scan that keeps just
+    the corrupt-record column would not flag errors in the others (and
+    Spark refuses such a scan).
     """
     read_schema = schema
     reader = (
