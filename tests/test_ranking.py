@@ -99,3 +99,21 @@ def test_top_k_tie_break(spark):
     df = spark.createDataFrame([(i, float(i % 5)) for i in range(50)], "k int, v double")
     got = [r["k"] for r in top_k(df, [F.col("v").desc(), F.col("k").asc()], 4).collect()]
     assert got == [4, 9, 14, 19]
+
+
+def test_string_scores_small_and_few_distinct_paths(spark):
+    values = [("b",), ("a",), ("b",), (None,), ("c",)] * 20
+    df = spark.createDataFrame(values, "s string")
+    for rows_per_task in (1000, 10):
+        got = sorted((r["s"] or "", r["r"]) for r in global_rank(df, "s", "r", rows_per_task=rows_per_task).collect())
+        exp = sorted(
+            (r["s"] or "", r["e"])
+            for r in df.withColumn("e", F.rank().over(Window.orderBy(F.col("s").desc()))).collect()
+        )
+        assert got == exp
+
+
+def test_many_distinct_strings_need_numeric_score(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(300)], "s string")
+    with pytest.raises(TypeError):
+        global_rank(df, "s", "r", rows_per_task=10)

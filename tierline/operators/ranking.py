@@ -44,6 +44,7 @@ from pyspark.sql.types import (
     FloatType,
     IntegerType,
     LongType,
+    NumericType,
     ShortType,
 )
 
@@ -117,10 +118,9 @@ def global_ranks(
     accuracy = max(10_000, 4 * n_buckets)
     shape_cols = []
     for i, r in enumerate(ranks):
-        shape_cols += [
-            F.approx_count_distinct(_c(r.column), 0.02).alias(f"nd{i}"),
-            F.percentile_approx(_finite(r.column), fractions, accuracy).alias(f"q{i}"),
-        ]
+        shape_cols.append(F.approx_count_distinct(_c(r.column), 0.02).alias(f"nd{i}"))
+        if isinstance(df.schema[r.column].dataType, NumericType):
+            shape_cols.append(F.percentile_approx(_finite(r.column), fractions, accuracy).alias(f"q{i}"))
     shape = df.agg(*shape_cols).first()
 
     out = df
@@ -130,7 +130,13 @@ def global_ranks(
         if shape[f"nd{i}"] * 1.1 <= rows_per_task:
             out = _rank_by_counts(out, df, r, n_null=n_null, n_nonnull=n_nonnull)
         else:
-            exact = _double_is_exact(df.schema[r.column].dataType, stats[f"lo{i}"], stats[f"hi{i}"])
+            dtype = df.schema[r.column].dataType
+            if not isinstance(dtype, NumericType):
+                raise TypeError(
+                    f"ranking {n_rows} rows by many distinct {dtype.simpleString()} values needs a "
+                    f"numeric score; raise rows_per_task or rank a numeric column"
+                )
+            exact = _double_is_exact(dtype, stats[f"lo{i}"], stats[f"hi{i}"])
             out = _rank_by_buckets(
                 out,
                 df,
