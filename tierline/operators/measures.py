@@ -102,6 +102,7 @@ def rate_per_100(
     *,
     count_name: str,
     rate_name: str,
+    base_weight: str | None = None,
     digits: int = 2,
 ) -> DataFrame:
     """Rows of ``base`` per key, left-joined to ``measure`` summed per key.
@@ -110,9 +111,12 @@ def rate_per_100(
     dropped. The measure is aggregated per key first, so the join can never
     fan out. Both sides are aggregates on the same key, so the join reuses
     their hash partitioning (or is broadcast when adaptive execution
-    measures one side small).
+    measures one side small). When ``base`` is already reduced (one row per
+    finer key with a row count in ``base_weight``), the counts are summed
+    instead of counted.
     """
-    counts = base.groupBy(F.col(f"`{key}`")).agg(F.count(F.lit(1)).alias(count_name))
+    base_count = F.count(F.lit(1)) if base_weight is None else F.sum(F.col(f"`{base_weight}`"))
+    counts = base.groupBy(F.col(f"`{key}`")).agg(base_count.alias(count_name))
     totals = measure.groupBy(F.col(f"`{key}`")).agg(
         F.sum(F.col(f"`{measure_col}`")).alias(measure_col)
     )

@@ -142,8 +142,12 @@ def supplier_standings(silver: Mapping[str, DataFrame]) -> DataFrame:
 
 def customer_reach(silver: Mapping[str, DataFrame]) -> DataFrame:
     """Flag medals per 100 customers of the same country (0 when the country has none)."""
-    customers = silver["customer"].select("nation_key").join(
-        silver["nation"].select("nation_key", "country"), "nation_key"
+    # Customers are counted per nation key before the nation join (one row per nation).
+    customers = (
+        silver["customer"]
+        .groupBy("nation_key")
+        .agg(F.count(F.lit(1)).alias("_customers"))
+        .join(silver["nation"].select("nation_key", "country"), "nation_key")
     )
     medals = flag_medals_by_country(silver).select(
         "country", (F.col("gold") + F.col("silver") + F.col("bronze")).alias("total_medals")
@@ -155,6 +159,7 @@ def customer_reach(silver: Mapping[str, DataFrame]) -> DataFrame:
         "total_medals",
         count_name="customer_count",
         rate_name="medals_per_100_customers",
+        base_weight="_customers",
     )
 
 

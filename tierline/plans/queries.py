@@ -418,17 +418,20 @@ def headcount_and_breadth_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rate_per_100_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+    # Both sides are reduced to one row per nation key before meeting the
+    # nation table, so no join ever sees one row per customer or supplier.
     customers = (
         table(spark, sf_dir, "customer")
-        .select("c_nationkey")
+        .groupBy("c_nationkey")
+        .agg(F.count(F.lit(1)).alias("_customers"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("country")
     )
     indebted = (
         table(spark, sf_dir, "supplier")
         .where(F.col("s_acctbal") < 0)
+        .groupBy("s_nationkey")
+        .agg(F.count(F.lit(1)).alias("indebted_suppliers"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("country", F.lit(1).cast("bigint").alias("indebted_suppliers"))
     )
     return rate_per_100(
         customers,
@@ -437,6 +440,7 @@ def rate_per_100_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         "indebted_suppliers",
         count_name="customer_count",
         rate_name="indebted_suppliers_per_100_customers",
+        base_weight="_customers",
     )
 
 
