@@ -15,17 +15,22 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder of this session (set one only if unset)."""
+    """The session's shared checkpoint folder; one is set only when none is configured."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext on a remote (Connect) session
+        current = None
     if current:
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="tierline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+    except Exception:
+        pass
     return local
 
 
