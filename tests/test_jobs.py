@@ -1,4 +1,4 @@
-"""Layer jobs end to end on Olympic-shaped CSVs, the gate, re-runs and streaming."""
+"""Layer jobs end to end on medal-table CSVs, the gate, re-runs and streaming."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import pytest
 from tierline.operators.quality import DataQualityError
 from tierline.plans.jobs import layer_path, run_all, run_bronze, run_silver
 from tierline.plans.marts import GOLD_BUILDERS
-from tierline.plans.specs import OLYMPIC_SPECS
+from tierline.plans.specs import SOURCE_SPECS
 from tierline.sources.tables import read_table
 from tierline.streaming import stream_to_bronze
 
@@ -46,14 +46,14 @@ def test_gate_blocks_publication(spark, tmp_path):
     raw, lake = _raw(tmp_path), str(tmp_path / "lake")
     # athletes need >= 1000 rows: the gate raises before athletes' silver write.
     with pytest.raises(DataQualityError, match="MinRowCount"):
-        run_all(spark, OLYMPIC_SPECS, GOLD_BUILDERS, raw, lake)
+        run_all(spark, SOURCE_SPECS, GOLD_BUILDERS, raw, lake)
     assert not (tmp_path / "lake" / "silver" / "athletes").exists()
     assert not (tmp_path / "lake" / "gold").exists()
 
 
 def test_full_run_in_warn_mode(spark, tmp_path):
     raw, lake = _raw(tmp_path), str(tmp_path / "lake")
-    report = run_all(spark, OLYMPIC_SPECS, GOLD_BUILDERS, raw, lake, fail_fast=False)
+    report = run_all(spark, SOURCE_SPECS, GOLD_BUILDERS, raw, lake, fail_fast=False)
     assert not [r for r in report["athletes"] if r.rule == "MinRowCount"][0].passed
     bronze = read_table(spark, layer_path(lake, "bronze", "medals"))
     assert "Rank by Total" in bronze.columns and "_ingested_at" in bronze.columns
@@ -79,7 +79,7 @@ def test_full_run_in_warn_mode(spark, tmp_path):
 
 def test_rerun_gives_same_tables(spark, tmp_path):
     raw, lake = _raw(tmp_path), str(tmp_path / "lake")
-    specs = {k: OLYMPIC_SPECS[k] for k in ("medals", "entriesgender")}
+    specs = {k: SOURCE_SPECS[k] for k in ("medals", "entriesgender")}
 
     def snapshot():
         run_bronze(spark, specs, raw, lake)
@@ -96,7 +96,7 @@ def test_streaming_bronze_picks_up_new_files_only(spark, tmp_path):
     (src / "a.csv").write_text("Discipline,Female,Male,Total\nArchery,64,64,128\n")
     out = str(tmp_path / "bronze")
     ckpt = str(tmp_path / "ckpt")
-    spec = OLYMPIC_SPECS["entriesgender"]
+    spec = SOURCE_SPECS["entriesgender"]
     q = stream_to_bronze(spark, spec, str(src), out, checkpoint_location=ckpt)
     q.awaitTermination(120)
     assert read_table(spark, out).count() == 1
@@ -111,7 +111,7 @@ def test_streaming_bronze_picks_up_new_files_only(spark, tmp_path):
 def test_gate_publishes_in_order_up_to_first_failure(spark, tmp_path):
     raw, lake = _raw(tmp_path), str(tmp_path / "lake")
     order = ["medals", "entriesgender", "athletes", "coaches", "teams"]
-    specs = {k: OLYMPIC_SPECS[k] for k in order}
+    specs = {k: SOURCE_SPECS[k] for k in order}
     run_bronze(spark, specs, raw, lake)
     with pytest.raises(DataQualityError, match="'athletes'"):
         run_silver(spark, specs, lake)
@@ -123,7 +123,7 @@ def test_gate_publishes_in_order_up_to_first_failure(spark, tmp_path):
 @pytest.mark.parametrize("materialize", ["cache", "stage"])
 def test_silver_modes_agree(spark, tmp_path, materialize):
     raw, lake = _raw(tmp_path), str(tmp_path / "lake")
-    specs = {k: OLYMPIC_SPECS[k] for k in ("medals", "entriesgender", "teams")}
+    specs = {k: SOURCE_SPECS[k] for k in ("medals", "entriesgender", "teams")}
     run_bronze(spark, specs, raw, lake)
     report = run_silver(spark, specs, lake, materialize=materialize, fail_fast=False)
     assert [r.passed for r in report["teams"]] == [True, True, False]

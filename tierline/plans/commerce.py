@@ -1,7 +1,7 @@
 """A second dataset family for the layer jobs: the order/supplier tables.
 
 Raw CSVs of nation, customer, supplier and lineitem go through the same
-bronze -> silver -> gold jobs as the Olympic sources. Return flags play the
+bronze -> silver -> gold jobs as the medal-table sources. Return flags play the
 part of medals (R/A/N as gold/silver/bronze per supplier country), customers
 the part of athletes.
 """

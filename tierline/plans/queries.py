@@ -724,8 +724,8 @@ FROM reach LEFT JOIN medals ON reach.country = medals.country
 """
 
 
-@register("medallion_end_to_end", _E2E_SQL)
-def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+@register("layers_end_to_end", _E2E_SQL)
+def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Driver tables -> raw CSV -> bronze -> silver (gated) -> gold; returns one mart."""
     root = scratch_path(spark, "layers")
     raw_root = f"{root}/raw"

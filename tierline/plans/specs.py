@@ -59,7 +59,7 @@ _S, _I = StringType(), IntegerType()
 # Fixed values that must equal the reference's: the five source datasets
 # (file, encoding, declared schema), their silver renames, required columns,
 # de-duplication keys, zero-filled counts and quality rules.
-OLYMPIC_SPECS: dict[str, DatasetSpec] = {
+SOURCE_SPECS: dict[str, DatasetSpec] = {
     "athletes": DatasetSpec(
         name="athletes",
         file="Athletes.csv",
@@ -156,4 +156,4 @@ OLYMPIC_SPECS: dict[str, DatasetSpec] = {
 
 def suite_for(dataset: str) -> ValidationSuite:
     """A fresh quality suite for one of the five source datasets (KeyError if unknown)."""
-    return OLYMPIC_SPECS[dataset].suite()
+    return SOURCE_SPECS[dataset].suite()
