@@ -117,3 +117,29 @@ def test_many_distinct_strings_need_numeric_score(spark):
     df = spark.createDataFrame([(str(i),) for i in range(300)], "s string")
     with pytest.raises(TypeError):
         global_rank(df, "s", "r", rows_per_task=10)
+
+
+def test_hot_score_is_spread_over_tasks(spark):
+    """A score held by a third of the rows must not land in one task."""
+    n = 30_000
+    df = spark.range(n).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.col("id").cast("double")).alias("s"),
+    )
+    previous = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = global_rank(df, "s", "r", rows_per_task=1_000)
+        sizes = [
+            r["c"]
+            for r in ranked.select(F.spark_partition_id().alias("p"))
+            .groupBy("p")
+            .agg(F.count(F.lit(1)).alias("c"))
+            .collect()
+        ]
+        assert sum(sizes) == n
+        assert max(sizes) < n // 3  # the hot score's 10,000 rows are split
+        hot = ranked.where("s = 7.0").agg(F.min("r"), F.max("r")).first()
+        assert hot[0] == hot[1]  # and they all share one rank
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", previous)
