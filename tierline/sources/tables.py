@@ -120,11 +120,13 @@ def export_csv(
 ) -> None:
     """Headered CSV export with overwrite.
 
-    The write runs at the DataFrame's own parallelism unless ``num_files`` asks
-    for fewer files; 1 gives a single file, which funnels every row through
-    one task and is only sensible for small tables.
+    The write runs at the DataFrame's own parallelism unless ``num_files``
+    fixes the number of files. That is a ``repartition`` (one shuffle), not a
+    ``coalesce``: a coalesce would also squeeze the upstream computation into
+    ``num_files`` tasks. ``num_files=1`` still writes every row from one task
+    and is only sensible for small tables.
     """
-    out = df.coalesce(num_files) if num_files else df
+    out = df.repartition(num_files) if num_files else df
     writer = out.write.mode("overwrite").option("header", header)
     if encoding:
         writer = writer.option("encoding", encoding)
