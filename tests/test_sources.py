@@ -90,3 +90,21 @@ def test_overwrite_is_idempotent_and_replaces_schema(spark, tmp_path):
     write_table(spark.createDataFrame([("x", 2)], "b string, c int"), out)
     back = read_table(spark, out)
     assert back.columns == ["b", "c"] and back.count() == 1
+
+
+def test_lenient_int_cast(spark):
+    from tierline.functions.columns import to_int
+
+    df = spark.createDataFrame([("12",), ("x9",), ("2147483648",), (None,), (" 7 ",)], "s string")
+    got = [r["i"] for r in df.select(to_int("s").alias("i")).collect()]
+    assert got == [12, None, None, None, 7]
+
+
+def test_show_table_reads_and_prints(spark, tmp_path, capsys):
+    from tierline.sources.tables import show_table
+
+    out = str(tmp_path / "mart")
+    write_table(spark.createDataFrame([("A", 1)], "country string, n int"), out)
+    df = show_table(spark, out, n=5)
+    assert df.count() == 1
+    assert "country" in capsys.readouterr().out
