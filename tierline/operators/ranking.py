@@ -21,8 +21,9 @@ single partition: fine for a table of a checked small size, fatal at scale.
    ``rows / buckets`` rows. Exact per-bucket counts (at most
    ``2 * max_buckets + 2`` rows, broadcast) give each bucket's offset; one
    window partitioned by bucket ranks inside it, over at least one shuffle
-   partition per bucket. Rows of point buckets get a salt in the partition
-   key so they spread over all tasks.
+   partition per bucket. Rows of point buckets get a salt (a hash of the
+   row) in the partition key so they spread over tasks; only exact copies of
+   one row stay together.
 
 Ordering follows Spark/SQL: descending puts NaN first and NULL last,
 ascending NULL first and NaN last. Ties share a rank and leave gaps, as
@@ -45,6 +46,7 @@ from pyspark.sql.types import (
     FloatType,
     IntegerType,
     LongType,
+    MapType,
     NumericType,
     ShortType,
 )
@@ -245,12 +247,13 @@ def _rank_by_buckets(
     offsets = sizes.select("_b", (F.coalesce(F.sum("_bn").over(before), F.lit(0)) + F.lit(shift)).alias("_off"))
 
     is_point = F.col("_b").isin(points)
+    # The salt is a hash of the row itself, so a recomputed task (after a lost
+    # executor) sends every row to the same place again.
+    hashable = [_c(f.name) for f in out.schema.fields if not isinstance(f.dataType, MapType)]
+    row_hash = F.xxhash64(*hashable) if hashable else F.lit(0).cast("bigint")
     ranked = rows.join(F.broadcast(offsets), on="_b", how="left").withColumn(
         "_salt",
-        F.when(
-            is_point | score.isNull(),
-            F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(POINT_SALT)),
-        ).otherwise(F.lit(0)),
+        F.when(is_point | score.isNull(), F.pmod(row_hash, F.lit(POINT_SALT))).otherwise(F.lit(0)),
     )
     # At least one shuffle partition per bucket, so a task holds about one
     # bucket (about rows_per_task rows) whatever spark.sql.shuffle.partitions
