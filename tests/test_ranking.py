@@ -143,3 +143,9 @@ def test_hot_score_is_spread_over_tasks(spark):
         assert hot[0] == hot[1]  # and they all share one rank
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", previous)
+
+
+@pytest.mark.parametrize("ascending", [False, True])
+def test_negative_zero_ties_with_zero_on_bucketed_path(spark, ascending):
+    values = [None] * 9 + [0.0, 0.0, -0.0, float("nan"), -2.0, -0.5, -1.0]
+    _check(_scores(spark, values), "s", ascending=ascending, rows_per_task=5)

@@ -208,7 +208,9 @@ def _rank_by_buckets(
     point_buckets: bool,
 ) -> DataFrame:
     """Many distinct scores: value buckets, point buckets for boundary values."""
-    finite = sorted({b for b in bounds if b is not None and math.isfinite(b)})
+    # b + 0.0 turns -0.0 into 0.0: SQL ordering treats them as equal, the
+    # bucket search would not.
+    finite = sorted({b + 0.0 for b in bounds if b is not None and math.isfinite(b)})
     splits = [-math.inf]
     for b in finite:
         splits.append(b)
@@ -227,9 +229,13 @@ def _rank_by_buckets(
     score = _c(spec.column)
     bucketizer = Bucketizer(splits=splits, inputCol="_s", outputCol="_bd", handleInvalid="keep")
 
+    as_double = score.cast("double")
+    # -0.0 -> 0.0 (equal in SQL ordering, not in the bucket search).
+    normalized = F.when(as_double == F.lit(0.0), F.lit(0.0)).otherwise(as_double)
+
     def bucketed(frame: DataFrame) -> DataFrame:
         return (
-            bucketizer.transform(frame.withColumn("_s", score.cast("double")))
+            bucketizer.transform(frame.withColumn("_s", normalized))
             .withColumn("_b", F.col("_bd").cast("int"))
             .drop("_bd", "_s")
         )
