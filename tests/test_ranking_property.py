@@ -43,3 +43,25 @@ def test_rank_matches_window(spark, values, hot, ascending, rows_per_task):
     left = {r["id"]: r["r"] for r in got.collect()}
     right = {r["id"]: r["e"] for r in expected.collect()}
     assert left == right
+
+
+@settings(
+    max_examples=EXAMPLES,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+@given(
+    values=st.lists(
+        st.one_of(st.none(), st.integers(-30, 30), st.sampled_from([2**62, -(2**62), 2**53 + 1])),
+        min_size=1,
+        max_size=200,
+    ),
+    ascending=st.booleans(),
+    rows_per_task=st.sampled_from([4, 25]),
+)
+def test_rank_matches_window_on_bigint(spark, values, ascending, rows_per_task):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, s bigint")
+    got = global_rank(df, "s", "r", ascending=ascending, rows_per_task=rows_per_task, max_buckets=8)
+    order = F.col("s").asc_nulls_first() if ascending else F.col("s").desc_nulls_last()
+    expected = df.withColumn("e", F.rank().over(Window.orderBy(order)))
+    assert {r["id"]: r["r"] for r in got.collect()} == {r["id"]: r["e"] for r in expected.collect()}
