@@ -129,3 +129,14 @@ def test_silver_modes_agree(spark, tmp_path, materialize):
     assert [r.passed for r in report["teams"]] == [True, True, False]
     medals = read_table(spark, layer_path(lake, "silver", "medals"))
     assert medals.count() == 4 and "_ingested_at" in medals.columns
+
+
+def test_streaming_default_checkpoint_is_per_target(spark, tmp_path):
+    src = tmp_path / "incoming"
+    src.mkdir()
+    (src / "a.csv").write_text("Discipline,Female,Male,Total\nArchery,64,64,128\n")
+    spec = SOURCE_SPECS["entriesgender"]
+    for target in ("one", "two"):
+        q = stream_to_bronze(spark, spec, str(src), str(tmp_path / target))
+        q.awaitTermination(120)
+        assert read_table(spark, str(tmp_path / target)).count() == 1

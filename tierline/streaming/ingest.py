@@ -10,6 +10,8 @@ is then the micro-batch time of the rows.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,8 +34,9 @@ def stream_to_bronze(
     """Start an ``availableNow`` stream from CSV files in ``raw_dir`` to ``bronze_path``.
 
     The checkpoint defaults to a folder under the session's shared checkpoint
-    folder, named after the dataset, so a restarted job resumes where it
-    stopped (exactly-once file sink).
+    folder, named after the dataset and the target path, so a restarted job
+    resumes where it stopped (exactly-once file sink) and two targets never
+    share progress.
     """
     reader = (
         spark.readStream.schema(spec.schema)
@@ -44,7 +47,11 @@ def stream_to_bronze(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     bronze = stamp_lineage(reader.csv(raw_dir), spec.file)
-    checkpoint = checkpoint_location or f"{shared_dir(spark)}/tierline-streams/bronze-{spec.name}"
+    if checkpoint_location is None:
+        # Stable per target table (a restart resumes), distinct between targets.
+        target_id = hashlib.sha1(bronze_path.encode("utf-8")).hexdigest()[:16]
+        checkpoint_location = f"{shared_dir(spark)}/tierline-streams/bronze-{spec.name}-{target_id}"
+    checkpoint = checkpoint_location
     return (
         bronze.writeStream.format(fmt)
         .outputMode("append")
