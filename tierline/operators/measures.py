@@ -39,11 +39,15 @@ def weighted_standings(
     rank_points_name: str = "rank_by_points",
     rank_total_name: str = "rank_by_total_medals",
     rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+    materialize: bool = True,
 ) -> DataFrame:
     """Weighted score, row total and two independent global RANKs (both descending).
 
     Scores and totals are bigint (no ANSI overflow); ranks are int; a NULL
-    part makes score and total NULL, which rank last.
+    part makes score and total NULL, which rank last. The scored table (one
+    row per key, usually the result of an aggregation) is written once to the
+    shared folder before ranking (``materialize``), so the upstream plan runs
+    once, not once per rank pass.
     """
     parts = list(weights)
     scored = df.select(
@@ -56,6 +60,7 @@ def weighted_standings(
         scored,
         [RankSpec(points_name, rank_points_name), RankSpec(total_name, rank_total_name)],
         rows_per_task=rows_per_task,
+        materialize=materialize,
     )
 
 

@@ -96,11 +96,21 @@ def global_ranks(
     *,
     rows_per_task: int = DEFAULT_ROWS_PER_TASK,
     max_buckets: int = DEFAULT_MAX_BUCKETS,
+    materialize: bool = False,
 ) -> DataFrame:
-    """Add one RANK column per spec; the statistics pass is shared by all."""
+    """Add one RANK column per spec; the statistics pass is shared by all.
+
+    The input is read by every pass (statistics, quantiles, the final plan).
+    For an input that is expensive to recompute (an aggregate, a join), set
+    ``materialize=True``: it is first written once to the session's shared
+    checkpoint folder and every pass reads that copy (the lineage is cut, so
+    a lost executor costs a re-read, not a recomputation).
+    """
     ranks = list(ranks)
     if not ranks:
         return df
+    if materialize:
+        df = _materialized(df)
     stats_cols = [F.count(F.lit(1)).alias("n")]
     for i, r in enumerate(ranks):
         stats_cols += [
@@ -152,6 +162,14 @@ def global_ranks(
     return out.select(*[_c(c) for c in df.columns], *[r.name for r in ranks])
 
 
+def _materialized(df: DataFrame) -> DataFrame:
+    from tierline.session import scratch_path
+
+    path = scratch_path(df.sparkSession, "rank-input")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _finite(column: str) -> Column:
     """The score as double with NaN/Inf removed (they make no useful boundary)."""
     d = _c(column).cast("double")
