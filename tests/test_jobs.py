@@ -140,3 +140,23 @@ def test_streaming_default_checkpoint_is_per_target(spark, tmp_path):
         q = stream_to_bronze(spark, spec, str(src), str(tmp_path / target))
         q.awaitTermination(120)
         assert read_table(spark, str(tmp_path / target)).count() == 1
+
+
+def test_bronze_keeps_corrupt_lines_when_asked(spark, tmp_path):
+    import dataclasses
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "Medals.csv").write_text(
+        "Rank,TeamCountry,Gold,Silver,Bronze,Total,Rank by Total\n"
+        "1,USA,39,41,33,113,1\n"
+        "2,China,x,32,18,88,2\n"
+    )
+    spec = dataclasses.replace(SOURCE_SPECS["medals"], corrupt_record_column="_corrupt_record")
+    lake = str(tmp_path / "lake")
+    run_bronze(spark, {"medals": spec}, str(raw), lake)
+    bronze = read_table(spark, layer_path(lake, "bronze", "medals"))
+    assert bronze.where("_corrupt_record IS NOT NULL").count() == 1
+    silver = spec.to_silver(bronze)
+    assert "_corrupt_record" not in silver.columns
+    assert {r["country"]: r["gold"] for r in silver.collect()} == {"USA": 39, "China": 0}

@@ -62,7 +62,11 @@ def run_bronze(
     def load(spec: DatasetSpec) -> Callable[[], None]:
         def task() -> None:
             raw = read_csv(
-                spark, f"{raw_root.rstrip('/')}/{spec.file}", spec.schema, encoding=spec.encoding
+                spark,
+                f"{raw_root.rstrip('/')}/{spec.file}",
+                spec.schema,
+                encoding=spec.encoding,
+                corrupt_record_column=spec.corrupt_record_column,
             )
             write_table(stamp_lineage(raw, spec.file), layer_path(lake_root, "bronze", spec.name), fmt=fmt)
 

@@ -36,8 +36,13 @@ class DatasetSpec:
     keys: Sequence[str] | None = None
     zero_fill: Sequence[str] = ()
     rules: Callable[[], list[Rule]] = list
+    # When set, bronze keeps the raw line of malformed rows in this column, so
+    # the rows PERMISSIVE parsing nulled out can be counted; silver drops it.
+    corrupt_record_column: str | None = None
 
     def to_silver(self, bronze: DataFrame) -> DataFrame:
+        if self.corrupt_record_column and self.corrupt_record_column in bronze.columns:
+            bronze = bronze.drop(self.corrupt_record_column)
         return conform(
             bronze,
             renames=self.renames,
