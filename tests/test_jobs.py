@@ -160,3 +160,17 @@ def test_bronze_keeps_corrupt_lines_when_asked(spark, tmp_path):
     silver = spec.to_silver(bronze)
     assert "_corrupt_record" not in silver.columns
     assert {r["country"]: r["gold"] for r in silver.collect()} == {"USA": 39, "China": 0}
+
+
+def test_concurrent_bronze_failure_propagates(spark, tmp_path):
+    raw = _raw(tmp_path)
+    specs = dict(SOURCE_SPECS)
+    specs["ghost"] = dataclasses_replace(SOURCE_SPECS["teams"], name="ghost", file="Missing.csv")
+    with pytest.raises(Exception, match="(?i)path does not exist|PATH_NOT_FOUND"):
+        run_bronze(spark, specs, raw, str(tmp_path / "lake"))
+
+
+def dataclasses_replace(spec, **changes):
+    import dataclasses
+
+    return dataclasses.replace(spec, **changes)
