@@ -20,8 +20,8 @@ single partition: fine for a table of a checked small size, fatal at scale.
    ``offset + 1`` without any sorting. Every other bucket holds about
    ``rows / buckets`` rows. Exact per-bucket counts (at most
    ``2 * max_buckets + 2`` rows, broadcast) give each bucket's offset; one
-   window partitioned by bucket ranks inside it, over at least one shuffle
-   partition per bucket. Rows of point buckets get a salt (a hash of the
+   window partitioned by bucket ranks inside it, over two shuffle
+   partitions per bucket. Rows of point buckets get a salt (a hash of the
    row) in the partition key so they spread over tasks; only exact copies of
    one row stay together.
 
@@ -285,12 +285,12 @@ def _rank_by_buckets(
         "_salt",
         F.when(is_point | score.isNull(), F.pmod(row_hash, F.lit(POINT_SALT))).otherwise(F.lit(0)),
     )
-    # At least one shuffle partition per bucket, so a task holds about one
-    # bucket (about rows_per_task rows) whatever spark.sql.shuffle.partitions
-    # says; an explicit count is not coalesced away by adaptive execution, and
-    # the window reuses this partitioning.
+    # Two shuffle partitions per bucket, so that after hash collisions a task
+    # still holds about one bucket (about rows_per_task rows) whatever
+    # spark.sql.shuffle.partitions says; an explicit count is not coalesced
+    # away by adaptive execution, and the window reuses this partitioning.
     default_parts = int(out.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked = ranked.repartition(max(default_parts, len(splits)), "_b", "_salt")
+    ranked = ranked.repartition(max(default_parts, 2 * len(splits)), "_b", "_salt")
     within = Window.partitionBy("_b", "_salt").orderBy(_order(spec.column, spec.ascending))
     rank = (
         F.when(score.isNull(), _null_rank(spec, n_nonnull))
