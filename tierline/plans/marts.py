@@ -24,11 +24,10 @@ from tierline.operators.ranking import top_k
 
 Catalog = Mapping[str, DataFrame]
 
-
-def medal_standings(silver: Catalog) -> DataFrame:
-    """Medal table with weighted points, total and two global ranks."""
-    medals = silver["medals"].select("country", "gold", "silver", "bronze")
-    return weighted_standings(medals, "country").select(
+# Fixed values that must equal the reference's: each mart's name and its
+# output columns, in order.
+MART_COLUMNS: dict[str, list[str]] = {
+    "medal_standings": [
         "country",
         "gold",
         "silver",
@@ -37,13 +36,25 @@ def medal_standings(silver: Catalog) -> DataFrame:
         "medal_points",
         "rank_by_points",
         "rank_by_total_medals",
-    )
+    ],
+    "gender_participation": ["discipline", "female", "male", "total", "female_pct", "male_pct"],
+    "athletes_by_country": ["country", "athlete_count", "discipline_count"],
+    "country_performance": ["country", "athlete_count", "total_medals", "medals_per_100_athletes"],
+}
+
+
+def medal_standings(silver: Catalog) -> DataFrame:
+    """Medal table with weighted points, total and two global ranks."""
+    medals = silver["medals"].select("country", "gold", "silver", "bronze")
+    return weighted_standings(medals, "country").select(*MART_COLUMNS["medal_standings"])
 
 
 def gender_participation(silver: Catalog) -> DataFrame:
     """Per-discipline female/male share of the supplied total (NULL on a zero total)."""
     entries = silver["entriesgender"].select("discipline", "female", "male", "total")
-    return share_of_total(entries, ["female", "male"], "total")
+    return share_of_total(entries, ["female", "male"], "total").select(
+        *MART_COLUMNS["gender_participation"]
+    )
 
 
 def athletes_by_country(silver: Catalog) -> DataFrame:
@@ -54,7 +65,7 @@ def athletes_by_country(silver: Catalog) -> DataFrame:
         "discipline",
         count_name="athlete_count",
         distinct_name="discipline_count",
-    )
+    ).select(*MART_COLUMNS["athletes_by_country"])
 
 
 def country_performance(silver: Catalog) -> DataFrame:
@@ -69,7 +80,7 @@ def country_performance(silver: Catalog) -> DataFrame:
         "total_medals",
         count_name="athlete_count",
         rate_name="medals_per_100_athletes",
-    )
+    ).select(*MART_COLUMNS["country_performance"])
 
 
 def top_gold_countries(silver: Catalog, k: int = 20) -> DataFrame:
