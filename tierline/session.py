@@ -2,8 +2,8 @@
 
 On a cluster, intermediate tables must live in shared storage: the folder the
 cluster names in ``spark.checkpoint.dir``. Only when it is unset (local runs,
-tests) do we fall back to a fresh local folder, and we record it in the session
-so that ``DataFrame.checkpoint()`` uses the same place.
+tests) do we fall back to a fresh local folder, registered as the context's
+checkpoint folder so that ``DataFrame.checkpoint()`` and later calls use it.
 """
 
 from __future__ import annotations
@@ -26,10 +26,10 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="tierline-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     try:
+        # Registers the folder for DataFrame.checkpoint() and later calls.
         spark.sparkContext.setCheckpointDir(local)
-    except Exception:
+    except Exception:  # no SparkContext on a remote (Connect) session
         pass
     return local
 
