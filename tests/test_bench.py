@@ -30,6 +30,6 @@ def test_bench_prints_one_json_line():
     lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
     assert len(lines) == 1
     record = json.loads(lines[0])
-    assert record["unit"] == "sec" and record["sf"] == 0.001
+    assert record["unit"] == "sec" and record["sf"] == 0.001 and record["failed"] == []
     assert set(record["queries"]) == {"top_k", "share_of_total"}
     assert record["value"] == round(sum(record["queries"].values()), 3)
