@@ -86,16 +86,24 @@ def headcount_and_breadth(
     *,
     count_name: str = "row_count",
     distinct_name: str = "distinct_count",
+    approx_rsd: float | None = None,
 ) -> DataFrame:
-    """Rows per key and exact distinct count of ``distinct_col`` (NULL not counted).
+    """Rows per key and distinct count of ``distinct_col`` (NULL not counted).
 
-    Catalyst plans the distinct as a two-level aggregate: first on
-    (key, value), then on key, so a key with many values is spread over
-    tasks before the final count.
+    Exact by default: Catalyst plans the distinct as a two-level aggregate,
+    first on (key, value), then on key, so a key with many values is spread
+    over tasks before the final count. ``approx_rsd`` (e.g. 0.02) switches to
+    a HyperLogLog sketch per key, with no shuffle of the values; the count
+    is then approximate (bigint, relative standard error ``approx_rsd``).
     """
+    value = F.col(f"`{distinct_col}`")
+    distinct = (
+        F.count_distinct(value)
+        if approx_rsd is None
+        else F.approx_count_distinct(value, float(approx_rsd))
+    )
     return df.groupBy(F.col(f"`{key}`")).agg(
-        F.count(F.lit(1)).alias(count_name),
-        F.count_distinct(F.col(f"`{distinct_col}`")).alias(distinct_name),
+        F.count(F.lit(1)).alias(count_name), distinct.alias(distinct_name)
     )
 
 
