@@ -108,3 +108,13 @@ def test_show_table_reads_and_prints(spark, tmp_path, capsys):
     df = show_table(spark, out, n=5)
     assert df.count() == 1
     assert "country" in capsys.readouterr().out
+
+
+def test_max_records_per_file_bounds_file_sizes(spark, tmp_path):
+    import glob
+
+    out = str(tmp_path / "bounded")
+    write_table(spark.range(100).coalesce(1), out, max_records_per_file=10)
+    files = glob.glob(f"{out}/*.parquet")
+    assert len(files) == 10
+    assert read_table(spark, out).count() == 100
