@@ -118,3 +118,12 @@ def test_max_records_per_file_bounds_file_sizes(spark, tmp_path):
     files = glob.glob(f"{out}/*.parquet")
     assert len(files) == 10
     assert read_table(spark, out).count() == 100
+
+
+def test_export_file_count(spark, tmp_path):
+    import glob
+
+    out = str(tmp_path / "three")
+    export_csv(spark.range(1000), out, num_files=3)
+    assert len(glob.glob(f"{out}/*.csv")) == 3
+    assert read_csv_inferred(spark, out).count() == 1000
