@@ -174,3 +174,19 @@ def dataclasses_replace(spec, **changes):
     import dataclasses
 
     return dataclasses.replace(spec, **changes)
+
+
+def test_streaming_bronze_in_several_micro_batches(spark, tmp_path):
+    src = tmp_path / "incoming"
+    src.mkdir()
+    for i in range(3):
+        (src / f"f{i}.csv").write_text(f"Discipline,Female,Male,Total\nD{i},1,2,3\n")
+    out = str(tmp_path / "bronze")
+    q = stream_to_bronze(
+        spark, SOURCE_SPECS["entriesgender"], str(src), out,
+        checkpoint_location=str(tmp_path / "ckpt"), max_files_per_trigger=1,
+    )
+    q.awaitTermination(120)
+    back = read_table(spark, out)
+    assert sorted(r["Discipline"] for r in back.collect()) == ["D0", "D1", "D2"]
+    assert q.lastProgress is not None and q.lastProgress["numInputRows"] == 1  # one file per batch
