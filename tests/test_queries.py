@@ -36,3 +36,16 @@ def test_query_matches_sql(spark, duck, name):
     con = duck(SF_SMALL)
     res = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF_SMALL)
     assert res["cols"] and res["rows"] and res["values"], res["detail"]
+
+
+def test_entry_module_loads_by_path(spark):
+    import importlib.util
+    import os
+
+    from tests.conftest import ROOT
+
+    spec = importlib.util.spec_from_file_location("entry_by_path", os.path.join(ROOT, "__spark_entry__.py"))
+    module = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(module)
+    assert set(module.queries()) == set(module.oracle_sql())
+    assert module.entry(spark).count() > 0
