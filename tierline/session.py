@@ -1,13 +1,15 @@
 """Where jobs may write intermediate data.
 
 On a cluster, intermediate tables must live in shared storage: the folder the
-cluster names in ``spark.checkpoint.dir``. Only when it is unset (local runs,
-tests) do we fall back to a fresh local folder, registered as the context's
-checkpoint folder so that ``DataFrame.checkpoint()`` and later calls use it.
+cluster names in ``spark.checkpoint.dir``. Only when it is unset and the master
+is ``local`` do we fall back to a fresh local folder, registered as the context's
+checkpoint folder so that ``DataFrame.checkpoint()`` and later calls use it; on
+any other master an unset folder is an error.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,6 +27,11 @@ def shared_dir(spark: SparkSession) -> str:
         current = None
     if current:
         return current.rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(
+            f"spark.checkpoint.dir is not set: on {master} it must name a folder that the driver and all executors share"
+        )
     local = tempfile.mkdtemp(prefix="tierline-ckpt-")
     try:
         # Registers the folder for DataFrame.checkpoint() and later calls.
