@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tierline.session import scratch_path
 
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
-_SPACES = " \t\n\x0b\x0c\r"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,17 +22,8 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Number of words as a bigint, 0 for null.
-
-    A blank before the text and one mark for each run of other characters: what
-    is left after the blanks are taken out has one character per word.
-    """
-    flat = F.translate(F.coalesce(text, F.lit("")), _SPACES, " " * len(_SPACES))
-    return F.char_length(F.translate(F.regexp_replace(flat, "[^ ]+", "w"), " ", "")).cast("bigint")
-
-
-def without_spaces(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), _SPACES, "")
+    """Number of words as a bigint, 0 for null."""
+    return F.size(words(text)).cast("bigint")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -45,3 +36,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` with ``_n``: its rows counted from 1 in this order, without sorting them in one task.
+
+    Range-partitioned and sorted rows are stored with their place in their
+    partition; only one row per partition is needed to know where each begins.
+    """
+    place = F.monotonically_increasing_id()  # partition number in the upper 31 bits, place in the lower 33
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place)
+    table = stored(ranged, "numbered").withColumn("_part", F.shiftright("_place", 33))
+    sizes = table.groupBy("_part").agg(F.count("*").alias("_rows"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    within = F.col("_place").bitwiseAND(F.lit(2**33 - 1))
+    return table.join(starts, "_part").withColumn("_n", F.col("_start") + within + 1).drop("_place", "_part", "_start")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tierline.llm import quality_rules
+from tierline.llm import mixing, quality_rules
 
 QUERIES = {
+    "op7_mix_sources": mixing.query,
     "op10_quality_rules": quality_rules.query,
 }
 ORACLE = {
+    "op7_mix_sources": mixing.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
 }
