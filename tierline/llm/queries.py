@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tierline.llm import bpe, mixing, quality_rules
+from tierline.llm import bpe, mixing, packing, quality_rules
 
 QUERIES = {
+    "op9_pack_ids": packing.query,
     "op1_bpe": bpe.query,
     "op7_mix_sources": mixing.query,
     "op10_quality_rules": quality_rules.query,
