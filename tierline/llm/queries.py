@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from tierline.llm import bpe, mixing, packing, quality_rules
+from tierline.llm import bpe, main_text, mixing, packing, quality_rules, warc
 
 QUERIES = {
+    "op2_main_text": main_text.query,
+    "op4_warc_salvage": warc.query,
     "op9_pack_ids": packing.query,
     "op1_bpe": bpe.query,
     "op7_mix_sources": mixing.query,
     "op10_quality_rules": quality_rules.query,
 }
 ORACLE = {
+    "op4_warc_salvage": warc.ORACLE,
     "op7_mix_sources": mixing.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
 }
