@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tierline.llm import bpe, main_text, mixing, packing, quality_rules, warc
+from tierline.llm import bpe, main_text, mixing, neighbours, packing, quality_rules, warc
 
 QUERIES = {
+    "op3_stable_projection_search": neighbours.query,
     "op2_main_text": main_text.query,
     "op4_warc_salvage": warc.query,
     "op9_pack_ids": packing.query,
