@@ -26,15 +26,27 @@ def word_count(text: Column) -> Column:
     return F.size(words(text)).cast("bigint")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back.
 
     Cuts the lineage without keeping anything on executors, and gives Spark the
-    true size of small tables, so that it broadcasts only what is small.
+    true size of small tables, so that it broadcasts only what is small. The
+    shuffle files of the write go at its end, so disk holds one step's at a time.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tierline.llm import bpe, main_text, mixing, neighbours, packing, quality_rules, warc
+from tierline.llm import bpe, main_text, mixing, neighbours, packing, quality_rules, repeated_windows, warc
 
 QUERIES = {
+    "op8_cover_anchor_dedup": repeated_windows.query,
     "op3_stable_projection_search": neighbours.query,
     "op2_main_text": main_text.query,
     "op4_warc_salvage": warc.query,
@@ -14,6 +15,7 @@ QUERIES = {
     "op10_quality_rules": quality_rules.query,
 }
 ORACLE = {
+    "op8_cover_anchor_dedup": repeated_windows.ORACLE,
     "op4_warc_salvage": warc.ORACLE,
     "op7_mix_sources": mixing.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
