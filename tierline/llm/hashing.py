@@ -192,3 +192,12 @@ def first_documents(d: np.ndarray, t: np.ndarray) -> np.ndarray:
 def gathered(found: DataFrame) -> DataFrame:
     """One row per document with all its numbers, each once, in order."""
     return found.groupBy("d", "t").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("x")))).alias("x"))
+
+
+def shared_entries(table: pa.Table) -> pa.Table:
+    """Of one part, the entries known to repeat and those whose hash another batch has as well (``FOUND``)."""
+    known = Entries(table.filter(table["known"]))
+    rest = Entries(table.filter(pa.compute.invert(table["known"])))
+    order, runs = runs_of(rest.h)
+    size = np.diff(runs)
+    return pa.concat_tables([known.by_document(np.arange(len(known.x))), rest.by_document(order[np.repeat(size > 1, size)])])

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import read_table, stored
 from tierline.llm.hashing import (
-    DEALT, FOUND, Entries, deal, first_documents, gathered, keyed, part_count, real_id, runs_of,
+    DEALT, FOUND, Entries, deal, first_documents, gathered, keyed, part_count, runs_of, shared_entries,
     text_bytes, window_hashes, window_starts, word_hashes, word_spans,
 )
 from tierline.llm.word_ids import text_batches
@@ -71,15 +71,6 @@ def _anchors(parts: int):
     return run
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Entries known to repeat, and those whose hash another batch has as well."""
-    known = Entries(table.filter(table["known"]))
-    rest = Entries(table.filter(pa.compute.invert(table["known"])))
-    order, runs = runs_of(rest.h)
-    size = np.diff(runs)
-    return pa.concat_tables([known.by_document(np.arange(len(known.x))), rest.by_document(order[np.repeat(size > 1, size)])])
-
-
 def _candidate_windows(parts: int):
     """Full windows that hold a shared anchor. Their second hash rides in a second entry list's place: see ``_later``."""
 
@@ -138,7 +129,7 @@ def _later(table: pa.Table) -> pa.Table:
 def later_windows(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """d, t, x: of each document the starts (in words) of the windows that repeat an earlier one."""
     docs, parts = keyed(df, id_col, text_col), part_count(df)
-    shared = docs.mapInArrow(_anchors(parts), DEALT).groupBy("p").applyInArrow(_shared, FOUND)
+    shared = docs.mapInArrow(_anchors(parts), DEALT).groupBy("p").applyInArrow(shared_entries, FOUND)
     shared = stored(gathered(shared), "shared-anchors")
     windows = docs.join(shared, ["d", "t"]).select("d", "t", "text", "x")
     windows = windows.mapInArrow(_candidate_windows(parts), DEALT + ", g array<bigint>")
