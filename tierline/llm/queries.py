@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tierline.llm import bpe, main_text, mixing, neighbours, packing, quality_rules, repeated_bytes, repeated_windows, warc
+from tierline.llm import bpe, main_text, mixing, neighbours, ngram_join, packing, quality_rules, repeated_bytes, repeated_windows, warc
 
 QUERIES = {
+    "op5_signature_tree_join": ngram_join.query,
     "op6_suffix_dedup": repeated_bytes.query,
     "op8_cover_anchor_dedup": repeated_windows.query,
     "op3_stable_projection_search": neighbours.query,
