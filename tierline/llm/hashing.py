@@ -12,7 +12,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
-_BYTES = np.random.default_rng(20).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+BYTES = np.random.default_rng(20).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of the two hash families
 NO_ID = -(1 << 63)  # stands for a null id
 
@@ -65,7 +65,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
         s, n = starts[a : a + step], (ends - starts)[a : a + step]
         cut = np.cumsum(n) - n
         place = np.arange(int(n.sum())) - np.repeat(cut, n)
-        values = _BYTES[data[np.repeat(s, n) + place]] * longest[place]
+        values = BYTES[data[np.repeat(s, n) + place]] * longest[place]
         out[a : a + step] = mixed(np.add.reduceat(values, cut))
     return out
 
@@ -107,8 +107,14 @@ def part_count(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Entries of one part of the hash space, document by document: ``n`` says how many each has.
-DEALT = "p int, known boolean, d array<bigint>, t array<int>, n array<int>, h array<bigint>, x array<int>"
+def dealt_schema(x: str = "int") -> str:
+    """Entries of one part, document by document: ``n`` says how many each has; ``x`` is each entry's number."""
+    return f"p int, known boolean, d array<bigint>, t array<int>, n array<int>, h array<bigint>, x array<{x}>"
+
+
+def owner_part(d: np.ndarray, t: np.ndarray, parts: int) -> np.ndarray:
+    """The part that gathers what is found of a document."""
+    return (mixed(d.view(np.uint64) ^ (t.astype(np.uint64) * np.uint64(_STEP[0]))) % np.uint64(parts)).astype(np.int64)
 
 
 def _lists(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
@@ -139,7 +145,7 @@ def deal(parts: int, part: np.ndarray, doc: np.ndarray, d: np.ndarray, t: np.nda
             _lists(t[doc[runs]], docs, pa.int32()),
             _lists(counts, docs, pa.int32()),
             hashes,
-            _lists(x[order], entries, pa.int32()),
+            _lists(x[order], entries, pa.from_numpy_dtype(x.dtype)),
         ],
         names=["p", "known", "d", "t", "n", "h", "x"],
     )
@@ -160,21 +166,10 @@ class Entries:
         self.h = _flat(table, "h").view(np.uint64)
         self.x = _flat(table, "x")
 
-    def by_document(self, chosen: np.ndarray) -> pa.Table:
-        """The numbers of the chosen entries (places, in any order), one row per document."""
-        chosen = np.sort(chosen)
+    def found(self, parts: int, chosen: np.ndarray) -> pa.RecordBatch:
+        """The numbers of the chosen entries, dealt to the parts that gather their documents."""
         doc = self.doc[chosen]
-        runs = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.empty(0, np.int64)
-        return pa.table(
-            {
-                "d": pa.array(self.d[doc[runs]], pa.int64()),
-                "t": pa.array(self.t[doc[runs]], pa.int32()),
-                "x": _lists(self.x[chosen], np.append(runs, len(doc)), pa.int32()),
-            }
-        )
-
-
-FOUND = "d bigint, t int, x array<int>"
+        return deal(parts, owner_part(self.d[doc], self.t[doc], parts), doc, self.d, self.t, None, self.x[chosen])
 
 
 def runs_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,15 +184,33 @@ def first_documents(d: np.ndarray, t: np.ndarray) -> np.ndarray:
     return np.sort(np.unique(np.rec.fromarrays([d, t]), return_index=True)[1]) if len(d) else np.empty(0, np.int64)
 
 
-def gathered(found: DataFrame) -> DataFrame:
-    """One row per document with all its numbers, each once, in order."""
-    return found.groupBy("d", "t").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("x")))).alias("x"))
+def gathered(found: DataFrame, x: str = "int") -> DataFrame:
+    """One row per document with all its numbers, each once, in order. ``found`` holds rows of ``deal``, so
+    what travels are a few arrays between parts, not a row for each document and part."""
+
+    def gather(table: pa.Table) -> pa.Table:
+        own = Entries(table)
+        docs, number = np.unique(np.rec.fromarrays([own.d, own.t], names="d,t"), return_inverse=True)
+        doc = number[own.doc] if len(docs) else own.doc
+        order = np.lexsort((own.x, doc))
+        doc, values = doc[order], own.x[order]
+        new = np.append(True, (doc[1:] != doc[:-1]) | (values[1:] != values[:-1])) if len(doc) else np.empty(0, bool)
+        doc, values = doc[new], values[new]
+        cuts = np.searchsorted(doc, np.arange(len(docs) + 1))
+        return pa.table({"d": pa.array(docs["d"]), "t": pa.array(docs["t"]), "x": _lists(values, cuts, pa.from_numpy_dtype(values.dtype))})
+
+    return found.groupBy("p").applyInArrow(gather, f"d bigint, t int, x array<{x}>")
+
+
+def shared_entries(parts: int):
+    """Of one part, the entries known to repeat and those whose hash another batch has as well."""
 
+    def shared(table: pa.Table) -> pa.Table:
+        known = Entries(table.filter(table["known"]))
+        rest = Entries(table.filter(pa.compute.invert(table["known"])))
+        order, runs = runs_of(rest.h)
+        size = np.diff(runs)
+        chosen = order[np.repeat(size > 1, size)]
+        return pa.Table.from_batches([known.found(parts, np.arange(len(known.x))), rest.found(parts, chosen)])
 
-def shared_entries(table: pa.Table) -> pa.Table:
-    """Of one part, the entries known to repeat and those whose hash another batch has as well (``FOUND``)."""
-    known = Entries(table.filter(table["known"]))
-    rest = Entries(table.filter(pa.compute.invert(table["known"])))
-    order, runs = runs_of(rest.h)
-    size = np.diff(runs)
-    return pa.concat_tables([known.by_document(np.arange(len(known.x))), rest.by_document(order[np.repeat(size > 1, size)])])
+    return shared

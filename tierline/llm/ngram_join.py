@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import read_table, stored
 from tierline.llm.hashing import (
-    DEALT, Entries, deal, first_documents, keyed, mixed, part_count, real_id, runs_of, text_bytes,
+    Entries, deal, dealt_schema, first_documents, keyed, mixed, owner_part, part_count, real_id, runs_of, text_bytes,
     window_hashes, window_starts, word_hashes, word_spans,
 )
 from tierline.llm.word_ids import text_batches
@@ -124,33 +124,42 @@ def _deal_shingles(parts: int):
             others = np.delete(order, runs[:-1])
             if len(others):
                 own, n = np.unique(doc[others], return_counts=True)
-                yield deal(parts, f[own] % parts, own, f, g, None, n.astype(np.int32))
+                yield deal(parts, owner_part(f[own], g[own], parts), own, f, g, None, n.astype(np.int32))
 
     return run
 
 
-def _count_shared(table: pa.Table) -> pa.Table:
-    known = Entries(table.filter(table["known"]))
-    rest = Entries(table.filter(pc.invert(table["known"])))
-    # One entry for each shingle and set, however many batches hold a copy of the set.
-    f, g = rest.d[rest.doc], rest.t[rest.doc]
-    order = np.lexsort((-rest.x, g, f, rest.h))
-    h, f, g, x = rest.h[order], f[order], g[order], rest.x[order]
-    new = np.append(True, (h[1:] != h[:-1]) | (f[1:] != f[:-1]) | (g[1:] != g[:-1])) if len(h) else np.empty(0, bool)
-    h, f, g, x = h[new], f[new], g[new], x[new]
-    again = np.append(False, h[1:] == h[:-1]) if len(h) else np.empty(0, bool)
-    shared = again | np.append(again[1:], False) | (x > 0) if len(h) else again
-    f, g = f[shared], g[shared]
-    order = np.lexsort((g, f))
-    f, g = f[order], g[order]
-    cuts = np.flatnonzero(np.append(True, (f[1:] != f[:-1]) | (g[1:] != g[:-1]))) if len(f) else np.empty(0, np.int64)
-    return pa.table(
-        {
-            "f": pa.array(np.concatenate([known.d[known.doc], f[cuts]]), pa.int64()),
-            "g": pa.array(np.concatenate([known.t[known.doc], g[cuts]]), pa.int32()),
-            "c": pa.array(np.concatenate([known.x, np.diff(np.append(cuts, len(f)))]), pa.int64()),
-        }
-    )
+def _count_shared(parts: int):
+    """How many shingles of one part each set shares with others, dealt to the parts that add them up."""
+
+    def count(table: pa.Table) -> pa.Table:
+        known = Entries(table.filter(table["known"]))
+        rest = Entries(table.filter(pc.invert(table["known"])))
+        # One entry for each shingle and set, however many batches hold a copy of the set.
+        f, g = rest.d[rest.doc], rest.t[rest.doc]
+        order = np.lexsort((-rest.x, g, f, rest.h))
+        h, f, g, x = rest.h[order], f[order], g[order], rest.x[order]
+        new = np.append(True, (h[1:] != h[:-1]) | (f[1:] != f[:-1]) | (g[1:] != g[:-1])) if len(h) else np.empty(0, bool)
+        h, f, g, x = h[new], f[new], g[new], x[new]
+        again = np.append(False, h[1:] == h[:-1]) if len(h) else np.empty(0, bool)
+        shared = again | np.append(again[1:], False) | (x > 0) if len(h) else again
+        f, g = f[shared], g[shared]
+        order = np.lexsort((g, f))
+        f, g = f[order], g[order]
+        cuts = np.flatnonzero(np.append(True, (f[1:] != f[:-1]) | (g[1:] != g[:-1]))) if len(f) else np.empty(0, np.int64)
+        n = np.diff(np.append(cuts, len(f))).astype(np.int32)
+        f, g = f[cuts], g[cuts]
+        counted = deal(parts, owner_part(f, g, parts), np.arange(len(f)), f, g, None, n)
+        return pa.Table.from_batches([known.found(parts, np.arange(len(known.x))), counted])
+
+    return count
+
+
+def _add_up(table: pa.Table) -> pa.Table:
+    own = Entries(table)
+    sets, number = np.unique(np.rec.fromarrays([own.d, own.t], names="f,g"), return_inverse=True)
+    total = np.bincount(number[own.doc], own.x, len(sets)) if len(sets) else np.empty(0)
+    return pa.table({"f": pa.array(sets["f"]), "g32": pa.array(sets["g"]), "c": pa.array(total.astype(np.int64))})
 
 
 _SETS = "d bigint, t int, n bigint, h array<bigint>, k array<bigint>, s array<bigint>"
@@ -368,8 +377,8 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     reps = members.where("n > 0").groupBy("n", "f", "g").agg(F.min(node).alias("rep"))
     members = stored(members.join(reps, ["n", "f", "g"], "left").withColumn("rep", F.coalesce("rep", node)), "set-members")
 
-    counted = docs.mapInArrow(_deal_shingles(parts), DEALT).groupBy("p").applyInArrow(_count_shared, "f bigint, g int, c bigint")
-    counted = stored(counted.groupBy("f", F.col("g").alias("g32")).agg(F.sum("c").alias("c")), "shared-shingles")
+    dealt = docs.mapInArrow(_deal_shingles(parts), dealt_schema()).groupBy("p").applyInArrow(_count_shared(parts), dealt_schema())
+    counted = stored(dealt.groupBy("p").applyInArrow(_add_up, "f bigint, g32 int, c bigint"), "shared-shingles")
     low = F.shiftright(F.shiftleft(F.col("g"), 32), 32).cast("int")  # the part of the fingerprint that was sent
     own = members.where(F.col("rep") == node).withColumn("g32", low)
     maybe = own.join(counted, ["f", "g32"]).where(100 * F.col("c") >= PERCENT * F.col("n")).select("d", "t").distinct()

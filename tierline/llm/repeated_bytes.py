@@ -35,8 +35,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.llm.common import read_table, stored
-from tierline.llm.hashing import DEALT, FOUND, deal, first_documents, gathered, keyed, mixed, part_count, powers, runs_of, shared_entries, text_bytes
-from tierline.llm.hashing import _BYTES
+from tierline.llm.hashing import (
+    BYTES, deal, dealt_schema, first_documents, gathered, keyed, mixed, owner_part, part_count, powers, runs_of,
+    shared_entries, text_bytes,
+)
 from tierline.llm.suffix_sort import deep_shallow_order, neighbour_prefixes
 from tierline.llm.word_ids import text_batches
 
@@ -64,7 +66,7 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     lengths = np.diff(bounds)
     if not (lengths >= LENGTH).any():
         return np.empty(0, np.int64)
-    h, step = _BYTES[data], 1
+    h, step = BYTES[data], 1
     power = powers(GRAM)
     while step < GRAM:  # the hash of twice as many bytes from two of the last
         h = h[:-step] + h[step:] * power[step]
@@ -93,7 +95,7 @@ def _keys(data: np.ndarray, place: np.ndarray, kind: np.ndarray) -> np.ndarray:
     step = 1 << 14
     for a in range(0, len(place), step):
         begin = (place - NEAR * kind)[a : a + step]
-        out[a : a + step] = (_BYTES[data[begin[:, None] + np.arange(COMMON)]] * power).sum(axis=1, dtype=np.uint64)
+        out[a : a + step] = (BYTES[data[begin[:, None] + np.arange(COMMON)]] * power).sum(axis=1, dtype=np.uint64)
     return mixed(out ^ (kind.astype(np.uint64) * _KIND))
 
 
@@ -113,13 +115,12 @@ def _exchange_anchors(parts: int):
             yield deal(parts, h[sent] % np.uint64(parts), doc[sent], d, t, h[sent], x[sent])
             known = order[np.repeat(np.diff(runs) > 1, np.diff(runs))]
             if len(known):
-                yield deal(parts, d[doc[known]] % parts, doc[known], d, t, None, x[known])
+                yield deal(parts, owner_part(d[doc[known]], t[doc[known]], parts), doc[known], d, t, None, x[known])
 
     return run
 
 
 _AROUND = "p int, d array<bigint>, t array<int>, x array<bigint>, kind array<int>, o array<int>, c array<binary>"
-_MARKS = "d bigint, t int, x array<bigint>"
 
 
 def _rows_by_part(part: np.ndarray, columns: dict[str, tuple]) -> pa.RecordBatch:
@@ -170,7 +171,7 @@ def _exchange_surroundings(parts: int):
             is_known = np.arange(len(chosen)) >= len(sent)
             span = ((begin - bounds[doc]) << 32) + (end - bounds[doc])
             yield _rows_by_part(
-                np.where(is_known, d[doc[chosen]] % parts, part[chosen]),
+                np.where(is_known, owner_part(d[doc[chosen]], t[doc[chosen]], parts), part[chosen]),
                 {
                     "d": (d[doc[chosen]], pa.int64()),
                     "t": (t[doc[chosen]], pa.int32()),
@@ -200,6 +201,8 @@ def equal_offsets(around: list[bytes], offset: np.ndarray, kind: int) -> list[li
         class_r[order_r] = np.cumsum(prefix_r < LENGTH - reach)
         class_l[order_l] = np.cumsum(prefix_l < reach)
         holds = np.flatnonzero((size_l >= reach) & (size_r >= LENGTH - reach))
+        if len(holds) < 2:
+            continue
         both = class_r[holds] * (n + 1) + class_l[holds]
         order = np.argsort(both, kind="stable")
         s = both[order]
@@ -212,42 +215,36 @@ def equal_offsets(around: list[bytes], offset: np.ndarray, kind: int) -> list[li
     return out
 
 
-def _mark(table: pa.Table) -> pa.Table:
-    columns = {c: pc.list_flatten(table[c]) for c in ("d", "t", "x", "kind", "o", "c")}
-    d, t, x, kind, o = (columns[c].to_numpy() for c in ("d", "t", "x", "kind", "o"))
-    around = columns["c"].to_pylist()
-    known = o < 0
-    out = [(d[known], t[known], x[known])]
-    for k in (0, 1):
-        own = np.flatnonzero(~known & (kind == k))
-        own = own[np.unique(np.rec.fromarrays([d[own], t[own], x[own]]), return_index=True)[1]] if len(own) else own
-        if len(own) < 2:
-            continue
-        runs = equal_offsets([around[i] for i in own], o[own], k)
-        who = np.repeat(own, [len(r) for r in runs])
-        if len(who):
-            spans = [((x[i] + a) << 32) + (x[i] + b + LENGTH) for i, r in zip(own, runs, strict=True) for a, b in r]
-            out.append((d[who], t[who], np.array(spans, np.int64)))
-    d, t, x = (np.concatenate(c) for c in zip(*out, strict=True))
-    order = np.lexsort((x, t, d))
-    d, t, x = d[order], t[order], x[order]
-    new = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (t[1:] != t[:-1]))) if len(d) else np.empty(0, np.int64)
-    return pa.table(
-        {
-            "d": pa.array(d[new], pa.int64()),
-            "t": pa.array(t[new], pa.int32()),
-            "x": pa.ListArray.from_arrays(pa.array(np.append(new, len(d)), pa.int32()), pa.array(x, pa.int64())),
-        }
-    )
+def _mark(parts: int):
+    def mark(table: pa.Table) -> pa.Table:
+        columns = {c: pc.list_flatten(table[c]) for c in ("d", "t", "x", "kind", "o", "c")}
+        d, t, x, kind, o = (columns[c].to_numpy() for c in ("d", "t", "x", "kind", "o"))
+        around = columns["c"].to_pylist()
+        known = o < 0
+        out = [(d[known], t[known], x[known])]
+        for k in (0, 1):
+            own = np.flatnonzero(~known & (kind == k))
+            own = own[np.unique(np.rec.fromarrays([d[own], t[own], x[own]]), return_index=True)[1]] if len(own) else own
+            if len(own) < 2:
+                continue
+            runs = equal_offsets([around[i] for i in own], o[own], k)
+            who = np.repeat(own, [len(r) for r in runs])
+            if len(who):
+                spans = [((x[i] + a) << 32) + (x[i] + b + LENGTH) for i, r in zip(own, runs, strict=True) for a, b in r]
+                out.append((d[who], t[who], np.array(spans, np.int64)))
+        d, t, x = (np.concatenate(c) for c in zip(*out, strict=True))
+        return pa.Table.from_batches([deal(parts, owner_part(d, t, parts), np.arange(len(d)), d, t, None, x)])
+
+    return mark
 
 
 def repeated_spans(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """d, t, x: of each document the spans to be removed, each as ``start * 2**32 + end``; they may overlap."""
     docs, parts = keyed(df, id_col, text_col), part_count(df)
-    shared = docs.mapInArrow(_exchange_anchors(parts), DEALT).groupBy("p").applyInArrow(shared_entries, FOUND)
+    shared = docs.mapInArrow(_exchange_anchors(parts), dealt_schema()).groupBy("p").applyInArrow(shared_entries(parts), dealt_schema())
     shared = stored(gathered(shared), "shared-anchors")
     around = docs.join(shared, ["d", "t"]).select("d", "t", "text", "x").mapInArrow(_exchange_surroundings(parts), _AROUND)
-    return stored(gathered(around.groupBy("p").applyInArrow(_mark, _MARKS)), "repeated-spans")
+    return stored(gathered(around.groupBy("p").applyInArrow(_mark(parts), dealt_schema("bigint")), "bigint"), "repeated-spans")
 
 
 def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -287,6 +284,22 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return given.mapInArrow(run, f"row {row_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary").select("row.*", *results)
 
 
+def strip(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with repeated strings taken out of ``text_col``; all columns, of whatever name, are kept."""
+    packed = df.select(
+        F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text")
+    )
+    left = remove_repeats(packed, id_col="_id", text_col="_text").select("_row", "kept")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.array([k.decode("utf-8", "ignore") for k in batch.column("kept").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), texts], names=["_row", "kept"])
+
+    left = left.mapInArrow(run, f"_row {left.schema['_row'].dataType.simpleString()}, kept string")
+    return left.select(*((F.col("kept") if c == text_col else F.col(f"_row.`{c}`")).alias(c) for c in df.columns))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = remove_repeats(docs)

@@ -24,12 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.llm.common import read_table, stored
 from tierline.llm.hashing import (
-    DEALT, FOUND, Entries, deal, first_documents, gathered, keyed, part_count, runs_of, shared_entries,
+    Entries, deal, dealt_schema, first_documents, gathered, keyed, owner_part, part_count, runs_of, shared_entries,
     text_bytes, window_hashes, window_starts, word_hashes, word_spans,
 )
 from tierline.llm.word_ids import text_batches
@@ -66,13 +67,13 @@ def _anchors(parts: int):
             yield deal(parts, h[sent] % np.uint64(parts), doc[sent], d, t, h[sent], within[sent])
             known = order[np.repeat(np.diff(runs) > 1, np.diff(runs))]
             if len(known):
-                yield deal(parts, (d[doc[known]] % parts), doc[known], d, t, None, within[known])
+                yield deal(parts, owner_part(d[doc[known]], t[doc[known]], parts), doc[known], d, t, None, within[known])
 
     return run
 
 
 def _candidate_windows(parts: int):
-    """Full windows that hold a shared anchor. Their second hash rides in a second entry list's place: see ``_later``."""
+    """Full windows that hold a shared anchor; ``g`` is the second half of their hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
@@ -105,35 +106,38 @@ def _candidate_windows(parts: int):
             second = deal(parts, h[sent] % np.uint64(parts), doc[sent], d, t, g[sent], within[sent])
             yield out.append_column("g", second.column("h"))
             if len(known):
-                out = deal(parts, (d[doc[known]] % parts), doc[known], d, t, None, within[known])
+                out = deal(parts, owner_part(d[doc[known]], t[doc[known]], parts), doc[known], d, t, None, within[known])
                 yield out.append_column("g", out.column("h"))
 
     return run
 
 
-def _later(table: pa.Table) -> pa.Table:
+def _later(parts: int):
     """Windows that aren't the earliest with their words."""
-    known = Entries(table.filter(table["known"]))
-    rest_table = table.filter(pa.compute.invert(table["known"]))
-    rest = Entries(rest_table)
-    g = Entries(rest_table.drop_columns(["h"]).rename_columns([c if c != "g" else "h" for c in rest_table.drop_columns(["h"]).column_names])).h
-    order = np.lexsort((rest.x, rest.t[rest.doc], rest.d[rest.doc], g, rest.h))
-    key = np.rec.fromarrays([rest.h[order], g[order]])
-    new = np.append(True, key[1:] != key[:-1]) if len(order) else np.empty(0, bool)
-    # The same document may have been sent by two batches, if its row is repeated.
-    full = np.rec.fromarrays([rest.d[rest.doc][order], rest.t[rest.doc][order], rest.x[order]])
-    head = full[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))] if len(order) else full
-    return pa.concat_tables([known.by_document(np.arange(len(known.x))), rest.by_document(order[full != head])])
+
+    def later(table: pa.Table) -> pa.Table:
+        known = Entries(table.filter(table["known"]))
+        table = table.filter(pc.invert(table["known"]))
+        rest, g = Entries(table), Entries(table.set_column(table.column_names.index("h"), "h", table["g"])).h
+        order = np.lexsort((rest.x, rest.t[rest.doc], rest.d[rest.doc], g, rest.h))
+        h, g = rest.h[order], g[order]
+        new = np.append(True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])) if len(order) else np.empty(0, bool)
+        # The same document may have been sent by two batches, if its row is repeated.
+        full = np.rec.fromarrays([rest.d[rest.doc][order], rest.t[rest.doc][order], rest.x[order]])
+        head = full[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))] if len(order) else full
+        return pa.Table.from_batches([known.found(parts, np.arange(len(known.x))), rest.found(parts, order[full != head])])
+
+    return later
 
 
 def later_windows(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """d, t, x: of each document the starts (in words) of the windows that repeat an earlier one."""
     docs, parts = keyed(df, id_col, text_col), part_count(df)
-    shared = docs.mapInArrow(_anchors(parts), DEALT).groupBy("p").applyInArrow(shared_entries, FOUND)
+    shared = docs.mapInArrow(_anchors(parts), dealt_schema()).groupBy("p").applyInArrow(shared_entries(parts), dealt_schema())
     shared = stored(gathered(shared), "shared-anchors")
     windows = docs.join(shared, ["d", "t"]).select("d", "t", "text", "x")
-    windows = windows.mapInArrow(_candidate_windows(parts), DEALT + ", g array<bigint>")
-    return stored(gathered(windows.groupBy("p").applyInArrow(_later, FOUND)), "later-windows")
+    windows = windows.mapInArrow(_candidate_windows(parts), dealt_schema() + ", g array<bigint>")
+    return stored(gathered(windows.groupBy("p").applyInArrow(_later(parts), dealt_schema())), "later-windows")
 
 
 def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
