@@ -136,7 +136,10 @@ def judge(
 def keep(df: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows that the rules keep, with the columns of ``df``."""
     packed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.col(text_col).alias("_text"))
-    return judge(packed, "_text", **options).where("kept").select("_row.*")
+    # A column that depends on the task keeps the filter above the measures; pushed below them, it would
+    # work out each measure anew for every rule and word.
+    judged = judge(packed, "_text", **options).select("_row", "kept", F.spark_partition_id().alias("_here"))
+    return judged.where(F.col("kept") & (F.col("_here") >= 0)).select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
