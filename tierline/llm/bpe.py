@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tierline.llm.common import read_table
-from tierline.llm.word_ids import WordIds, strings, text_batches
+from tierline.llm.word_ids import MAX_PIECES, WordIds, plain_pieces, strings, text_batches
 
 #: Fixed value of the vocabulary: what a word is cut into.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
@@ -84,6 +84,7 @@ class Bpe:
         rules = Tokenizer.from_file(path)
         self._normal, self._cut = rules.normalizer.normalize_str, rules.pre_tokenizer.pre_tokenize_str
         self._byte = {c: b for b, c in enumerate(characters)}
+        self._kept: dict[bytes, list[int]] = {}
         self.special_cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
 
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
@@ -153,9 +154,14 @@ class Bpe:
         return [p.encode() for p in PIECES.findall(word.lower())]
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
-        cuts = [self.cut(w) for w in words]
-        pieces = list(dict.fromkeys(p for c in cuts for p in c if isinstance(p, bytes)))
-        ids: dict = dict(zip(pieces, self.encode_pieces(pieces), strict=True))
+        cuts = [[x.encode() for x in plain if x] if (plain := plain_pieces(w)) else self.cut(w) for w in words]
+        new = list(dict.fromkeys(p for c in cuts for p in c if isinstance(p, bytes) and p not in self._kept))
+        fresh = dict(zip(new, self.encode_pieces(new), strict=True))
+        if len(self._kept) > MAX_PIECES:
+            fresh |= {p: self._kept[p] for c in cuts for p in c if p in self._kept}
+            self._kept = {}
+        self._kept |= fresh
+        ids = self._kept
         return [ids[c[0]] if len(c) == 1 and c[0] in ids else [i for p in c for i in (ids[p] if isinstance(p, bytes) else (p,))] for c in cuts]
 
 

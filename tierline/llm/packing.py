@@ -30,8 +30,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tierline.llm.bpe import byte_characters
 from tierline.llm.common import read_table, stored
-from tierline.llm.word_ids import WordIds, strings, text_batches
+from tierline.llm.word_ids import MAX_PIECES, WordIds, plain_pieces, strings, text_batches
 from tierline.session import scratch_path
 
 BLOCK_IDS = 1 << 16
@@ -89,12 +90,43 @@ class Shard:
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    """The vocabulary's size and a store of words' ids as the tokenizers library gives them.
+
+    A plain word's pieces go to the library's model directly and are kept, so that a word is
+    encoded once however it is written; other words take the library's whole way.
+    """
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
     tok.no_truncation()
     tok.no_padding()
-    encode = lambda words: [e.ids for e in tok.encode_batch(words, add_special_tokens=False)]
+    tokenize, characters = tok.model.tokenize, byte_characters()
+    pieces: dict[str, list[int]] = {"": []}
+
+    def ids_of(piece: str) -> list[int]:
+        found = pieces.get(piece)
+        if found is None:
+            if len(pieces) > MAX_PIECES:
+                pieces.clear()
+                pieces[""] = []
+            letters = piece if piece.isascii() else "".join(map(characters.__getitem__, piece.encode()))
+            found = pieces[piece] = [t.id for t in tokenize(letters)]
+        return found
+
+    def encode(words: list[str]) -> list[list[int]]:
+        out, others = [], []
+        for word in words:
+            if cut := plain_pieces(word):
+                out.append(ids_of(cut[0]) + ids_of(cut[1]))
+            else:
+                others.append(len(out))
+                out.append([])
+        for a in range(0, len(others), 1000):  # the library's results are large
+            batch = others[a : a + 1000]
+            for i, e in zip(batch, tok.encode_batch_fast([words[i] for i in batch], add_special_tokens=False), strict=True):
+                out[i] = e.ids
+        return out
+
     return tok.get_vocab_size(with_added_tokens=True), WordIds(encode)
 
 

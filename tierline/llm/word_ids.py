@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
-MAX_WORDS = 300_000
-MAX_IDS = 3_000_000
+MAX_WORDS = 600_000
+MAX_IDS = 5_000_000
+MAX_PIECES = 400_000
 BATCH_BYTES = 4 << 20
 # str.split() also splits at these four; tokenizers treat them as ordinary characters.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -30,6 +31,23 @@ def split_words(text: str) -> list[str]:
     return text.split()
 
 
+PUNCTUATION = ".,;:!?"
+
+
+def plain_pieces(word: str) -> tuple[str, str] | None:
+    """A word of Latin letters, in lower case, and the punctuation after it; None for any other word.
+
+    Such letters are in NFC already, and the two are the pieces that the vocabulary's own text rules find.
+    """
+    stem = word.rstrip(PUNCTUATION)
+    if not stem.isalpha():
+        return None
+    low = stem.lower()
+    if not low.isascii() and (max(stem) >= "\u0250" or not low.isalpha()):
+        return None
+    return low, word[len(stem) :]
+
+
 class WordIds:
     """``encode_new`` gives the id lists of words; this keeps them."""
 
