@@ -100,7 +100,10 @@ def _with_measures(df: DataFrame, text_col: str) -> DataFrame:
         "n_stop": stop,
         "n_lines": F.size("_lines"),
     }
-    return df.withColumn("_q", F.struct(*(values[k].cast("bigint").alias(k) for k in _ALL))).drop("_w", "_lines", "_s")
+    # A field that depends on the task keeps filters on the verdict above the measures; pushed below them,
+    # a filter would work out each measure anew for every rule and word.
+    fields = [*(values[k].cast("bigint").alias(k) for k in _ALL), F.spark_partition_id().alias("here")]
+    return df.withColumn("_q", F.struct(*fields)).drop("_w", "_lines", "_s")
 
 
 def _passes(rule: Threshold) -> Column:
@@ -136,10 +139,7 @@ def judge(
 def keep(df: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows that the rules keep, with the columns of ``df``."""
     packed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.col(text_col).alias("_text"))
-    # A column that depends on the task keeps the filter above the measures; pushed below them, it would
-    # work out each measure anew for every rule and word.
-    judged = judge(packed, "_text", **options).select("_row", "kept", F.spark_partition_id().alias("_here"))
-    return judged.where(F.col("kept") & (F.col("_here") >= 0)).select("_row.*")
+    return judge(packed, "_text", **options).where("kept").select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
