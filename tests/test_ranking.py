@@ -4,148 +4,83 @@ from __future__ import annotations
 
 import math
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tierline.operators import ranking
 from tierline.operators.ranking import RankSpec, global_rank, global_ranks, top_k
 
 
-def _reference(df, column, ascending):
-    c = F.col(column)
-    order = c.asc_nulls_first() if ascending else c.desc_nulls_last()
-    return df.withColumn("expected", F.rank().over(Window.orderBy(order)))
 
-
-def _check(df, column, *, ascending=False, rows_per_task=50, max_buckets=64):
-    ranked = global_rank(
-        df.withColumn("_id", F.monotonically_increasing_id()),
-        column,
-        "r",
-        ascending=ascending,
-        rows_per_task=rows_per_task,
-        max_buckets=max_buckets,
-    )
-    expected = _reference(ranked.drop("r"), column, ascending)
-    joined = ranked.join(expected.select("_id", "expected"), "_id")
-    bad = joined.where(~F.col("r").eqNullSafe(F.col("expected"))).count()
-    assert bad == 0
-    assert dict(ranked.dtypes)["r"] == "int"
-    assert ranked.count() == df.count()
+def _check(df, column, *, ascending=False):
+    df = df.withColumn("_id", F.monotonically_increasing_id()).persist()
+    ranked = global_rank(df, column, "r", ascending=ascending)
+    order = F.col(column).asc_nulls_first() if ascending else F.col(column).desc_nulls_last()
+    expected = df.select("_id", F.rank().over(Window.orderBy(order)).alias("e"))
+    assert {r["_id"]: r["r"] for r in ranked.collect()} == {r["_id"]: r["e"] for r in expected.collect()}
+    assert dict(ranked.dtypes)["r"] == "bigint" and ranked.columns == [*df.columns, "r"]
 
 
 def _scores(spark, values, dtype="double"):
-    return spark.createDataFrame([(v,) for v in values], f"s {dtype}")
-
-
-@pytest.mark.parametrize("ascending", [False, True])
-def test_small_path(spark, ascending):
-    _check(_scores(spark, [3.0, 1.0, 3.0, None, float("nan"), 2.0]), "s", ascending=ascending, rows_per_task=100)
+    return spark.createDataFrame([(v,) for v in values], f"s {dtype}").repartition(3)
 
 
 @pytest.mark.parametrize("ascending", [False, True])
-def test_few_distinct_path(spark, ascending):
-    rnd = random.Random(1)
-    values = [float(rnd.randint(0, 9)) for _ in range(500)] + [None] * 7 + [float("nan")] * 3
-    _check(_scores(spark, values), "s", ascending=ascending, rows_per_task=50)
+@pytest.mark.parametrize("heavy", [True, False])
+def test_doubles_with_special_values(spark, monkeypatch, ascending, heavy):
+    monkeypatch.setattr(ranking, "HEAVY_SHARE", 3000 if heavy else 2)
+    rnd = random.Random(2)
+    values = [rnd.uniform(-1000, 1000) for _ in range(1500)] + [42.0] * 800
+    values += [None] * 11 + [float("nan")] * 5 + [math.inf, -math.inf, 0.0, -0.0, -0.0]
+    _check(_scores(spark, values), "s", ascending=ascending)
 
 
-@pytest.mark.parametrize("ascending", [False, True])
-def test_bucketed_path_with_hot_value(spark, ascending):
-    rnd = random.Random(2)
-    values = [rnd.uniform(-1000, 1000) for _ in range(2000)]
-    values += [42.0] * 1000  # a third of the rows share one score
-    values += [None] * 11 + [float("nan")] * 5 + [math.inf, -math.inf, 0.0, -0.0]
-    rnd.shuffle(values)
-    _check(_scores(spark, values), "s", ascending=ascending, rows_per_task=40)
+def test_longs_beyond_double_precision(spark):
+    base = 2**60
+    _check(_scores(spark, [base + i for i in range(900)] + [base + 7] * 400 + [None], "bigint"), "s")
 
 
-def test_bucketed_path_integer_scores(spark):
-    rnd = random.Random(3)
-    values = [rnd.randint(-5000, 5000) for _ in range(3000)] + [None, None]
-    _check(_scores(spark, values, "bigint"), "s", rows_per_task=30)
+def test_wide_decimals(spark):
+    values = [Decimal(10**17 + i) / 100 for i in range(300)] + [Decimal("3.14")] * 200
+    _check(_scores(spark, values, "decimal(20,2)"), "s")
 
 
-def test_bucketed_path_longs_beyond_double_precision(spark):
-    base = 2**60
-    values = [base + i for i in range(1500)] + [base + 7] * 300
-    _check(_scores(spark, values, "bigint"), "s", rows_per_task=40)
+@pytest.mark.parametrize("ascending", [False, True])
+def test_strings_and_timestamps(spark, ascending):
+    df = spark.range(2000).select(F.concat(F.lit("k"), F.pmod(F.hash("id"), F.lit(900))).alias("s"), F.timestamp_seconds(F.pmod(F.hash("id"), F.lit(700))).alias("t"))
+    df = df.union(spark.sql("SELECT CAST(NULL AS STRING), CAST(NULL AS TIMESTAMP)"))
+    _check(df.select("s"), "s", ascending=ascending)
+    _check(df.select("t"), "t", ascending=ascending)
 
 
-def test_two_ranks_share_stats(spark):
+def test_two_ranks(spark):
     rnd = random.Random(4)
-    rows = [(rnd.randint(0, 3000), rnd.randint(0, 5)) for _ in range(2500)]
-    df = spark.createDataFrame(rows, "a int, b int")
-    out = global_ranks(df, [RankSpec("a", "ra"), RankSpec("b", "rb", ascending=True)], rows_per_task=100)
-    exp = df.withColumns(
-        {
-            "ea": F.rank().over(Window.orderBy(F.col("a").desc())),
-            "eb": F.rank().over(Window.orderBy(F.col("b").asc())),
-        }
-    )
-    left = sorted(tuple(r) for r in out.collect())
-    right = sorted(tuple(r) for r in exp.collect())
-    assert left == right
-    assert out.columns == ["a", "b", "ra", "rb"]
+    df = spark.createDataFrame([(rnd.randint(0, 3000), rnd.randint(0, 5), {"m": {"x": 1}}) for _ in range(2500)], "a int, b int, m map<string,map<string,int>>")
+    for materialize in (False, True):
+        out = global_ranks(df, [RankSpec("a", "ra"), RankSpec("b", "rb", ascending=True)], materialize=materialize)
+        expected = df.withColumns({"ra": F.rank().over(Window.orderBy(F.col("a").desc())), "rb": F.rank().over(Window.orderBy("b"))})
+        assert sorted((r.a, r.b, r.ra, r.rb) for r in out.collect()) == sorted((r.a, r.b, r.ra, r.rb) for r in expected.collect())
 
 
 def test_empty_input(spark):
-    df = spark.createDataFrame([], "s double")
-    assert global_rank(df, "s", "r").count() == 0
+    assert global_rank(spark.createDataFrame([], "s double"), "s", "r").count() == 0
 
 
 def test_top_k_tie_break(spark):
     df = spark.createDataFrame([(i, float(i % 5)) for i in range(50)], "k int, v double")
-    got = [r["k"] for r in top_k(df, [F.col("v").desc(), F.col("k").asc()], 4).collect()]
-    assert got == [4, 9, 14, 19]
-
-
-def test_string_scores_small_and_few_distinct_paths(spark):
-    values = [("b",), ("a",), ("b",), (None,), ("c",)] * 20
-    df = spark.createDataFrame(values, "s string")
-    for rows_per_task in (1000, 10):
-        got = sorted((r["s"] or "", r["r"]) for r in global_rank(df, "s", "r", rows_per_task=rows_per_task).collect())
-        exp = sorted(
-            (r["s"] or "", r["e"])
-            for r in df.withColumn("e", F.rank().over(Window.orderBy(F.col("s").desc()))).collect()
-        )
-        assert got == exp
-
-
-def test_many_distinct_strings_need_numeric_score(spark):
-    df = spark.createDataFrame([(str(i),) for i in range(300)], "s string")
-    with pytest.raises(TypeError):
-        global_rank(df, "s", "r", rows_per_task=10)
-
-
-def test_hot_score_is_spread_over_tasks(spark):
-    """A score held by a third of the rows must not land in one task."""
-    n = 30_000
-    df = spark.range(n).select(
-        F.col("id"),
-        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.col("id").cast("double")).alias("s"),
-    )
-    previous = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        ranked = global_rank(df, "s", "r", rows_per_task=1_000)
-        sizes = [
-            r["c"]
-            for r in ranked.select(F.spark_partition_id().alias("p"))
-            .groupBy("p")
-            .agg(F.count(F.lit(1)).alias("c"))
-            .collect()
-        ]
-        assert sum(sizes) == n
-        assert max(sizes) < n // 3  # the hot score's 10,000 rows are split
-        hot = ranked.where("s = 7.0").agg(F.min("r"), F.max("r")).first()
-        assert hot[0] == hot[1]  # and they all share one rank
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", previous)
-
-
-@pytest.mark.parametrize("ascending", [False, True])
-def test_negative_zero_ties_with_zero_on_bucketed_path(spark, ascending):
-    values = [None] * 9 + [0.0, 0.0, -0.0, float("nan"), -2.0, -0.5, -1.0]
-    _check(_scores(spark, values), "s", ascending=ascending, rows_per_task=5)
+    assert [r["k"] for r in top_k(df, [F.col("v").desc(), F.col("k").asc()], 4).collect()] == [4, 9, 14, 19]
+
+
+@pytest.mark.parametrize("kind", ["double", "bigint", "decimal(20,2)", "string"])
+def test_rows_of_a_hot_score_stay_where_they_are(spark, kind):
+    """A third of the rows are identical; none of them moves to meet the others."""
+    n = 9_000
+    df = spark.range(0, n, 1, 6).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 10).cast(kind).alias("s"))
+    ranked = global_rank(df, "s", "r")
+    hot = ranked.where("s = cast(7 as STRING)" if kind == "string" else "s = 7")
+    assert hot.agg(F.count_distinct("r")).first()[0] == 1
+    sizes = [r["count"] for r in hot.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == n // 3 and max(sizes) <= n // 3 // 3

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import percent, row_total, weighted_sum
-from tierline.operators.ranking import DEFAULT_ROWS_PER_TASK, RankSpec, global_ranks
+from tierline.operators.ranking import RankSpec, global_ranks
 
 # Fixed values that must equal the reference's: medal weights.
 MEDAL_WEIGHTS = {"gold": 3, "silver": 2, "bronze": 1}
@@ -38,12 +38,11 @@ def weighted_standings(
     points_name: str = "medal_points",
     rank_points_name: str = "rank_by_points",
     rank_total_name: str = "rank_by_total_medals",
-    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
     materialize: bool = True,
 ) -> DataFrame:
     """Weighted score, row total and two independent global RANKs (both descending).
 
-    Scores and totals are bigint (no ANSI overflow); ranks are int; a NULL
+    Scores, totals and ranks are bigint (no ANSI overflow); a NULL
     part makes score and total NULL, which rank last. The scored table (one
     row per key, usually the result of an aggregation) is written once to the
     shared folder before ranking (``materialize``), so the upstream plan runs
@@ -59,7 +58,6 @@ def weighted_standings(
     return global_ranks(
         scored,
         [RankSpec(points_name, rank_points_name), RankSpec(total_name, rank_total_name)],
-        rows_per_task=rows_per_task,
         materialize=materialize,
     )
 

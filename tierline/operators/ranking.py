@@ -1,61 +1,34 @@
 """Global ranking and top-k without funnelling every row through one task.
 
-``rank() OVER (ORDER BY score)`` with no partition key moves all rows into a
-single partition: fine for a table of a checked small size, fatal at scale.
-:func:`global_ranks` first gathers cheap statistics in one aggregate
-(rows, non-NULL scores, min, max) and, for large inputs only, a second one
-(approximate distinct scores and row quantiles). It then picks:
-
-1. ``rows <= rows_per_task`` - the plain window; one task sorts at most
-   ``rows_per_task`` rows.
-2. few distinct scores (``approx distinct <= rows_per_task``) - RANK from
-   counts: ``groupBy(score).count()`` (partial aggregation collapses a score
-   held by a third of the rows map-side), a running sum over the distinct
-   scores in one task (bounded), and a broadcast of that (bounded) table back
-   onto the rows. No shuffle of the rows at all.
-3. otherwise - value buckets. Boundaries are approximate row quantiles
-   (computed once, held as literals, so a retried task sees the same
-   boundaries). Every boundary value gets a *point* bucket of its own, so a
-   hot value never shares a bucket: its rows all tie and take
-   ``offset + 1`` without any sorting. Every other bucket holds about
-   ``rows / buckets`` rows. Exact per-bucket counts (at most
-   ``2 * max_buckets + 2`` rows, broadcast) give each bucket's offset; one
-   window partitioned by bucket ranks inside it, over two shuffle
-   partitions per bucket. Rows of point buckets get a salt (a hash of the
-   row) in the partition key so they spread over tasks; only exact copies of
-   one row stay together.
-
-Ordering follows Spark/SQL: descending puts NaN first and NULL last,
-ascending NULL first and NaN last. Ties share a rank and leave gaps, as
-``RANK`` does. Every path returns ``int`` ranks, identical to the window.
+``rank() OVER (ORDER BY score)`` with no partition key moves all rows into one
+task. :func:`global_ranks` takes one path for every size and every orderable type:
+
+1. ``groupBy(score).count()``: one row per distinct score (NULL and NaN are scores
+   like any other). Partial aggregation collapses a score that most rows share.
+2. These rows, range-partitioned and sorted by score, are stored in the shared
+   scratch folder with the range that they fell into. One row per range is enough to
+   know how many rows come before it; a running sum inside each range does the rest.
+3. The rank is joined back by score. A score that holds at least one row in
+   ``HEAVY_SHARE`` is heavy; there can be at most ``HEAVY_SHARE`` of them, and their
+   rows meet that small table alone, which Spark broadcasts by its measured size. All
+   other rows join the rest of the table, where no key is hot.
+
+Building the frame runs the jobs of steps 1 and 2; step 3 is lazy. Ordering follows
+Spark/SQL: descending puts NaN first and NULL last, ascending NULL first and NaN last.
+Ties share a rank and leave gaps, as ``RANK`` does. Ranks are ``bigint``.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ByteType,
-    DecimalType,
-    DoubleType,
-    FloatType,
-    IntegerType,
-    LongType,
-    MapType,
-    NumericType,
-    ShortType,
-)
 
-DEFAULT_ROWS_PER_TASK = 1_000_000
-DEFAULT_MAX_BUCKETS = 16_384
-# Spread of a point bucket's rows over tasks (they need no order among themselves).
-POINT_SALT = 64
-_EXACT_LONG = 2**53
+from tierline.session import scratch_path
+
+HEAVY_SHARE = 1_000
 
 
 @dataclass(frozen=True)
@@ -75,230 +48,58 @@ def _order(column: str, ascending: bool) -> Column:
     return _c(column).asc_nulls_first() if ascending else _c(column).desc_nulls_last()
 
 
-def global_rank(
-    df: DataFrame,
-    column: str,
-    name: str,
-    *,
-    ascending: bool = False,
-    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
-    max_buckets: int = DEFAULT_MAX_BUCKETS,
-) -> DataFrame:
+def global_rank(df: DataFrame, column: str, name: str, *, ascending: bool = False) -> DataFrame:
     """Add ``name`` = RANK() over the whole table ordered by ``column``."""
-    return global_ranks(
-        df, [RankSpec(column, name, ascending)], rows_per_task=rows_per_task, max_buckets=max_buckets
-    )
+    return global_ranks(df, [RankSpec(column, name, ascending)])
 
 
-def global_ranks(
-    df: DataFrame,
-    ranks: Sequence[RankSpec],
-    *,
-    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
-    max_buckets: int = DEFAULT_MAX_BUCKETS,
-    materialize: bool = False,
-) -> DataFrame:
-    """Add one RANK column per spec; the statistics pass is shared by all.
+def global_ranks(df: DataFrame, ranks: Sequence[RankSpec], *, materialize: bool = False) -> DataFrame:
+    """Add one RANK column per spec.
 
-    The input is read by every pass (statistics, quantiles, the final plan).
-    For an input that is expensive to recompute (an aggregate, a join), set
-    ``materialize=True``: it is first written once to the session's shared
-    checkpoint folder and every pass reads that copy (the lineage is cut, so
-    a lost executor costs a re-read, not a recomputation).
+    Each rank reads the input once for its scores and twice for its rows. For an
+    input that is expensive to recompute (an aggregate, a join), set
+    ``materialize=True``: it is first written once to the shared scratch folder, and
+    a lost executor costs a re-read, not a recomputation.
     """
-    ranks = list(ranks)
     if not ranks:
         return df
-    if materialize:
-        df = _materialized(df)
-    stats_cols = [F.count(F.lit(1)).alias("n")]
-    for i, r in enumerate(ranks):
-        stats_cols += [
-            F.count(_c(r.column)).alias(f"nn{i}"),
-            F.min(_c(r.column)).alias(f"lo{i}"),
-            F.max(_c(r.column)).alias(f"hi{i}"),
-        ]
-    stats = df.agg(*stats_cols).first()
-    n_rows = stats["n"]
-    if n_rows <= rows_per_task:
-        return df.withColumns(
-            {r.name: F.rank().over(Window.orderBy(_order(r.column, r.ascending))) for r in ranks}
-        )
-
-    # Second pass, only for large inputs: distinct-score estimate and quantiles together.
-    n_buckets = max(2, min(max_buckets, math.ceil(n_rows / rows_per_task)))
-    fractions = [k / n_buckets for k in range(1, n_buckets)]
-    accuracy = max(10_000, 4 * n_buckets)
-    shape_cols = []
-    for i, r in enumerate(ranks):
-        shape_cols.append(F.approx_count_distinct(_c(r.column), 0.02).alias(f"nd{i}"))
-        if isinstance(df.schema[r.column].dataType, NumericType):
-            shape_cols.append(F.percentile_approx(_finite(r.column), fractions, accuracy).alias(f"q{i}"))
-    shape = df.agg(*shape_cols).first()
-
-    out = df
-    for i, r in enumerate(ranks):
-        n_null, n_nonnull = n_rows - stats[f"nn{i}"], stats[f"nn{i}"]
-        # 2% relative error of the estimate, with margin.
-        if shape[f"nd{i}"] * 1.1 <= rows_per_task:
-            out = _rank_by_counts(out, df, r, n_null=n_null, n_nonnull=n_nonnull)
-        else:
-            dtype = df.schema[r.column].dataType
-            if not isinstance(dtype, NumericType):
-                raise TypeError(
-                    f"ranking {n_rows} rows by many distinct {dtype.simpleString()} values needs a "
-                    f"numeric score; raise rows_per_task or rank a numeric column"
-                )
-            exact = _double_is_exact(dtype, stats[f"lo{i}"], stats[f"hi{i}"])
-            out = _rank_by_buckets(
-                out,
-                df,
-                r,
-                shape[f"q{i}"] or [],
-                n_null=n_null,
-                n_nonnull=n_nonnull,
-                point_buckets=exact,
-            )
-    return out.select(*[_c(c) for c in df.columns], *[r.name for r in ranks])
-
-
-def _materialized(df: DataFrame) -> DataFrame:
-    from tierline.session import scratch_path
-
-    path = scratch_path(df.sparkSession, "rank-input")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def _finite(column: str) -> Column:
-    """The score as double with NaN/Inf removed (they make no useful boundary)."""
-    d = _c(column).cast("double")
-    return F.when(~F.isnan(d) & (F.abs(d) != F.lit(math.inf)), d)
-
-
-def _double_is_exact(dtype, lo, hi) -> bool:
-    """True when distinct scores stay distinct after a cast to double."""
-    if isinstance(dtype, (DoubleType, FloatType, IntegerType, ShortType, ByteType)):
-        return True
-    if isinstance(dtype, LongType):
-        return lo is None or (abs(lo) <= _EXACT_LONG and abs(hi) <= _EXACT_LONG)
-    if isinstance(dtype, DecimalType):
-        return dtype.precision <= 15
-    return False
-
-
-def _null_rank(spec: RankSpec, n_nonnull: int) -> Column:
-    return F.lit(1 if spec.ascending else n_nonnull + 1).cast("int")
-
-
-def _rank_by_counts(
-    out: DataFrame, df: DataFrame, spec: RankSpec, *, n_null: int, n_nonnull: int
-) -> DataFrame:
-    """Few distinct scores: rank the (bounded) distinct-score table, broadcast it back.
-
-    The table has one row per distinct score: at most ``rows_per_task`` / 1.1
-    by the HyperLogLog estimate (2% relative standard error, so the margin is
-    five standard errors), i.e. about 16 bytes x 1M rows with the defaults.
-    Broadcasting it means the rows themselves are never shuffled.
-    """
-    counts = (
-        df.where(_c(spec.column).isNotNull())
-        .groupBy(_c(spec.column).alias(spec.column))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    before = Window.orderBy(_order(spec.column, spec.ascending)).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    shift = n_null if spec.ascending else 0
-    table = counts.select(
-        _c(spec.column),
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.lit(shift + 1)).cast("int").alias(spec.name),
-    )
-    joined = out.join(F.broadcast(table), on=spec.column, how="left")
-    return joined.withColumn(
-        spec.name,
-        F.coalesce(F.col(spec.name), F.when(_c(spec.column).isNull(), _null_rank(spec, n_nonnull))),
-    )
-
-
-def _rank_by_buckets(
-    out: DataFrame,
-    df: DataFrame,
-    spec: RankSpec,
-    bounds: list[float],
-    *,
-    n_null: int,
-    n_nonnull: int,
-    point_buckets: bool,
-) -> DataFrame:
-    """Many distinct scores: value buckets, point buckets for boundary values."""
-    # b + 0.0 turns -0.0 into 0.0: SQL ordering treats them as equal, the
-    # bucket search would not.
-    finite = sorted({b + 0.0 for b in bounds if b is not None and math.isfinite(b)})
-    splits = [-math.inf]
-    for b in finite:
-        splits.append(b)
-        if point_buckets:
-            splits.append(math.nextafter(b, math.inf))
-    splits.append(math.inf)
-    splits = sorted(set(splits))
-    points = [
-        j
-        for j in range(len(splits) - 1)
-        if point_buckets and splits[j + 1] == math.nextafter(splits[j], math.inf)
-    ]
-    nan_bucket = len(splits) - 1  # Bucketizer's extra bucket for NaN, above every finite value
-    points.append(nan_bucket)
-
-    score = _c(spec.column)
-    bucketizer = Bucketizer(splits=splits, inputCol="_s", outputCol="_bd", handleInvalid="keep")
-
-    as_double = score.cast("double")
-    # -0.0 -> 0.0 (equal in SQL ordering, not in the bucket search).
-    normalized = F.when(as_double == F.lit(0.0), F.lit(0.0)).otherwise(as_double)
-
-    def bucketed(frame: DataFrame) -> DataFrame:
-        return (
-            bucketizer.transform(frame.withColumn("_s", normalized))
-            .withColumn("_b", F.col("_bd").cast("int"))
-            .drop("_bd", "_s")
-        )
-
-    rows = bucketed(out)
-    # Exact rows per bucket, from the input alone (one column, partial aggregation).
-    sizes = (
-        bucketed(df.select(score).where(score.isNotNull()))
-        .groupBy("_b")
-        .agg(F.count(F.lit(1)).alias("_bn"))
-    )
-    order = F.col("_b").asc() if spec.ascending else F.col("_b").desc()
-    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    shift = n_null if spec.ascending else 0
-    offsets = sizes.select("_b", (F.coalesce(F.sum("_bn").over(before), F.lit(0)) + F.lit(shift)).alias("_off"))
-
-    is_point = F.col("_b").isin(points)
-    # The salt is a hash of the row itself, so a recomputed task (after a lost
-    # executor) sends every row to the same place again.
-    hashable = [_c(f.name) for f in out.schema.fields if not isinstance(f.dataType, MapType)]
-    row_hash = F.xxhash64(*hashable) if hashable else F.lit(0).cast("bigint")
-    ranked = rows.join(F.broadcast(offsets), on="_b", how="left").withColumn(
-        "_salt",
-        F.when(is_point | score.isNull(), F.pmod(row_hash, F.lit(POINT_SALT))).otherwise(F.lit(0)),
-    )
-    # Two shuffle partitions per bucket, so that after hash collisions a task
-    # still holds about one bucket (about rows_per_task rows) whatever
-    # spark.sql.shuffle.partitions says; an explicit count is not coalesced
-    # away by adaptive execution, and the window reuses this partitioning.
-    default_parts = int(out.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked = ranked.repartition(max(default_parts, 2 * len(splits)), "_b", "_salt")
-    within = Window.partitionBy("_b", "_salt").orderBy(_order(spec.column, spec.ascending))
-    rank = (
-        F.when(score.isNull(), _null_rank(spec, n_nonnull))
-        .when(is_point, F.col("_off") + F.lit(1))
-        .otherwise(F.col("_off") + F.rank().over(within))
-        .cast("int")
-    )
-    return ranked.withColumn(spec.name, rank).drop("_b", "_off", "_salt")
+    out = _stored(df, "rank-input") if materialize else df
+    for r in ranks:
+        out = _with_rank(out, _rank_table(out, r), r)
+    return out.select(*[_c(c) for c in df.columns], *[_c(r.name) for r in ranks])
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _rank_table(df: DataFrame, spec: RankSpec) -> DataFrame:
+    """_score, _n (its rows), _rank: one row per distinct score."""
+    order = _order("_score", spec.ascending)
+    counts = df.groupBy(_c(spec.column).alias("_score")).agg(F.count(F.lit(1)).alias("_n"))
+    # The id holds the range (upper 31 bits) and the place in it (lower 33).
+    ranged = counts.repartitionByRange(order).sortWithinPartitions(order).withColumn("_place", F.monotonically_increasing_id())
+    table = _stored(ranged, "rank-scores").withColumn("_range", F.shiftright("_place", 33))
+    before_range = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = table.groupBy("_range").agg(F.sum("_n").alias("_rows"))
+    starts = starts.select("_range", F.coalesce(F.sum("_rows").over(before_range), F.lit(0)).alias("_start"))
+    before = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    within = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    ranked = table.withColumn("_within", within).join(starts, "_range")
+    return _stored(ranked.select("_score", "_n", (F.col("_start") + F.col("_within") + 1).alias("_rank")), "rank-table")
+
+
+def _with_rank(df: DataFrame, table: DataFrame, spec: RankSpec) -> DataFrame:
+    n_rows = table.agg(F.sum("_n")).first()[0] or 0
+    is_heavy = F.col("_n") * HEAVY_SHARE >= F.lit(n_rows)
+    heavy = _stored(table.where(is_heavy).select(F.col("_score").alias("_heavy"), F.col("_rank").alias("_heavy_rank")), "rank-heavy")
+    rows = df.join(heavy, _c(spec.column).eqNullSafe(F.col("_heavy")), "left").drop("_heavy")
+    found = rows.where(F.col("_heavy_rank").isNotNull()).withColumnRenamed("_heavy_rank", spec.name)
+    rest = rows.where(F.col("_heavy_rank").isNull()).drop("_heavy_rank")
+    light = table.where(~is_heavy).select("_score", F.col("_rank").alias(spec.name))
+    return found.unionByName(rest.join(light, _c(spec.column).eqNullSafe(F.col("_score"))).drop("_score"))
 
 
 def top_k(df: DataFrame, order_by: Sequence[Column], k: int) -> DataFrame:

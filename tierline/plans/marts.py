@@ -46,7 +46,9 @@ MART_COLUMNS: dict[str, list[str]] = {
 def medal_standings(silver: Catalog) -> DataFrame:
     """Medal table with weighted points, total and two global ranks."""
     medals = silver["medals"].select("country", "gold", "silver", "bronze")
-    return weighted_standings(medals, "country").select(*MART_COLUMNS["medal_standings"])
+    # One row per country: the mart's ranks fit an int.
+    ranks = {c: F.col(c).cast("int") for c in ("rank_by_points", "rank_by_total_medals")}
+    return weighted_standings(medals, "country").withColumns(ranks).select(*MART_COLUMNS["medal_standings"])
 
 
 def gender_participation(silver: Catalog) -> DataFrame:

@@ -74,7 +74,7 @@ def main() -> None:
     price = li.select("l_orderkey", "l_linenumber", "l_extendedprice")
 
     def bucketed():
-        global_rank(price, "l_extendedprice", "r", rows_per_task=20_000).write.format("noop").mode(
+        global_rank(price, "l_extendedprice", "r").write.format("noop").mode(
             "overwrite"
         ).save()
 
