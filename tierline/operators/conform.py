@@ -9,7 +9,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 from tierline.functions.columns import clean_string
 
@@ -24,9 +24,8 @@ def stamp_lineage(df: DataFrame, source_file: str) -> DataFrame:
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    """Rename by mapping; names absent from ``df`` are ignored."""
-    present = {src: dst for src, dst in mapping.items() if src in df.columns}
-    return df.withColumnsRenamed(present) if present else df
+    """Rename by mapping; names are resolved as Spark does, absent ones are ignored."""
+    return df.withColumnsRenamed(dict(mapping)) if mapping else df
 
 
 def clean_strings(df: DataFrame, exclude: Iterable[str] = LINEAGE_COLUMNS) -> DataFrame:
@@ -67,12 +66,21 @@ def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     a key holding a third of the rows collapses map-side instead of landing
     whole in one task.
     """
-    keys = list(keys)
-    others = [c for c in df.columns if c not in keys]
+    wanted = {k.lower() for k in keys}
+    keys = [c for c in df.columns if c.lower() in wanted]
+    if len(keys) < len(wanted):
+        raise ValueError(f"no such key column: {sorted(wanted - {k.lower() for k in keys})}")
+    others = [f for f in df.schema.fields if f.name not in keys]
     if not others:
         return df.distinct()
-    survivor = F.min(F.struct(*[F.col(f"`{c}`") for c in others])).alias("_survivor")
-    grouped = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(survivor)
+    row = F.struct(*[F.col(f"`{f.name}`") for f in others])
+    if any(_holds_map(f.dataType) for f in others):
+        # Maps have no order: such a column is compared by its JSON text.
+        rank = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if _holds_map(f.dataType) else F.col(f"`{f.name}`") for f in others]
+        survivor = F.min_by(row, F.struct(*rank))
+    else:
+        survivor = F.min(row)
+    grouped = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(survivor.alias("_survivor"))
     return grouped.select(
         *[
             F.col(f"`{c}`") if c in keys else F.col("_survivor")[c].alias(c)
@@ -81,6 +89,12 @@ def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _holds_map(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, MapType) or (isinstance(kind, ArrayType) and _holds_map(kind.elementType))
+
+
 def conform(
     df: DataFrame,
     *,
