@@ -49,7 +49,7 @@ from tierline.operators.quality import (
     Unique,
     audit,
 )
-from tierline.operators.ranking import global_rank, top_k
+from tierline.operators.ranking import RankSpec, global_rank, global_ranks, top_k
 from tierline.plans import commerce
 from tierline.plans.jobs import DEFAULT_CONCURRENT_JOBS, layer_path, run_all, run_concurrently
 from tierline.session import scratch_path
@@ -292,8 +292,8 @@ _FLAG_MEDALS_SQL = """
                  gold * 3 + silver * 2 + bronze AS medal_points
           FROM m)
     SELECT country, gold, silver, bronze, total_medals, medal_points,
-           CAST(rank() OVER (ORDER BY medal_points DESC NULLS LAST) AS INTEGER) AS rank_by_points,
-           CAST(rank() OVER (ORDER BY total_medals DESC NULLS LAST) AS INTEGER) AS rank_by_total_medals
+           rank() OVER (ORDER BY medal_points DESC NULLS LAST) AS rank_by_points,
+           rank() OVER (ORDER BY total_medals DESC NULLS LAST) AS rank_by_total_medals
     FROM s
     """,
 )
@@ -301,24 +301,32 @@ def weighted_standings_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_standings(_flag_medals_per_nation(spark, sf_dir), "country")
 
 
-# The lineitem rank runs the distributed path at every test scale
-# (20,000 rows per bucket), not the bounded single-task window.
-GLOBAL_RANK_ROWS_PER_TASK = 20_000
-
-
 @register(
     "global_rank_large",
     """
     SELECT l_orderkey, l_linenumber, l_extendedprice,
-           CAST(rank() OVER (ORDER BY l_extendedprice DESC NULLS LAST) AS INTEGER) AS rank_by_price
+           rank() OVER (ORDER BY l_extendedprice DESC NULLS LAST) AS rank_by_price
     FROM lineitem
     """,
 )
 def global_rank_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return global_rank(
-        lineitem, "l_extendedprice", "rank_by_price", rows_per_task=GLOBAL_RANK_ROWS_PER_TASK
-    )
+    return global_rank(lineitem, "l_extendedprice", "rank_by_price")
+
+
+@register(
+    "global_rank_text",
+    """
+    SELECT event_id, event_type, rank() OVER (ORDER BY event_type ASC NULLS FIRST) AS rank_by_type,
+           rank() OVER (ORDER BY ts DESC NULLS LAST) AS rank_by_time
+    FROM events
+    """,
+)
+def global_rank_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks of text (few, heavy values) and of timestamps."""
+    events = table(spark, sf_dir, "events")
+    ranks = [RankSpec("event_type", "rank_by_type", ascending=True), RankSpec("ts", "rank_by_time")]
+    return global_ranks(events, ranks).select("event_id", "event_type", "rank_by_type", "rank_by_time")
 
 
 def _status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,18 +486,52 @@ def _num_rule(rule: str, dataset: str, value: str, test: str, suffix: str, sourc
     )
 
 
+def _columns_rule(dataset: str, columns: list[str], critical: bool = True) -> str:
+    """ColumnsExist computed from the table's own column list."""
+    wanted = ", ".join(f"'{c}'" for c in columns)
+    lacking = (
+        f"(SELECT coalesce(list(c ORDER BY i), []) FROM (SELECT unnest([{wanted}]) AS c, unnest(range({len(columns)})) AS i) "
+        f"WHERE c NOT IN (SELECT column_name FROM information_schema.columns WHERE table_name = '{dataset}'))"
+    )
+    text = f"array_to_string({lacking}, ', ')"
+    return _dq_row(
+        "ColumnsExist",
+        dataset,
+        f"len({lacking}) = 0",
+        f"CAST(to_json({lacking}) AS VARCHAR)",
+        f"'columns not found: ' || CASE WHEN len({lacking}) = 0 THEN 'none' ELSE '[' || {text} || ']' END",
+        critical,
+    )
+
+
+def _nulls_rule(dataset: str, columns: list[str]) -> str:
+    """NotNull computed by counting."""
+    pairs = [
+        f"(SELECT CASE WHEN count(*) > count({c}) THEN '\"{c}\":' || (count(*) - count({c})) END FROM {dataset})" for c in columns
+    ]
+    found = f"concat_ws(',', {', '.join(pairs)})"
+    observed = f"('{{' || {found} || '}}')"
+    return _dq_row(
+        "NotNull",
+        dataset,
+        f"{found} = ''",
+        observed,
+        f"'nulls by column: ' || CASE WHEN {found} = '' THEN 'none' ELSE {observed} END",
+    )
+
+
 _DQ_SQL = " UNION ALL ".join(
     [
         # lineitem
-        _dq_row("ColumnsExist", "lineitem", "true", "'[]'", "'missing columns: none'"),
-        _dq_row("NotNull", "lineitem", "true", "'{}'", "'null counts: none'"),
-        _num_rule("MinRowCount", "lineitem", "count(*)", ">= 1000", " rows (min 1000)", "lineitem"),
+        _columns_rule("lineitem", ["l_orderkey", "l_linenumber", "l_quantity"]),
+        _nulls_rule("lineitem", ["l_orderkey", "l_linenumber"]),
+        _num_rule("MinRowCount", "lineitem", "count(*)", ">= 1000", " rows, wanted 1000", "lineitem"),
         _num_rule(
             "Unique",
             "lineitem",
             "count(*) - count(DISTINCT (l_orderkey, l_linenumber))",
             "= 0",
-            " duplicate rows on [l_orderkey, l_linenumber]",
+            " surplus rows for key [l_orderkey, l_linenumber]",
             "lineitem",
         ),
         _num_rule(
@@ -497,29 +539,26 @@ _DQ_SQL = " UNION ALL ".join(
             "lineitem",
             "count(*) FILTER (WHERE l_quantity < 0 OR l_extendedprice < 0)",
             "= 0",
-            " rows with negative [l_quantity, l_extendedprice]",
+            " rows below zero in [l_quantity, l_extendedprice]",
             "lineitem",
         ),
         # customer
-        _dq_row("ColumnsExist", "customer", "true", "'[]'", "'missing columns: none'"),
-        _dq_row("NotNull", "customer", "true", "'{}'", "'null counts: none'"),
+        _columns_rule("customer", ["c_custkey", "c_name", "c_acctbal"]),
+        _nulls_rule("customer", ["c_custkey", "c_name"]),
         _num_rule(
             "NonNegative",
             "customer",
             "count(*) FILTER (WHERE c_acctbal < 0)",
             "= 0",
-            " rows with negative [c_acctbal]",
+            " rows below zero in [c_acctbal]",
             "customer",
         ),
         _num_rule(
             "Unique", "customer", "count(*) - count(DISTINCT c_custkey)", "= 0",
-            " duplicate rows on [c_custkey]", "customer",
+            " surplus rows for key [c_custkey]", "customer",
         ),
         # events, with error events turned into missing types
-        _dq_row(
-            "ColumnsExist", "events", "false", """'["session_id"]'""",
-            "'missing columns: [session_id]'", critical=False,
-        ),
+        _columns_rule("events", ["event_id", "session_id"], critical=False),
         _dq_row(
             "NotNull",
             "events",
@@ -527,20 +566,20 @@ _DQ_SQL = " UNION ALL ".join(
             """(SELECT CASE WHEN count(*) FILTER (WHERE event_type = 'error') = 0 THEN '{}'
                  ELSE '{"event_type":' || CAST(count(*) FILTER (WHERE event_type = 'error') AS VARCHAR)
                       || '}' END FROM events)""",
-            """(SELECT 'null counts: ' || CASE WHEN count(*) FILTER (WHERE event_type = 'error') = 0
+            """(SELECT 'nulls by column: ' || CASE WHEN count(*) FILTER (WHERE event_type = 'error') = 0
                  THEN 'none' ELSE '{"event_type":'
                       || CAST(count(*) FILTER (WHERE event_type = 'error') AS VARCHAR) || '}' END
                  FROM events)""",
         ),
         _num_rule(
             "NonNegative", "events", "count(*) FILTER (WHERE value < 0)", "= 0",
-            " rows with negative [value]", "events",
+            " rows below zero in [value]", "events",
         ),
         _num_rule(
             "Unique", "events", "count(*) - count(DISTINCT event_id)", "= 0",
-            " duplicate rows on [event_id]", "events",
+            " surplus rows for key [event_id]", "events",
         ),
-        _num_rule("MinRowCount", "events", "count(*)", ">= 100", " rows (min 100)", "events"),
+        _num_rule("MinRowCount", "events", "count(*)", ">= 100", " rows, wanted 100", "events"),
     ]
 )
 
@@ -617,7 +656,7 @@ def csv_roundtrip_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "csv_infer_export",
     """
-    SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, CAST(s_nationkey AS INTEGER) AS s_nationkey,
+    SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, CAST(s_nationkey AS INTEGER) AS s_nationkey,
            CAST(s_acctbal AS DOUBLE) AS s_acctbal
     FROM supplier
     """,
@@ -625,13 +664,7 @@ def csv_roundtrip_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_infer_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv-export")
     export_csv(table(spark, sf_dir, "supplier"), path)
-    inferred = read_csv_inferred(spark, path)
-    return inferred.select(
-        F.col("s_suppkey").try_cast("bigint").alias("s_suppkey"),
-        F.col("s_name").cast("string").alias("s_name"),
-        to_int("s_nationkey").alias("s_nationkey"),
-        F.col("s_acctbal").try_cast("double").alias("s_acctbal"),
-    )
+    return read_csv_inferred(spark, path)
 
 
 _FLAG_PART_SCHEMA = StructType(
@@ -745,3 +778,26 @@ def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: weighted standings of supplier countries by return flags."""
     return weighted_standings_q(spark, sf_dir)
+
+
+# --------------------------------------------------------------------------
+# Names in another case, as Spark resolves them
+# --------------------------------------------------------------------------
+
+
+@register(
+    "names_in_any_case",
+    " UNION ALL ".join(
+        [
+            _nulls_rule("part", ["p_partkey", "p_name"]).replace("p_partkey", "Part_Key").replace("p_name", "P_NAME"),
+            _num_rule("Unique", "part", "count(*) - count(DISTINCT p_partkey)", "= 0", " surplus rows for key [PART_KEY]", "part"),
+            _num_rule(
+                "NonNegative", "part", "count(*) FILTER (WHERE p_retailprice < 0)", "= 0",
+                " rows below zero in [P_RetailPrice]", "part",
+            ),
+        ]
+    ).replace("count(Part_Key)", "count(p_partkey)"),
+)
+def names_in_any_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = rename_columns(table(spark, sf_dir, "part"), {"P_PARTKEY": "part_key", "absent": "x"})
+    return audit(part, "part", [NotNull(["Part_Key", "P_NAME"]), Unique(["PART_KEY"]), NonNegative(["P_RetailPrice"])])

@@ -60,19 +60,15 @@ def read_csv(
 
 
 def read_csv_inferred(
-    spark: SparkSession, path: str, *, encoding: str = "UTF-8", sampling_ratio: float = 1.0
+    spark: SparkSession, path: str, *, encoding: str = "UTF-8"
 ) -> DataFrame:
     """CSV scan that infers column types. Opt-in only.
 
-    Inference is an extra pass over the data before the scan. A
-    ``sampling_ratio`` below 1 infers from a sample of the rows (cheaper on
-    large files), at the risk of a type that some unsampled value breaks;
-    such values then read as NULL under PERMISSIVE parsing.
+    Inference is an extra pass over all rows before the scan.
     """
     return (
         spark.read.option("header", True)
         .option("inferSchema", True)
-        .option("samplingRatio", float(sampling_ratio))
         .option("encoding", encoding)
         .csv(path)
     )
