@@ -1,4 +1,4 @@
-"""Layer jobs end to end on medal-table CSVs, the gate, re-runs and streaming."""
+"""Layer jobs end to end on medal-table CSVs, the gate and re-runs."""
 
 from __future__ import annotations
 
@@ -9,26 +9,25 @@ from tierline.plans.jobs import layer_path, run_all, run_bronze, run_silver
 from tierline.plans.marts import GOLD_BUILDERS
 from tierline.plans.specs import SOURCE_SPECS
 from tierline.sources.tables import read_table
-from tierline.streaming import stream_to_bronze
 
 MEDALS = (
     "Rank,TeamCountry,Gold,Silver,Bronze,Total,Rank by Total\n"
-    "1,United States of America,39,41,33,113,1\n"
-    "2,People's Republic of China,38,32,18,88,2\n"
-    '86,"Hong Kong, China",1,2,3,6,40\n'
-    "90,Côte d'Ivoire,0,0,1,1,77\n"
+    "1,Norland,7,4,2,13,1\n"
+    "2,O'Dale Isles,5,5,5,15,2\n"
+    '3,"Westmark, North",1,0,6,7,3\n'
+    "4,Çédille,0,0,1,1,4\n"
 )
-ENTRIES = "Discipline,Female,Male,Total\nArchery,64,64,128\nArtistic Swimming,105,0,105\nBoxing,,187,\n"
+ENTRIES = "Discipline,Female,Male,Total\nCurling,30,50,80\nRelay,12,0,12\nFencing,,40,\n"
 ATHLETES = (
     "PersonName,Country,Discipline\n"
-    "  AALERUD Katrine ,United States of America,Cycling Road\n"
-    "AALERUD Katrine,United States of America,Cycling Road\n"
-    "B Person,Côte d'Ivoire,Athletics\n"
-    "C Person,Tonga,Judo\n"
-    "Blank,   ,Judo\n"
+    "Mara  Quill ,Norland,Relay\n"
+    "Mara Quill,Norland,Relay\n"
+    "Ivo Brandt,Çédille,Fencing\n"
+    "Lio Tan,Farholm,Curling\n"
+    "No Country, \t,Curling\n"
 )
-COACHES = "Name,Country,Discipline,Event\nX,Tonga,Judo,\n"
-TEAMS = "TeamName,Discipline,Country,Event\nT,Judo,Tonga,Men\nT,Judo,Tonga,Men\n"
+COACHES = "Name,Country,Discipline,Event\nRen Ode,Farholm,Curling,\n"
+TEAMS = "TeamName,Discipline,Country,Event\nStones,Curling,Farholm,Mixed\nStones,Curling,Farholm,Mixed\n"
 
 
 def _raw(tmp_path):
@@ -61,18 +60,18 @@ def test_full_run_in_warn_mode(spark, tmp_path):
 
     perf = {r["country"]: r for r in read_table(spark, layer_path(lake, "gold", "country_performance")).collect()}
     # Latin-1 athletes join UTF-8 medals on the same decoded name.
-    assert perf["Côte d'Ivoire"]["total_medals"] == 1
-    assert perf["Tonga"]["total_medals"] == 0
-    assert perf["United States of America"]["athlete_count"] == 1  # trimmed copy collapsed
-    assert perf["United States of America"]["medals_per_100_athletes"] == 11300.0
+    assert perf["Çédille"]["total_medals"] == 1
+    assert perf["Farholm"]["total_medals"] == 0
+    assert perf["Norland"]["athlete_count"] == 1  # trimmed copy collapsed
+    assert perf["Norland"]["medals_per_100_athletes"] == 1300.0
 
     entries = {r["discipline"]: r for r in read_table(spark, layer_path(lake, "gold", "gender_participation")).collect()}
-    assert entries["Boxing"]["female"] == 0 and entries["Boxing"]["female_pct"] is None
-    assert entries["Artistic Swimming"]["female_pct"] == 100.0
+    assert entries["Fencing"]["female"] == 0 and entries["Fencing"]["female_pct"] is None
+    assert entries["Relay"]["female_pct"] == 100.0
 
     standings = read_table(spark, layer_path(lake, "gold", "medal_standings"))
     top = standings.orderBy("rank_by_points").first()
-    assert (top["country"], top["medal_points"], top["rank_by_points"]) == ("United States of America", 232, 1)
+    assert (top["country"], top["medal_points"], top["rank_by_points"]) == ("Norland", 31, 1)
     teams = read_table(spark, layer_path(lake, "silver", "teams"))
     assert teams.count() == 1
 
@@ -90,30 +89,12 @@ def test_rerun_gives_same_tables(spark, tmp_path):
     assert snapshot() == snapshot()
 
 
-def test_streaming_bronze_picks_up_new_files_only(spark, tmp_path):
-    src = tmp_path / "incoming"
-    src.mkdir()
-    (src / "a.csv").write_text("Discipline,Female,Male,Total\nArchery,64,64,128\n")
-    out = str(tmp_path / "bronze")
-    ckpt = str(tmp_path / "ckpt")
-    spec = SOURCE_SPECS["entriesgender"]
-    q = stream_to_bronze(spark, spec, str(src), out, checkpoint_location=ckpt)
-    q.awaitTermination(120)
-    assert read_table(spark, out).count() == 1
-    (src / "b.csv").write_text("Discipline,Female,Male,Total\nBoxing,102,187,289\nJudo,,,\n")
-    q = stream_to_bronze(spark, spec, str(src), out, checkpoint_location=ckpt)
-    q.awaitTermination(120)
-    back = read_table(spark, out)
-    assert back.count() == 3
-    assert back.where("_source_file = 'EntriesGender.csv' AND _ingested_at IS NOT NULL").count() == 3
-
-
 def test_gate_publishes_in_order_up_to_first_failure(spark, tmp_path):
     raw, lake = _raw(tmp_path), str(tmp_path / "lake")
     order = ["medals", "entriesgender", "athletes", "coaches", "teams"]
     specs = {k: SOURCE_SPECS[k] for k in order}
     run_bronze(spark, specs, raw, lake)
-    with pytest.raises(DataQualityError, match="'athletes'"):
+    with pytest.raises(DataQualityError, match="athletes"):
         run_silver(spark, specs, lake)
     silver = tmp_path / "lake" / "silver"
     assert (silver / "medals").exists() and (silver / "entriesgender").exists()
@@ -131,17 +112,6 @@ def test_silver_modes_agree(spark, tmp_path, materialize):
     assert medals.count() == 4 and "_ingested_at" in medals.columns
 
 
-def test_streaming_default_checkpoint_is_per_target(spark, tmp_path):
-    src = tmp_path / "incoming"
-    src.mkdir()
-    (src / "a.csv").write_text("Discipline,Female,Male,Total\nArchery,64,64,128\n")
-    spec = SOURCE_SPECS["entriesgender"]
-    for target in ("one", "two"):
-        q = stream_to_bronze(spark, spec, str(src), str(tmp_path / target))
-        q.awaitTermination(120)
-        assert read_table(spark, str(tmp_path / target)).count() == 1
-
-
 def test_bronze_keeps_corrupt_lines_when_asked(spark, tmp_path):
     import dataclasses
 
@@ -149,8 +119,8 @@ def test_bronze_keeps_corrupt_lines_when_asked(spark, tmp_path):
     raw.mkdir()
     (raw / "Medals.csv").write_text(
         "Rank,TeamCountry,Gold,Silver,Bronze,Total,Rank by Total\n"
-        "1,USA,39,41,33,113,1\n"
-        "2,China,x,32,18,88,2\n"
+        "1,Norland,7,4,2,13,1\n"
+        "2,Farholm,seven,4,2,13,2\n"
     )
     spec = dataclasses.replace(SOURCE_SPECS["medals"], corrupt_record_column="_corrupt_record")
     lake = str(tmp_path / "lake")
@@ -159,7 +129,7 @@ def test_bronze_keeps_corrupt_lines_when_asked(spark, tmp_path):
     assert bronze.where("_corrupt_record IS NOT NULL").count() == 1
     silver = spec.to_silver(bronze)
     assert "_corrupt_record" not in silver.columns
-    assert {r["country"]: r["gold"] for r in silver.collect()} == {"USA": 39, "China": 0}
+    assert {r["country"]: r["gold"] for r in silver.collect()} == {"Norland": 7, "Farholm": 0}
 
 
 def test_concurrent_bronze_failure_propagates(spark, tmp_path):
@@ -174,19 +144,3 @@ def dataclasses_replace(spec, **changes):
     import dataclasses
 
     return dataclasses.replace(spec, **changes)
-
-
-def test_streaming_bronze_in_several_micro_batches(spark, tmp_path):
-    src = tmp_path / "incoming"
-    src.mkdir()
-    for i in range(3):
-        (src / f"f{i}.csv").write_text(f"Discipline,Female,Male,Total\nD{i},1,2,3\n")
-    out = str(tmp_path / "bronze")
-    q = stream_to_bronze(
-        spark, SOURCE_SPECS["entriesgender"], str(src), out,
-        checkpoint_location=str(tmp_path / "ckpt"), max_files_per_trigger=1,
-    )
-    q.awaitTermination(120)
-    back = read_table(spark, out)
-    assert sorted(r["Discipline"] for r in back.collect()) == ["D0", "D1", "D2"]
-    assert q.lastProgress is not None and q.lastProgress["numInputRows"] == 1  # one file per batch

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from tierline.session import scratch_path, shared_dir
 
 
@@ -48,3 +50,14 @@ def test_unset_folder_falls_back_once_and_is_reused():
 
 def test_real_session_reads_its_setting(spark):
     assert shared_dir(spark)
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://head:7077", "local-cluster[2,1,1024]", "k8s://https://host"])
+def test_unset_folder_is_an_error_on_a_cluster(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(_Session({"spark.master": master}))
+
+
+@pytest.mark.parametrize("master", ["local", "local[4]", "local[*]"])
+def test_unset_folder_is_made_in_local_mode(master):
+    assert os.path.isdir(shared_dir(_Session({"spark.master": master})))

@@ -10,7 +10,6 @@ Sub-packages:
 * ``operators`` - DataFrame operators (conform chain, de-duplication, global
   rank, top-k, marts' building blocks, data-quality audit).
 * ``plans``     - dataset specs, marts, layer jobs and the registered queries.
-* ``streaming`` - incremental bronze ingestion with Structured Streaming.
 """
 
 from tierline.session import scratch_path, shared_dir
