@@ -10,13 +10,14 @@ Two documents link when the sets' Jaccard similarity is at least ``PERCENT`` / 1
 3. Sets that have a smallest shingle in common, under a few orders, are verified against
    one centre each. Links that this finds join sets to clusters, so that a large group of
    near copies is one cluster and its pairs need no look.
-4. Linked sets share a shingle among the smallest ``100 - PERCENT`` per cent of either
-   (prefix filter). Shingles whose sets lie in one cluster are dropped. For the others
-   the sets are the leaves of signature trees: nodes hold the OR of their sets' token
-   bitmaps, a size range and the most tokens that any set lost to shared bits. Pairs of
-   nodes, of any two blocks of a bucket, are followed down together while the largest
-   overlap that they allow meets the threshold; pairs of sets of different clusters that
-   are left are verified with all their shingles.
+4. In one order of all shingles, those of a single candidate first, then by hash, linked
+   sets share one among the first ``100 - PERCENT`` per cent of either (prefix filter).
+   Shingles whose sets lie in one cluster are dropped. For the others the sets are the
+   leaves of signature trees: nodes hold the OR of their sets' token bitmaps, a size
+   range, the most tokens that any set lost to shared bits and the most that any has from
+   its place in the order on. Pairs of nodes, of any two blocks of a bucket, are followed
+   down together while the largest overlap that they allow meets the threshold; pairs of
+   sets of different clusters that are left are verified with all their shingles.
 5. Connected components of all links, by alternating large and small stars.
 
 No step is sampled or capped, and blocks bound what a task holds of a bucket.
@@ -39,8 +40,8 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import read_table, stored
 from tierline.llm.hashing import (
-    Entries, deal, dealt_schema, first_documents, keyed, mixed, owner_part, part_count, real_id, runs_of, text_bytes,
-    window_hashes, window_starts, word_hashes, word_spans,
+    Entries, deal, dealt_schema, first_documents, gathered, keyed, mixed, owner_part, part_count, real_id, runs_of,
+    shared_entries, text_bytes, window_hashes, window_starts, word_hashes, word_spans,
 )
 from tierline.llm.word_ids import text_batches
 
@@ -50,7 +51,7 @@ ORDERS = 4
 SIGNATURE_WORDS = 16  # of 64 bits
 BLOCK = 256  # sets in a tree
 FAN = 16  # sets in a node above them
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _NODE = "struct<d:bigint,t:int>"
 
 
@@ -162,6 +163,28 @@ def _add_up(table: pa.Table) -> pa.Table:
     return pa.table({"f": pa.array(sets["f"]), "g32": pa.array(sets["g"]), "c": pa.array(total.astype(np.int64))})
 
 
+def _deal_places(parts: int):
+    """Each shingle of the candidate sets with its place in its set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.take(pa.array(first_documents(batch.column("d").to_numpy(), batch.column("t").to_numpy())))
+            d, t, sets = batch.column("d").to_numpy(), batch.column("t").to_numpy(), batch.column("h")
+            starts = np.asarray(sets.offsets).astype(np.int64)
+            doc = np.repeat(np.arange(len(sets)), np.diff(starts))
+            h, x = sets.flatten().to_numpy().view(np.uint64), (np.arange(len(doc)) - (starts - starts[:1])[doc]).astype(np.int32)
+            if not len(h):
+                continue
+            order, runs = runs_of(h)
+            sent = order[runs[:-1]]
+            yield deal(parts, h[sent] % np.uint64(parts), doc[sent], d, t, h[sent], x[sent])
+            known = order[np.repeat(np.diff(runs) > 1, np.diff(runs))]
+            if len(known):
+                yield deal(parts, owner_part(d[doc[known]], t[doc[known]], parts), doc[known], d, t, None, x[known])
+
+    return run
+
+
 _SETS = "d bigint, t int, n bigint, h array<bigint>, k array<bigint>, s array<bigint>"
 
 
@@ -255,22 +278,25 @@ def _popcount(words: np.ndarray) -> np.ndarray:
 
 
 class _Level:
-    """Nodes of one level: bitmaps, size ranges and the most tokens lost to shared bits."""
+    """Nodes of one level: bitmaps, size ranges, the most tokens lost to shared bits, the most from the bucket's place on."""
 
-    def __init__(self, bits: np.ndarray, low: np.ndarray, high: np.ndarray, lost: np.ndarray):
-        self.bits, self.low, self.high, self.lost = bits, low, high, lost
+    def __init__(self, bits: np.ndarray, low: np.ndarray, high: np.ndarray, lost: np.ndarray, rest: np.ndarray):
+        self.bits, self.low, self.high, self.lost, self.rest = bits, low, high, lost, rest
 
     def above(self, fan: int) -> _Level:
         at = np.arange(0, len(self.bits), fan)
         return _Level(
             np.bitwise_or.reduceat(self.bits, at, axis=0),
             np.minimum.reduceat(self.low, at), np.maximum.reduceat(self.high, at), np.maximum.reduceat(self.lost, at),
+            np.maximum.reduceat(self.rest, at),
         )
 
     def may_link(self, i: np.ndarray, other: _Level, j: np.ndarray) -> np.ndarray:
         """Whether any sets below node i and node j of ``other`` can reach the threshold."""
         sizes = (100 * self.high[i] >= PERCENT * other.low[j]) & (100 * other.high[j] >= PERCENT * self.low[i])
         overlap = _popcount(self.bits[i] & other.bits[j]) + np.minimum(self.lost[i], other.lost[j])
+        # In the bucket of the first token that two sets share, nothing before it counts.
+        overlap = np.minimum(overlap, np.minimum(self.rest[i], other.rest[j]))
         # A Jaccard similarity of p per cent of sets of a and b tokens takes an overlap of p (a + b) / (100 + p).
         return sizes & ((100 + PERCENT) * overlap >= PERCENT * (self.low[i] + other.low[j]))
 
@@ -278,10 +304,10 @@ class _Level:
 class Tree:
     """A signature tree of at most a block's sets: leaves ordered by cluster, nodes of FAN, one root."""
 
-    def __init__(self, cluster: np.ndarray, n: np.ndarray, bits: np.ndarray):
+    def __init__(self, cluster: np.ndarray, n: np.ndarray, bits: np.ndarray, rest: np.ndarray):
         self.order = np.lexsort((n, cluster))
         self.cluster, n, bits = cluster[self.order], n[self.order], bits[self.order]
-        self.leaves = _Level(bits, n, n, n - _popcount(bits))
+        self.leaves = _Level(bits, n, n, n - _popcount(bits), rest[self.order])
         self.nodes = self.leaves.above(FAN)
         self.root = self.nodes.above(len(self.nodes.bits))
 
@@ -313,9 +339,16 @@ def dual_traversal(a: Tree, b: Tree) -> tuple[np.ndarray, np.ndarray]:
 def _candidates(sets: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs (a, b) of sets of different clusters that share a prefix shingle and pass the trees."""
     node = F.struct("d", "t").alias("node")
-    prefix = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
-    entries = sets.select(node, "n", "s", F.explode(F.slice("h", F.lit(1), prefix.cast("int"))).alias("h"))
-    entries = entries.drop("s").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    parts = part_count(sets)
+    dealt = sets.select("d", "t", "h").mapInArrow(_deal_places(parts), dealt_schema())
+    shared = stored(gathered(dealt.groupBy("p").applyInArrow(shared_entries(parts), dealt_schema())), "shared-places")
+    # Shingles that no other candidate has come first, so they use up the prefix; a set has ``rest`` from the bucket's on.
+    prefix = (F.size("x") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int")
+    found = sets.dropDuplicates(["d", "t"]).join(shared, ["d", "t"]).where(prefix > 0)
+    first = F.transform(F.slice("x", F.lit(1), prefix), lambda i: F.get("h", i))
+    entries = found.select(node, "n", F.size("x").alias("from"), F.posexplode(first).alias("place", "h"))
+    entries = entries.withColumn("rest", (F.col("from") - F.col("place")).cast("bigint")).drop("from", "place")
+    entries = entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     # Buckets of one cluster are dropped; a partial aggregate decides, whatever their size.
     spread = entries.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("h")
     entries = stored(entries.join(spread, "h"), "bucket-entries")
@@ -325,7 +358,7 @@ def _candidates(sets: DataFrame, labels: DataFrame) -> DataFrame:
     counts = entries.groupBy("h", "size_class").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     entries = entries.join(counts, ["h", "size_class"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     signatures = sets.select(node, "s").dropDuplicates(["node"])
-    member = F.struct("node", "n", "label", "s")
+    member = F.struct("node", "n", "rest", "label", "s")
     blocks = entries.join(signatures, "node").groupBy("h", "size_class", "block").agg(F.collect_list(member).alias("m"))
     blocks = stored(blocks, "bucket-blocks")
     left = blocks.select("h", F.col("size_class").alias("c"), F.col("block").alias("i"), F.col("m").alias("ma"))
@@ -338,7 +371,7 @@ def _candidates(sets: DataFrame, labels: DataFrame) -> DataFrame:
         label, own = members.field("label"), members.field("node")
         d, t = own.field("d").to_numpy(), own.field("t").to_numpy()
         key = np.rec.fromarrays([label.field("d").to_numpy(), label.field("t").to_numpy()])
-        return key, d, t, members.field("n").to_numpy(), members.field("s").flatten().to_numpy().reshape(len(d), -1)
+        return key, d, t, members.field("n").to_numpy(), members.field("s").flatten().to_numpy().reshape(len(d), -1), members.field("rest").to_numpy()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -352,7 +385,7 @@ def _candidates(sets: DataFrame, labels: DataFrame) -> DataFrame:
                 if number.max(initial=0) == 0:
                     continue
                 cut = len(sides[0][0])
-                trees = [Tree(c, s[3], s[4]) for s, c in zip(sides, (number[:cut], number[cut:]), strict=False)]
+                trees = [Tree(c, *s[3:]) for s, c in zip(sides, (number[:cut], number[cut:]), strict=False)]
                 i, j = dual_traversal(trees[0], trees[-1])
                 if len(i):
                     a, b = trees[0].order[i], trees[-1].order[j]
