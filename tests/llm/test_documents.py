@@ -215,14 +215,14 @@ def test_quality_measures(docs, rows):
 
 
 def test_quality_keeps_clean_text_and_rejects_junk(spark):
-    clean = "The report of the year is that we are on the way to a better and fair system for all."
-    line = " ".join(f"{clean} number {i}" for i in range(5))
+    small = "the of and to in is that for on with".split()
+    line = " ".join(f"{small[i % 10]} thing{'abcdefghij'[i // 10]}{'klmnopqrst'[i % 10]}" for i in range(60))
     texts = {
         "clean": line,
         "symbols": " ".join(w + "###" for w in line.split()),
         "shouting": line.upper().replace(" ", "!! "),
         "lists": " | ".join(f"entry{i}" for i in range(90)),
-        "lines": "\n".join([f"{line} {i}" for i in range(2)] + [clean] * 6),
+        "lines": "\n".join([line] + ["See the terms of use."] * 6),
         "short": "the cat",
     }
     df = spark.createDataFrame(list(texts.items()), "name string, text string")
