@@ -144,3 +144,13 @@ def dataclasses_replace(spec, **changes):
     import dataclasses
 
     return dataclasses.replace(spec, **changes)
+
+
+def test_a_spec_chooses_how_its_file_is_read(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "EntriesGender.csv").write_text("Discipline,Female,Male,Total\n\"Two\nlines\",1,2,3\nRelay,x,2,3\n")
+    spec = dataclasses_replace(SOURCE_SPECS["entriesgender"], multi_line=True, mode="DROPMALFORMED")
+    lake = str(tmp_path / "lake")
+    run_bronze(spark, {"entriesgender": spec}, str(raw), lake)
+    assert [r["Discipline"] for r in read_table(spark, layer_path(lake, "bronze", "entriesgender")).collect()] == ["Two\nlines"]

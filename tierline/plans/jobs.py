@@ -66,6 +66,9 @@ def run_bronze(
                 f"{raw_root.rstrip('/')}/{spec.file}",
                 spec.schema,
                 encoding=spec.encoding,
+                mode=spec.mode,
+                multi_line=spec.multi_line,
+                enforce_schema=spec.enforce_schema,
                 corrupt_record_column=spec.corrupt_record_column,
             )
             write_table(stamp_lineage(raw, spec.file), layer_path(lake_root, "bronze", spec.name), fmt=fmt)

@@ -801,3 +801,31 @@ def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def names_in_any_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = rename_columns(table(spark, sf_dir, "part"), {"P_PARTKEY": "part_key", "absent": "x"})
     return audit(part, "part", [NotNull(["Part_Key", "P_NAME"]), Unique(["PART_KEY"]), NonNegative(["P_RetailPrice"])])
+
+
+# --------------------------------------------------------------------------
+# Malformed lines under PERMISSIVE reading, in Latin-1
+# --------------------------------------------------------------------------
+
+_KEYED_NAMES = StructType([StructField("key", LongType()), StructField("name", StringType()), StructField("nation", IntegerType())])
+
+
+@register(
+    "csv_malformed_lines",
+    """
+    SELECT CASE WHEN c_custkey % 7 <> 0 THEN c_custkey END AS "key", 'Çé ' || c_name AS name,
+           CAST(c_nationkey AS INTEGER) AS nation, c_custkey % 7 = 0 AS malformed
+    FROM customer
+    """,
+)
+def csv_malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh key is no number: the row stays, its key is NULL and its raw line is kept."""
+    key = F.col("c_custkey").cast("string")
+    broken = F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit("#"), key)).otherwise(key)
+    rows = table(spark, sf_dir, "customer").select(
+        broken.alias("key"), F.concat(F.lit("Çé "), "c_name").alias("name"), F.col("c_nationkey").alias("nation")
+    )
+    raw, bronze = scratch_path(spark, "csv-malformed"), scratch_path(spark, "csv-malformed-bronze")
+    export_csv(rows, raw, encoding="ISO-8859-1")
+    write_table(read_csv(spark, raw, _KEYED_NAMES, encoding="ISO-8859-1", corrupt_record_column="_line"), bronze)
+    return read_table(spark, bronze).select("key", "name", "nation", F.col("_line").isNotNull().alias("malformed"))

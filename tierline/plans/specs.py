@@ -39,6 +39,10 @@ class DatasetSpec:
     # When set, bronze keeps the raw line of malformed rows in this column, so
     # the rows PERMISSIVE parsing nulled out can be counted; silver drops it.
     corrupt_record_column: str | None = None
+    # How the job reads the file; see sources.read_csv.
+    mode: str = "PERMISSIVE"
+    multi_line: bool = False
+    enforce_schema: bool = True
 
     def to_silver(self, bronze: DataFrame) -> DataFrame:
         if self.corrupt_record_column and self.corrupt_record_column in bronze.columns:
