@@ -35,12 +35,17 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tierline.llm.common import read_table
-from tierline.llm.word_ids import MAX_PIECES, WordIds, plain_pieces, strings, text_batches
+from tierline.llm.word_ids import WordIds, plain_pieces, strings, text_batches
 
 #: Fixed value of the vocabulary: what a word is cut into.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 
 
+#: What a worker keeps and takes at a time; Spark keeps idle workers, so this stays in memory beside other steps.
+MAX_WORDS, MAX_IDS, MAX_PIECES = 150_000, 1_500_000, 150_000
+BATCH_BYTES = 2 << 20
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -168,7 +173,7 @@ class Bpe:
 @lru_cache(maxsize=2)
 def _model(path: str) -> tuple[Bpe, WordIds]:
     bpe = Bpe(path)
-    return bpe, WordIds(bpe.encode_words)
+    return bpe, WordIds(bpe.encode_words, MAX_WORDS, MAX_IDS)
 
 
 def _lists(ids: np.ndarray, starts: np.ndarray) -> pa.ListArray:
@@ -195,7 +200,7 @@ def encode(df: DataFrame, text_col: str = "text", *, path: str | None = None, de
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, store = _model(path)
-        for batch in text_batches(batches, "_text"):
+        for batch in text_batches(batches, "_text", BATCH_BYTES):
             lists = _lists(*store.encode(strings(batch, "_text")))
             columns = [*batch.columns[:-1], lists, *([_decoded(bpe, lists)] if decoded else [])]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)

@@ -49,10 +49,10 @@ def plain_pieces(word: str) -> tuple[str, str] | None:
 
 
 class WordIds:
-    """``encode_new`` gives the id lists of words; this keeps them."""
+    """``encode_new`` gives the id lists of words; this keeps them, up to ``max_words`` and ``max_ids``."""
 
-    def __init__(self, encode_new: Callable[[list[str]], Sequence[Sequence[int]]]):
-        self._encode_new = encode_new
+    def __init__(self, encode_new: Callable[[list[str]], Sequence[Sequence[int]]], max_words: int = MAX_WORDS, max_ids: int = MAX_IDS):
+        self._encode_new, self._max_words, self._max_ids = encode_new, max_words, max_ids
         self._clear()
 
     def _clear(self) -> None:
@@ -74,7 +74,7 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all ``texts``, one after the other, and where each begins (one more at the end)."""
-        if len(self._code) > MAX_WORDS or self._starts[len(self._code)] > MAX_IDS:
+        if len(self._code) > self._max_words or self._starts[len(self._code)] > self._max_ids:
             self._clear()
         parts = [split_words(t) for t in texts]
         words = [w for p in parts for w in p]
