@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tierline.llm.common import read_table
-from tierline.llm.word_ids import WordIds, plain_pieces, strings, text_batches
+from tierline.llm.word_ids import WordIds, plain_pieces, text_batches, texts_of
 
 #: Fixed value of the vocabulary: what a word is cut into.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
@@ -201,7 +201,7 @@ def encode(df: DataFrame, text_col: str = "text", *, path: str | None = None, de
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, store = _model(path)
         for batch in text_batches(batches, "_text", BATCH_BYTES):
-            lists = _lists(*store.encode(strings(batch, "_text")))
+            lists = _lists(*store.encode(texts_of(batch, "_text")))
             columns = [*batch.columns[:-1], lists, *([_decoded(bpe, lists)] if decoded else [])]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 

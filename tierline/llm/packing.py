@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 
 from tierline.llm.bpe import byte_characters
 from tierline.llm.common import read_table, stored
-from tierline.llm.word_ids import MAX_PIECES, WordIds, plain_pieces, strings, text_batches
+from tierline.llm.word_ids import MAX_PIECES, WordIds, plain_pieces, text_batches, texts_of
 from tierline.session import scratch_path
 
 BLOCK_IDS = 1 << 16
@@ -47,11 +47,18 @@ def bits_for(vocab_size: int) -> int:
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
-    rows = np.unpackbits(ids.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
+    whole = ids.astype(">u4").view(np.uint8).reshape(-1, 4)
+    if bits % 8 == 0:
+        return whole[:, 4 - bits // 8 :].tobytes()
+    rows = np.unpackbits(whole, axis=1)
     return np.packbits(rows[:, 32 - bits :]).tobytes()
 
 
 def unpack(data: bytes | memoryview, n: int, bits: int) -> np.ndarray:
+    if bits % 8 == 0:
+        whole = np.zeros((n, 4), np.uint8)
+        whole[:, 4 - bits // 8 :] = np.frombuffer(data, np.uint8, n * bits // 8).reshape(n, bits // 8)
+        return whole.view(">u4").ravel().astype(np.uint32)
     rows = np.zeros((n, 32), np.uint8)
     rows[:, 32 - bits :] = np.unpackbits(np.frombuffer(data, np.uint8), count=n * bits).reshape(n, bits)
     return np.packbits(rows, axis=1).view(">u4").ravel().astype(np.uint32)
@@ -136,7 +143,7 @@ def _shard_records(batches: Iterator[pa.RecordBatch], path: str, end_id: int, bl
     doc_ids, nulls, lengths, offsets = [], [], [], []
     rest, at, total = np.empty(0, np.int32), 0, 0
     for batch in text_batches(batches, "text"):
-        ids, starts = store.encode(strings(batch, "text"))
+        ids, starts = store.encode(texts_of(batch, "text"))
         ids = np.insert(ids, starts[1:], end_id)
         column = batch.column("id")
         nulls.append(np.asarray(column.is_null()).astype(np.uint8))

@@ -9,28 +9,16 @@ so its memory is fixed.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 
 MAX_WORDS = 600_000
 MAX_IDS = 5_000_000
 MAX_PIECES = 400_000
 BATCH_BYTES = 4 << 20
-# str.split() also splits at these four; tokenizers treat them as ordinary characters.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-_BLANKS = re.compile("[ \t\n\r]+")
-
-
-def split_words(text: str) -> list[str]:
-    if _SEPARATORS.search(text):
-        return [w for w in _BLANKS.split(text) if w]
-    return text.split()
-
-
 PUNCTUATION = ".,;:!?"
 
 
@@ -72,22 +60,24 @@ class WordIds:
         self._ids[n : n + int(lengths.sum())] = np.fromiter((i for x in found for i in x), np.int32, int(lengths.sum()))
         self._code.update(zip(words, range(have, have + len(words)), strict=True))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all ``texts``, one after the other, and where each begins (one more at the end)."""
         if len(self._code) > self._max_words or self._starts[len(self._code)] > self._max_ids:
             self._clear()
-        parts = [split_words(t) for t in texts]
-        words = [w for p in parts for w in p]
-        new = list(dict.fromkeys(w for w in words if w not in self._code))
+        # Cut at ASCII blanks and numbered in Arrow: only distinct words become Python strings.
+        parts = pc.ascii_split_whitespace(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
+        numbered = parts.flatten().dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self._code]
         if new:
             self._add(new)
-        codes = np.fromiter(map(self._code.__getitem__, words), np.int64, len(words))
+        codes = np.fromiter(map(self._code.__getitem__, distinct), np.int64, len(distinct))[numbered.indices.to_numpy()]
         lengths = self._starts[codes + 1] - self._starts[codes]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         at = np.arange(total) + np.repeat(self._starts[codes] - (ends - lengths), lengths)
-        per_text = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-        return self._ids[at], np.concatenate([[0], ends])[per_text]
+        first = np.asarray(parts.offsets).astype(np.int64)
+        return self._ids[at], np.concatenate([[0], ends])[first - first[0]]
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
@@ -96,7 +86,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = BA
         if not batch.num_rows:
             continue
         values = batch.column(column)
-        sizes = np.array([0 if v is None else v for v in pa.compute.binary_length(values).to_pylist()], np.int64)
+        sizes = np.array([0 if v is None else v for v in pc.binary_length(values).to_pylist()], np.int64)
         groups = (np.cumsum(sizes) - sizes) // limit
         cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
@@ -105,3 +95,8 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = BA
 
 def strings(batch: pa.RecordBatch, column: str) -> list[str]:
     return ["" if t is None else t for t in batch.column(column).to_pylist()]
+
+
+def texts_of(batch: pa.RecordBatch, column: str) -> pa.Array:
+    """The column with null as the empty string."""
+    return batch.column(column).fill_null("")
