@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import cases
 from tierline.llm import bpe, mixing, ngram_join, packing, quality_rules, repeated_bytes, repeated_windows
-from tierline.llm.hashing import real_id
+from tierline.llm.hashing import keyed, real_id
 
 
 @pytest.fixture(scope="module")
@@ -85,6 +87,26 @@ def test_repeated_bytes(docs, rows):
     assert {r.doc_id: r.text for r in stripped.collect()} == {i: v[3].decode("utf-8", "ignore") for i, v in want.items()}
 
 
+def test_repeated_bytes_of_hot_anchors(spark, docs, rows):
+    """All strings dealt one by one give the same result, and a passage of all documents doesn't meet in one part."""
+    found = repeated_bytes.remove_repeats(docs, hot=2)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found.collect()} == cases.without_repeats(rows)
+    rnd = random.Random(3)
+    noise = lambda: "".join(rnd.choices("abcdefghij", k=260))
+    passage = noise()
+    hot_rows = [(i, noise() + passage + noise(), "en", "a", 0) for i in range(1500)]
+    hot_docs = cases.frame(spark, hot_rows)
+    found = repeated_bytes.remove_repeats(hot_docs, hot=500)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found.collect()} == cases.without_repeats(hot_rows)
+
+    def largest_share(hot: int) -> float:
+        sent = repeated_bytes.surroundings(keyed(hot_docs, "doc_id", "text"), 50, hot).select("p", F.explode("o").alias("o")).where("o != -1")
+        sizes = [r["count"] for r in sent.groupBy("p").count().collect()]
+        return max(sizes) / sum(sizes)
+
+    assert largest_share(500) < 0.1 < largest_share(1 << 40)
+
+
 def test_repeated_windows(docs, rows):
     found = repeated_windows.remove_repeats(docs)
     assert found.columns == [*docs.columns, "n_words", "n_removed", "kept_text"]

@@ -16,7 +16,10 @@ times over, so suffixes are sorted only where a repeat is possible:
    strings of ``LENGTH`` bytes are equal.
 
 Equal surroundings within one batch are settled there and sent once, so large groups of
-copies don't meet in one task.
+copies don't meet in one task. Common bytes that ``HOT`` or more places have (a passage of
+very many documents, whose text around it differs) are counted in step 1. Their
+surroundings aren't put in order in one task: each string of ``LENGTH`` bytes is dealt by a
+128-bit digest of its own, so that only equal strings meet, those of a batch as one entry.
 
 Defined cases: null and shorter texts lose nothing; rows equal in id and text are one
 document, and each row gets its result; other columns are kept; what is left of a text
@@ -26,6 +29,7 @@ hash that ``query`` gives is that of the bytes.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +40,8 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import read_table, stored
 from tierline.llm.hashing import (
-    BYTES, deal, dealt_schema, first_documents, gathered, keyed, mixed, owner_part, part_count, powers, runs_of,
-    shared_entries, text_bytes,
+    BYTES, Entries, deal, dealt_schema, first_documents, gathered, keyed, mixed, owner_part, part_count, powers, runs_of,
+    text_bytes,
 )
 from tierline.llm.suffix_sort import deep_shallow_order, neighbour_prefixes
 from tierline.llm.word_ids import text_batches
@@ -47,6 +51,9 @@ GRAM = 32  # bytes of an anchor
 SPREAD = LENGTH - GRAM + 1  # an anchor among so many places
 NEAR = 84  # strings reaching up to so far to the left of their anchor, and those reaching further
 COMMON = LENGTH - NEAR
+REACHES = (range(NEAR + 1), range(NEAR + 1, SPREAD))  # by kind
+HOT = 10_000  # places of the same common bytes from which on their strings are dealt one by one
+HOT_AT_ONCE = 1 << 17  # strings
 BATCH_BYTES = 4 << 20
 _KIND = np.uint64(0x5851F42D4C957F2D)
 
@@ -100,6 +107,8 @@ def _keys(data: np.ndarray, place: np.ndarray, kind: np.ndarray) -> np.ndarray:
 
 
 def _exchange_anchors(parts: int):
+    """``x`` is an anchor's place and kind; above 32 bits, how many of the batch have its hash."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
             d, t = batch.column("d").to_numpy(), batch.column("t").to_numpy()
@@ -109,10 +118,10 @@ def _exchange_anchors(parts: int):
             place, doc, kind, h = _spans(data, bounds, anchors(data, bounds))
             if not len(place):
                 continue
-            x = ((place - bounds[doc]) * 2 + kind).astype(np.int32)
+            x = (place - bounds[doc]) * 2 + kind
             order, runs = runs_of(h)
             sent = order[runs[:-1]]
-            yield deal(parts, h[sent] % np.uint64(parts), doc[sent], d, t, h[sent], x[sent])
+            yield deal(parts, h[sent] % np.uint64(parts), doc[sent], d, t, h[sent], x[sent] + (np.diff(runs) << 32))
             known = order[np.repeat(np.diff(runs) > 1, np.diff(runs))]
             if len(known):
                 yield deal(parts, owner_part(d[doc[known]], t[doc[known]], parts), doc[known], d, t, None, x[known])
@@ -120,6 +129,28 @@ def _exchange_anchors(parts: int):
     return run
 
 
+_HOT_MARK = -1  # the part, and the only number, of what stands for a hot hash among the documents
+
+
+def _shared_anchors(parts: int, hot: int):
+    """Anchors whose hash occurs twice, and each hash that ``hot`` or more places have as a document of its own."""
+
+    def shared(table: pa.Table) -> pa.Table:
+        known = Entries(table.filter(table["known"]))
+        rest = Entries(table.filter(pc.invert(table["known"])))
+        order, runs = runs_of(rest.h)
+        size = np.diff(runs)
+        often = np.add.reduceat(rest.x[order] >> 32, runs[:-1]) >= hot if len(order) else np.empty(0, bool)
+        often = rest.h[order[runs[:-1]][often]].view(np.int64)
+        for entries in (known, rest):
+            entries.x = (entries.x & 0xFFFFFFFF).astype(np.int32)
+        n = len(often)
+        marks = deal(parts, np.full(n, _HOT_MARK), np.arange(n), often, np.zeros(n, np.int32), None, np.full(n, _HOT_MARK, np.int32))
+        return pa.Table.from_batches([known.found(parts, np.arange(len(known.x))), rest.found(parts, order[np.repeat(size > 1, size)]), marks])
+
+    return shared
+
+
 _AROUND = "p int, d array<bigint>, t array<int>, x array<bigint>, kind array<int>, o array<int>, c array<binary>"
 
 
@@ -129,14 +160,58 @@ def _rows_by_part(part: np.ndarray, columns: dict[str, tuple]) -> pa.RecordBatch
     ids = np.unique(part)
     cuts = pa.array(np.append(np.searchsorted(part[order], ids), len(part)), pa.int32())
     lists = [
-        pa.ListArray.from_arrays(cuts, pa.array([values[i] for i in order.tolist()] if kind == pa.binary() else values[order], kind))
+        pa.ListArray.from_arrays(cuts, values.take(pa.array(order)) if kind == pa.binary() else pa.array(values[order], kind))
         for values, kind in columns.values()
     ]
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), *lists], names=["p", *columns])
 
 
-def _exchange_surroundings(parts: int):
-    """Surroundings of shared anchors; ``x`` is the anchor's place, or, where ``o`` is -1, a span to be removed."""
+def _hot_strings(raw: bytes, place: np.ndarray, kind: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Anchor and start of all strings around these anchors, and their digests (two numbers each)."""
+    low, high = (np.array([f(r) for r in REACHES])[kind] for f in (min, max))
+    first, last = np.maximum(place - high, begin), np.minimum(place - low, end - LENGTH)
+    n = np.maximum(last - first + 1, 0)
+    who = np.repeat(np.arange(len(place)), n)
+    start = np.arange(len(who)) + np.repeat(first - (np.cumsum(n) - n), n)
+    digests = b"".join(hashlib.blake2b(raw[a : a + LENGTH], digest_size=16).digest() for a in start.tolist())
+    return who, start, np.frombuffer(digests, np.int64).reshape(-1, 2)
+
+
+def _same_strings(digest: np.ndarray, *names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of entries named by document and start: one of each string, and all whose string another name has."""
+    order = np.lexsort((*names[::-1], digest[:, 1], digest[:, 0]))
+    if not len(order):
+        return order, order
+    s = digest[order]
+    new = np.append(True, (s[1:] != s[:-1]).any(axis=1))
+    other = np.append(True, np.any([c[order][1:] != c[order][:-1] for c in names], axis=0)) | new  # of two anchors, a string may come twice
+    order, new = order[other], new[other]
+    size = np.diff(np.append(np.flatnonzero(new), len(order)))
+    return order[new], order[np.repeat(size > 1, size)]
+
+
+def _exchange_surroundings(parts: int, hot: np.ndarray):
+    """Surroundings of shared anchors; ``x`` is the anchor's place, or, where ``o`` is -1, a span to be removed.
+    Where ``o`` is -2, ``c`` is the digest of a string whose anchor is ``hot``, and ``x`` its start."""
+
+    def dealt_strings(d, t, doc, origin, start, digest) -> pa.RecordBatch:
+        sent, known = _same_strings(digest, doc, start)
+        chosen = np.concatenate([sent, known])
+        is_known = np.arange(len(chosen)) >= len(sent)
+        own, x = doc[chosen], (start - origin)[chosen]
+        part = (digest[chosen, 0].view(np.uint64) % np.uint64(parts)).astype(np.int64)
+        c = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(chosen), [None, pa.py_buffer(np.ascontiguousarray(digest[chosen]))])
+        return _rows_by_part(
+            np.where(is_known, owner_part(d[own], t[own], parts), part),
+            {
+                "d": (d[own], pa.int64()),
+                "t": (t[own], pa.int32()),
+                "x": (np.where(is_known, (x << 32) + x + LENGTH, x), pa.int64()),
+                "kind": (np.zeros(len(own), np.int32), pa.int32()),
+                "o": (np.where(is_known, -1, -2), pa.int32()),
+                "c": (pc.if_else(pa.array(is_known), pa.scalar(b"", pa.binary()), c.cast(pa.binary())), pa.binary()),
+            },
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
@@ -164,10 +239,18 @@ def _exchange_surroundings(parts: int):
                     sent.append(i)
                 else:
                     repeated |= {i, j}
+            sent, known = np.array(sent, np.int64), np.array(sorted(repeated), np.int64)
+            if len(hot):
+                is_hot = np.isin(h[sent], hot)
+                often, sent = sent[is_hot], sent[~is_hot]
+                step = max(1, HOT_AT_ONCE // (NEAR + 1))
+                for a in range(0, len(often), step):
+                    i = often[a : a + step]
+                    who, start, digest = _hot_strings(raw, place[i], kind[i], begin[i], end[i])
+                    yield dealt_strings(d, t, doc[i][who], bounds[doc[i][who]], start, digest)
             own = place - bounds[doc]
             part, offset, what = (h % np.uint64(parts)).astype(np.int64), place - begin, own.astype(np.int64)
-            known = np.array(sorted(repeated), np.int64)
-            chosen = np.concatenate([np.array(sent, np.int64), known])
+            chosen = np.concatenate([sent, known])
             is_known = np.arange(len(chosen)) >= len(sent)
             span = ((begin - bounds[doc]) << 32) + (end - bounds[doc])
             yield _rows_by_part(
@@ -178,7 +261,7 @@ def _exchange_surroundings(parts: int):
                     "x": (np.where(is_known, span[chosen], what[chosen]), pa.int64()),
                     "kind": (kind[chosen], pa.int32()),
                     "o": (np.where(is_known, -1, offset[chosen]), pa.int32()),
-                    "c": ([b"" if k else around[i] for i, k in zip(chosen.tolist(), is_known.tolist(), strict=True)], pa.binary()),
+                    "c": (pa.array([b"" if k else around[i] for i, k in zip(chosen.tolist(), is_known.tolist(), strict=True)], pa.binary()), pa.binary()),
                 },
             )
 
@@ -194,7 +277,7 @@ def equal_offsets(around: list[bytes], offset: np.ndarray, kind: int) -> list[li
     order_r, order_l = deep_shallow_order(right), deep_shallow_order(left)
     prefix_r, prefix_l = neighbour_prefixes(right, order_r, LENGTH), neighbour_prefixes(left, order_l, SPREAD)
     size_r, size_l = np.fromiter(map(len, right), np.int64, n), np.fromiter(map(len, left), np.int64, n)
-    reaches = range(NEAR + 1) if kind == 0 else range(NEAR + 1, SPREAD)
+    reaches = REACHES[kind]
     equal = np.zeros((n, len(reaches)), bool)
     class_r, class_l = np.empty(n, np.int64), np.empty(n, np.int64)
     for k, reach in enumerate(reaches):
@@ -219,15 +302,18 @@ def _mark(parts: int):
     def mark(table: pa.Table) -> pa.Table:
         columns = {c: pc.list_flatten(table[c]) for c in ("d", "t", "x", "kind", "o", "c")}
         d, t, x, kind, o = (columns[c].to_numpy() for c in ("d", "t", "x", "kind", "o"))
-        around = columns["c"].to_pylist()
-        known = o < 0
+        known, single = o == -1, np.flatnonzero(o == -2)
         out = [(d[known], t[known], x[known])]
+        digest = columns["c"].take(pa.array(single)).to_pylist()
+        digest = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
+        again = single[_same_strings(digest, d[single], t[single], x[single])[1]]
+        out.append((d[again], t[again], (x[again] << 32) + x[again] + LENGTH))
         for k in (0, 1):
-            own = np.flatnonzero(~known & (kind == k))
+            own = np.flatnonzero((o >= 0) & (kind == k))
             own = own[np.unique(np.rec.fromarrays([d[own], t[own], x[own]]), return_index=True)[1]] if len(own) else own
             if len(own) < 2:
                 continue
-            runs = equal_offsets([around[i] for i in own], o[own], k)
+            runs = equal_offsets(columns["c"].take(pa.array(own)).to_pylist(), o[own], k)
             who = np.repeat(own, [len(r) for r in runs])
             if len(who):
                 spans = [((x[i] + a) << 32) + (x[i] + b + LENGTH) for i, r in zip(own, runs, strict=True) for a, b in r]
@@ -238,21 +324,30 @@ def _mark(parts: int):
     return mark
 
 
-def repeated_spans(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def surroundings(docs: DataFrame, parts: int, hot: int = HOT) -> DataFrame:
+    """What ``_exchange_surroundings`` deals of ``docs`` (as ``keyed``)."""
+    dealt = docs.mapInArrow(_exchange_anchors(parts), dealt_schema("bigint"))
+    shared = stored(gathered(dealt.groupBy("p").applyInArrow(_shared_anchors(parts, hot), dealt_schema())), "shared-anchors")
+    # Fewer than one in ``hot`` of all anchors' hashes.
+    marked = F.col("x")[0] == _HOT_MARK
+    often = np.array([r.d for r in shared.where(marked).select("d").collect()], np.int64).view(np.uint64)
+    shared = shared.where(~marked)
+    return docs.join(shared, ["d", "t"]).select("d", "t", "text", "x").mapInArrow(_exchange_surroundings(parts, often), _AROUND)
+
+
+def repeated_spans(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """d, t, x: of each document the spans to be removed, each as ``start * 2**32 + end``; they may overlap."""
     docs, parts = keyed(df, id_col, text_col), part_count(df)
-    shared = docs.mapInArrow(_exchange_anchors(parts), dealt_schema()).groupBy("p").applyInArrow(shared_entries(parts), dealt_schema())
-    shared = stored(gathered(shared), "shared-anchors")
-    around = docs.join(shared, ["d", "t"]).select("d", "t", "text", "x").mapInArrow(_exchange_surroundings(parts), _AROUND)
+    around = surroundings(docs, parts, hot)
     return stored(gathered(around.groupBy("p").applyInArrow(_mark(parts), dealt_schema("bigint")), "bigint"), "repeated-spans")
 
 
-def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """``df`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the remaining bytes)."""
     results = ("n_bytes", "n_removed", "n_spans", "kept")
     others = [c for c in df.columns if c.lower() not in results]
     row = F.struct(*(F.col(f"`{c}`") for c in others)).alias("row")
-    spans = repeated_spans(df, id_col=id_col, text_col=text_col)
+    spans = repeated_spans(df, id_col=id_col, text_col=text_col, hot=hot)
     given = keyed(df, id_col, text_col, row).join(spans, ["d", "t"], "left")
     given = given.select("row", "text", F.coalesce("x", F.array().cast("array<bigint>")).alias("x"))
 
