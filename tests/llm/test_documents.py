@@ -12,6 +12,9 @@ from tierline.llm import bpe, mixing, ngram_join, packing, quality_rules, repeat
 from tierline.llm.hashing import keyed, real_id
 
 
+CLASHING = ("6934541", "0bf770e")  # followed by a blank, of one 32-bit hash; so are texts that go on alike
+
+
 @pytest.fixture(scope="module")
 def rows():
     return cases.make_documents()
@@ -77,6 +80,16 @@ def test_repeated_ids_and_null_ids(spark):
     assert mixing.mix(df).count() == len(rows)
 
 
+def test_texts_of_one_id_and_equal_32_bit_hash(spark):
+    """Two texts that Spark's 32-bit hash doesn't tell apart are documents of their own."""
+    body = " ".join(f"w{i}" for i in range(90))
+    df = spark.createDataFrame([(None, f"{p} {body}") for p in CLASHING], "doc_id bigint, text string")
+    assert df.select(F.hash("text")).distinct().count() == 1
+    assert [r.n_removed > 300 for r in repeated_bytes.remove_repeats(df).collect()] == [True, True]
+    assert sorted(r.n_removed for r in repeated_windows.remove_repeats(df).collect()) == [0, 90]
+    assert ngram_join.keep_one(df).count() == 1
+
+
 def test_repeated_bytes(docs, rows):
     found = repeated_bytes.remove_repeats(docs.select("doc_id", "text", "p"))
     assert found.columns == ["doc_id", "text", "p", "n_bytes", "n_removed", "n_spans", "kept"]

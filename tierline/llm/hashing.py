@@ -15,6 +15,8 @@ _LOWER[0x41:0x5B] += 0x20
 BYTES = np.random.default_rng(20).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of the two hash families
 NO_ID = -(1 << 63)  # stands for a null id
+KEY = ("d", "t", "u")  # the columns that name a document
+Names = tuple[np.ndarray, ...]  # these columns, or others that name what entries belong to
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -93,10 +95,12 @@ def window_starts(first_word: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarra
 
 
 def keyed(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
-    """``d``, ``t``, ``text`` and more. (d, t) names a document: its id (null as NO_ID) and a hash of its text,
-    which tells rows of one id apart. Rows equal in both are one document, repeated."""
+    """``d``, ``t``, ``u``, ``text`` and more. (d, t, u) names a document: its id (null as NO_ID) and 128 bits of
+    hashes of its text, which tell rows of one id apart. Rows equal in all are one document, repeated."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return df.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("d"), F.hash(text).alias("t"), text.alias("text"), *more)
+    d = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID))
+    # The hash of the number is the seed of the second.
+    return df.select(d.alias("d"), F.xxhash64(text).alias("t"), F.xxhash64(F.lit(_STEP[1] >> 1), text).alias("u"), text.alias("text"), *more)
 
 
 def real_id(d: Column) -> Column:
@@ -107,21 +111,42 @@ def part_count(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def dealt_schema(x: str = "int") -> str:
+def dealt_schema(x: str = "int", names: str = "d array<bigint>, t array<bigint>, u array<bigint>") -> str:
     """Entries of one part, document by document: ``n`` says how many each has; ``x`` is each entry's number."""
-    return f"p int, known boolean, d array<bigint>, t array<int>, n array<int>, h array<bigint>, x array<{x}>"
+    return f"p int, known boolean, {names}, n array<int>, h array<bigint>, x array<{x}>"
 
 
-def owner_part(d: np.ndarray, t: np.ndarray, parts: int) -> np.ndarray:
+def names_of(batch: pa.RecordBatch) -> Names:
+    return tuple(batch.column(c).to_numpy() for c in KEY)
+
+
+def pick(names: Names, at: np.ndarray) -> Names:
+    return tuple(c[at] for c in names)
+
+
+def distinct(names: Names) -> tuple[np.ndarray, np.ndarray]:
+    """In order of the names, the first place of each, and for each place the number of its name in that order."""
+    order = np.lexsort(names[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([c[order][1:] != c[order][:-1] for c in names], axis=0)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
+def owner_part(names: Names, parts: int) -> np.ndarray:
     """The part that gathers what is found of a document."""
-    return (mixed(d.view(np.uint64) ^ (t.astype(np.uint64) * np.uint64(_STEP[0]))) % np.uint64(parts)).astype(np.int64)
+    h = names[0].view(np.uint64)
+    for c, step in zip(names[1:], _STEP, strict=False):
+        h = h ^ (c.astype(np.uint64) * np.uint64(step))
+    return (mixed(h) % np.uint64(parts)).astype(np.int64)
 
 
 def _lists(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, kind))
 
 
-def deal(parts: int, part: np.ndarray, doc: np.ndarray, d: np.ndarray, t: np.ndarray, h: np.ndarray | None, x: np.ndarray) -> pa.RecordBatch:
+def deal(parts: int, part: np.ndarray, doc: np.ndarray, names: Names, h: np.ndarray | None, x: np.ndarray) -> pa.RecordBatch:
     """Entries (part, document, hash, number) as one row per part; without hashes they are ``known`` ones."""
     order = np.lexsort((doc, part.astype(np.uint32)))
     part, doc = part[order].astype(np.int64), doc[order]
@@ -141,13 +166,12 @@ def deal(parts: int, part: np.ndarray, doc: np.ndarray, d: np.ndarray, t: np.nda
         [
             pa.array(ids, pa.int32()),
             pa.array([h is None] * len(ids), pa.bool_()),
-            _lists(d[doc[runs]], docs, pa.int64()),
-            _lists(t[doc[runs]], docs, pa.int32()),
+            *(_lists(c[doc[runs]], docs, pa.from_numpy_dtype(c.dtype)) for c in names),
             _lists(counts, docs, pa.int32()),
             hashes,
             _lists(x[order], entries, pa.from_numpy_dtype(x.dtype)),
         ],
-        names=["p", "known", "d", "t", "n", "h", "x"],
+        names=["p", "known", *KEY[: len(names)], "n", "h", "x"],
     )
 
 
@@ -161,15 +185,15 @@ class Entries:
     """What ``deal`` made of one part, gathered from all tasks."""
 
     def __init__(self, table: pa.Table):
-        self.d, self.t, n = _flat(table, "d"), _flat(table, "t"), _flat(table, "n")
-        self.doc = np.repeat(np.arange(len(self.d)), n)
+        self.names = tuple(_flat(table, c) for c in KEY if c in table.column_names)
+        self.doc = np.repeat(np.arange(len(self.names[0])), _flat(table, "n"))
         self.h = _flat(table, "h").view(np.uint64)
         self.x = _flat(table, "x")
 
     def found(self, parts: int, chosen: np.ndarray) -> pa.RecordBatch:
         """The numbers of the chosen entries, dealt to the parts that gather their documents."""
         doc = self.doc[chosen]
-        return deal(parts, owner_part(self.d[doc], self.t[doc], parts), doc, self.d, self.t, None, self.x[chosen])
+        return deal(parts, owner_part(pick(self.names, doc), parts), doc, self.names, None, self.x[chosen])
 
 
 def runs_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,9 +203,9 @@ def runs_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.append(np.flatnonzero(np.append(True, s[1:] != s[:-1])), len(s)) if len(s) else np.zeros(1, np.int64)
 
 
-def first_documents(d: np.ndarray, t: np.ndarray) -> np.ndarray:
+def first_documents(names: Names) -> np.ndarray:
     """Places of the documents of a batch, each once."""
-    return np.sort(np.unique(np.rec.fromarrays([d, t]), return_index=True)[1]) if len(d) else np.empty(0, np.int64)
+    return np.sort(distinct(names)[0])
 
 
 def gathered(found: DataFrame, x: str = "int") -> DataFrame:
@@ -190,16 +214,17 @@ def gathered(found: DataFrame, x: str = "int") -> DataFrame:
 
     def gather(table: pa.Table) -> pa.Table:
         own = Entries(table)
-        docs, number = np.unique(np.rec.fromarrays([own.d, own.t], names="d,t"), return_inverse=True)
-        doc = number[own.doc] if len(docs) else own.doc
+        docs, number = distinct(own.names)
+        doc = number[own.doc]
         order = np.lexsort((own.x, doc))
         doc, values = doc[order], own.x[order]
         new = np.append(True, (doc[1:] != doc[:-1]) | (values[1:] != values[:-1])) if len(doc) else np.empty(0, bool)
         doc, values = doc[new], values[new]
         cuts = np.searchsorted(doc, np.arange(len(docs) + 1))
-        return pa.table({"d": pa.array(docs["d"]), "t": pa.array(docs["t"]), "x": _lists(values, cuts, pa.from_numpy_dtype(values.dtype))})
+        names = dict(zip(KEY, map(pa.array, pick(own.names, docs)), strict=True))
+        return pa.table({**names, "x": _lists(values, cuts, pa.from_numpy_dtype(values.dtype))})
 
-    return found.groupBy("p").applyInArrow(gather, f"d bigint, t int, x array<{x}>")
+    return found.groupBy("p").applyInArrow(gather, f"d bigint, t bigint, u bigint, x array<{x}>")
 
 
 def shared_entries(parts: int):

@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import read_table, stored
 from tierline.llm.hashing import (
-    Entries, deal, dealt_schema, first_documents, gathered, keyed, mixed, owner_part, part_count, real_id, runs_of,
-    shared_entries, text_bytes, window_hashes, window_starts, word_hashes, word_spans,
+    KEY, Entries, deal, dealt_schema, distinct, first_documents, gathered, keyed, mixed, names_of, owner_part, part_count,
+    pick, real_id, runs_of, shared_entries, text_bytes, window_hashes, window_starts, word_hashes, word_spans,
 )
 from tierline.llm.word_ids import text_batches
 
@@ -52,7 +52,8 @@ SIGNATURE_WORDS = 16  # of 64 bits
 BLOCK = 256  # sets in a tree
 FAN = 16  # sets in a node above them
 BATCH_BYTES = 4 << 20
-_NODE = "struct<d:bigint,t:int>"
+_NODE = "struct<d:bigint,t:bigint,u:bigint>"
+_NAMED_SETS = "d array<bigint>, t array<int>"
 
 
 # -- sets of a batch --------------------------------------------------------------------
@@ -91,7 +92,7 @@ class Sets:
         return self.sums(mixed(h)).view(np.int64), self.sums(mixed(h ^ np.uint64(0xA0761D6478BD642F))).view(np.int64)
 
 
-_MEMBERS = "d bigint, t int, n bigint, f bigint, g bigint"
+_MEMBERS = "d bigint, t bigint, u bigint, n bigint, f bigint, g bigint"
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +100,7 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Sets(batch)
         f, g = sets.fingerprints()
         yield pa.RecordBatch.from_arrays(
-            [batch.column("d"), batch.column("t"), pa.array(sets.sizes, pa.int64()), pa.array(f), pa.array(g)], names=["d", "t", "n", "f", "g"]
+            [*(batch.column(c) for c in KEY), pa.array(sets.sizes, pa.int64()), pa.array(f), pa.array(g)], names=[*KEY, "n", "f", "g"]
         )
 
 
@@ -111,9 +112,9 @@ def _deal_shingles(parts: int):
         for batch in text_batches(batches, "text", BATCH_BYTES):
             sets = Sets(batch)
             f, g = sets.fingerprints()
-            g = g.astype(np.int32)
+            names = f, g.astype(np.int32)
             alone = np.zeros(len(f), bool)
-            alone[first_documents(f, g)] = True
+            alone[first_documents(names)] = True
             use = alone[sets.doc]
             h, doc = sets.h[use].view(np.uint64), sets.doc[use]
             if not len(h):
@@ -121,11 +122,11 @@ def _deal_shingles(parts: int):
             order, runs = runs_of(h)
             size = np.diff(runs)
             sent = order[runs[:-1]]
-            yield deal(parts, h[sent] % np.uint64(parts), doc[sent], f, g, h[sent], (size > 1).astype(np.int32))
+            yield deal(parts, h[sent] % np.uint64(parts), doc[sent], names, h[sent], (size > 1).astype(np.int32))
             others = np.delete(order, runs[:-1])
             if len(others):
                 own, n = np.unique(doc[others], return_counts=True)
-                yield deal(parts, owner_part(f[own], g[own], parts), own, f, g, None, n.astype(np.int32))
+                yield deal(parts, owner_part(pick(names, own), parts), own, names, None, n.astype(np.int32))
 
     return run
 
@@ -137,7 +138,7 @@ def _count_shared(parts: int):
         known = Entries(table.filter(table["known"]))
         rest = Entries(table.filter(pc.invert(table["known"])))
         # One entry for each shingle and set, however many batches hold a copy of the set.
-        f, g = rest.d[rest.doc], rest.t[rest.doc]
+        f, g = pick(rest.names, rest.doc)
         order = np.lexsort((-rest.x, g, f, rest.h))
         h, f, g, x = rest.h[order], f[order], g[order], rest.x[order]
         new = np.append(True, (h[1:] != h[:-1]) | (f[1:] != f[:-1]) | (g[1:] != g[:-1])) if len(h) else np.empty(0, bool)
@@ -150,7 +151,7 @@ def _count_shared(parts: int):
         cuts = np.flatnonzero(np.append(True, (f[1:] != f[:-1]) | (g[1:] != g[:-1]))) if len(f) else np.empty(0, np.int64)
         n = np.diff(np.append(cuts, len(f))).astype(np.int32)
         f, g = f[cuts], g[cuts]
-        counted = deal(parts, owner_part(f, g, parts), np.arange(len(f)), f, g, None, n)
+        counted = deal(parts, owner_part((f, g), parts), np.arange(len(f)), (f, g), None, n)
         return pa.Table.from_batches([known.found(parts, np.arange(len(known.x))), counted])
 
     return count
@@ -158,9 +159,10 @@ def _count_shared(parts: int):
 
 def _add_up(table: pa.Table) -> pa.Table:
     own = Entries(table)
-    sets, number = np.unique(np.rec.fromarrays([own.d, own.t], names="f,g"), return_inverse=True)
+    sets, number = distinct(own.names)
     total = np.bincount(number[own.doc], own.x, len(sets)) if len(sets) else np.empty(0)
-    return pa.table({"f": pa.array(sets["f"]), "g32": pa.array(sets["g"]), "c": pa.array(total.astype(np.int64))})
+    f, g = pick(own.names, sets)
+    return pa.table({"f": pa.array(f), "g32": pa.array(g), "c": pa.array(total.astype(np.int64))})
 
 
 def _deal_places(parts: int):
@@ -168,8 +170,8 @@ def _deal_places(parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.take(pa.array(first_documents(batch.column("d").to_numpy(), batch.column("t").to_numpy())))
-            d, t, sets = batch.column("d").to_numpy(), batch.column("t").to_numpy(), batch.column("h")
+            batch = batch.take(pa.array(first_documents(names_of(batch))))
+            names, sets = names_of(batch), batch.column("h")
             starts = np.asarray(sets.offsets).astype(np.int64)
             doc = np.repeat(np.arange(len(sets)), np.diff(starts))
             h, x = sets.flatten().to_numpy().view(np.uint64), (np.arange(len(doc)) - (starts - starts[:1])[doc]).astype(np.int32)
@@ -177,15 +179,15 @@ def _deal_places(parts: int):
                 continue
             order, runs = runs_of(h)
             sent = order[runs[:-1]]
-            yield deal(parts, h[sent] % np.uint64(parts), doc[sent], d, t, h[sent], x[sent])
+            yield deal(parts, h[sent] % np.uint64(parts), doc[sent], names, h[sent], x[sent])
             known = order[np.repeat(np.diff(runs) > 1, np.diff(runs))]
             if len(known):
-                yield deal(parts, owner_part(d[doc[known]], t[doc[known]], parts), doc[known], d, t, None, x[known])
+                yield deal(parts, owner_part(pick(names, doc[known]), parts), doc[known], names, None, x[known])
 
     return run
 
 
-_SETS = "d bigint, t int, n bigint, h array<bigint>, k array<bigint>, s array<bigint>"
+_SETS = "d bigint, t bigint, u bigint, n bigint, h array<bigint>, k array<bigint>, s array<bigint>"
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,14 +206,13 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = lambda v, k: pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * k, pa.int32()), pa.array(v.ravel()))
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("d"),
-                batch.column("t"),
+                *(batch.column(c) for c in KEY),
                 pa.array(sets.sizes, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(sets.starts, pa.int32()), pa.array(sets.h)),
                 lists(least, ORDERS),
                 lists(words, SIGNATURE_WORDS),
             ],
-            names=["d", "t", "n", "h", "k", "s"],
+            names=[*KEY, "n", "h", "k", "s"],
         )
 
 
@@ -221,7 +222,7 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose similarity reaches the threshold. Each join is on one side's document, so Spark
     can split the rows of a centre with many partners."""
-    side = lambda name: sets.select(F.struct("d", "t").alias(name), F.col("n").alias(f"n{name}"), F.col("h").alias(f"h{name}"))
+    side = lambda name: sets.select(F.struct(*KEY).alias(name), F.col("n").alias(f"n{name}"), F.col("h").alias(f"h{name}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
     both = both.where(100 * small >= PERCENT * large).select("a", "b", "ha", "hb")
@@ -338,13 +339,13 @@ def dual_traversal(a: Tree, b: Tree) -> tuple[np.ndarray, np.ndarray]:
 
 def _candidates(sets: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs (a, b) of sets of different clusters that share a prefix shingle and pass the trees."""
-    node = F.struct("d", "t").alias("node")
+    node = F.struct(*KEY).alias("node")
     parts = part_count(sets)
-    dealt = sets.select("d", "t", "h").mapInArrow(_deal_places(parts), dealt_schema())
+    dealt = sets.select(*KEY, "h").mapInArrow(_deal_places(parts), dealt_schema())
     shared = stored(gathered(dealt.groupBy("p").applyInArrow(shared_entries(parts), dealt_schema())), "shared-places")
     # Shingles that no other candidate has come first, so they use up the prefix; a set has ``rest`` from the bucket's on.
     prefix = (F.size("x") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int")
-    found = sets.dropDuplicates(["d", "t"]).join(shared, ["d", "t"]).where(prefix > 0)
+    found = sets.dropDuplicates(list(KEY)).join(shared, list(KEY)).where(prefix > 0)
     first = F.transform(F.slice("x", F.lit(1), prefix), lambda i: F.get("h", i))
     entries = found.select(node, "n", F.size("x").alias("from"), F.posexplode(first).alias("place", "h"))
     entries = entries.withColumn("rest", (F.col("from") - F.col("place")).cast("bigint")).drop("from", "place")
@@ -367,11 +368,12 @@ def _candidates(sets: DataFrame, labels: DataFrame) -> DataFrame:
     met = left.join(right, "h").where("(e = c and j >= i) or (e > c and e <= c + 2)")
     met = met.where("e != c or i != j or size(ma) > 1").select(((F.col("c") == F.col("e")) & (F.col("i") == F.col("j"))).alias("self"), "ma", "mb")
 
-    def columns(members: pa.StructArray) -> tuple[np.ndarray, ...]:
+    ends = [side + c for side in "ab" for c in KEY]
+
+    def columns(members: pa.StructArray) -> tuple:
         label, own = members.field("label"), members.field("node")
-        d, t = own.field("d").to_numpy(), own.field("t").to_numpy()
-        key = np.rec.fromarrays([label.field("d").to_numpy(), label.field("t").to_numpy()])
-        return key, d, t, members.field("n").to_numpy(), members.field("s").flatten().to_numpy().reshape(len(d), -1), members.field("rest").to_numpy()
+        key, names = (tuple(s.field(c).to_numpy() for c in KEY) for s in (label, own))
+        return key, names, members.field("n").to_numpy(), members.field("s").flatten().to_numpy().reshape(len(own), -1), members.field("rest").to_numpy()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -380,22 +382,20 @@ def _candidates(sets: DataFrame, labels: DataFrame) -> DataFrame:
             for r in range(batch.num_rows):
                 sides = [columns(m[r].values) for m in ((ma,) if same[r] else (ma, mb))]
                 # Clusters are numbered alike on both sides.
-                keys = np.concatenate([s[0] for s in sides])
-                _, number = np.unique(keys, return_inverse=True)
+                _, number = distinct(tuple(np.concatenate(c) for c in zip(*(s[0] for s in sides), strict=True)))
                 if number.max(initial=0) == 0:
                     continue
-                cut = len(sides[0][0])
-                trees = [Tree(c, *s[3:]) for s, c in zip(sides, (number[:cut], number[cut:]), strict=False)]
+                cut = len(sides[0][0][0])
+                trees = [Tree(c, *s[2:]) for s, c in zip(sides, (number[:cut], number[cut:]), strict=False)]
                 i, j = dual_traversal(trees[0], trees[-1])
                 if len(i):
                     a, b = trees[0].order[i], trees[-1].order[j]
-                    found.append((sides[0][1][a], sides[0][2][a], sides[-1][1][b], sides[-1][2][b]))
+                    found.append((*pick(sides[0][1], a), *pick(sides[-1][1], b)))
             if found:
-                ad, at, bd, bt = (np.concatenate(x) for x in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(ad), pa.array(at), pa.array(bd), pa.array(bt)], names=["ad", "at", "bd", "bt"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=ends)
 
-    pairs = met.mapInArrow(run, "ad bigint, at int, bd bigint, bt int")
-    a, b = F.struct(F.col("ad").alias("d"), F.col("at").alias("t")), F.struct(F.col("bd").alias("d"), F.col("bt").alias("t"))
+    pairs = met.mapInArrow(run, ", ".join(f"{c} bigint" for c in ends))
+    a, b = (F.struct(*(F.col(side + c).alias(c) for c in KEY)) for side in "ab")
     return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a != b").distinct()
 
 
@@ -403,19 +403,20 @@ def _candidates(sets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """d, t, n (set size), rep, label (both as struct d, t): of each document its set's representative and component."""
+    """d, t, u, n (set size), rep, label (both as struct d, t, u): of each document its set's representative and component."""
     docs, parts = keyed(df, id_col, text_col), part_count(df)
     members = stored(docs.mapInArrow(_members, _MEMBERS), "set-members")
-    node = F.struct("d", "t")
+    node = F.struct(*KEY)
     reps = members.where("n > 0").groupBy("n", "f", "g").agg(F.min(node).alias("rep"))
     members = stored(members.join(reps, ["n", "f", "g"], "left").withColumn("rep", F.coalesce("rep", node)), "set-members")
 
-    dealt = docs.mapInArrow(_deal_shingles(parts), dealt_schema()).groupBy("p").applyInArrow(_count_shared(parts), dealt_schema())
+    dealt = docs.mapInArrow(_deal_shingles(parts), dealt_schema(names=_NAMED_SETS))
+    dealt = dealt.groupBy("p").applyInArrow(_count_shared(parts), dealt_schema(names=_NAMED_SETS))
     counted = stored(dealt.groupBy("p").applyInArrow(_add_up, "f bigint, g32 int, c bigint"), "shared-shingles")
     low = F.shiftright(F.shiftleft(F.col("g"), 32), 32).cast("int")  # the part of the fingerprint that was sent
     own = members.where(F.col("rep") == node).withColumn("g32", low)
-    maybe = own.join(counted, ["f", "g32"]).where(100 * F.col("c") >= PERCENT * F.col("n")).select("d", "t").distinct()
-    sets = stored(docs.join(stored(maybe, "candidates"), ["d", "t"]).select("d", "t", "text").mapInArrow(_whole_sets, _SETS), "candidate-sets")
+    maybe = own.join(counted, ["f", "g32"]).where(100 * F.col("c") >= PERCENT * F.col("n")).select(*KEY).distinct()
+    sets = stored(docs.join(stored(maybe, "candidates"), list(KEY)).select(*KEY, "text").mapInArrow(_whole_sets, _SETS), "candidate-sets")
 
     bands = sets.select(node.alias("b"), F.posexplode("k").alias("o", "k"))
     centres = bands.groupBy("o", "k").agg(F.min("b").alias("a"))
@@ -428,16 +429,16 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     across = second.join(label("a"), "a", "left").join(label("b"), "b", "left")
     across = across.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
     top = components(across).select(F.col("node").alias("first"), F.col("label").alias("last"))
-    found = members.select("d", "t", "n", "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left")
+    found = members.select(*KEY, "n", "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left")
     found = found.withColumn("first", F.coalesce("label", "rep")).drop("label").join(top, "first", "left")
-    return found.select("d", "t", "n", "rep", F.coalesce("last", "first").alias("label"))
+    return found.select(*KEY, "n", "rep", F.coalesce("last", "first").alias("label"))
 
 
 def keep_one(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each component the document with the smallest id (all its rows), with the columns of ``df``; texts without words stay."""
     row = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
-    kept = near_duplicates(df, id_col=id_col, text_col=text_col).where(F.struct("d", "t") == F.col("label")).select("d", "t").distinct()
-    return keyed(df, id_col, text_col, row).join(stored(kept, "kept"), ["d", "t"]).select("row.*")
+    kept = near_duplicates(df, id_col=id_col, text_col=text_col).where(F.struct(*KEY) == F.col("label")).select(*KEY).distinct()
+    return keyed(df, id_col, text_col, row).join(stored(kept, "kept"), list(KEY)).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

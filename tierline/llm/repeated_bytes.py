@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import read_table, stored
 from tierline.llm.hashing import (
-    BYTES, Entries, deal, dealt_schema, first_documents, gathered, keyed, mixed, owner_part, part_count, powers, runs_of,
-    text_bytes,
+    BYTES, KEY, Entries, Names, deal, dealt_schema, distinct, first_documents, gathered, keyed, mixed, names_of, owner_part,
+    part_count, pick, powers, runs_of, text_bytes,
 )
 from tierline.llm.suffix_sort import deep_shallow_order, neighbour_prefixes
 from tierline.llm.word_ids import text_batches
@@ -111,9 +111,9 @@ def _exchange_anchors(parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
-            d, t = batch.column("d").to_numpy(), batch.column("t").to_numpy()
-            once = first_documents(d, t)
-            d, t = d[once], t[once]
+            names = names_of(batch)
+            once = first_documents(names)
+            names = pick(names, once)
             data, bounds = text_bytes(batch.column("text").take(pa.array(once)))
             place, doc, kind, h = _spans(data, bounds, anchors(data, bounds))
             if not len(place):
@@ -121,10 +121,10 @@ def _exchange_anchors(parts: int):
             x = (place - bounds[doc]) * 2 + kind
             order, runs = runs_of(h)
             sent = order[runs[:-1]]
-            yield deal(parts, h[sent] % np.uint64(parts), doc[sent], d, t, h[sent], x[sent] + (np.diff(runs) << 32))
+            yield deal(parts, h[sent] % np.uint64(parts), doc[sent], names, h[sent], x[sent] + (np.diff(runs) << 32))
             known = order[np.repeat(np.diff(runs) > 1, np.diff(runs))]
             if len(known):
-                yield deal(parts, owner_part(d[doc[known]], t[doc[known]], parts), doc[known], d, t, None, x[known])
+                yield deal(parts, owner_part(pick(names, doc[known]), parts), doc[known], names, None, x[known])
 
     return run
 
@@ -145,13 +145,13 @@ def _shared_anchors(parts: int, hot: int):
         for entries in (known, rest):
             entries.x = (entries.x & 0xFFFFFFFF).astype(np.int32)
         n = len(often)
-        marks = deal(parts, np.full(n, _HOT_MARK), np.arange(n), often, np.zeros(n, np.int32), None, np.full(n, _HOT_MARK, np.int32))
+        marks = deal(parts, np.full(n, _HOT_MARK), np.arange(n), (often, *np.zeros((2, n), np.int64)), None, np.full(n, _HOT_MARK, np.int32))
         return pa.Table.from_batches([known.found(parts, np.arange(len(known.x))), rest.found(parts, order[np.repeat(size > 1, size)]), marks])
 
     return shared
 
 
-_AROUND = "p int, d array<bigint>, t array<int>, x array<bigint>, kind array<int>, o array<int>, c array<binary>"
+_AROUND = "p int, d array<bigint>, t array<bigint>, u array<bigint>, x array<bigint>, kind array<int>, o array<int>, c array<binary>"
 
 
 def _rows_by_part(part: np.ndarray, columns: dict[str, tuple]) -> pa.RecordBatch:
@@ -194,20 +194,19 @@ def _exchange_surroundings(parts: int, hot: np.ndarray):
     """Surroundings of shared anchors; ``x`` is the anchor's place, or, where ``o`` is -1, a span to be removed.
     Where ``o`` is -2, ``c`` is the digest of a string whose anchor is ``hot``, and ``x`` its start."""
 
-    def dealt_strings(d, t, doc, origin, start, digest) -> pa.RecordBatch:
+    def dealt_strings(names: Names, doc: np.ndarray, origin: np.ndarray, start: np.ndarray, digest: np.ndarray) -> pa.RecordBatch:
         sent, known = _same_strings(digest, doc, start)
         chosen = np.concatenate([sent, known])
         is_known = np.arange(len(chosen)) >= len(sent)
-        own, x = doc[chosen], (start - origin)[chosen]
+        own, x = pick(names, doc[chosen]), (start - origin)[chosen]
         part = (digest[chosen, 0].view(np.uint64) % np.uint64(parts)).astype(np.int64)
         c = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(chosen), [None, pa.py_buffer(np.ascontiguousarray(digest[chosen]))])
         return _rows_by_part(
-            np.where(is_known, owner_part(d[own], t[own], parts), part),
+            np.where(is_known, owner_part(own, parts), part),
             {
-                "d": (d[own], pa.int64()),
-                "t": (t[own], pa.int32()),
+                **{c: (v, pa.int64()) for c, v in zip(KEY, own, strict=True)},
                 "x": (np.where(is_known, (x << 32) + x + LENGTH, x), pa.int64()),
-                "kind": (np.zeros(len(own), np.int32), pa.int32()),
+                "kind": (np.zeros(len(chosen), np.int32), pa.int32()),
                 "o": (np.where(is_known, -1, -2), pa.int32()),
                 "c": (pc.if_else(pa.array(is_known), pa.scalar(b"", pa.binary()), c.cast(pa.binary())), pa.binary()),
             },
@@ -215,8 +214,8 @@ def _exchange_surroundings(parts: int, hot: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
-            batch = batch.take(pa.array(first_documents(batch.column("d").to_numpy(), batch.column("t").to_numpy())))
-            d, t = batch.column("d").to_numpy(), batch.column("t").to_numpy()
+            batch = batch.take(pa.array(first_documents(names_of(batch))))
+            names = names_of(batch)
             data, bounds = text_bytes(batch.column("text"))
             found = batch.column("x")
             doc = np.repeat(np.arange(len(found)), np.diff(np.asarray(found.offsets)))
@@ -247,17 +246,16 @@ def _exchange_surroundings(parts: int, hot: np.ndarray):
                 for a in range(0, len(often), step):
                     i = often[a : a + step]
                     who, start, digest = _hot_strings(raw, place[i], kind[i], begin[i], end[i])
-                    yield dealt_strings(d, t, doc[i][who], bounds[doc[i][who]], start, digest)
+                    yield dealt_strings(names, doc[i][who], bounds[doc[i][who]], start, digest)
             own = place - bounds[doc]
             part, offset, what = (h % np.uint64(parts)).astype(np.int64), place - begin, own.astype(np.int64)
             chosen = np.concatenate([sent, known])
             is_known = np.arange(len(chosen)) >= len(sent)
             span = ((begin - bounds[doc]) << 32) + (end - bounds[doc])
             yield _rows_by_part(
-                np.where(is_known, owner_part(d[doc[chosen]], t[doc[chosen]], parts), part[chosen]),
+                np.where(is_known, owner_part(pick(names, doc[chosen]), parts), part[chosen]),
                 {
-                    "d": (d[doc[chosen]], pa.int64()),
-                    "t": (t[doc[chosen]], pa.int32()),
+                    **{c: (v, pa.int64()) for c, v in zip(KEY, pick(names, doc[chosen]), strict=True)},
                     "x": (np.where(is_known, span[chosen], what[chosen]), pa.int64()),
                     "kind": (kind[chosen], pa.int32()),
                     "o": (np.where(is_known, -1, offset[chosen]), pa.int32()),
@@ -300,26 +298,27 @@ def equal_offsets(around: list[bytes], offset: np.ndarray, kind: int) -> list[li
 
 def _mark(parts: int):
     def mark(table: pa.Table) -> pa.Table:
-        columns = {c: pc.list_flatten(table[c]) for c in ("d", "t", "x", "kind", "o", "c")}
-        d, t, x, kind, o = (columns[c].to_numpy() for c in ("d", "t", "x", "kind", "o"))
+        columns = {c: pc.list_flatten(table[c]) for c in (*KEY, "x", "kind", "o", "c")}
+        names = tuple(columns[c].to_numpy() for c in KEY)
+        x, kind, o = (columns[c].to_numpy() for c in ("x", "kind", "o"))
         known, single = o == -1, np.flatnonzero(o == -2)
-        out = [(d[known], t[known], x[known])]
+        out = [(*pick(names, known), x[known])]
         digest = columns["c"].take(pa.array(single)).to_pylist()
         digest = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
-        again = single[_same_strings(digest, d[single], t[single], x[single])[1]]
-        out.append((d[again], t[again], (x[again] << 32) + x[again] + LENGTH))
+        again = single[_same_strings(digest, *pick(names, single), x[single])[1]]
+        out.append((*pick(names, again), (x[again] << 32) + x[again] + LENGTH))
         for k in (0, 1):
             own = np.flatnonzero((o >= 0) & (kind == k))
-            own = own[np.unique(np.rec.fromarrays([d[own], t[own], x[own]]), return_index=True)[1]] if len(own) else own
+            own = own[distinct((*pick(names, own), x[own]))[0]]
             if len(own) < 2:
                 continue
             runs = equal_offsets(columns["c"].take(pa.array(own)).to_pylist(), o[own], k)
             who = np.repeat(own, [len(r) for r in runs])
             if len(who):
                 spans = [((x[i] + a) << 32) + (x[i] + b + LENGTH) for i, r in zip(own, runs, strict=True) for a, b in r]
-                out.append((d[who], t[who], np.array(spans, np.int64)))
-        d, t, x = (np.concatenate(c) for c in zip(*out, strict=True))
-        return pa.Table.from_batches([deal(parts, owner_part(d, t, parts), np.arange(len(d)), d, t, None, x)])
+                out.append((*pick(names, who), np.array(spans, np.int64)))
+        *names, x = (np.concatenate(c) for c in zip(*out, strict=True))
+        return pa.Table.from_batches([deal(parts, owner_part(names, parts), np.arange(len(x)), names, None, x)])
 
     return mark
 
@@ -332,11 +331,11 @@ def surroundings(docs: DataFrame, parts: int, hot: int = HOT) -> DataFrame:
     marked = F.col("x")[0] == _HOT_MARK
     often = np.array([r.d for r in shared.where(marked).select("d").collect()], np.int64).view(np.uint64)
     shared = shared.where(~marked)
-    return docs.join(shared, ["d", "t"]).select("d", "t", "text", "x").mapInArrow(_exchange_surroundings(parts, often), _AROUND)
+    return docs.join(shared, list(KEY)).select(*KEY, "text", "x").mapInArrow(_exchange_surroundings(parts, often), _AROUND)
 
 
 def repeated_spans(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
-    """d, t, x: of each document the spans to be removed, each as ``start * 2**32 + end``; they may overlap."""
+    """d, t, u, x: of each document the spans to be removed, each as ``start * 2**32 + end``; they may overlap."""
     docs, parts = keyed(df, id_col, text_col), part_count(df)
     around = surroundings(docs, parts, hot)
     return stored(gathered(around.groupBy("p").applyInArrow(_mark(parts), dealt_schema("bigint")), "bigint"), "repeated-spans")
@@ -348,7 +347,7 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     others = [c for c in df.columns if c.lower() not in results]
     row = F.struct(*(F.col(f"`{c}`") for c in others)).alias("row")
     spans = repeated_spans(df, id_col=id_col, text_col=text_col, hot=hot)
-    given = keyed(df, id_col, text_col, row).join(spans, ["d", "t"], "left")
+    given = keyed(df, id_col, text_col, row).join(spans, list(KEY), "left")
     given = given.select("row", "text", F.coalesce("x", F.array().cast("array<bigint>")).alias("x"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import read_table, stored
 from tierline.llm.hashing import (
-    Entries, deal, dealt_schema, first_documents, gathered, keyed, owner_part, part_count, runs_of, shared_entries,
-    text_bytes, window_hashes, window_starts, word_hashes, word_spans,
+    KEY, Entries, Names, deal, dealt_schema, first_documents, gathered, keyed, names_of, owner_part, part_count, pick,
+    runs_of, shared_entries, text_bytes, window_hashes, window_starts, word_hashes, word_spans,
 )
 from tierline.llm.word_ids import text_batches
 
@@ -42,19 +42,19 @@ ANCHOR = WINDOW - PERIOD + 1
 BATCH_BYTES = 8 << 20
 
 
-def _batch_words(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """d, t, word hashes and first words of the batch's documents, each once."""
-    d, t = batch.column("d").to_numpy(), batch.column("t").to_numpy()
-    once = first_documents(d, t)
+def _batch_words(batch: pa.RecordBatch) -> tuple[Names, np.ndarray, np.ndarray]:
+    """Names, word hashes and first words of the batch's documents, each once."""
+    names = names_of(batch)
+    once = first_documents(names)
     data, bounds = text_bytes(batch.column("text").take(pa.array(once)))
     starts, ends, first = word_spans(data, bounds)
-    return d[once], t[once], word_hashes(data, starts, ends), first
+    return pick(names, once), word_hashes(data, starts, ends), first
 
 
 def _anchors(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
-            d, t, words, first = _batch_words(batch)
+            names, words, first = _batch_words(batch)
             place, doc = window_starts(first, ANCHOR)
             within = place - first[doc]
             chosen = np.isin(within % PERIOD, COVER)
@@ -64,10 +64,10 @@ def _anchors(parts: int):
             h = window_hashes(words, ANCHOR)[place]
             order, runs = runs_of(h)
             sent = order[runs[:-1]]
-            yield deal(parts, h[sent] % np.uint64(parts), doc[sent], d, t, h[sent], within[sent])
+            yield deal(parts, h[sent] % np.uint64(parts), doc[sent], names, h[sent], within[sent])
             known = order[np.repeat(np.diff(runs) > 1, np.diff(runs))]
             if len(known):
-                yield deal(parts, owner_part(d[doc[known]], t[doc[known]], parts), doc[known], d, t, None, within[known])
+                yield deal(parts, owner_part(pick(names, doc[known]), parts), doc[known], names, None, within[known])
 
     return run
 
@@ -77,12 +77,12 @@ def _candidate_windows(parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
-            d, t = batch.column("d").to_numpy(), batch.column("t").to_numpy()
-            once = first_documents(d, t)
+            names = names_of(batch)
+            once = first_documents(names)
             batch = batch.take(pa.array(once))
             data, bounds = text_bytes(batch.column("text"))
             starts, ends, first = word_spans(data, bounds)
-            d, t, words = d[once], t[once], word_hashes(data, starts, ends)
+            names, words = pick(names, once), word_hashes(data, starts, ends)
             anchors = batch.column("x")
             owner = np.repeat(np.arange(len(anchors)), np.diff(np.asarray(anchors.offsets)))
             at = anchors.flatten().to_numpy() + first[owner]
@@ -98,15 +98,15 @@ def _candidate_windows(parts: int):
                 continue
             h, g = window_hashes(words, WINDOW)[place], window_hashes(words, WINDOW, 1)[place]
             within = (place - first[doc]).astype(np.int32)
-            # Earliest of each window in the batch: by id, then text hash, then start.
-            order = np.lexsort((within, t[doc], d[doc], g, h))
+            # Earliest of each window in the batch: by id, then hashes of the text, then start.
+            order = np.lexsort((within, *pick(names, doc)[::-1], g, h))
             new = np.append(True, (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1]))
             sent, known = order[new], order[~new]
-            out = deal(parts, h[sent] % np.uint64(parts), doc[sent], d, t, h[sent], within[sent])
-            second = deal(parts, h[sent] % np.uint64(parts), doc[sent], d, t, g[sent], within[sent])
+            out = deal(parts, h[sent] % np.uint64(parts), doc[sent], names, h[sent], within[sent])
+            second = deal(parts, h[sent] % np.uint64(parts), doc[sent], names, g[sent], within[sent])
             yield out.append_column("g", second.column("h"))
             if len(known):
-                out = deal(parts, owner_part(d[doc[known]], t[doc[known]], parts), doc[known], d, t, None, within[known])
+                out = deal(parts, owner_part(pick(names, doc[known]), parts), doc[known], names, None, within[known])
                 yield out.append_column("g", out.column("h"))
 
     return run
@@ -119,23 +119,24 @@ def _later(parts: int):
         known = Entries(table.filter(table["known"]))
         table = table.filter(pc.invert(table["known"]))
         rest, g = Entries(table), Entries(table.set_column(table.column_names.index("h"), "h", table["g"])).h
-        order = np.lexsort((rest.x, rest.t[rest.doc], rest.d[rest.doc], g, rest.h))
+        full = (*pick(rest.names, rest.doc), rest.x)
+        order = np.lexsort((*full[::-1], g, rest.h))
         h, g = rest.h[order], g[order]
         new = np.append(True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])) if len(order) else np.empty(0, bool)
         # The same document may have been sent by two batches, if its row is repeated.
-        full = np.rec.fromarrays([rest.d[rest.doc][order], rest.t[rest.doc][order], rest.x[order]])
-        head = full[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))] if len(order) else full
-        return pa.Table.from_batches([known.found(parts, np.arange(len(known.x))), rest.found(parts, order[full != head])])
+        head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))] if len(order) else order
+        later = np.any([c[order] != c[head] for c in full], axis=0)
+        return pa.Table.from_batches([known.found(parts, np.arange(len(known.x))), rest.found(parts, order[later])])
 
     return later
 
 
 def later_windows(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """d, t, x: of each document the starts (in words) of the windows that repeat an earlier one."""
+    """d, t, u, x: of each document the starts (in words) of the windows that repeat an earlier one."""
     docs, parts = keyed(df, id_col, text_col), part_count(df)
     shared = docs.mapInArrow(_anchors(parts), dealt_schema()).groupBy("p").applyInArrow(shared_entries(parts), dealt_schema())
     shared = stored(gathered(shared), "shared-anchors")
-    windows = docs.join(shared, ["d", "t"]).select("d", "t", "text", "x")
+    windows = docs.join(shared, list(KEY)).select(*KEY, "text", "x")
     windows = windows.mapInArrow(_candidate_windows(parts), dealt_schema() + ", g array<bigint>")
     return stored(gathered(windows.groupBy("p").applyInArrow(_later(parts), dealt_schema())), "later-windows")
 
@@ -146,7 +147,7 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     kept = [c for c in df.columns if c.lower() not in results]
     row = F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row")
     marks = later_windows(df, id_col=id_col, text_col=text_col)
-    given = keyed(df, id_col, text_col, row).join(marks, ["d", "t"], "left")
+    given = keyed(df, id_col, text_col, row).join(marks, list(KEY), "left")
     given = given.select("row", "text", F.coalesce("x", F.array().cast("array<int>")).alias("x"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
