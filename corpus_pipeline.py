@@ -23,7 +23,7 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id."""
+    """Of each group of near duplicates one row, of the document with the smallest id."""
     return ngram_join.keep_one(docs)
 
 

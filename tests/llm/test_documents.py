@@ -68,6 +68,17 @@ def test_keep_one_keeps_columns_and_texts_without_words(docs, rows):
     assert {r.doc_id for r in kept.collect()} == {i for i, (_, c) in cases.components(rows).items() if i == c}
 
 
+def test_keep_one_of_equal_rows(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, "en", "b", 0)] * 5 + [(1, text, "en", "a", 0)] + [(None, text.replace("w", "z"), "en", "a", 0)] * 4
+    rows += [(2, "quite other words", "en", "a", 0), (3, None, "en", "a", 0), (3, None, "en", "a", 0)]
+    want = sorted([rows[5], rows[6], *rows[10:]], key=str)
+    df = cases.frame(spark, rows)
+    assert sorted(map(tuple, ngram_join.keep_one(df).collect()), key=str) == want
+    more = ngram_join.keep_one(df.withColumn("more", F.create_map("source", "n_chars")))  # a column without order
+    assert sorted((tuple(r)[:-1] for r in more.collect()), key=str) == want
+
+
 def test_repeated_ids_and_null_ids(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(1, text, "", "", 0), (1, text, "", "", 0), (1, "other words here now then", "", "", 0), (None, text, "", "", 0), (None, None, "", "", 0)]

@@ -435,10 +435,18 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_one(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Of each component the document with the smallest id (all its rows), with the columns of ``df``; texts without words stay."""
+    """Of each component one row, of the document with the smallest id, with the columns of ``df``; all rows of texts
+    without words stay. Of rows equal in id and text the smallest stays (where a column has no order, by its JSON)."""
     row = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
-    kept = near_duplicates(df, id_col=id_col, text_col=text_col).where(F.struct(*KEY) == F.col("label")).select(*KEY).distinct()
-    return keyed(df, id_col, text_col, row).join(stored(kept, "kept"), list(KEY)).select("row.*")
+    found = near_duplicates(df, id_col=id_col, text_col=text_col).where(F.struct(*KEY) == F.col("label"))
+    kept = stored(found.groupBy(*KEY).agg((F.count("*") * F.sign(F.max("n"))).alias("rows")), "kept")
+    rows = keyed(df, id_col, text_col, row).select(*KEY, "row")
+    once = rows.join(kept.where("rows <= 1").select(*KEY), list(KEY)).select("row")
+    # Few documents have more rows than one, and only those rows are grouped; partial aggregates shrink a large group first.
+    several = rows.join(kept.where("rows > 1").select(*KEY), list(KEY))
+    ordered = not any(kind in df.select(row).schema.simpleString() for kind in ("map<", "variant", "interval"))
+    first = F.min("row") if ordered else F.min_by("row", F.to_json("row"))
+    return once.union(several.groupBy(*KEY).agg(first.alias("row")).select("row")).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
