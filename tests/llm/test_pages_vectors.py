@@ -44,6 +44,14 @@ def test_best_stretch_against_all_stretches(seed):
     assert sum(scores[a:b]) == max([0] + [sum(scores[i:j]) for i in range(30) for j in range(i, 31)])
 
 
+def test_main_text_keeps_links_cells_and_items_of_an_article():
+    """Also where pages have taught that words of such places mostly stand outside."""
+    weights = {"|p": 3.0, "|a": -2.0, "|td": -1.0, "|li": -1.0}
+    long = "many words of the article stand before and after it here"
+    page = f"<p>{long} and <a href='x'>a link</a> too</p><table><tr><td>one cell</td></tr></table><ul><li>an item</li></ul><p>{long}</p>"
+    assert main_text.main_text(page, weights) == f"{long} and a link too\none cell\nan item\n{long}"
+
+
 def test_main_text_of_a_very_long_page():
     assert main_text.main_text("<p>" + "word " * 200_000, {}).count(" ") == 199_999
     assert main_text.main_text("<div>" * 20_000 + "deep" + "</b>" * 20_000, {}) == "deep"

@@ -4,7 +4,7 @@ A page is read as a line of tags and text runs. A run scores the weight of its p
 for each word, a tag costs a little, and a named section (an advert, a menu, a form,
 comments or the like) costs its words' weights up to a limit. One linear scan finds the
 contiguous stretch with the highest sum, which is the article. Text inside it that
-stands in a named section is left out.
+stands in a named section is left out, and no other.
 
 The weights come from labelled pages: those whose own markup says where the article
 is (``article`` or ``main``). Words are counted by place inside and outside of it over
@@ -199,7 +199,7 @@ def main_text(html: str, weights: dict[str, float]) -> str:
     blocks, block = [], []
     for text, tag, place, _ in line[first:end]:
         if text:
-            if of[place] > 0:
+            if place.startswith("|"):  # in no named section, whatever the weight of its place
                 block.append(text)
         elif tag == "br":
             block.append(" ")
