@@ -52,6 +52,35 @@ def test_main_text_keeps_links_cells_and_items_of_an_article():
     assert main_text.main_text(page, weights) == f"{long} and a link too\none cell\nan item\n{long}"
 
 
+ARTICLE = "<p>The story has quite a few words here, and more of them follow.</p>"
+STORY = "The story has quite a few words here, and more of them follow."
+COMMENTS = "<div class='comments'><article><p>I like it</p></article></div>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<form id=aspnetForm><div class=menu>Home</div><article>{ARTICLE}{COMMENTS}</article></form>",
+        f"<div class='layout has-sidebar'><main>{ARTICLE}</main><div class=sidebar><article>Other news</article></div></div>",
+        f"<div class='no-sidebar'><div class='ad-free'>{ARTICLE}</div><div class=comments>I like it</div></div>",
+        f"<main><div class='with-comments'><div>{ARTICLE}</div><div id=comments>I like it</div></div></main>",
+        f"<article>{ARTICLE}</article><aside><article><p>Other news</p></article></aside>",
+        f"<div class='sidebar'><article>{ARTICLE}</article></div>",
+    ],
+)
+def test_main_text_within_wrappers_that_are_named(page):
+    assert main_text.main_text(f"<html><body>{page}</body></html>", {}) == STORY
+    inside = [t for t, _, _, inside in main_text.tokens(page) if inside]
+    assert inside == ([STORY] if "<article" in page or "<main" in page else [])
+
+
+def test_main_text_leaves_out_long_comments():
+    page = f"<div>{ARTICLE}</div><div id='comments' class='comments-area'>{'I like it very much indeed. ' * 40}</div>"
+    assert main_text.main_text(page, {}) == STORY
+    marked = page.replace("div>", "article>", 1).replace("</div>", "</article>", 1).replace("id='comments' ", "")
+    assert main_text.main_text(marked, {}) == STORY
+
+
 def test_main_text_of_a_very_long_page():
     assert main_text.main_text("<p>" + "word " * 200_000, {}).count(" ") == 199_999
     assert main_text.main_text("<div>" * 20_000 + "deep" + "</b>" * 20_000, {}) == "deep"

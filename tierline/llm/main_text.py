@@ -12,6 +12,12 @@ all such pages; a place's weight is the log of the smoothed ratio. Places are pa
 a fixed list of section kinds and of block tags, so the table that reaches every task
 is small whatever the input.
 
+A section's kind comes from its tag, class, id or role, and holds for all below. Not so
+for mere wrappers: an element around ``main``, or around an ``article`` where the page
+has none outside of named sections, unless it lies in an article itself; and a form or
+an element of a compound name (``has-sidebar``) that holds more than half of the words,
+unless the page's article is marked elsewhere.
+
 Defined cases: null or empty html gives an empty text; a page without words gives an
 empty text; broken or cut-off markup is read as far as it goes; repeated rows give
 repeated results; other columns are kept unless they carry a result's name.
@@ -71,62 +77,109 @@ TAG_COST = -0.2
 SECTION_LIMIT = -2 * LIMIT  # what one named section costs at most, so that an advert doesn't end its article
 
 
+class _Element:
+    """An element. ``named`` is the kind that it would give its section, ``exact`` whether a whole name or its tag says so;
+    ``words``, ``main`` and ``article`` tell what it holds. ``kind`` is known when the page has been read."""
+
+    __slots__ = ("name", "parent", "named", "exact", "articles", "place", "words", "main", "article", "kind")
+
+    def __init__(self, name: str = "", parent: _Element | None = None, named: str = "", exact: bool = False):
+        self.name, self.parent, self.named, self.exact, self.kind = name, parent, named, exact, ""
+        self.articles = (parent.articles if parent else 0) + (name in ARTICLE)
+        self.place = name if name in PLACES or not parent else parent.place
+        self.words, self.main, self.article = 0, name == "main", name == "article"
+
+
+def _named(name: str, attributes: str) -> tuple[str, bool]:
+    """The kind that an element's tag or names say, and whether it's the tag or a whole name that says so. A form says it
+    of its fields, and a name like ``has-sidebar`` may stand on what lies around one."""
+    kind, exact = KIND_OF_TAG.get(name, ""), name in KIND_OF_TAG and name != "form"
+    for m in _NAMING.finditer(attributes) if attributes else ():
+        names = (m[1] or m[2] or m[3] or "").lower()
+        for word in _PARTS.findall(names):
+            kind = kind or _KIND_BY_WORD.get(word, "")
+        exact = exact or any(word in _KIND_BY_WORD for word in names.split())
+    return kind, exact
+
+
 class _Open:
-    """The open elements of a page, forgiving about what is never closed."""
+    """The elements of a page, and which are open; forgiving about what is never closed."""
 
     def __init__(self) -> None:
-        self._stack: list[tuple[str, str, int, str]] = []  # name, kind, articles around, place
+        self.top = _Element()
+        self.all = [self.top]
+        self._stack = [self.top]
         self._count: Counter[str] = Counter()
-        self.kind, self.articles, self.place = "", 0, ""
+
+    @property
+    def last(self) -> _Element:
+        return self._stack[-1]
 
     def _pop_to(self, name: str) -> None:
         while True:
             top = self._stack.pop()
-            self._count[top[0]] -= 1
-            if top[0] == name:
+            self._count[top.name] -= 1
+            if top.name == name:
                 break
-        self._see()
-
-    def _see(self) -> None:
-        _, self.kind, self.articles, self.place = self._stack[-1] if self._stack else ("", "", 0, "")
 
     def open(self, name: str, attributes: str) -> None:
         if name not in INLINE and self._count["p"]:
             self._pop_to("p")
-        elif name == "li" and self._stack and self._stack[-1][0] == "li":
+        elif name == "li" and self.last.name == "li":
             self._pop_to("li")
         if name in VOID:
             return
-        kind, articles = self.kind, self.articles + (name in ARTICLE)
-        if not kind:
-            kind = KIND_OF_TAG.get(name, "")
-            for m in _NAMING.finditer(attributes) if attributes else ():
-                for word in _PARTS.findall((m[1] or m[2] or m[3] or "").lower()):
-                    kind = kind or _KIND_BY_WORD.get(word, "")
-            if name in ("html", "body", "article", "main") or (kind == "header" and articles):
-                kind = ""
-        self._stack.append((name, kind, articles, name if name in PLACES else self.place))
+        kind, exact = _named(name, attributes)
+        if name in ("html", "body", "article", "main") or (kind == "header" and self.last.articles):
+            kind = ""
+        self._stack.append(_Element(name, self.last, kind, exact))
+        self.all.append(self.last)
         self._count[name] += 1
-        self._see()
 
     def close(self, name: str) -> None:
         if self._count[name]:
             self._pop_to(name)
 
+    def see_kinds(self) -> None:
+        """Sections by their names, but for mere wrappers of the page's content."""
+        for e in reversed(self.all[1:]):
+            up = e.parent
+            up.words, up.main, up.article = up.words + e.words, up.main or e.main, up.article or e.article
+        half, marked = self.top.words / 2, self.top.main or self.top.article
+
+        def resolve(held: bool) -> bool:
+            """Whether an article or main lies in no named section. ``held``: an article makes its wrapper one, as main does."""
+            found = False
+            for e in self.all[1:]:
+                holds = not e.articles and (e.main or (held and e.article))
+                wraps = holds or (not e.exact and e.words > half and (e.articles or e.article or not marked))
+                e.kind = e.parent.kind or ("" if wraps else e.named)
+                found = found or (e.name in ARTICLE and not e.kind)
+            return found
+
+        # Articles within a sidebar or the like are teasers if the page has another that is in none.
+        if not resolve(False) and self.top.article:
+            resolve(True)
+
 
 def tokens(html: str) -> Iterator[tuple[str, str, str, bool]]:
     """``(text, tag, place, inside)``: text runs have tag "", tags have text "". inside: in a marked article."""
     around = _Open()
+    line = []
     for m in _TOKENS.finditer(html):
         if (text := m["text"]) is not None:
-            yield text, "", f"{around.kind}|{around.place}", bool(around.articles and not around.kind)
+            around.last.words += len(text.split())
+            line.append((text, "", around.last))
         elif m["name"]:
             name = m["name"].lower()
             if m["close"]:
                 around.close(name)
             else:
                 around.open(name, m["attributes"])
-            yield "", name, around.kind, False
+            line.append(("", name, around.last))
+    around.see_kinds()
+    for text, name, e in line:
+        yield (text, "", f"{e.kind}|{e.place}", bool(e.articles and not e.kind)) if text else ("", name, e.kind, False)
 
 
 def _counts(pages: list[str]) -> Counter:
