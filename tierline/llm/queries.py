@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from tierline.llm import bpe, main_text, mixing, neighbours, ngram_join, packing, quality_rules, repeated_bytes, repeated_windows, warc
+from tierline.llm import (
+    bpe,
+    main_text,
+    mixing,
+    neighbours,
+    ngram_join,
+    packing,
+    periodic_runs,
+    quality_rules,
+    repeated_bytes,
+    repeated_windows,
+    warc,
+)
 
 QUERIES = {
     "op5_signature_tree_join": ngram_join.query,
@@ -15,6 +27,7 @@ QUERIES = {
     "op1_bpe": bpe.query,
     "op7_mix_sources": mixing.query,
     "op10_quality_rules": quality_rules.query,
+    "op13_periodic_runs": periodic_runs.query,
 }
 ORACLE = {
     "op8_cover_anchor_dedup": repeated_windows.ORACLE,
