@@ -64,3 +64,24 @@ def numbered(df: DataFrame, *order: Column) -> DataFrame:
     starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     within = F.col("_place").bitwiseAND(F.lit(2**33 - 1))
     return table.join(starts, "_part").withColumn("_n", F.col("_start") + within + 1).drop("_place", "_part", "_start")
+
+
+def attach(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
+    """``rows`` with the columns of ``table`` (one row per ``key``; left join), however many rows share a key.
+
+    ``weight`` is the number of rows of each key. A key with at least a quarter of a task's even share is heavy; there
+    are at most four such keys per shuffle partition, so their table is small and goes to all tasks. Their rows are
+    spread by a number of their own in the join with the rest of the table, which they don't match.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = stored(table, "attach")
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    is_heavy = F.col(weight) * F.lit(4 * parts) >= F.lit(total)
+    found = [c for c in table.columns if c not in (key, weight)]
+    heavy = table.where(is_heavy).select(F.col(key).alias("_heavy"), *(F.col(c).alias(f"_heavy_{c}") for c in found))
+    spread = F.when(F.col("_heavy").isNull(), F.lit(0)).otherwise(F.monotonically_increasing_id() + 1)
+    dealt = rows.join(F.broadcast(heavy), F.col(key) == F.col("_heavy"), "left").withColumn("_spread", spread)
+    light = table.where(~is_heavy).drop(weight).withColumn("_spread", F.lit(0).cast("bigint"))
+    joined = dealt.join(light, [key, "_spread"], "left")
+    either = [F.when(F.col("_heavy").isNull(), F.col(c)).otherwise(F.col(f"_heavy_{c}")).alias(c) for c in found]
+    return joined.select(*rows.columns, *either)

@@ -13,6 +13,7 @@ from tierline.llm import (
     quality_rules,
     repeated_bytes,
     repeated_windows,
+    token_counts,
     warc,
 )
 
@@ -27,6 +28,7 @@ QUERIES = {
     "op1_bpe": bpe.query,
     "op7_mix_sources": mixing.query,
     "op10_quality_rules": quality_rules.query,
+    "op11_token_counts": token_counts.query,
     "op13_periodic_runs": periodic_runs.query,
 }
 ORACLE = {
