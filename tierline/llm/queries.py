@@ -10,6 +10,7 @@ from tierline.llm import (
     ngram_join,
     packing,
     periodic_runs,
+    prefix_trie,
     quality_rules,
     repeated_bytes,
     repeated_windows,
@@ -29,6 +30,7 @@ QUERIES = {
     "op7_mix_sources": mixing.query,
     "op10_quality_rules": quality_rules.query,
     "op11_token_counts": token_counts.query,
+    "op12_prefix_trie": prefix_trie.query,
     "op13_periodic_runs": periodic_runs.query,
 }
 ORACLE = {
@@ -36,4 +38,5 @@ ORACLE = {
     "op4_warc_salvage": warc.ORACLE,
     "op7_mix_sources": mixing.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
 }
