@@ -80,7 +80,7 @@ def frame(spark, rows):
     return cases.with_clashes(spark.createDataFrame(rows, SCHEMA).repartition(5))
 
 
-@pytest.mark.parametrize("shard, block", [(4096, 256), (7, 4), (1, 1)])
+@pytest.mark.parametrize("shard, block", [(512, 256), (7, 4), (1, 1)])
 def test_trie(spark, shard, block):
     rows = awkward_rows(3, 60)
     df = frame(spark, rows)

@@ -47,7 +47,7 @@ from pyspark.sql import Window as W
 
 from tierline.llm.common import attach, numbered, read_table, stored
 
-SHARD = 4096
+SHARD = 512
 BLOCK = 256
 END_PIECE = 512  # ids in one row of a list of ends
 BLOCK_OF = 100  # the query: conversations that share one beginning
