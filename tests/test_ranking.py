@@ -29,9 +29,10 @@ def _scores(spark, values, dtype="double"):
 
 
 @pytest.mark.parametrize("ascending", [False, True])
-@pytest.mark.parametrize("heavy", [True, False])
-def test_doubles_with_special_values(spark, monkeypatch, ascending, heavy):
-    monkeypatch.setattr(ranking, "HEAVY_SHARE", 3000 if heavy else 2)
+@pytest.mark.parametrize("small, heavy", [(10_000, 4), (1, 4), (1, 0)])  # few scores; some heavy ones; none
+def test_doubles_with_special_values(spark, monkeypatch, ascending, small, heavy):
+    monkeypatch.setattr(ranking, "SMALL_TABLE", small)
+    monkeypatch.setattr(ranking, "HEAVY_PER_TASK", heavy)
     rnd = random.Random(2)
     values = [rnd.uniform(-1000, 1000) for _ in range(1500)] + [42.0] * 800
     values += [None] * 11 + [float("nan")] * 5 + [math.inf, -math.inf, 0.0, -0.0, -0.0]
@@ -65,6 +66,26 @@ def test_two_ranks(spark):
         assert sorted((r.a, r.b, r.ra, r.rb) for r in out.collect()) == sorted((r.a, r.b, r.ra, r.rb) for r in expected.collect())
 
 
+def test_ranks_of_several_types_share_one_table(spark, monkeypatch):
+    """Each of the three ways to join, in one call, over text, timestamps and numbers with nulls."""
+    monkeypatch.setattr(ranking, "SMALL_TABLE", 40)
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit("k"), F.col("id") % 9)).alias("few"),
+        F.timestamp_seconds(F.col("id")).alias("none_heavy"),
+        F.when(F.col("id") % 3 == 0, F.lit(1.5)).otherwise(F.pmod(F.hash("id"), F.lit(800)) / 4).alias("some_heavy"),
+    )
+    ranks = [RankSpec("few", "r0", ascending=True), RankSpec("none_heavy", "r1"), RankSpec("some_heavy", "r2")]
+    want = df.withColumns(
+        {
+            "r0": F.rank().over(Window.orderBy(F.col("few").asc_nulls_first())),
+            "r1": F.rank().over(Window.orderBy(F.col("none_heavy").desc())),
+            "r2": F.rank().over(Window.orderBy(F.col("some_heavy").desc())),
+        }
+    )
+    key = lambda r: str(tuple(r))
+    assert sorted(map(key, global_ranks(df, ranks).collect())) == sorted(map(key, want.collect()))
+
+
 def test_empty_input(spark):
     assert global_rank(spark.createDataFrame([], "s double"), "s", "r").count() == 0
 
