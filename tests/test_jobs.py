@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
-from tierline.operators.quality import DataQualityError
-from tierline.plans.jobs import layer_path, run_all, run_bronze, run_silver
+from tierline.operators.quality import DataQualityError, NotNull, read_audit
+from tierline.plans.jobs import BronzeCounts, SilverCounts, layer_path, run_all, run_bronze, run_silver
 from tierline.plans.marts import GOLD_BUILDERS
 from tierline.plans.specs import SOURCE_SPECS
-from tierline.sources.tables import read_table
+from tierline.sources.tables import current_version, published_versions, read_table
 
 MEDALS = (
     "Rank,TeamCountry,Gold,Silver,Bronze,Total,Rank by Total\n"
@@ -101,15 +103,75 @@ def test_gate_publishes_in_order_up_to_first_failure(spark, tmp_path):
     assert not any((silver / n).exists() for n in ("athletes", "coaches", "teams"))
 
 
-@pytest.mark.parametrize("materialize", ["cache", "stage"])
-def test_silver_modes_agree(spark, tmp_path, materialize):
+def test_silver_report_counts_rows(spark, tmp_path):
     raw, lake = _raw(tmp_path), str(tmp_path / "lake")
-    specs = {k: SOURCE_SPECS[k] for k in ("medals", "entriesgender", "teams")}
-    run_bronze(spark, specs, raw, lake)
-    report = run_silver(spark, specs, lake, materialize=materialize, fail_fast=False)
+    specs = {k: SOURCE_SPECS[k] for k in ("medals", "entriesgender", "teams", "athletes")}
+    assert run_bronze(spark, specs, raw, lake) == {
+        "medals": BronzeCounts(4, 0),
+        "entriesgender": BronzeCounts(3, 0),
+        "teams": BronzeCounts(2, 0),
+        "athletes": BronzeCounts(5, 0),
+    }
+    report = run_silver(spark, specs, lake, fail_fast=False)
     assert [r.passed for r in report["teams"]] == [True, True, False]
     medals = read_table(spark, layer_path(lake, "silver", "medals"))
     assert medals.count() == 4 and "_ingested_at" in medals.columns
+    assert list(report.published) == list(specs)
+    assert report.counts["athletes"] == SilverCounts(rows_read=5, without_key=1, duplicates=1, rows_kept=3)
+    assert report.counts["teams"] == SilverCounts(2, 0, 1, 1)
+    unkeyed = {"athletes": dataclasses_replace(SOURCE_SPECS["athletes"], keys=None)}
+    assert run_silver(spark, unkeyed, lake, fail_fast=False).counts["athletes"] == SilverCounts(5, 1, 0, 4)
+
+
+def _silver_writes(spark, lake, specs):
+    """Folders of table versions that hold data, by table."""
+    root = os.path.join(lake, "silver", "_versions")
+    return {n: len(os.listdir(os.path.join(root, n))) for n in sorted(os.listdir(root))}
+
+
+def test_one_write_per_table_and_a_failed_gate_keeps_the_old_version(spark, tmp_path):
+    raw, lake = _raw(tmp_path), str(tmp_path / "lake")
+    small = {"medals": SOURCE_SPECS["medals"], "athletes": dataclasses_replace(SOURCE_SPECS["athletes"], rules=lambda: [NotNull(["country"])])}
+    run_bronze(spark, small, raw, lake)
+    first = run_silver(spark, small, lake)
+    assert _silver_writes(spark, lake, small) == {"athletes": 1, "medals": 1}
+    path = layer_path(lake, "silver", "athletes")
+    before = sorted(map(str, read_table(spark, path).collect()))
+    with pytest.raises(DataQualityError, match="MinRowCount"):
+        run_silver(spark, {"medals": SOURCE_SPECS["medals"], "athletes": SOURCE_SPECS["athletes"]}, lake)
+    assert sorted(map(str, read_table(spark, path).collect())) == before
+    assert current_version(spark, path) == first.published["athletes"]
+    assert current_version(spark, layer_path(lake, "silver", "medals")) != first.published["medals"]
+    assert published_versions(spark, layer_path(lake, "silver", "medals")).count() == 2
+    old = read_table(spark, layer_path(lake, "silver", "medals"), version=first.published["medals"])
+    assert old.count() == 4
+
+
+@pytest.mark.parametrize("max_concurrent", [1, 4])
+def test_an_error_in_one_dataset_keeps_the_earlier_ones_published(spark, tmp_path, max_concurrent):
+    raw, lake = _raw(tmp_path), str(tmp_path / "lake")
+    order = ["medals", "entriesgender", "teams", "coaches", "athletes"]
+    specs = {k: dataclasses_replace(SOURCE_SPECS[k], rules=list) for k in order}
+    run_bronze(spark, specs, raw, lake)
+    specs["teams"] = dataclasses_replace(specs["teams"], keys=("no_such_column",))
+    with pytest.raises(ValueError, match="no_such_column"):
+        run_silver(spark, specs, lake, max_concurrent=max_concurrent)
+    assert [current_version(spark, layer_path(lake, "silver", n)) is not None for n in order] == [True, True, False, False, False]
+
+
+def test_stored_audit_keeps_runs_and_replaces_a_repeat(spark, tmp_path):
+    raw, lake, kept = _raw(tmp_path), str(tmp_path / "lake"), str(tmp_path / "audit")
+    specs = {k: SOURCE_SPECS[k] for k in ("medals", "athletes", "teams")}
+    run_bronze(spark, specs, raw, lake)
+    for run in ("r1", "2024", "r1"):
+        with pytest.raises(DataQualityError, match="athletes"):
+            run_silver(spark, specs, lake, audit_path=kept, run_id=run)
+    rows = read_audit(spark, kept).orderBy("run_id", "place").collect()
+    assert [(r.run_id, r.dataset, r.rule) for r in rows[:4]] == [("2024", "medals", x) for x in ("ColumnsExist", "NotNull", "NonNegative", "Unique")]
+    assert len(rows) == 2 * 8 and {r.run_id for r in rows} == {"2024", "r1"}
+    assert [(r.rule, r.observed) for r in rows if r.run_id == "r1" and not r.passed] == [("MinRowCount", "3")]
+    with pytest.raises(ValueError, match="run_id"):
+        run_silver(spark, specs, lake, audit_path=kept)
 
 
 def test_bronze_keeps_corrupt_lines_when_asked(spark, tmp_path):
@@ -124,7 +186,10 @@ def test_bronze_keeps_corrupt_lines_when_asked(spark, tmp_path):
     )
     spec = dataclasses.replace(SOURCE_SPECS["medals"], corrupt_record_column="_corrupt_record")
     lake = str(tmp_path / "lake")
-    run_bronze(spark, {"medals": spec}, str(raw), lake)
+    assert run_bronze(spark, {"medals": spec}, str(raw), lake) == {"medals": BronzeCounts(2, 1)}
+    plain = str(tmp_path / "plain")
+    assert run_bronze(spark, {"medals": SOURCE_SPECS["medals"]}, str(raw), plain) == {"medals": BronzeCounts(2, 1)}
+    assert "_malformed_line" not in read_table(spark, layer_path(plain, "bronze", "medals")).columns
     bronze = read_table(spark, layer_path(lake, "bronze", "medals"))
     assert bronze.where("_corrupt_record IS NOT NULL").count() == 1
     silver = spec.to_silver(bronze)
@@ -152,5 +217,5 @@ def test_a_spec_chooses_how_its_file_is_read(spark, tmp_path):
     (raw / "EntriesGender.csv").write_text("Discipline,Female,Male,Total\n\"Two\nlines\",1,2,3\nRelay,x,2,3\n")
     spec = dataclasses_replace(SOURCE_SPECS["entriesgender"], multi_line=True, mode="DROPMALFORMED")
     lake = str(tmp_path / "lake")
-    run_bronze(spark, {"entriesgender": spec}, str(raw), lake)
+    assert run_bronze(spark, {"entriesgender": spec}, str(raw), lake) == {"entriesgender": BronzeCounts(1, None)}
     assert [r["Discipline"] for r in read_table(spark, layer_path(lake, "bronze", "entriesgender")).collect()] == ["Two\nlines"]

@@ -6,12 +6,15 @@ chain that strings them together from a :class:`~tierline.plans.specs.DatasetSpe
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 from tierline.functions.columns import clean_string
+from tierline.session import stored
 
 LINEAGE_COLUMNS = ("_ingested_at", "_source_file")
 
@@ -57,36 +60,54 @@ def drop_null_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna(how="any", subset=list(columns))
 
 
-def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def dedupe(df: DataFrame, keys: Sequence[str], *, rare: bool = False, seen: dict[str, int] | None = None) -> DataFrame:
     """Keep one row per key; NULL keys compare equal.
 
     The surviving row is the one whose non-key columns, compared left to right
-    with NULL first, are smallest, so every run keeps the same row. It is a
-    ``min(struct)`` aggregate: partial aggregation runs before the shuffle, so
-    a key holding a third of the rows collapses map-side instead of landing
-    whole in one task.
+    with NULL first, are smallest, so every run keeps the same row. It is the first
+    of its key in a window, in one shuffle; before it each task keeps at most one row
+    per key, so a key that holds a third of the rows does not meet in one task.
+
+    With ``rare``, wide rows are neither sorted nor moved when few of them share a key.
+    Building the frame then runs one job that counts the rows of every key: it reads,
+    groups and shuffles the key columns alone, and stores the keys that have more than
+    one row. Without any, ``df`` is returned as it is. Otherwise only rows with such keys
+    are compared; all others pass, unshuffled where Spark finds the stored keys small
+    enough to broadcast. When most rows turn out to share their key, all are compared.
+
+    ``seen`` receives the counts of that job, ``rows`` and distinct ``keys``, and asks for it.
     """
     wanted = {k.lower() for k in keys}
     keys = [c for c in df.columns if c.lower() in wanted]
     if len(keys) < len(wanted):
         raise ValueError(f"no such key column: {sorted(wanted - {k.lower() for k in keys})}")
     others = [f for f in df.schema.fields if f.name not in keys]
-    if not others:
-        return df.distinct()
-    row = F.struct(*[F.col(f"`{f.name}`") for f in others])
-    if any(_holds_map(f.dataType) for f in others):
-        # Maps have no order: such a column is compared by its JSON text.
-        rank = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if _holds_map(f.dataType) else F.col(f"`{f.name}`") for f in others]
-        survivor = F.min_by(row, F.struct(*rank))
-    else:
-        survivor = F.min(row)
-    grouped = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(survivor.alias("_survivor"))
-    return grouped.select(
-        *[
-            F.col(f"`{c}`") if c in keys else F.col("_survivor")[c].alias(c)
-            for c in df.columns
-        ]
-    )
+    # Maps have no order: such a column is compared by its JSON text.
+    order = [
+        F.to_json(F.struct(F.col(f"`{f.name}`"))) if _holds_map(f.dataType) else F.col(f"`{f.name}`").asc_nulls_first() for f in others
+    ]
+
+    def survivors(rows: DataFrame) -> DataFrame:
+        if not others:
+            return rows.distinct()
+        first = F.row_number().over(Window.partitionBy(*(F.col(f"`{k}`") for k in keys)).orderBy(*order))
+        return rows.withColumn("_row_number", first).where("_row_number = 1").drop("_row_number")
+
+    if not rare and seen is None:
+        return survivors(df)
+    named = [F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(keys)]
+    copies, n, count = df.groupBy(*named).agg(F.count(F.lit(1)).alias("_copies")), F.col("_copies"), Observation()
+    observed = copies.observe(count, F.sum(n).alias("rows"), F.count(n).alias("keys"), F.sum(F.when(n > 1, n)).alias("compared"))
+    repeated = stored(observed.where("_copies > 1").drop("_copies"), "dedupe-keys")
+    n_rows, n_keys, compared = (count.get[x] or 0 for x in ("rows", "keys", "compared"))
+    if seen is not None:
+        seen.update(rows=n_rows, keys=n_keys)
+    if n_rows == n_keys:
+        return df
+    if 2 * compared > n_rows:
+        return survivors(df)
+    same = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+    return df.join(repeated, same, "left_anti").unionByName(survivors(df.join(repeated, same, "left_semi")))
 
 
 def _holds_map(kind: DataType) -> bool:
@@ -102,12 +123,17 @@ def conform(
     zero_fill: Sequence[str] = (),
     required: Sequence[str] = (),
     keys: Sequence[str] | None = None,
+    seen: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Silver chain: rename -> clean strings -> zero fill -> drop null keys -> de-duplicate."""
+    """Silver chain: rename -> clean strings -> zero fill -> drop null keys -> de-duplicate.
+
+    With ``keys``, ``seen`` receives the number of ``rows`` that have all their required
+    columns and of distinct ``keys``, counted by :func:`dedupe`.
+    """
     out = rename_columns(df, renames or {})
     out = clean_strings(out)
     out = fill_zero(out, zero_fill)
     out = drop_null_keys(out, required)
     if keys:
-        out = dedupe(out, keys)
+        out = dedupe(out, keys, seen=seen)
     return out

@@ -31,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tierline.session import scratch_path
+from tierline.session import stored
 
 HEAVY_PER_TASK = 4  # heavy scores for each shuffle partition, at most
 SMALL_TABLE = 1_000  # so many scores are always few
@@ -65,7 +65,7 @@ def global_ranks(df: DataFrame, ranks: Sequence[RankSpec], *, materialize: bool
     """
     if not ranks:
         return df
-    out = _stored(df, "rank-input") if materialize else df
+    out = stored(df, "rank-input") if materialize else df
     scores, sizes = _score_table(out, ranks)
     share = HEAVY_PER_TASK * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for i, spec in enumerate(ranks):
@@ -75,18 +75,12 @@ def global_ranks(df: DataFrame, ranks: Sequence[RankSpec], *, materialize: bool
         elif most * share < n_rows:
             out = _joined(out, spec, large=_ranked(scores, i))
         else:
-            table = _stored(_ranked(scores, i), "rank-table")
+            table = stored(_ranked(scores, i), "rank-table")
             is_heavy = F.col("_n") * F.lit(share) >= F.lit(n_rows)
             out = _joined(out, spec, small=table.where(is_heavy), large=table.where(~is_heavy))
     return out.select(*[_c(c) for c in df.columns], *[_c(r.name) for r in ranks])
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _score_table(df: DataFrame, ranks: Sequence[RankSpec]) -> tuple[DataFrame, dict[str, int]]:
     """_rank_no, _s0, _s1, ... (only that of the rank is set), _n, _range, _place: one row per rank and distinct score.
     And of each rank the number of scores, of rows, and of rows of one score at most, observed while it is written."""
@@ -113,7 +107,7 @@ def _score_table(df: DataFrame, ranks: Sequence[RankSpec]) -> tuple[DataFrame, d
         n = F.when(F.col("_rank_no") == i, F.col("_n"))
         sizes += [F.count(n).alias(f"scores{i}"), F.sum(n).alias(f"rows{i}"), F.max(n).alias(f"most{i}")]
     seen = Observation()
-    table = _stored(ranged.observe(seen, *sizes), "rank-scores").withColumn("_range", F.shiftright("_place", 33))
+    table = stored(ranged.observe(seen, *sizes), "rank-scores").withColumn("_range", F.shiftright("_place", 33))
     return table, seen.get
 
 

@@ -1,9 +1,10 @@
 """Layer jobs: raw CSV -> bronze -> silver (gated) -> gold.
 
-Layers meet only through storage, so each job can be re-run alone. Every
-write is an overwrite of its own folder; no job overwrites a folder it reads.
-Without a transactional table format a failed overwrite can leave a partial
-folder; the gate runs before the silver write so bad data is not published.
+Layers meet only through storage, so each job can be re-run alone. Bronze and gold
+writes overwrite their own folder; no job overwrites a folder it reads, and a failed
+overwrite can leave a partial folder. Silver tables are versioned: each is written
+once, as a new version, audited there, and published by one row in the table's log, so
+readers see the old version or the new one and a failed gate changes nothing.
 """
 
 from __future__ import annotations
@@ -12,15 +13,23 @@ import logging
 import time
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.operators.conform import stamp_lineage
-from tierline.operators.quality import ValidationResult, gate
+from tierline.operators.quality import ValidationResult, gate, store_audit
 from tierline.plans.specs import DatasetSpec
-from tierline.session import scratch_path
-from tierline.sources.tables import DEFAULT_FORMAT, read_csv, read_table, write_table
+from tierline.sources.tables import (
+    DEFAULT_FORMAT,
+    new_version,
+    publish_version,
+    read_csv,
+    read_table,
+    version_path,
+    write_table,
+)
 
 logger = logging.getLogger(__name__)
 
@@ -48,6 +57,36 @@ def layer_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
+@dataclass(frozen=True)
+class BronzeCounts:
+    """Rows of one raw file, and those that did not parse as its schema says (None where the read mode keeps no such rows)."""
+
+    rows: int
+    malformed: int | None
+
+
+@dataclass(frozen=True)
+class SilverCounts:
+    """What became of a dataset's bronze rows."""
+
+    rows_read: int
+    without_key: int
+    duplicates: int
+    rows_kept: int
+
+
+class SilverReport(dict[str, list[ValidationResult]]):
+    """Audit results by dataset, in publication order, with the datasets' ``counts`` and the ``published`` versions."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.counts: dict[str, SilverCounts] = {}
+        self.published: dict[str, str] = {}
+
+
+_MALFORMED = "_malformed_line"
+
+
 def run_bronze(
     spark: SparkSession,
     specs: Mapping[str, DatasetSpec],
@@ -56,10 +95,19 @@ def run_bronze(
     *,
     fmt: str = DEFAULT_FORMAT,
     max_concurrent: int = DEFAULT_CONCURRENT_JOBS,
-) -> None:
-    """Each raw CSV (declared schema and encoding) + lineage -> one bronze table."""
+) -> dict[str, BronzeCounts]:
+    """Each raw CSV (declared schema and encoding) + lineage -> one bronze table.
+
+    Rows and malformed rows are counted by the write itself, with no further scan: the
+    reader marks a malformed line, the mark is observed and, unless the spec keeps it,
+    dropped.
+    """
+    report: dict[str, BronzeCounts] = {}
 
     def load(spec: DatasetSpec) -> Callable[[], None]:
+        marks = spec.mode.upper() == "PERMISSIVE"
+        mark = spec.corrupt_record_column or (_MALFORMED if marks else None)
+
         def task() -> None:
             raw = read_csv(
                 spark,
@@ -69,13 +117,20 @@ def run_bronze(
                 mode=spec.mode,
                 multi_line=spec.multi_line,
                 enforce_schema=spec.enforce_schema,
-                corrupt_record_column=spec.corrupt_record_column,
+                corrupt_record_column=mark,
             )
+            seen = Observation()
+            malformed = F.count(F.col(f"`{mark}`")) if marks else F.max(F.lit(None).cast("bigint"))
+            raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"), malformed.alias("malformed"))
+            if not spec.corrupt_record_column and marks:
+                raw = raw.drop(mark)
             write_table(stamp_lineage(raw, spec.file), layer_path(lake_root, "bronze", spec.name), fmt=fmt)
+            report[spec.name] = BronzeCounts(seen.get["rows"], seen.get["malformed"])
 
         return task
 
     run_concurrently([load(spec) for spec in specs.values()], max_concurrent)
+    return {name: report[spec.name] for name, spec in specs.items()}
 
 
 def run_silver(
@@ -85,70 +140,50 @@ def run_silver(
     *,
     fail_fast: bool = True,
     fmt: str = DEFAULT_FORMAT,
-    materialize: str = "stage",
     max_concurrent: int = DEFAULT_CONCURRENT_JOBS,
-) -> dict[str, list[ValidationResult]]:
+    audit_path: str | None = None,
+    run_id: str | None = None,
+) -> SilverReport:
     """Conform, audit and publish each dataset.
 
-    Publication follows the order of ``specs``: with ``fail_fast`` a failed
-    critical rule stops this dataset's write and every later one (earlier
-    datasets are already written). The conformed table is computed once:
-
-    * ``materialize="stage"`` (default) writes it under the session's shared
-      checkpoint folder, audits that written copy and publishes it by copying
-      plain files. The staged table cuts the lineage, so a lost executor
-      costs a re-read, never a re-run of the clean and de-duplicate shuffle.
-      Staging and auditing are not publication, so they run for up to
-      ``max_concurrent`` datasets at once; publication stays in order.
-    * ``materialize="cache"`` persists it (memory, spilling to local disk)
-      across the audit and the write, one dataset after another.
+    Up to ``max_concurrent`` datasets are conformed and audited at once. Each is written
+    once, as a new version of its table, and the audit reads that copy, so a lost executor
+    costs a re-read, never a re-run of the clean and de-duplicate shuffle.
+
+    Publication follows the order of ``specs``, each dataset as soon as its own audit
+    and all earlier publications are done. An error, or with ``fail_fast`` a failed critical
+    rule, stops this dataset and every later one; earlier ones stay published, and the
+    tables of the others stay as they were.
+
+    ``audit_path`` names a table that keeps all results under ``run_id``
+    (see :func:`~tierline.operators.quality.store_audit`), also those of a run that stops.
     """
-    if materialize not in ("stage", "cache"):
-        raise ValueError(f"materialize must be 'stage' or 'cache', not {materialize!r}")
-    names = list(specs)
-    report: dict[str, list[ValidationResult]] = {}
-
-    def conformed(spec: DatasetSpec) -> DataFrame:
-        return spec.to_silver(read_table(spark, layer_path(lake_root, "bronze", spec.name), fmt=fmt))
-
-    if materialize == "cache":
-        for name in names:
-            spec = specs[name]
-            silver = conformed(spec)
-            silver.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                report[name] = spec.suite().run(silver, fail_fast=False)
+    if (audit_path is None) != (run_id is None):
+        raise ValueError("a stored audit needs both audit_path and run_id")
+    report = SilverReport()
+
+    def conformed(spec: DatasetSpec) -> tuple[str, list[ValidationResult], SilverCounts]:
+        path, version, seen = layer_path(lake_root, "silver", spec.name), new_version(), {}
+        bronze = read_table(spark, layer_path(lake_root, "bronze", spec.name), fmt=fmt)
+        write_table(spec.to_silver(bronze, seen=seen), version_path(path, version), fmt=fmt)
+        silver = read_table(spark, path, fmt=fmt, version=version)
+        read, kept = bronze.count(), silver.count()  # from file footers where the format has them
+        keyed = seen.get("rows", kept)
+        return version, spec.suite().run(silver, fail_fast=False), SilverCounts(read, read - keyed, keyed - kept, kept)
+
+    with ThreadPoolExecutor(max_workers=max(1, max_concurrent)) as pool:
+        running = {name: pool.submit(conformed, spec) for name, spec in specs.items()}
+        try:
+            for name, done in running.items():
+                version, report[name], report.counts[name] = done.result()
                 if fail_fast:
                     gate(name, report[name])
-                write_table(silver, layer_path(lake_root, "silver", name), fmt=fmt)
-            finally:
-                silver.unpersist()
-        return report
-
-    staged: dict[str, DataFrame] = {}
-
-    def stage_and_audit(spec: DatasetSpec) -> Callable[[], None]:
-        def task() -> None:
-            path = scratch_path(spark, f"silver-{spec.name}")
-            write_table(conformed(spec), path)
-            staged[spec.name] = read_table(spark, path)
-            report[spec.name] = spec.suite().run(staged[spec.name], fail_fast=False)
-
-        return task
-
-    run_concurrently([stage_and_audit(specs[n]) for n in names], max_concurrent)
-    publishable = []
-    for name in names:
-        if fail_fast and any(r.critical and not r.passed for r in report[name]):
-            break
-        publishable.append(name)
-
-    def publish(name: str) -> Callable[[], None]:
-        return lambda: write_table(staged[name], layer_path(lake_root, "silver", name), fmt=fmt)
-
-    run_concurrently([publish(n) for n in publishable], max_concurrent)
-    if len(publishable) < len(names):
-        gate(names[len(publishable)], report[names[len(publishable)]])
+                publish_version(spark, layer_path(lake_root, "silver", specs[name].name), version)
+                report.published[name] = version
+        finally:
+            pool.shutdown(cancel_futures=True)
+            if audit_path is not None:
+                store_audit(spark, audit_path, run_id, [r for results in report.values() for r in results])
     return report
 
 
@@ -180,12 +215,14 @@ def run_all(
     fail_fast: bool = True,
     fmt: str = DEFAULT_FORMAT,
     max_concurrent: int = DEFAULT_CONCURRENT_JOBS,
-) -> dict[str, list[ValidationResult]]:
+    audit_path: str | None = None,
+    run_id: str | None = None,
+) -> SilverReport:
     """bronze -> silver -> gold, strictly in that order; logs the elapsed time."""
     start = time.monotonic()
     run_bronze(spark, specs, raw_root, lake_root, fmt=fmt, max_concurrent=max_concurrent)
     report = run_silver(
-        spark, specs, lake_root, fail_fast=fail_fast, fmt=fmt, max_concurrent=max_concurrent
+        spark, specs, lake_root, fail_fast=fail_fast, fmt=fmt, max_concurrent=max_concurrent, audit_path=audit_path, run_id=run_id
     )
     run_gold(spark, builders, list(specs), lake_root, fmt=fmt, max_concurrent=max_concurrent)
     logger.info("layers built in %.1fs", time.monotonic() - start)

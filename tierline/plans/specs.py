@@ -44,7 +44,7 @@ class DatasetSpec:
     multi_line: bool = False
     enforce_schema: bool = True
 
-    def to_silver(self, bronze: DataFrame) -> DataFrame:
+    def to_silver(self, bronze: DataFrame, *, seen: dict[str, int] | None = None) -> DataFrame:
         if self.corrupt_record_column and self.corrupt_record_column in bronze.columns:
             bronze = bronze.drop(self.corrupt_record_column)
         return conform(
@@ -53,6 +53,7 @@ class DatasetSpec:
             zero_fill=self.zero_fill,
             required=self.required,
             keys=self.keys,
+            seen=seen,
         )
 
     def suite(self) -> ValidationSuite:

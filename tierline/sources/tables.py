@@ -9,12 +9,18 @@ the read finishes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 DEFAULT_FORMAT = "parquet"
+PUBLISHED = "_published"  # a table's log of versions
+VERSIONS = "_versions"  # beside the tables of a layer: their data, version by version
+_LOG_SCHEMA = "seq bigint, version string, published_at timestamp"
 
 
 def read_csv(
@@ -82,13 +88,18 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] | None = None,
     max_records_per_file: int | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Write a table directory; ``overwrite`` makes re-runs idempotent.
 
-    ``partition_by`` writes one sub-folder per value. No repartition on the
-    partition column is done on purpose: a hot value would send a third of the
-    rows to one task. ``max_records_per_file`` bounds file sizes instead.
+    ``partition_by`` writes one sub-folder per value. Rows of one value first meet in as
+    few tasks as their size needs (``rebalance``, one shuffle), so that not every task
+    leaves a small file in every folder; adaptive execution splits a hot value into parts
+    of ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and merges small ones, so no task
+    gets all of it. ``max_records_per_file`` bounds files further.
     """
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *(F.col(f"`{c}`") for c in partition_by))
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -97,22 +108,66 @@ def write_table(
     writer.save(path)
 
 
+def new_version() -> str:
+    """A name for one more version of a table; its data goes to :func:`version_path`."""
+    return f"v-{uuid.uuid4().hex}"
+
+
+def version_path(path: str, version: str) -> str:
+    """Where the data of one version of the table ``path`` lies: beside the table, so that an
+    unpublished version leaves no trace in it."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/{VERSIONS}/{name}/{version}"
+
+
+def publish_version(spark: SparkSession, path: str, version: str) -> None:
+    """Make ``version`` what :func:`read_table` reads at ``path``.
+
+    Adds one row to the table's log of versions. A reader sees the log with that row or
+    without it, never a part of a table; data is neither moved nor copied.
+    """
+    last = published_versions(spark, path).agg(F.max("seq")).first()[0] or 0
+    row = spark.range(1, numPartitions=1).select(
+        F.lit(last + 1).cast("bigint").alias("seq"), F.lit(version).alias("version"), F.current_timestamp().alias("published_at")
+    )
+    row.write.mode("append").parquet(f"{path.rstrip('/')}/{PUBLISHED}")
+
+
+def published_versions(spark: SparkSession, path: str) -> DataFrame:
+    """The log of versions of the table ``path``: seq (the largest is current), version, published_at. Empty for a
+    table that was written without versions or not at all."""
+    try:
+        return spark.read.schema(_LOG_SCHEMA).parquet(f"{path.rstrip('/')}/{PUBLISHED}")
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _LOG_SCHEMA)
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    # Two jobs that publish at once may take one number; the name decides, for all readers alike.
+    row = published_versions(spark, path).orderBy(F.col("seq").desc(), F.col("version")).first()
+    return row["version"] if row else None
+
+
 def read_table(
     spark: SparkSession,
     path: str,
     *,
     fmt: str = DEFAULT_FORMAT,
     schema: StructType | None = None,
+    version: str | None = None,
 ) -> DataFrame:
-    """Read a table directory.
+    """Read a table directory, or the published (or the named) version of a versioned table.
 
     For partitioned tables pass ``schema``: otherwise partition values are
     re-typed from their folder names ("01" comes back as int 1).
     """
+    version = version or current_version(spark, path)
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path)
+    return reader.load(version_path(path, version) if version else path)
 
 
 def export_csv(
@@ -120,26 +175,35 @@ def export_csv(
     path: str,
     *,
     num_files: int | None = None,
+    by_size: bool = False,
     encoding: str | None = None,
     header: bool = True,
 ) -> None:
     """Headered CSV export with overwrite.
 
-    The write runs at the DataFrame's own parallelism unless ``num_files``
-    fixes the number of files. That is a ``repartition`` (one shuffle), not a
-    ``coalesce``: a coalesce would also squeeze the upstream computation into
-    ``num_files`` tasks. ``num_files=1`` still writes every row from one task
-    and is only sensible for small tables.
+    The write runs at the DataFrame's own parallelism unless told otherwise. ``by_size``
+    deals the rows anew (one shuffle) into files of about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, measured by adaptive execution at
+    run time: small parts are merged and large ones split. ``num_files`` fixes the number
+    of files. That is a ``repartition``, not a ``coalesce``: a coalesce would also
+    squeeze the upstream computation into ``num_files`` tasks. ``num_files=1`` still
+    writes every row from one task and is only sensible for small tables.
     """
-    out = df.repartition(num_files) if num_files else df
+    if num_files and by_size:
+        raise ValueError("files are dealt by number or by size, not both")
+    out = df.repartition(num_files) if num_files else df.hint("rebalance") if by_size else df
     writer = out.write.mode("overwrite").option("header", header)
     if encoding:
         writer = writer.option("encoding", encoding)
     writer.csv(path)
 
 
-def show_table(spark: SparkSession, path: str, *, fmt: str = DEFAULT_FORMAT, n: int = 20) -> DataFrame:
-    """Read a published table, print its first ``n`` rows and return it."""
+def show_table(
+    spark: SparkSession, path: str, *, fmt: str = DEFAULT_FORMAT, n: int = 20, order_by: Sequence[Column] = ()
+) -> DataFrame:
+    """Read a published table, in ``order_by`` if given, print its first ``n`` rows and return it."""
     df = read_table(spark, path, fmt=fmt)
+    if order_by:
+        df = df.orderBy(*order_by)
     df.show(n, truncate=False)
     return df
