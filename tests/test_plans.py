@@ -8,6 +8,7 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 from tierline.operators.conform import dedupe
 from tierline.operators.measures import conditional_counts, headcount_and_breadth
+from tierline.operators.quality import NotNull, Unique, audit
 
 
 def _plan(df) -> str:
@@ -18,10 +19,10 @@ def _lineitem(spark):
     return spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
 
 
-def test_dedupe_aggregates_before_the_shuffle(spark):
+def test_dedupe_keeps_one_row_per_key_before_the_shuffle(spark):
     plan = _plan(dedupe(_lineitem(spark), ["l_orderkey", "l_linenumber"]))
-    assert "partial_min" in plan
-    assert plan.index("partial_min") > plan.index("Exchange")  # partial step sits below the exchange
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+    assert plan.count("Exchange") == 1 and "SortAggregate" not in plan
 
 
 def test_conditional_counts_combine_map_side(spark):
@@ -47,4 +48,16 @@ def test_scans_are_pruned_and_filters_pushed(spark):
 
 def test_audit_reads_each_table_once(spark):
     plan = _plan(entry.queries()["dq_report"](spark, SF_SMALL)).split("== Initial Plan ==")[0]
-    assert plan.count("FileScan parquet") == 3  # lineitem, customer, events: one scan each
+    tables = ("lineitem", "customer", "events", "part")
+    assert [plan.count(f"/{t}.parquet") for t in tables[:3]] == [1, 1, 1]  # one scan each
+
+
+def test_several_unique_rules_expand_no_rows(spark):
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    frame = audit(part, "part", [Unique(["p_partkey"]), Unique(["p_brand", "p_type"]), Unique([]), NotNull(["p_name"]), Unique(["p_size"])])
+    plan = frame._jdf.queryExecution().toString()
+    assert "Expand" not in plan
+    n = part.count()
+    surplus = [n - part.select(*c).distinct().count() for c in (["p_partkey"], ["p_brand", "p_type"])]
+    assert [r.observed for r in frame.collect()] == [*map(str, surplus), str(n - 1), "{}", str(n - part.select("p_size").distinct().count())]
+    assert [r.observed for r in audit(part.limit(0), "part", [Unique(["p_partkey"]), Unique(["p_size"])]).collect()] == ["0", "0"]

@@ -52,3 +52,18 @@ def test_entry_module_loads_by_path(spark):
     spec.loader.exec_module(module)
     assert set(NAMES) <= set(module.oracle_sql()) <= set(module.queries())
     assert module.entry(spark).count() > 0
+
+
+def test_entry_module_loads_without_optional_packages(monkeypatch):
+    """Without a package that only the corpus operators need, all other queries are there."""
+    import importlib.util
+    import os
+    import sys
+
+    from tests.conftest import ROOT
+
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)  # importing it now fails, as with a missing package
+    spec = importlib.util.spec_from_file_location("entry_without", os.path.join(ROOT, "__spark_entry__.py"))
+    module = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(module)
+    assert set(module.queries()) == set(module.oracle_sql()) == set(NAMES)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tierline.sources.tables import (
@@ -127,3 +129,66 @@ def test_export_file_count(spark, tmp_path):
     export_csv(spark.range(1000), out, num_files=3)
     assert len(glob.glob(f"{out}/*.csv")) == 3
     assert read_csv_inferred(spark, out).count() == 1000
+
+
+def _sized(spark, target: str):
+    """A session that differs in the target size of shuffled parts only."""
+    session = spark.newSession()
+    for key in ("advisoryPartitionSizeInBytes", "rebalancePartitionsSmallPartitionFactor"):
+        session.conf.set(f"spark.sql.adaptive.{key}", target if key.startswith("adv") else "0.2")
+    session.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    session.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    return session
+
+
+def test_partitioned_write_leaves_few_files_and_splits_a_hot_value(spark, tmp_path):
+    import glob
+    import os
+
+    session = _sized(spark, "256k")
+    rows = session.range(0, 120_000, 1, 24).select(
+        F.when(F.col("id") % 4 > 0, F.lit("hot")).otherwise(F.concat(F.lit("v"), F.col("id") % 20)).alias("v"), F.xxhash64("id").alias("x")
+    )
+    few, many = str(tmp_path / "few"), str(tmp_path / "many")
+    write_table(rows, few, partition_by=["v"])
+    write_table(rows, many, partition_by=["v"], rebalance=False)
+    count = lambda root, v: len(glob.glob(f"{root}/v={v}/*.parquet"))
+    assert count(many, "hot") == 24 and count(many, "v4") == 24
+    assert count(few, "v4") == 1
+    assert 2 <= count(few, "hot") <= 8  # several tasks share the hot value
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{few}/v=hot/*.parquet")]
+    assert max(sizes) <= 512 << 10
+    assert read_table(session, few, schema=rows.schema).select("v", "x").exceptAll(rows).count() == 0
+    assert read_table(session, few).count() == 120_000
+
+
+def test_export_by_size(spark, tmp_path):
+    import glob
+    import os
+
+    session = _sized(spark, "128k")
+    rows = session.range(0, 60_000, 1, 40).select(F.xxhash64("id").alias("x"), F.xxhash64("x").alias("y"))
+    by_size, as_is = str(tmp_path / "a"), str(tmp_path / "b")
+    export_csv(rows, by_size, by_size=True)
+    export_csv(rows, as_is)
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{by_size}/*.csv")]
+    assert len(glob.glob(f"{as_is}/*.csv")) == 40
+    assert 4 <= len(sizes) <= 25 and max(sizes) < 1 << 20  # 128 KB of shuffled rows make at most some 400 KB of text
+    assert read_csv(session, by_size, rows.schema).exceptAll(rows).count() == 0
+    with pytest.raises(ValueError, match="not both"):
+        export_csv(rows, by_size, num_files=2, by_size=True)
+
+
+def test_versions_are_read_as_published(spark, tmp_path):
+    from tierline.sources.tables import current_version, new_version, publish_version, version_path
+
+    path = str(tmp_path / "layer" / "t")
+    versions = [new_version() for _ in range(3)]
+    for i, v in enumerate(versions):
+        write_table(spark.range(i + 1), version_path(path, v))
+    assert current_version(spark, path) is None
+    for i in (0, 2, 0):
+        publish_version(spark, path, versions[i])
+        assert current_version(spark, path) == versions[i]
+        assert read_table(spark, path).count() == i + 1
+    assert read_table(spark, path, version=versions[1]).count() == 2

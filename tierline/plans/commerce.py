@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 from tierline.operators.measures import conditional_counts, rate_per_100, weighted_standings
 from tierline.operators.quality import ColumnsExist, MinRowCount, NonNegative, NotNull, Unique
@@ -23,7 +23,7 @@ def _schema(*fields: tuple[str, object]) -> StructType:
     return StructType([StructField(n, t, True) for n, t in fields])
 
 
-_S, _I, _L, _D = StringType(), IntegerType(), LongType(), DoubleType()
+_S, _I, _L, _D, _T = StringType(), IntegerType(), LongType(), DoubleType(), TimestampType()
 
 RAW_SCHEMAS: dict[str, StructType] = {
     "nation": _schema(("n_nationkey", _I), ("n_name", _S), ("n_regionkey", _I)),
@@ -38,7 +38,11 @@ RAW_SCHEMAS: dict[str, StructType] = {
         ("l_linenumber", _I),
         ("l_quantity", _D),
         ("l_extendedprice", _D),
+        ("l_discount", _D),
+        ("l_tax", _D),
         ("l_returnflag", _S),
+        ("l_linestatus", _S),
+        ("l_shipdate", _T),
     ),
 }
 
@@ -99,7 +103,11 @@ COMMERCE_SPECS: dict[str, DatasetSpec] = {
             "l_linenumber": "line_number",
             "l_quantity": "quantity",
             "l_extendedprice": "price",
+            "l_discount": "discount",
+            "l_tax": "tax",
             "l_returnflag": "return_flag",
+            "l_linestatus": "line_status",
+            "l_shipdate": "ship_date",
         },
         required=("order_key", "line_number"),
         keys=("order_key", "line_number"),

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tierline.operators.conform import stamp_lineage
 from tierline.operators.quality import ValidationResult, gate, store_audit
+from tierline.plans.marts import presentation_order
 from tierline.plans.specs import DatasetSpec
 from tierline.sources.tables import (
     DEFAULT_FORMAT,
@@ -205,6 +206,11 @@ def run_gold(
     run_concurrently([publish(n, b) for n, b in builders.items()], max_concurrent)
 
 
+def read_mart(spark: SparkSession, lake_root: str, name: str, *, fmt: str = DEFAULT_FORMAT) -> DataFrame:
+    """A published mart in its presentation order (ties broken, so every read agrees)."""
+    return read_table(spark, layer_path(lake_root, "gold", name), fmt=fmt).orderBy(*presentation_order(name))
+
+
 def run_all(
     spark: SparkSession,
     specs: Mapping[str, DatasetSpec],

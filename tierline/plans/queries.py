@@ -130,19 +130,13 @@ def rename_columns_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "stamp_lineage",
     """
-    SELECT o_orderkey, o_custkey, 'orders.parquet' AS _source_file, true AS _ingested_at_set
+    SELECT *, 'orders.parquet' AS _source_file, true AS _ingested_at_set
     FROM orders
     """,
 )
 def stamp_lineage_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    stamped = stamp_lineage(orders, "orders.parquet")
-    return stamped.select(
-        "o_orderkey",
-        "o_custkey",
-        "_source_file",
-        F.col("_ingested_at").isNotNull().alias("_ingested_at_set"),
-    )
+    stamped = stamp_lineage(table(spark, sf_dir, "orders"), "orders.parquet")
+    return stamped.withColumn("_ingested_at_set", F.col("_ingested_at").isNotNull()).drop("_ingested_at")
 
 
 @register(
@@ -580,6 +574,13 @@ _DQ_SQL = " UNION ALL ".join(
             " surplus rows for key [event_id]", "events",
         ),
         _num_rule("MinRowCount", "events", "count(*)", ">= 100", " rows, wanted 100", "events"),
+        # part, with two keys
+        _num_rule("Unique", "part", "count(*) - count(DISTINCT p_partkey)", "= 0", " surplus rows for key [p_partkey]", "part"),
+        _num_rule(
+            "Unique", "part", "count(*) - count(DISTINCT (p_brand, p_type, p_size))", "= 0",
+            " surplus rows for key [p_brand, p_type, p_size]", "part",
+        ),
+        _nulls_rule("part", ["p_partkey", "p_name"]),
     ]
 )
 
@@ -624,6 +625,11 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                 MinRowCount(100),
             ],
         ),
+        audit(
+            table(spark, sf_dir, "part"),
+            "part",
+            [Unique(["p_partkey"]), Unique(["p_brand", "p_type", "p_size"]), NotNull(["p_partkey", "p_name"])],
+        ),
     ]
     out = reports[0]
     for r in reports[1:]:
@@ -667,30 +673,12 @@ def csv_infer_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_inferred(spark, path)
 
 
-_FLAG_PART_SCHEMA = StructType(
-    [
-        StructField("l_orderkey", LongType()),
-        StructField("l_quantity", DoubleType()),
-        StructField("l_returnflag", StringType()),
-    ]
-)
-
-
-@register(
-    "partitioned_write",
-    """
-    SELECT l_returnflag, count(*) AS line_count, round(sum(l_quantity), 2) AS total_quantity
-    FROM lineitem GROUP BY l_returnflag
-    """,
-)
+@register("partitioned_write", "SELECT * FROM lineitem")
 def partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "by-flag")
-    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
+    """All line items, written into one folder per flag and read back in their own column order."""
+    path, lineitem = scratch_path(spark, "by-flag"), table(spark, sf_dir, "lineitem")
     write_table(lineitem, path, partition_by=["l_returnflag"])
-    back = read_table(spark, path, schema=_FLAG_PART_SCHEMA)
-    return back.groupBy("l_returnflag").agg(
-        F.count(F.lit(1)).alias("line_count"), F.round(F.sum("l_quantity"), 2).alias("total_quantity")
-    )
+    return read_table(spark, path, schema=lineitem.schema).select(*lineitem.columns)
 
 
 def _clean_col(name: str, alias: str) -> str:
@@ -729,12 +717,14 @@ li AS (
     SELECT * FROM (
         SELECT l_orderkey AS order_key, l_partkey AS part_key, l_suppkey AS supp_key,
                l_linenumber AS line_number, coalesce(l_quantity, 0) AS quantity,
-               l_extendedprice AS price, {_clean_col('l_returnflag', 'return_flag')}
+               l_extendedprice AS price, l_discount AS discount, l_tax AS tax, {_clean_col('l_returnflag', 'return_flag')},
+               {_clean_col('l_linestatus', 'line_status')}, l_shipdate AS ship_date
         FROM lineitem)
     WHERE order_key IS NOT NULL AND line_number IS NOT NULL
     QUALIFY row_number() OVER (PARTITION BY order_key, line_number
         ORDER BY part_key ASC NULLS FIRST, supp_key ASC NULLS FIRST, quantity ASC NULLS FIRST,
-                 price ASC NULLS FIRST, return_flag ASC NULLS FIRST) = 1
+                 price ASC NULLS FIRST, discount ASC NULLS FIRST, tax ASC NULLS FIRST,
+                 return_flag ASC NULLS FIRST, line_status ASC NULLS FIRST, ship_date ASC NULLS FIRST) = 1
 ),
 medals AS (
     SELECT nat.country,
