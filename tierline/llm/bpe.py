@@ -35,15 +35,16 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tierline.llm.common import read_table
-from tierline.llm.word_ids import WordIds, plain_pieces, text_batches, texts_of
+from tierline.llm.word_ids import WordIds, plain_pieces, text_batches, texts_of, tidy
 
 #: Fixed value of the vocabulary: what a word is cut into.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 
 
-#: What a worker keeps and takes at a time; Spark keeps idle workers, so this stays in memory beside other steps.
-MAX_WORDS, MAX_IDS, MAX_PIECES = 150_000, 1_500_000, 150_000
-BATCH_BYTES = 2 << 20
+#: What a worker keeps of words and pieces, in each of two generations, and takes at a time. Spark keeps idle workers,
+#: so this stays in memory beside other steps.
+MAX_WORDS, MAX_IDS, MAX_PIECES = 250_000, 2_000_000, 150_000
+BATCH_BYTES = 4 << 20
 
 
 def default_path() -> str:
@@ -89,7 +90,8 @@ class Bpe:
         rules = Tokenizer.from_file(path)
         self._normal, self._cut = rules.normalizer.normalize_str, rules.pre_tokenizer.pre_tokenize_str
         self._byte = {c: b for b, c in enumerate(characters)}
-        self._kept: dict[bytes, list[int]] = {}
+        self._kept: dict[bytes, tuple[int, ...]] = {}
+        self._older: dict[bytes, tuple[int, ...]] = {}
         self.special_cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
 
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
@@ -158,16 +160,22 @@ class Bpe:
             word = unicodedata.normalize("NFC", word)
         return [p.encode() for p in PIECES.findall(word.lower())]
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        cuts = [[x.encode() for x in plain if x] if (plain := plain_pieces(w)) else self.cut(w) for w in words]
-        new = list(dict.fromkeys(p for c in cuts for p in c if isinstance(p, bytes) and p not in self._kept))
-        fresh = dict(zip(new, self.encode_pieces(new), strict=True))
+    def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
         if len(self._kept) > MAX_PIECES:
-            fresh |= {p: self._kept[p] for c in cuts for p in c if p in self._kept}
-            self._kept = {}
-        self._kept |= fresh
-        ids = self._kept
-        return [ids[c[0]] if len(c) == 1 and c[0] in ids else [i for p in c for i in (ids[p] if isinstance(p, bytes) else (p,))] for c in cuts]
+            self._kept, self._older = {}, self._kept
+        kept, older = self._kept, self._older
+        cuts = [[x.encode() for x in plain if x] if (plain := plain_pieces(w)) else self.cut(w) for w in words]
+        new = []
+        for p in dict.fromkeys(p for c in cuts for p in c if isinstance(p, bytes) and p not in kept):
+            if p in older:
+                kept[p] = older[p]
+            else:
+                new.append(p)
+        kept.update(zip(new, map(tuple, self.encode_pieces(new)), strict=True))
+        return [
+            kept[c[0]] if len(c) == 1 and c[0] in kept else tuple(i for p in c for i in (kept[p] if isinstance(p, bytes) else (p,)))
+            for c in cuts
+        ]
 
 
 @lru_cache(maxsize=2)
@@ -198,6 +206,7 @@ def encode(df: DataFrame, text_col: str = "text", *, path: str | None = None, de
     if decoded:
         schema = schema.add("decoded", T.StringType())
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, store = _model(path)
         for batch in text_batches(batches, "_text", BATCH_BYTES):

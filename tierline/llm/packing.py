@@ -14,8 +14,8 @@ The trailer has a fixed size, so a reader finds the index from the end of the fi
 and from the index the block and bit of any id. Blocks unpack with numpy.
 
 Defined cases: a null or empty text has only the end id; a null id comes first and is
-flagged; documents with one id stay together, in any order; an empty table gives no
-documents; other columns are not stored.
+flagged; documents with one id follow each other in the order of 128 bits of hashes of their
+texts, so reruns agree; an empty table gives no documents; other columns are not stored.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 
 from tierline.llm.bpe import byte_characters
 from tierline.llm.common import read_table, stored
-from tierline.llm.word_ids import MAX_PIECES, WordIds, plain_pieces, text_batches, texts_of
+from tierline.llm.word_ids import MAX_PIECES, WordIds, plain_pieces, text_batches, texts_of, tidy
 from tierline.session import scratch_path
 
 BLOCK_IDS = 1 << 16
@@ -184,12 +184,13 @@ def write_shards(
         import public_tokenizers
 
         path = public_tokenizers.path("word_bpe_49k.json")
-    ordered = (
-        df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-        .repartitionByRange(F.col("id").asc_nulls_first())
-        .sortWithinPartitions(F.col("id").asc_nulls_first())
-    )
+    # Documents of one id are ordered by hashes of their texts, so that reruns agree and one id's rows fill several shards.
+    text = F.col(text_col).cast("string")
+    order = [F.col("id").asc_nulls_first(), F.col("t"), F.col("u")]
+    named = df.select(F.col(id_col).cast("bigint").alias("id"), text.alias("text"), F.xxhash64(text).alias("t"), F.xxhash64(F.lit(1), text).alias("u"))
+    ordered = named.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for record in _shard_records(batches, path, end_id, block_ids):
             yield pa.RecordBatch.from_arrays([pa.array([record], pa.binary())], names=["record"])

@@ -9,14 +9,20 @@ so its memory is fixed.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import suppress
+from functools import wraps
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_WORDS = 600_000
-MAX_IDS = 5_000_000
+MAX_WORDS = 500_000  # of each generation
+MAX_IDS = 4_000_000
 MAX_PIECES = 400_000
 BATCH_BYTES = 4 << 20
 PUNCTUATION = ".,;:!?"
@@ -36,48 +42,82 @@ def plain_pieces(word: str) -> tuple[str, str] | None:
     return low, word[len(stem) :]
 
 
-class WordIds:
-    """``encode_new`` gives the id lists of words; this keeps them, up to ``max_words`` and ``max_ids``."""
+class _Store:
+    """Ids of words, one after the other, and the number of each word."""
 
-    def __init__(self, encode_new: Callable[[list[str]], Sequence[Sequence[int]]], max_words: int = MAX_WORDS, max_ids: int = MAX_IDS):
-        self._encode_new, self._max_words, self._max_ids = encode_new, max_words, max_ids
-        self._clear()
-
-    def _clear(self) -> None:
-        self._code: dict[str, int] = {}
+    def __init__(self) -> None:
+        self.code: dict[str, int] = {}
         self._ids = np.empty(1 << 16, np.int32)
         self._starts = np.zeros(1 << 14, np.int64)
 
-    def _add(self, words: list[str]) -> None:
-        found = self._encode_new(words)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        have, n = len(self._code), int(self._starts[len(self._code)])
+    @property
+    def n_ids(self) -> int:
+        return int(self._starts[len(self.code)])
+
+    def add(self, words: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
+        have, n = len(self.code), self.n_ids
         while len(self._starts) < have + len(words) + 1:
             self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
-        while len(self._ids) < n + int(lengths.sum()):
+        while len(self._ids) < n + len(ids):
             self._ids = np.concatenate([self._ids, np.empty_like(self._ids)])
         self._starts[have + 1 : have + 1 + len(words)] = n + np.cumsum(lengths)
-        self._ids[n : n + int(lengths.sum())] = np.fromiter((i for x in found for i in x), np.int32, int(lengths.sum()))
-        self._code.update(zip(words, range(have, have + len(words)), strict=True))
+        self._ids[n : n + len(ids)] = ids
+        self.code.update(zip(words, range(have, have + len(words)), strict=True))
+
+    def gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each of these words has, and all of them."""
+        lengths = self._starts[codes + 1] - self._starts[codes]
+        ends = np.cumsum(lengths)
+        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self._starts[codes] - (ends - lengths), lengths)
+        return lengths, self._ids[at]
+
+
+class WordIds:
+    """``encode_new`` gives the id lists of words; this keeps them, up to ``max_words`` and ``max_ids`` in each generation."""
+
+    def __init__(self, encode_new: Callable[[list[str]], Sequence[Sequence[int]]], max_words: int = MAX_WORDS, max_ids: int = MAX_IDS):
+        self._encode_new, self._max_words, self._max_ids = encode_new, max_words, max_ids
+        self._young, self._old = _Store(), _Store()
 
     def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all ``texts``, one after the other, and where each begins (one more at the end)."""
-        if len(self._code) > self._max_words or self._starts[len(self._code)] > self._max_ids:
-            self._clear()
+        if len(self._young.code) > self._max_words or self._young.n_ids > self._max_ids:
+            self._young, self._old = _Store(), self._young
+        young, old = self._young, self._old
         # Cut at ASCII blanks and numbered in Arrow: only distinct words become Python strings.
         parts = pc.ascii_split_whitespace(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
         numbered = parts.flatten().dictionary_encode()
         distinct = numbered.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self._code]
+        new = [w for w in distinct if w not in young.code]
+        met = [w for w in new if w in old.code]
+        if met:
+            young.add(met, *old.gather(np.fromiter(map(old.code.__getitem__, met), np.int64, len(met))))
+            new = [w for w in new if w not in old.code]
         if new:
-            self._add(new)
-        codes = np.fromiter(map(self._code.__getitem__, distinct), np.int64, len(distinct))[numbered.indices.to_numpy()]
-        lengths = self._starts[codes + 1] - self._starts[codes]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(self._starts[codes] - (ends - lengths), lengths)
+            found = self._encode_new(new)
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            young.add(new, lengths, np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())))
+        codes = np.fromiter(map(young.code.__getitem__, distinct), np.int64, len(distinct))[numbered.indices.to_numpy()]
+        lengths, ids = young.gather(codes)
         first = np.asarray(parts.offsets).astype(np.int64)
-        return self._ids[at], np.concatenate([[0], ends])[first - first[0]]
+        return ids, np.concatenate([[0], np.cumsum(lengths)])[first - first[0]]
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for one partition; then memory that nothing holds goes back to the system, since Spark keeps idle workers."""
+
+    @wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                with suppress(OSError, AttributeError):  # another C library
+                    ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
