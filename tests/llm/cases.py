@@ -8,7 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-CLASHES = "d t n h x row p ids kept size copies rate label text2 block"
+CLASHES = "d t n h x row p ids kept size copies rate label text2 block weight _source _size _null _key _k _row _text _w _lines _s _q _failed _kept"
 
 
 def make_documents(seed: int = 1, n: int = 60) -> list[tuple]:

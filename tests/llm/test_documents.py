@@ -244,6 +244,54 @@ def test_mix_comes_near_its_targets(spark):
         assert taken[s] == pytest.approx(target[s], rel=0.05)
 
 
+def test_mix_of_null_and_repeated_ids_comes_near_its_targets(spark):
+    """Rows without an id, of one id, and equal rows have draws of their own; a rerun takes as many."""
+    for change in (lambda i: (None, "w " * 100), lambda i: (7, "w " * 100), lambda i: (None, f"w{i} " * 100), lambda i: (i, "w " * 100)):
+        rows = [(*change(i), "en", "a" if i < 1000 else "b", 0) for i in range(1600)]
+        found = []
+        for parts in (5, 3):
+            taken, seen = {}, {}
+            for r in mixing.mix(cases.frame(spark, rows, parts)).collect():
+                taken[r.source] = taken.get(r.source, 0) + r.copies
+                seen[r.source] = (r.rate, r.target)
+            found.append(taken)
+            for s, (rate, target) in seen.items():
+                n = 1000 if s == "a" else 600
+                assert abs(taken[s] - target / 100) <= 3 * (n * (rate % 1) * (1 - rate % 1)) ** 0.5 + 1e-6
+        assert found[0] == found[1]
+
+
+def test_columns_of_any_name_stay(spark, docs):
+    """Also those that operators use inside keep their values."""
+    plain = [c for c in cases.CLASHES.split() if c not in ("size", "copies", "rate", "kept")]
+    want = [i for i, c in enumerate(cases.CLASHES.split()) if c in plain]
+    for out in (mixing.mix(docs), quality_rules.judge(docs)):
+        assert [out.first()[c] for c in plain] == want
+
+
+def test_word_store_keeps_two_generations():
+    from tierline.llm.word_ids import WordIds
+
+    asked: list[str] = []
+
+    def encode(words):
+        asked.extend(words)
+        return [[len(w), ord(w[0])] if w else [] for w in words]
+
+    store = WordIds(encode, max_words=3, max_ids=100)
+    for text in ("a bb ccc", "dddd a", "a e f g", "a h", "bb"):
+        ids, starts = store.encode([text, ""])
+        assert ids.tolist() == [x for w in text.split() for x in (len(w), ord(w[0]))] and starts.tolist() == [0, len(ids), len(ids)]
+    assert asked.count("a") == 1 and asked.count("bb") == 2
+
+
+def test_shards_of_repeated_ids_are_the_same_in_every_run(spark):
+    rows = [(i % 3 or None, f"text number {i % 40} here", "en", "a", 0) for i in range(300)]
+    runs = [sorted(packing_rows(spark, cases.frame(spark, rows, parts)).select("start", "n_tokens", "ids_le").collect()) for parts in (2, 7)]
+    assert [r.n_tokens for r in runs[0]] == [r.n_tokens for r in runs[1]]
+    assert [bytes(r.ids_le) for r in runs[0]] == [bytes(r.ids_le) for r in runs[1]]
+
+
 def test_quality_measures(docs, rows):
     judged = quality_rules.judge(docs)
     for r in judged.collect():

@@ -130,10 +130,12 @@ def judge(
     kept = ~F.col("_failed")
     for rule in thresholds:
         kept = kept & _passes(rule)
-    out = _with_measures(df, text_col).withColumn("_failed", failed).withColumn("_kept", kept)
     results = {**{k: q[k] for k in MEASURES}, "base_failed": F.col("_failed"), "kept": F.col("_kept")}
-    others = [F.col(f"`{c}`") for c in df.columns if c.lower() not in results]
-    return out.select(*others, *(v.alias(k) for k, v in results.items()))
+    others = [c for c in df.columns if c.lower() not in results]
+    # The row travels as one column, so that no name in it can meet those used here.
+    packed = df.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("_row"), F.col(f"`{text_col}`").alias("_text"))
+    out = _with_measures(packed, "_text").withColumn("_failed", failed).withColumn("_kept", kept)
+    return out.select(*(F.col("_row").getField(c).alias(c) for c in others), *(v.alias(k) for k, v in results.items()))
 
 
 def keep(df: DataFrame, text_col: str = "text", **options) -> DataFrame:

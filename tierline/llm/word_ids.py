@@ -21,10 +21,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_WORDS = 500_000  # of each generation
-MAX_IDS = 4_000_000
+MAX_WORDS = 300_000  # of each generation
+MAX_IDS = 2_500_000
 MAX_PIECES = 400_000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 PUNCTUATION = ".,;:!?"
 
 
