@@ -62,6 +62,18 @@ def test_ngram_join_large_group_of_near_copies(spark):
     assert {c for _, c in near_duplicates(cases.frame(spark, rows)).values()} == {0}
 
 
+def test_repeated_rows_multiply_no_pairs(spark, monkeypatch):
+    """Two near copies in 200 rows each are one pair of sets."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join(words), "", "", 0), (None, " ".join([*words[:-1], "z"]), "", "", 0)] * 200
+    met = []
+    whole = ngram_join._verify
+    monkeypatch.setattr(ngram_join, "_verify", lambda pairs, sets: met.append((pairs.count(), sets.count())) or whole(pairs, sets))
+    found = ngram_join.near_duplicates(cases.frame(spark, rows)).select("t", "label").distinct().collect()
+    assert len({r.t for r in found}) == 2 and len({r.label for r in found}) == 1
+    assert met[0] == (1, 2) and met[1][0] <= 1
+
+
 def test_keep_one_keeps_columns_and_texts_without_words(docs, rows):
     kept = ngram_join.keep_one(docs)
     assert kept.columns == docs.columns

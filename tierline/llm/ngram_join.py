@@ -43,7 +43,7 @@ from tierline.llm.hashing import (
     KEY, Entries, deal, dealt_schema, distinct, first_documents, gathered, keyed, mixed, names_of, owner_part, part_count,
     pick, real_id, runs_of, shared_entries, text_bytes, window_hashes, window_starts, word_hashes, word_spans,
 )
-from tierline.llm.word_ids import text_batches
+from tierline.llm.word_ids import text_batches, tidy
 
 SHINGLE = 5
 PERCENT = 75
@@ -221,9 +221,12 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose similarity reaches the threshold. Each join is on one side's document, so Spark
-    can split the rows of a centre with many partners."""
+    can split the rows of a centre with many partners. ``sets`` has each document once, so no pair multiplies."""
+    # Stored pairs have a size that Spark knows: where they are small, the sets aren't moved to meet them.
+    pairs = stored(pairs, "pairs")
     side = lambda name: sets.select(F.struct(*KEY).alias(name), F.col("n").alias(f"n{name}"), F.col("h").alias(f"h{name}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    centres = side("a").join(pairs.select("a").distinct(), "a", "left_semi")
+    both = pairs.join(side("b"), "b").join(centres, "a")
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
     both = both.where(100 * small >= PERCENT * large).select("a", "b", "ha", "hb")
 
@@ -345,7 +348,7 @@ def _candidates(sets: DataFrame, labels: DataFrame) -> DataFrame:
     shared = stored(gathered(dealt.groupBy("p").applyInArrow(shared_entries(parts), dealt_schema())), "shared-places")
     # Shingles that no other candidate has come first, so they use up the prefix; a set has ``rest`` from the bucket's on.
     prefix = (F.size("x") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int")
-    found = sets.dropDuplicates(list(KEY)).join(shared, list(KEY)).where(prefix > 0)
+    found = sets.join(shared, list(KEY)).where(prefix > 0)
     first = F.transform(F.slice("x", F.lit(1), prefix), lambda i: F.get("h", i))
     entries = found.select(node, "n", F.size("x").alias("from"), F.posexplode(first).alias("place", "h"))
     entries = entries.withColumn("rest", (F.col("from") - F.col("place")).cast("bigint")).drop("from", "place")
@@ -358,7 +361,7 @@ def _candidates(sets: DataFrame, labels: DataFrame) -> DataFrame:
     entries = entries.withColumn("size_class", size_class)
     counts = entries.groupBy("h", "size_class").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     entries = entries.join(counts, ["h", "size_class"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    signatures = sets.select(node, "s").dropDuplicates(["node"])
+    signatures = sets.select(node, "s")
     member = F.struct("node", "n", "rest", "label", "s")
     blocks = entries.join(signatures, "node").groupBy("h", "size_class", "block").agg(F.collect_list(member).alias("m"))
     blocks = stored(blocks, "bucket-blocks")
@@ -405,18 +408,20 @@ def _candidates(sets: DataFrame, labels: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """d, t, u, n (set size), rep, label (both as struct d, t, u): of each document its set's representative and component."""
     docs, parts = keyed(df, id_col, text_col), part_count(df)
-    members = stored(docs.mapInArrow(_members, _MEMBERS), "set-members")
+    members = stored(docs.mapInArrow(tidy(_members), _MEMBERS), "set-members")
     node = F.struct(*KEY)
     reps = members.where("n > 0").groupBy("n", "f", "g").agg(F.min(node).alias("rep"))
     members = stored(members.join(reps, ["n", "f", "g"], "left").withColumn("rep", F.coalesce("rep", node)), "set-members")
 
-    dealt = docs.mapInArrow(_deal_shingles(parts), dealt_schema(names=_NAMED_SETS))
+    dealt = docs.mapInArrow(tidy(_deal_shingles(parts)), dealt_schema(names=_NAMED_SETS))
     dealt = dealt.groupBy("p").applyInArrow(_count_shared(parts), dealt_schema(names=_NAMED_SETS))
     counted = stored(dealt.groupBy("p").applyInArrow(_add_up, "f bigint, g32 int, c bigint"), "shared-shingles")
     low = F.shiftright(F.shiftleft(F.col("g"), 32), 32).cast("int")  # the part of the fingerprint that was sent
     own = members.where(F.col("rep") == node).withColumn("g32", low)
     maybe = own.join(counted, ["f", "g32"]).where(100 * F.col("c") >= PERCENT * F.col("n")).select(*KEY).distinct()
-    sets = stored(docs.join(stored(maybe, "candidates"), list(KEY)).select(*KEY, "text").mapInArrow(_whole_sets, _SETS), "candidate-sets")
+    # One row for each document, however often it is repeated.
+    texts = docs.join(stored(maybe, "candidates"), list(KEY)).select(*KEY, "text").dropDuplicates(list(KEY))
+    sets = stored(texts.mapInArrow(tidy(_whole_sets), _SETS), "candidate-sets")
 
     bands = sets.select(node.alias("b"), F.posexplode("k").alias("o", "k"))
     centres = bands.groupBy("o", "k").agg(F.min("b").alias("a"))
