@@ -43,8 +43,8 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Spa
 
 #: What a worker keeps of words and pieces, in each of two generations, and takes at a time. Spark keeps idle workers,
 #: so this stays in memory beside other steps.
-MAX_WORDS, MAX_IDS, MAX_PIECES = 250_000, 2_000_000, 150_000
-BATCH_BYTES = 4 << 20
+MAX_WORDS, MAX_IDS, MAX_PIECES = 130_000, 1_000_000, 80_000
+BATCH_BYTES = 2 << 20
 
 
 def default_path() -> str:
