@@ -73,7 +73,7 @@ def main() -> None:
 
     price = li.select("l_orderkey", "l_linenumber", "l_extendedprice")
 
-    def bucketed():
+    def ranged():
         global_rank(price, "l_extendedprice", "r").write.format("noop").mode(
             "overwrite"
         ).save()
@@ -91,13 +91,13 @@ def main() -> None:
     def drop_dups():
         li.dropDuplicates(keys).write.format("noop").mode("overwrite").save()
 
-    for warm in (fused, per_rule, bucketed, single_window, min_struct, drop_dups):
+    for warm in (fused, per_rule, ranged, single_window, min_struct, drop_dups):
         warm()
     out = {
         "sf_dir": sf,
         "audit_fused": best_of(fused),
         "audit_one_action_per_rule": best_of(per_rule),
-        "rank_scale_safe": best_of(bucketed),
+        "rank_scale_safe": best_of(ranged),
         "rank_single_partition_window": best_of(single_window),
         "dedupe_min_struct": best_of(min_struct),
         "dedupe_dropDuplicates": best_of(drop_dups),
