@@ -153,6 +153,12 @@ def test_chi_square_quantile():
     assert neighbours.chi_square_quantile(0.95, 10) == pytest.approx(18.307, abs=1e-3)
 
 
+def nearest_by_brute_force(x: np.ndarray, q: int, k: int = 10) -> np.ndarray:
+    d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+    d[q] = np.inf
+    return np.lexsort((np.arange(len(x)), d))[:k]
+
+
 def test_nearest_neighbours(spark):
     rnd = np.random.default_rng(3)
     centres = rnd.standard_normal((20, 16))
@@ -163,25 +169,54 @@ def test_nearest_neighbours(spark):
     rows += odd + rows[:3]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, score int").repartition(4)
     got: dict = {}
-    for r in neighbours.nearest(df, query_where=lambda i: i % 10 == 0, block_rows=700).collect():
+    shares = {}
+    # Small blocks, so that there are several cells, slices of cells and groups of queries.
+    for r in neighbours.nearest(df, query_where=lambda i: i % 10 == 0, block_rows=150, query_rows=50).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+        shares[r.query_id] = r.n_verified / 2999
     assert sorted(got) == list(range(0, 3000, 10))
     hits = 0
     for q, found in got.items():
         d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
-        d[q] = np.inf
-        best = np.lexsort((np.arange(3000), d))[:10]
         assert sorted(found) == list(range(1, 11))
         assert all(s == pytest.approx(d[v], abs=1e-12) for v, s in found.values())
         assert [found[k] for k in range(1, 11)] == sorted(found.values(), key=lambda f: (f[1], f[0]))
-        hits += len({v for v, _ in found.values()} & set(best.tolist()))
+        hits += len({v for v, _ in found.values()} & set(nearest_by_brute_force(x, q).tolist()))
     assert hits >= 0.9 * 10 * len(got)
+    assert max(shares.values()) <= 1 and np.mean(list(shares.values())) < 0.2  # groups far apart are not looked at
     assert [got[10][1][0], got[20][1][0], got[30][1][0]] == [20, 10, 10]
     assert neighbours.nearest(df.limit(0), query_where=lambda i: i % 10 == 0).count() == 0
     few = neighbours.nearest(df.where("vec_id in (0, 1, 2)").dropDuplicates(["vec_id"]), query_where=lambda i: i == 0).collect()
     assert len(few) == 2
 
 
+def test_nearest_neighbours_of_each_length_and_of_equal_vectors(spark):
+    rnd = np.random.default_rng(5)
+    plane, solid = rnd.standard_normal((300, 2)), rnd.standard_normal((200, 3))
+    rows = [(i, v.tolist()) for i, v in enumerate(plane)] + [(1000 + i, v.tolist()) for i, v in enumerate(solid)]
+    rows += [(2000 + i, [5.0] * 4) for i in range(300)] + [(3000, [1e-200, 0.0, 0.0, 0.0, 0.0]), (3001, [1e200, 0.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got: dict = {}
+    for r in neighbours.nearest(df, query_where=lambda i: i % 50 == 0, block_rows=64, query_rows=3, confidence=0.9999).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    found = {q: [v for _, v in sorted(f)] for q, f in got.items()}
+    assert sorted(found) == [*range(0, 300, 50), *range(1000, 1200, 50), *range(2000, 2300, 50), 3000]
+    assert all(found[q] == nearest_by_brute_force(plane, q).tolist() for q in range(0, 300, 50))
+    assert all(found[1000 + q] == (1000 + nearest_by_brute_force(solid, q)).tolist() for q in range(0, 200, 50))
+    assert found[2000] == list(range(2001, 2011)) and found[2050] == list(range(2000, 2010))
+    assert found[3000] == [3001]
+
+
+def test_recall_on_the_given_vectors(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = sorted((r.vec_id, r.embedding) for r in table.select("vec_id", "embedding").collect())
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    found = neighbours.query(spark, "/root/testdata/sf0.1").collect()
+    asked = np.flatnonzero(ids % 100 == 0)
+    hits = sum(r.vec_id in ids[nearest_by_brute_force(x, q)] for q in asked for r in found if r.query_id == ids[q])
+    assert len(found) == 10 * len(asked) and hits >= 0.9 * len(found)
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_deep_shallow_order(seed):
     rnd = np.random.default_rng(seed)

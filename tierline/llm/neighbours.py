@@ -2,42 +2,56 @@
 
 Every vector is projected to a few dimensions by Gaussian directions, which are
 2-stable: the squared projected distance over the squared true distance follows a
-chi-square distribution with as many degrees of freedom. A kd-tree over the projected
-points yields them by increasing projected distance, leaf by leaf; each is verified by
-its true distance, and the search of a query ends once the next projected distance
-exceeds what a point nearer than the worst kept one would show with probability
-``confidence``.
-
-Vectors are indexed in blocks of bounded size, one kd-tree each, and queries are
-dealt to them in blocks, so a task holds one block of either and every vector is
-indexed. The best of all blocks are then merged.
-
-Defined cases: vectors that are null, empty, zero or of another length than most, or hold
-null or non-finite components, take no part, neither as query nor as candidate; a
-query with fewer candidates gets all; ties go to the smaller id; a query's own row is
+chi-square distribution with as many degrees of freedom. A kd-tree over projected
+points yields them by increasing projected distance; each is verified by its true
+distance, and the search of a query ends once the next projected distance exceeds what
+a point as near as the worst kept one would show with probability ``confidence``.
+
+The tree has two levels. Its upper part cuts the projected space into cells: it is
+fitted on a bounded sample of ``SAMPLE_ROWS`` projected vectors for each of at most
+``MAX_CELLS`` cells, and every vector is then assigned to its cell, so all are indexed. The
+lower part is a tree over the vectors of one cell, built in the task that holds them.
+A query first searches the nearest cells that hold enough vectors, which bounds the
+distance of its last neighbour; then it visits only those other cells whose box of projected
+points lies within the stopping distance of that bound. Cells of more than
+``block_rows`` vectors, and the queries of a cell beyond ``query_rows``, are dealt
+to several tasks, so a task holds a bounded block of either.
+
+``n_verified`` tells how many vectors a query was compared with. Nothing is pruned where
+the nearest vectors are hardly nearer than all others.
+
+Defined cases: vectors that are null, empty or zero, or hold null or non-finite
+components, take no part, neither as query nor as candidate; vectors of different
+lengths have no distance, so each length is searched by itself; a
+query with fewer candidates gets all, and one with none gives no row; ties go to the smaller id; a query's own row is
 never its neighbour, and rows with one id are that same vector repeated, of which one
-(the smallest by its components) is kept; null ids take no part; other columns are ignored.
+(the smallest by its components) is kept; null ids take no part, and ids that are no
+integers are an error; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tierline.llm.common import read_table, stored
 
-DIMENSIONS = 10
-CONFIDENCE = 0.98
-LEAF = 128
+DIMENSIONS = 24
+CONFIDENCE = 0.93
+LEAF = 64
 BLOCK_ROWS = 2_048
 QUERY_ROWS = 4_096
+MAX_CELLS = 4_096
+SAMPLE_ROWS = 16  # for each cell
 
 
 def chi_square_quantile(p: float, k: int) -> float:
@@ -66,7 +80,7 @@ class KdTree:
     """Leaves of at most ``leaf`` points, cut at the median of the widest side; boxes are those of the points."""
 
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
-        self.order = np.arange(len(points))
+        self.points, self.order = points, np.arange(len(points))
         self._nodes: list[tuple] = []  # low corner, high corner, children or None, range in order
         stack = [(0, len(points), -1, 0)]
         while stack:
@@ -83,48 +97,138 @@ class KdTree:
                 self.order[start:stop] = self.order[start:stop][cut]
                 stack += [(start, start + middle, node, 0), (start + middle, stop, node, 1)]
 
-    def leaves(self, point: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
-        """Leaves by increasing squared distance of their boxes from ``point``, with the points they hold."""
+    def nearest_first(self, point: np.ndarray, limit: Callable[[], float]) -> Iterator[np.ndarray]:
+        """Points by increasing squared distance from ``point`` up to ``limit()``, which may shrink meanwhile.
+
+        Those nearer than every box not yet opened come together, nearest first.
+        """
         gap = lambda n: float((np.maximum(np.maximum(n[0] - point, point - n[1]), 0.0) ** 2).sum())
         heap = [(gap(self._nodes[0]), 0)]
-        while heap:
-            d, node = heapq.heappop(heap)
+        waiting, far = np.empty(0, np.int64), np.empty(0)
+        while heap and heap[0][0] <= limit():
+            _, node = heapq.heappop(heap)
             _, _, children, start, stop = self._nodes[node]
-            if children is None:
-                yield d, self.order[start:stop]
-            else:
+            if children is not None:
                 for c in children:
                     heapq.heappush(heap, (gap(self._nodes[c]), c))
+                continue
+            own = self.order[start:stop]
+            waiting = np.concatenate([waiting, own])
+            far = np.concatenate([far, ((self.points[own] - point) ** 2).sum(axis=1)])
+            ready = far <= min(heap[0][0] if heap else math.inf, limit())
+            if ready.any():
+                order = np.argsort(far[ready], kind="stable")
+                yield waiting[ready][order]
+                waiting, far = waiting[~ready], far[~ready]
+        if len(last := waiting[far <= limit()]):
+            yield last
+
+
+class Cells:
+    """The upper tree: the projected space of one length cut at medians of a sample; a cell is the number of its node."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        self._axis, self._cut, self._below, self._above = [], [], [], []
+        stack = [(sample, cells, -1, self._below)]
+        while stack:
+            own, wanted, parent, side = stack.pop()
+            node = len(self._axis)
+            if parent >= 0:
+                side[parent] = node
+            spread = np.ptp(own, axis=0) if len(own) else np.zeros(1)
+            axis = int(np.argmax(spread)) if wanted > 1 and spread.max() > 0 else -1
+            cut = 0.0
+            if axis >= 0:  # the largest value below the upper half, or below the maximum where that is most
+                values = np.sort(own[:, axis])
+                cut = float(values[len(values) // 2 - 1])
+                if cut == values[-1]:
+                    cut = float(values[values < cut][-1])
+            for column, value in ((self._axis, axis), (self._cut, cut), (self._below, -1), (self._above, -1)):
+                column.append(value)
+            if axis >= 0:
+                below = own[:, axis] <= cut
+                stack += [(own[below], wanted // 2, node, self._below), (own[~below], wanted - wanted // 2, node, self._above)]
+        self._axis, self._cut = np.array(self._axis), np.array(self._cut)
+        self._below, self._above = np.array(self._below), np.array(self._above)
+
+    def of(self, points: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(points), np.int64)
+        while len(open_ := np.flatnonzero(self._axis[node] >= 0)):
+            n = node[open_]
+            below = points[open_, self._axis[n]] <= self._cut[n]
+            node[open_] = np.where(below, self._below[n], self._above[n])
+        return node
 
 
-def directions(length: int, dimensions: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((length, dimensions))
+@dataclass
+class Index:
+    """What tasks know of the whole: directions, the cells of long lengths and their boxes.
+
+    ``cells``, ``boxes`` (cell numbers, low and high corners, sizes) have the lengths of more than ``cell_rows`` vectors; any other length is one cell, -1.
+    """
+
+    dimensions: int
+    seed: int
+    threshold: float
+    scale: float
+    cell_rows: int
+    cells: dict[int, Cells] = field(default_factory=dict)
+    boxes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
+    _axes: dict[int, np.ndarray] = field(default_factory=dict)
+
+    def project(self, vectors: np.ndarray) -> np.ndarray:
+        """Scaled first: huge or tiny components don't overflow a square."""
+        length = vectors.shape[1]
+        if length not in self._axes:
+            self._axes.clear()  # one length at a time, as lengths may be many
+            self._axes[length] = np.random.default_rng(self.seed).standard_normal((length, self.dimensions))
+        return (vectors / self.scale) @ self._axes[length]
+
+    def limit(self, bound: float | np.ndarray, projected: np.ndarray) -> float | np.ndarray:
+        """The squared projected distance at which a search stops; equal vectors differ by rounding only."""
+        return self.threshold * (bound / self.scale) ** 2 * (1 + 1e-9) + 1e-24 * (1 + (projected**2).sum(axis=-1))
+
+    def cell(self, vectors: np.ndarray) -> np.ndarray:
+        length = vectors.shape[1]
+        return self.cells[length].of(self.project(vectors)) if length in self.cells else np.full(len(vectors), -1)
+
+    def visits(self, query: np.ndarray, bound: float | None, k: int) -> np.ndarray:
+        """Cells of a query: with no bound yet, the nearest that hold more than ``k`` vectors; with one, all others within it."""
+        length = len(query)
+        if length not in self.boxes:
+            return np.array([-1] if bound is None else [], np.int64)
+        cells, low, high, sizes = self.boxes[length]
+        projected = self.project(query[None])[0]
+        gaps = (np.maximum(np.maximum(low - projected, projected - high), 0.0) ** 2).sum(axis=1)
+        order = np.lexsort((cells, gaps))
+        first = int(np.searchsorted(np.cumsum(sizes[order]), k + 1)) + 1
+        if bound is None:
+            return cells[order[:first]]
+        rest = order[first:]
+        return cells[rest[gaps[rest] <= self.limit(bound, projected)]]
 
 
 def search_block(
-    q_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, *, k: int, dimensions: int, confidence: float, seed: int
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query its nearest found in one block: id, neighbours' ids and distances, nearest first."""
-    axes = directions(vectors.shape[1], dimensions, seed)
-    # Centred and scaled: huge or tiny components don't overflow a square.
-    scale = float(np.abs(vectors).max(initial=0.0)) or 1.0
-    tree, threshold = KdTree((vectors / scale) @ axes), chi_square_quantile(confidence, dimensions)
-    for q_id, query in zip(q_ids, queries, strict=True):
-        kept_d, kept_i = np.empty(0), np.empty(0, np.int64)
-        projected = (query / scale) @ axes
-        for gap, members in tree.leaves(projected):
-            if len(kept_d) == k and gap > threshold * float(kept_d[-1] / scale) ** 2:
-                break
+    q_ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray, ids: np.ndarray, vectors: np.ndarray, *, k: int, index: Index
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """For each query its nearest found in one block, none beyond its bound: id, neighbours' ids and distances, number of vectors verified."""
+    tree = KdTree(index.project(vectors))
+    for q_id, query, bound, projected in zip(q_ids, queries, bounds, index.project(queries), strict=True):
+        kept_d, kept_i, verified = np.empty(0), np.empty(0, np.int64), 0
+        nearest_kept = lambda: min(bound, kept_d[-1] if len(kept_d) == k else math.inf)  # noqa: B023, E731
+        for members in tree.nearest_first(projected, lambda: index.limit(nearest_kept(), projected)):  # noqa: B023
             members = members[ids[members] != q_id]
+            verified += len(members)
             d = np.sqrt(((vectors[members] - query) ** 2).sum(axis=1))
             kept_d, kept_i = np.concatenate([kept_d, d]), np.concatenate([kept_i, ids[members]])
             best = np.lexsort((kept_i, kept_d))[:k]
             kept_d, kept_i = kept_d[best], kept_i[best]
-        yield int(q_id), kept_i, kept_d
+        near = kept_d <= bound
+        yield int(q_id), kept_i[near], kept_d[near], verified
 
 
 def clean_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``id``, ``v`` (array of double): usable vectors, one per id, of the most frequent length."""
+    """``id``, ``v`` (array of double): usable vectors, one per id."""
     v = F.col("v")
     usable = (
         F.col("id").isNotNull()
@@ -134,14 +238,142 @@ def clean_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     )
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     rows = rows.where(F.coalesce(usable, F.lit(False))).groupBy("id").agg(F.min("v").alias("v"))
-    table = stored(rows, "vectors")
-    lengths = table.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return table if lengths is None else table.where(F.size("v") == lengths["n"])
+    return stored(rows, "vectors")
+
+
+def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """The rows of each length of ``v``, with their vectors as a matrix."""
+    lengths = pc.list_value_length(batch.column("v")).to_numpy(zero_copy_only=False)
+    for length in np.unique(lengths):
+        own = batch.take(pa.array(np.flatnonzero(lengths == length)))
+        yield own, _matrix(own.column("v"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    values = column.flatten().to_numpy(zero_copy_only=False)
-    return values.reshape(len(column), -1) if len(column) else values.reshape(0, 0)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _mapped(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch, np.ndarray], list | None]) -> DataFrame:
+    """``rows`` (columns for the vectors of one length) of every batch of ``df``."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own, matrix in _by_length(batch):
+                columns = rows(own, matrix)
+                if columns is not None and len(columns[0]):
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return df.mapInArrow(run, schema)
+
+
+def build_index(vectors: DataFrame, *, block_rows: int, dimensions: int, confidence: float, seed: int) -> Index:
+    """Cells fitted on a bounded sample, their boxes and sizes from every vector."""
+    n, scale = vectors.agg(F.count("*"), F.max(F.array_max(F.transform("v", F.abs)))).first()
+    cell_rows = max(block_rows, -(-n // MAX_CELLS))
+    index = Index(dimensions, seed, chi_square_quantile(confidence, dimensions), scale or 1.0, cell_rows)
+    # At most n / cell_rows lengths, so no more than MAX_CELLS.
+    lengths = {r[0]: r[1] for r in vectors.groupBy(F.size("v")).count().where(F.col("count") > cell_rows).collect()}
+    if not lengths:
+        return index
+    long = vectors.where(F.size("v").isin(list(lengths)))
+    share = SAMPLE_ROWS / cell_rows  # so about SAMPLE_ROWS for each cell
+    drawn = long.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    project = lambda own, m: [pa.array([m.shape[1]] * len(m), pa.int32()), pa.array(index.project(m).tolist(), pa.list_(pa.float64()))]
+    points: dict[int, list] = {length: [] for length in lengths}
+    for length, point in _mapped(drawn, "length int, point array<double>", project).collect():
+        points[length].append(point)
+    for length, size in lengths.items():
+        sample = np.array(sorted(points[length])).reshape(-1, dimensions)
+        index.cells[length] = Cells(sample, -(-size // cell_rows))
+
+    def boxes(own: pa.RecordBatch, matrix: np.ndarray) -> list:
+        at, cell = index.project(matrix), index.cell(matrix)
+        found = np.unique(cell)
+        parts = [at[cell == c] for c in found]
+        corners = [pa.array([f(p, axis=0).tolist() for p in parts], pa.list_(pa.float64())) for f in (np.min, np.max)]
+        sizes = pa.array([len(p) for p in parts], pa.int64())
+        return [pa.array([matrix.shape[1]] * len(found), pa.int32()), pa.array(found, pa.int32()), sizes, *corners]
+
+    parts = _mapped(long, "length int, cell int, n bigint, low array<double>, high array<double>", boxes)
+    low = [F.min(F.col("low")[i]) for i in range(dimensions)]
+    high = [F.max(F.col("high")[i]) for i in range(dimensions)]
+    whole = parts.groupBy("length", "cell").agg(F.sum("n").alias("n"), F.array(*low).alias("low"), F.array(*high).alias("high"))
+    # At most two cells for each share of cell_rows vectors.
+    rows = whole.orderBy("length", "cell").collect()
+    for length in lengths:
+        own = [r for r in rows if r.length == length]
+        index.boxes[length] = (
+            np.array([r.cell for r in own]), np.array([r.low for r in own]), np.array([r.high for r in own]), np.array([r.n for r in own]),
+        )
+    return index
+
+
+FOUND = "query_id bigint, vec_id bigint, score double, verified bigint"
+
+
+def _search(vectors: DataFrame, asked: DataFrame, index: Index, first: bool, *, k: int, block_rows: int, query_rows: int) -> DataFrame:
+    """What ``asked`` (id, v and, unless ``first``, bound) finds in the cells it visits; a row without vec_id where a block gave none."""
+    slices = {(length, c): -(-n // block_rows) for length, (cells, _, _, sizes) in index.boxes.items() for c, n in zip(cells.tolist(), sizes.tolist(), strict=True)}
+    small = -(-index.cell_rows // block_rows)  # a length that is one cell has no more vectors or queries than cell_rows
+    small_groups = -(-index.cell_rows // query_rows)
+
+    def visit(own: pa.RecordBatch, matrix: np.ndarray) -> list | None:
+        bounds = np.full(len(matrix), np.inf) if first else own.column("bound").to_numpy(zero_copy_only=False)
+        cells = [index.visits(q, None if first else b, k) for q, b in zip(matrix, bounds, strict=True)]
+        row = np.repeat(np.arange(len(matrix)), [len(c) for c in cells])
+        if not len(row):
+            return None
+        cell, length = np.concatenate(cells), matrix.shape[1]
+        of = pa.array([slices.get((length, c), small) for c in cell.tolist()], pa.int32())
+        taken = own.take(pa.array(row))
+        return [taken.column("id"), taken.column("v"), pa.array(bounds[row]), pa.array([length] * len(row), pa.int32()), pa.array(cell, pa.int32()), of]
+
+    key = ["length", "cell", "slice", "part"]
+    visits = stored(_mapped(asked, "id bigint, v array<double>, bound double, length int, cell int, slices int", visit), "visits")
+    crowded = visits.where("cell >= 0").groupBy("length", "cell").count().where(F.col("count") > query_rows).collect()  # of MAX_CELLS
+    groups = {(r.length, r.cell): -(-r["count"] // query_rows) for r in crowded}
+
+    def place(own: pa.RecordBatch, matrix: np.ndarray) -> list:
+        cell, length = index.cell(matrix), matrix.shape[1]
+        of = np.array([slices.get((length, c), small) for c in cell.tolist()])
+        parts = pa.array([groups.get((length, c), small_groups if c < 0 else 1) for c in cell.tolist()], pa.int32())
+        at = own.column("h").to_numpy(zero_copy_only=False) % of
+        return [own.column("id"), own.column("v"), pa.array([length] * len(cell), pa.int32()), pa.array(cell, pa.int32()), pa.array(at, pa.int32()), parts]
+
+    hashed = vectors.withColumn("h", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40)))
+    placed = _mapped(hashed, "id bigint, v array<double>, length int, cell int, slice int, parts int", place)
+    left = placed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+
+    def grouped(own: pa.RecordBatch, matrix: np.ndarray) -> list:
+        length = matrix.shape[1]
+        of = np.array([groups.get((length, c), small_groups if c < 0 else 1) for c in own.column("cell").to_pylist()])
+        part = pa.array(own.column("h").to_numpy(zero_copy_only=False) % of, pa.int32())
+        return [*(own.column(c) for c in ("id", "v", "bound", "length", "cell", "slices")), part]
+
+    dealt = visits.withColumn("h", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(1 << 40)))
+    dealt = _mapped(dealt, "id bigint, v array<double>, bound double, length int, cell int, slices int, part int", grouped)
+    right = dealt.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+
+    def search(_: tuple, own: pa.Table, ask: pa.Table) -> pa.Table:
+        columns: list[list] = [[], [], [], []]
+        if own.num_rows and ask.num_rows:
+            own, ask = own.combine_chunks(), ask.combine_chunks()
+            found = search_block(
+                ask["id"].to_numpy(), _matrix(ask["v"].chunk(0)), ask["bound"].to_numpy(),
+                own["id"].to_numpy(), _matrix(own["v"].chunk(0)), k=k, index=index,
+            )
+            for q, ids, distances, verified in found:
+                n = max(1, len(ids))
+                columns[0] += [q] * n
+                columns[1] += ids.tolist() or [None]
+                columns[2] += distances.tolist() or [None]
+                columns[3] += [verified] + [0] * (n - 1)
+        types = (pa.int64(), pa.int64(), pa.float64(), pa.int64())
+        names = [c.split()[0] for c in FOUND.split(", ")]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+    return stored(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(search, FOUND), "found")
 
 
 def nearest(
@@ -157,40 +389,24 @@ def nearest(
     query_rows: int = QUERY_ROWS,
     seed: int = 7,
 ) -> DataFrame:
-    """The ``k`` nearest found of each query: query_id, rank (from 1), vec_id, score (Euclidean distance).
+    """The ``k`` nearest found of each query: query_id, rank (from 1), vec_id, score (Euclidean distance), n_verified.
 
     Queries are the rows of ``df`` whose id meets ``query_where`` (a function of the id column).
     """
     vectors = clean_vectors(df, id_col, vector_col)
-    n = vectors.count()
-    blocks = max(1, -(-n // block_rows))
+    index = build_index(vectors, block_rows=block_rows, dimensions=dimensions, confidence=confidence, seed=seed)
     asked = vectors.where(query_where(F.col("id"))) if query_where is not None else vectors
-    groups = max(1, -(-asked.count() // query_rows))
-    placed = vectors.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"))
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(groups)).cast("int"))
-    # One cell for each pair of a block of vectors and a block of queries.
-    left = placed.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    right = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    schema = "query_id bigint, vec_id bigint, score double"
-
-    def search(key: tuple, own: pa.Table, ask: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        if not own.num_rows or not ask.num_rows:
-            return empty
-        own, ask = own.combine_chunks(), ask.combine_chunks()
-        parts = [
-            (np.full(len(i), q), i, d)
-            for q, i, d in search_block(
-                ask["id"].to_numpy(), _matrix(ask["v"].chunk(0)), own["id"].to_numpy(), _matrix(own["v"].chunk(0)),
-                k=k, dimensions=dimensions, confidence=confidence, seed=seed,
-            )
-        ]
-        q, i, d = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(i, pa.int64()), "score": pa.array(d, pa.float64())})
-
-    cells = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(search, schema)
+    sizes = {"k": k, "block_rows": block_rows, "query_rows": query_rows}
     order = W.partitionBy("query_id").orderBy("score", "vec_id")
-    return cells.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = lambda found: found.where("vec_id is not null").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    found = _search(vectors, asked, index, True, **sizes)
+    last = best(found).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("bound"))
+    bounded = asked.join(last, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    if index.boxes:
+        found = found.unionByName(_search(vectors, bounded, index, False, **sizes))
+    verified = found.groupBy("query_id").agg(F.sum("verified").alias("n_verified"))
+    return best(found).drop("verified").join(verified, "query_id").select("query_id", "rank", "vec_id", "score", "n_verified")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
