@@ -80,48 +80,66 @@ class KdTree:
     """Leaves of at most ``leaf`` points, cut at the median of the widest side; boxes are those of the points."""
 
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
-        self.points, self.order = points, np.arange(len(points))
-        self._nodes: list[tuple] = []  # low corner, high corner, children or None, range in order
+        self.order = np.arange(len(points))
+        self._low, self._high, self._nodes = [], [], []  # corners; children or None, range in order
         stack = [(0, len(points), -1, 0)]
         while stack:
             start, stop, parent, side = stack.pop()
             own = points[self.order[start:stop]]
             low, high = own.min(axis=0), own.max(axis=0)
             node = len(self._nodes)
-            self._nodes.append((low, high, [-1, -1] if stop - start > leaf else None, start, stop))
+            self._low.append(low)
+            self._high.append(high)
+            self._nodes.append(([-1, -1] if stop - start > leaf else None, start, stop))
             if parent >= 0:
-                self._nodes[parent][2][side] = node
+                self._nodes[parent][0][side] = node
             if stop - start > leaf:
                 middle = (stop - start) // 2
                 cut = np.argpartition(own[:, int(np.argmax(high - low))], middle)
                 self.order[start:stop] = self.order[start:stop][cut]
                 stack += [(start, start + middle, node, 0), (start + middle, stop, node, 1)]
+        self._low, self._high, self._points = np.array(self._low), np.array(self._high), points[self.order]
 
     def nearest_first(self, point: np.ndarray, limit: Callable[[], float]) -> Iterator[np.ndarray]:
         """Points by increasing squared distance from ``point`` up to ``limit()``, which may shrink meanwhile.
 
-        Those nearer than every box not yet opened come together, nearest first.
+        A point's turn comes when it is nearer than every box not yet opened; points are handed out in growing chunks.
         """
-        gap = lambda n: float((np.maximum(np.maximum(n[0] - point, point - n[1]), 0.0) ** 2).sum())
-        heap = [(gap(self._nodes[0]), 0)]
-        waiting, far = np.empty(0, np.int64), np.empty(0)
+        gaps = _gaps(self._low, self._high, point).tolist()
+        heap = [(gaps[0], 0)]
+        members, far, least = [], [], math.inf  # points waiting for their turn
         while heap and heap[0][0] <= limit():
-            _, node = heapq.heappop(heap)
-            _, _, children, start, stop = self._nodes[node]
+            children, start, stop = self._nodes[heapq.heappop(heap)[1]]
             if children is not None:
                 for c in children:
-                    heapq.heappush(heap, (gap(self._nodes[c]), c))
+                    heapq.heappush(heap, (gaps[c], c))
                 continue
-            own = self.order[start:stop]
-            waiting = np.concatenate([waiting, own])
-            far = np.concatenate([far, ((self.points[own] - point) ** 2).sum(axis=1)])
-            ready = far <= min(heap[0][0] if heap else math.inf, limit())
-            if ready.any():
-                order = np.argsort(far[ready], kind="stable")
-                yield waiting[ready][order]
-                waiting, far = waiting[~ready], far[~ready]
-        if len(last := waiting[far <= limit()]):
-            yield last
+            members.append(self.order[start:stop])
+            far.append(((self._points[start:stop] - point) ** 2).sum(axis=1))
+            least = min(least, float(far[-1].min()))
+            edge = heap[0][0] if heap else math.inf
+            if least <= edge:
+                waiting, d = np.concatenate(members), np.concatenate(far)
+                ready = d <= edge
+                yield from _chunks(waiting[ready], d[ready], limit)
+                members, far = [waiting[~ready]], [d[~ready]]
+                least = float(far[0].min(initial=math.inf))
+        if members:
+            yield from _chunks(np.concatenate(members), np.concatenate(far), limit)
+
+
+def _gaps(low: np.ndarray, high: np.ndarray, point: np.ndarray) -> np.ndarray:
+    """Squared distances of boxes from a point."""
+    return (np.maximum(np.maximum(low - point, point - high), 0.0) ** 2).sum(axis=1)
+
+
+def _chunks(members: np.ndarray, far: np.ndarray, limit: Callable[[], float], size: int = 32) -> Iterator[np.ndarray]:
+    order = np.argsort(far, kind="stable")
+    members, far = members[order], far[order]
+    at = 0
+    while at < (stop := min(at + size, int(np.searchsorted(far, limit(), "right")))):
+        yield members[at:stop]
+        at, size = stop, 2 * size
 
 
 class Cells:
@@ -184,9 +202,14 @@ class Index:
             self._axes[length] = np.random.default_rng(self.seed).standard_normal((length, self.dimensions))
         return (vectors / self.scale) @ self._axes[length]
 
-    def limit(self, bound: float | np.ndarray, projected: np.ndarray) -> float | np.ndarray:
-        """The squared projected distance at which a search stops; equal vectors differ by rounding only."""
-        return self.threshold * (bound / self.scale) ** 2 * (1 + 1e-9) + 1e-24 * (1 + (projected**2).sum(axis=-1))
+    def limit(self, bound: float, slack: float) -> float:
+        """The squared projected distance at which a search stops."""
+        return self.threshold * (bound / self.scale) ** 2 * (1 + 1e-9) + slack
+
+    @staticmethod
+    def slack(projected: np.ndarray) -> float:
+        """By how much equal vectors may differ, by rounding."""
+        return 1e-24 * (1 + float((projected**2).sum()))
 
     def cell(self, vectors: np.ndarray) -> np.ndarray:
         length = vectors.shape[1]
@@ -199,13 +222,13 @@ class Index:
             return np.array([-1] if bound is None else [], np.int64)
         cells, low, high, sizes = self.boxes[length]
         projected = self.project(query[None])[0]
-        gaps = (np.maximum(np.maximum(low - projected, projected - high), 0.0) ** 2).sum(axis=1)
+        gaps = _gaps(low, high, projected)
         order = np.lexsort((cells, gaps))
         first = int(np.searchsorted(np.cumsum(sizes[order]), k + 1)) + 1
         if bound is None:
             return cells[order[:first]]
         rest = order[first:]
-        return cells[rest[gaps[rest] <= self.limit(bound, projected)]]
+        return cells[rest[gaps[rest] <= self.limit(bound, self.slack(projected))]]
 
 
 def search_block(
@@ -214,17 +237,20 @@ def search_block(
     """For each query its nearest found in one block, none beyond its bound: id, neighbours' ids and distances, number of vectors verified."""
     tree = KdTree(index.project(vectors))
     for q_id, query, bound, projected in zip(q_ids, queries, bounds, index.project(queries), strict=True):
-        kept_d, kept_i, verified = np.empty(0), np.empty(0, np.int64), 0
-        nearest_kept = lambda: min(bound, kept_d[-1] if len(kept_d) == k else math.inf)  # noqa: B023, E731
-        for members in tree.nearest_first(projected, lambda: index.limit(nearest_kept(), projected)):  # noqa: B023
+        kept_d, kept_i, verified, slack = np.empty(0), np.empty(0, np.int64), 0, index.slack(projected)
+        worst = float(bound)  # no farther vector is wanted
+        for members in tree.nearest_first(projected, lambda: index.limit(worst, slack)):  # noqa: B023
             members = members[ids[members] != q_id]
             verified += len(members)
             d = np.sqrt(((vectors[members] - query) ** 2).sum(axis=1))
-            kept_d, kept_i = np.concatenate([kept_d, d]), np.concatenate([kept_i, ids[members]])
+            if not (near := d <= worst).any():
+                continue
+            kept_d, kept_i = np.concatenate([kept_d, d[near]]), np.concatenate([kept_i, ids[members[near]]])
             best = np.lexsort((kept_i, kept_d))[:k]
             kept_d, kept_i = kept_d[best], kept_i[best]
-        near = kept_d <= bound
-        yield int(q_id), kept_i[near], kept_d[near], verified
+            if len(kept_d) == k:
+                worst = min(worst, float(kept_d[-1]))
+        yield int(q_id), kept_i, kept_d, verified
 
 
 def clean_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
