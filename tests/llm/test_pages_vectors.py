@@ -148,6 +148,49 @@ def test_salvage_of_gzip_members():
     assert salvaged(a + record(2, b"plain") + c)[0] == ids
 
 
+def test_salvage_of_a_member_with_many_records():
+    records = [record(i, bytes([i % 251]) * 997 * i) for i in range(1, 60)]
+    ids = [f"<urn:page:{i}>" for i in range(1, 60)]
+    rnd = np.random.default_rng(1)
+    noise = [record(i, rnd.bytes(3_000)) for i in range(1, 60)]  # does not compress, so that pieces end between records
+    whole = gzip.compress(b"".join(noise))
+    assert salvaged(gzip.compress(b"".join(records)) + whole) == (ids + ids, [])
+    found, gaps = salvaged(whole[:-5_000] + records[0])  # cut near its end
+    assert found[:57] == ids[:57] and found[-1] == ids[0] and [g[0] for g in gaps] == [0]
+    broken = bytearray(whole)
+    broken[100_000] ^= 255
+    found, gaps = salvaged(bytes(broken) + whole)
+    assert found[:30] == ids[:30] and found[-59:] == ids and gaps[-1] == (0, len(whole))
+    inside = gzip.compress(b"".join([*noise[:9], noise[9][20:], *noise[10:]]))  # sound, but one record in it is not
+    assert salvaged(inside) == (ids[:9] + ids[10:], [(0, len(noise[9]) - 20)])
+    assert salvaged(gzip.compress(b"") + records[0]) == (ids[:1], [])
+    nothing = gzip.compress(b"no record at all")
+    assert salvaged(nothing + records[0]) == (ids[:1], [(0, len(nothing))])
+
+
+def test_members_are_inflated_piece_by_piece():
+    """A member of 300 MB, of which one record at a time is held."""
+    import tracemalloc
+
+    one = record(1, b"\0" * (1 << 20))
+    packer, parts = __import__("zlib").compressobj(1, wbits=31), []
+    for _ in range(300):
+        parts.append(packer.compress(one))
+    data = b"".join([*parts, packer.flush()])
+    tracemalloc.start()
+    assert sum(isinstance(x, warc.Record) for x in warc.salvage(data)) == 300
+    assert tracemalloc.get_traced_memory()[1] < 30 << 20
+    tracemalloc.stop()
+
+
+def test_archives_of_any_name_are_read(spark, tmp_path):
+    (tmp_path / "X.WARC.GZ").write_bytes(gzip.compress(record(1, b"one")))
+    (tmp_path / "Y.warc").write_bytes(record(2, b"two"))
+    (tmp_path / "Z.WARC_").write_bytes(b"")
+    rows = warc.read_archive(spark, str(tmp_path)).collect()
+    assert sorted((r.archive, r.record_id) for r in rows) == [("X.WARC.GZ", "<urn:page:1>"), ("Y.warc", "<urn:page:2>")]
+
+
 def test_chi_square_quantile():
     assert neighbours.chi_square_quantile(0.95, 1) == pytest.approx(3.841, abs=1e-3)
     assert neighbours.chi_square_quantile(0.95, 10) == pytest.approx(18.307, abs=1e-3)

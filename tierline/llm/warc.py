@@ -10,9 +10,12 @@ checks each: the version line, a well-formed header block, the declared length,
 terminator and the payload's SHA-1. After a failed check it searches for the next
 version line or gzip member, tries there, and goes on from the first place that
 holds a valid record; the bytes passed over are logged as one quarantined gap. Gzip
-members are inflated one at a time by the same rules: a broken member is skipped up
-to the next one that opens. A task holds one file: archives should stay well under
-an executor's memory, as the writer's files do.
+members are inflated piece by piece and walked by the same rules, whatever their size: only the
+record being read is in memory. Of a member that is damaged or cut off, the records complete
+before the damage are kept; its bytes up to the next valid member or record are a gap. A
+task holds one file as it is stored (at most 2 GB, Spark's limit for a value): archives should stay
+well under an executor's memory, as the writer's files do. All files of the folder are read,
+whatever their names, but for hidden ones (a leading dot or underscore), as Spark does.
 
 Defined cases: a null payload is an empty one; rows with one id and equal payloads are
 all responses; a null id is never referred to unless all ids of its payload are null,
@@ -41,6 +44,7 @@ END = "\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r?\n")
 _MEMBER = b"\x1f\x8b\x08"
+_MEMBER_START = re.compile(re.escape(_MEMBER))
 _NAME = re.compile(r"[!#$%&'*+\-.^_`|~0-9A-Za-z]+")
 
 
@@ -139,21 +143,99 @@ class _Failed(Exception):
     fields: dict = field(default_factory=dict)
 
 
-def _parse(data: memoryview, at: int) -> tuple[Record, int]:
+class _Stored:
+    """The bytes of an archive, all in memory."""
+
+    def __init__(self, content: bytes | memoryview):
+        self.data, self._raw = memoryview(content), content
+
+    def read(self, at: int, stop: int) -> memoryview:
+        """The bytes from ``at`` to ``stop``, fewer at the end."""
+        return self.data[at:stop]
+
+    def next_start(self, at: int) -> int:
+        """The next place at or after ``at`` that may begin a record or member; the end if none."""
+        line = _VERSION_LINE.search(self._raw, at)
+        line_at = line.start() if line else len(self.data)
+        member = _MEMBER_START.search(self._raw, at, min(len(self.data), line_at))
+        return min(line_at, member.start() if member else len(self.data))
+
+    def forget(self, at: int) -> None:
+        """Bytes before ``at`` won't be asked for again."""
+
+
+class _Member:
+    """The content of the gzip member at ``at``, inflated as far as it is asked for; zlib verifies its checksum at the end."""
+
+    PIECE = 1 << 16
+
+    def __init__(self, data: memoryview, at: int):
+        self._data, self._at, self._inflater = data, at, zlib.decompressobj(31)
+        self._kept, self._start, self._input = bytearray(), 0, b""
+        self.damage = ""
+
+    def _more(self) -> bool:
+        if self._inflater.eof or self.damage:
+            return False
+        if not self._input:
+            self._input = self._data[self._at : self._at + self.PIECE]
+            self._at += len(self._input)
+            if not self._input:
+                self.damage = "gzip member is cut off"
+                return False
+        try:
+            self._kept += self._inflater.decompress(self._input, 16 * self.PIECE)
+            self._input = self._inflater.unconsumed_tail
+        except zlib.error:
+            self.damage = "gzip member is damaged"
+            return False
+        return True
+
+    def finish(self) -> int:
+        """Where the member ends, read to its end."""
+        while self._more():
+            self.forget(self._start + len(self._kept))
+        return self._at - len(self._inflater.unused_data)
+
+    def read(self, at: int, stop: int) -> bytes:
+        while self._start + len(self._kept) < stop and self._more():
+            pass
+        return bytes(self._kept[at - self._start : stop - self._start])
+
+    def next_start(self, at: int) -> int:
+        while True:
+            if found := _VERSION_LINE.search(self._kept, at - self._start):
+                return self._start + found.start()
+            end = self._start + len(self._kept)
+            at = max(at, end - 11)  # a version line may begin in the last bytes
+            self.forget(at)
+            if not self._more():
+                return max(end, at)
+
+    def forget(self, at: int) -> None:
+        del self._kept[: at - self._start]
+        self._start = at
+
+
+def _line_end(source: _Stored | _Member, at: int) -> int:
+    """Length of the line at ``at`` without its end. Lines are short; a long one is searched in growing windows."""
+    window = 1024
+    while (end := (seen := bytes(source.read(at, at + window))).find(b"\n")) < 0:
+        if len(seen) < window:
+            raise _Failed("header does not end")
+        window *= 4
+    return end
+
+
+def _parse(source: _Stored | _Member, at: int) -> tuple[Record, int]:
     """The record at ``at`` and where it ends, or _Failed."""
-    head = bytes(data[at : at + 12])
-    if not (m := _VERSION_LINE.match(head)):
+    if not (m := _VERSION_LINE.match(bytes(source.read(at, at + 12)))):
         raise _Failed("no version line")
     fields: dict[str, str] = {}
     pos = at + m.end()
     while True:
-        # Header lines are short; a long one is searched in growing windows.
-        window = 1024
-        while (end := bytes(data[pos : pos + window]).find(b"\n")) < 0 and pos + window < len(data):
-            window *= 4
-        if end < 0:
-            raise _Failed("header does not end")
-        text = bytes(data[pos : pos + end]).rstrip(b"\r").decode("utf-8", "replace")
+        end = _line_end(source, pos)
+        text = bytes(source.read(pos, pos + end)).rstrip(b"\r").decode("utf-8", "replace")
         pos += end + 1
         if not text:
             break
@@ -165,9 +247,9 @@ def _parse(data: memoryview, at: int) -> tuple[Record, int]:
     if not (length.isascii() and length.isdigit()):
         raise _Failed("no length")
     stop = pos + int(length)
-    if bytes(data[stop : stop + 4]) != END.encode():
+    if bytes(source.read(stop, stop + 4)) != END.encode():
         raise _Failed("no terminator after the declared length")
-    block = data[pos:stop]
+    block = source.read(pos, stop)
     digest = fields.get("warc-payload-digest", "")
     if fields.get("warc-type") == "response" and digest.startswith("sha1:"):
         if base64.b32encode(hashlib.sha1(block).digest()).decode() != digest[5:]:
@@ -175,60 +257,51 @@ def _parse(data: memoryview, at: int) -> tuple[Record, int]:
     return Record(at, fields, block), stop + 4
 
 
-def _inflate(data: memoryview, at: int, limit: int) -> tuple[bytes, int]:
-    """The gzip member at ``at`` and where it ends; its checksum is verified by zlib."""
-    inflater, out, pos, size = zlib.decompressobj(31), [], at, 0
-    try:
-        while not inflater.eof:
-            if pos >= len(data):
-                raise _Failed("gzip member is cut off")
-            piece = inflater.decompress(data[pos : pos + (1 << 16)])
-            pos = min(pos + (1 << 16), len(data))
-            out.append(piece)
-            size += len(piece)
-            if size > limit:
-                raise _Failed("gzip member is too large")
-    except zlib.error as exc:
-        raise _Failed("gzip member is damaged") from exc
-    return b"".join(out), pos - len(inflater.unused_data)
-
-
-def _next_start(data: memoryview, at: int, raw: bytes | memoryview) -> int:
-    """The next place at or after ``at`` that may begin a record or member; the end if none."""
-    line = _VERSION_LINE.search(raw, at)
-    line_at = line.start() if line else len(data)
-    member = re.compile(re.escape(_MEMBER)).search(raw, at, min(len(data), line_at))
-    return min(line_at, member.start() if member else len(data))
-
-
-def salvage(content: bytes | memoryview, *, max_member: int = 1 << 30) -> Iterator[Record | Gap]:
-    """Every valid record of an archive in order, and the gaps between them."""
-    data = memoryview(content)
+def _records(source: _Stored | _Member, at: int) -> Iterator[tuple[list[Record | Gap], int]]:
+    """What is at ``at``, piece by piece, each with the place to go on from; _Failed if there is no valid record."""
+    if not isinstance(source, _Stored) or bytes(source.read(at, at + 3)) != _MEMBER:
+        record, end = _parse(source, at)
+        yield [record], end
+        return
+    member, held, some = _Member(source.data, at), [], False
+    for x in _walk(member):
+        x.offset = at  # places inside a member are told by the member's own place
+        held.append(x)  # a gap waits for the record after it
+        if isinstance(x, Record):
+            yield held, at
+            held, some = [], True
+    end = member.finish()
+    if member.damage:
+        raise _Failed(member.damage)
+    if held and not some:
+        raise _Failed("gzip member holds no record")
+    yield held, end
+
+
+def _walk(source: _Stored | _Member) -> Iterator[Record | Gap]:
     at, gap, reason = 0, None, ""
-    while at < len(data):
+    while len(source.read(at, at + 1)):
+        start = at
         try:
-            if bytes(data[at : at + 3]) == _MEMBER:
-                member, end = _inflate(data, at, max_member)
-                found: list[Record | Gap] = list(salvage(member, max_member=max_member))
-                if not any(isinstance(x, Record) for x in found) and member:
-                    raise _Failed("gzip member holds no record")
-                for x in found:  # places inside a member are told by the member's own place
-                    x.offset = at
-            else:
-                record, end = _parse(data, at)
-                found = [record]
+            for found, place in _records(source, start):
+                if found and gap is not None:
+                    yield Gap(gap, start - gap, reason)
+                    gap = None
+                yield from found
+                at = place
         except _Failed as failed:
             if gap is None:
-                gap, reason = at, failed.reason
-            at = _next_start(data, at + 1, content)
-            continue
-        if gap is not None:
-            yield Gap(gap, at - gap, reason)
-            gap = None
-        yield from found
-        at = end
+                gap, reason = start, failed.reason
+            at = source.next_start(start + 1)
+        if at > start:
+            source.forget(at)
     if gap is not None:
-        yield Gap(gap, len(data) - gap, reason)
+        yield Gap(gap, at - gap, reason)
+
+
+def salvage(content: bytes | memoryview) -> Iterator[Record | Gap]:
+    """Every valid record of an archive in order, and the gaps between them."""
+    return _walk(_Stored(content))
 
 
 SCHEMA = (
@@ -277,7 +350,7 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
                 if rows:
                     yield batch_of(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*[0-9a-z]").load(folder)
+    files = spark.read.format("binaryFile").load(folder)
     return files.select("path", "content").mapInArrow(run, SCHEMA)
 
 
@@ -286,9 +359,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_archive(read_table(spark, sf_dir, "pages"), folder)
     page = lambda name: F.regexp_extract(name, r"<urn:page:(-?\d+)>", 1)
     number = lambda name: F.when(page(name) != "", page(name).cast("bigint"))
+    # The archives were just written, so a gap in them is an error and no row may go with it.
+    sound = F.when(F.col("kind") == "record", F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("gap in "), "archive")).cast("boolean"))
     return (
         read_archive(spark, folder)
-        .where("kind = 'record'")
+        .where(sound)
         .select(
             number("record_id").alias("page_id"),
             "payload_bytes",
