@@ -46,7 +46,7 @@ def test_best_stretch_against_all_stretches(seed):
 
 def test_main_text_keeps_links_cells_and_items_of_an_article():
     """Also where pages have taught that words of such places mostly stand outside."""
-    weights = {"|p": 3.0, "|a": -2.0, "|td": -1.0, "|li": -1.0}
+    weights = {"|p|0|1": 3.0, "|p|1|1": 3.0, "|td|0|0": -1.0, "|li|0|0": -1.0}
     long = "many words of the article stand before and after it here"
     page = f"<p>{long} and <a href='x'>a link</a> too</p><table><tr><td>one cell</td></tr></table><ul><li>an item</li></ul><p>{long}</p>"
     assert main_text.main_text(page, weights) == f"{long} and a link too\none cell\nan item\n{long}"
@@ -70,10 +70,56 @@ COMMENTS = "<div class='comments'><article><p>I like it</p></article></div>"
 )
 def test_main_text_within_wrappers_that_are_named(page):
     assert main_text.main_text(f"<html><body>{page}</body></html>", {}) == STORY
-    inside = [t for t, _, _, inside in main_text.tokens(page) if inside]
+    inside = [t for t, _, _, _, inside in main_text.tokens(page) if inside]
     assert inside == ([STORY] if "<article" in page or "<main" in page else [])
 
 
+def without_names(html: str) -> str:
+    import re
+
+    return re.sub(r"""\s(?:class|id|role)\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+)""", "", html)
+
+
+def test_main_text_does_not_need_names(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    weights = main_text.learn_weights(pages)
+    for r in pages.collect():
+        found = main_text.main_text(r.html, weights)
+        assert found and main_text.main_text(without_names(r.html), weights) == found
+        bare = without_names(r.html).replace("<article>", "<div>").replace("</article>", "</div>")
+        assert main_text.main_text(bare, weights) == found
+    links = "<ul><li><a href='/'>Home page</a></li><li><a href='/c'>Contact us</a></li></ul>"
+    box = "<div>Buy this now please, dear friends</div>"
+    for page in (f"<article>{ARTICLE}</article>{links}", f"<div>{ARTICLE}</div>{links}", f"{links}{box}<div>{ARTICLE}</div>{links}", f"{box}<article>{ARTICLE}</article>"):
+        assert main_text.main_text(f"<html><body>{page}</body></html>", weights) == STORY
+    words = "All of this text stands in plain boxes with breaks. " * 5
+    assert main_text.main_text(f"<div>{links}<div>{words}<br>{words}</div></div>", weights) == (words * 2).strip()
+
+
+@pytest.mark.parametrize(
+    ("inner", "text"),
+    [
+        ("<p class='notice-board'>On the board.</p>", "On the board."),
+        ("<p class='toc'>No links here.</p>", "No links here."),
+        ("<div class='search-tips'>Some tips.</div>", "Some tips."),
+        ("<p>A <a href=\"x>Hello</p>", "A Hello"),
+        ("<p>&amp<b>lt;</b></p>", "&lt;"),
+        ("<p>&am<b>p;</b> &lt<i>x</i></p>", "&amp; <x"),
+        ("<div class='share-buttons'>Tell others</div><div class='advert-box'>Buy</div><ul class=toc><li><a href=x>One</a></li></ul>", ""),
+    ],
+)
+def test_main_text_within_an_article(inner, text):
+    page = f"<article>{ARTICLE}{inner}{ARTICLE}</article>"
+    assert main_text.main_text(page, {}) == "\n".join(t for t in (STORY, text, STORY) if t)
+
+
+def test_main_text_between_articles():
+    two = f"<article>{ARTICLE}</article><p>Between them</p><div>a box</div><article>{ARTICLE}</article>"
+    assert main_text.main_text(two, {}) == f"{STORY}\n{STORY}"
+    story = " ".join([STORY] * 5)
+    assert main_text.main_text(f"<article><p>Teaser</p></article><p>{story}</p><article><p>Teaser</p></article>", {}) == f"Teaser\n{story}\nTeaser"
+
+
 def test_main_text_leaves_out_long_comments():
     page = f"<div>{ARTICLE}</div><div id='comments' class='comments-area'>{'I like it very much indeed. ' * 40}</div>"
     assert main_text.main_text(page, {}) == STORY

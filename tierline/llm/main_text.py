@@ -8,15 +8,22 @@ stands in a named section is left out, and no other.
 
 The weights come from labelled pages: those whose own markup says where the article
 is (``article`` or ``main``). Words are counted by place inside and outside of it over
-all such pages; a place's weight is the log of the smoothed ratio. Places are pairs of
-a fixed list of section kinds and of block tags, so the table that reaches every task
-is small whatever the input.
+all such pages; a place's weight is the log of the smoothed ratio. A place is the block's
+tag, its share of linked words and its length in three steps each, and the kind of the
+section; each labelled page is counted a second time without kinds, so that unnamed menus and
+adverts are known by their shape. Places are pairs of fixed lists, so the table that reaches
+every task is small whatever the input. Words in an article that the page itself marks have
+the highest weight. A page that has no place with a positive weight is
+scored by the weights of places never seen.
 
 A section's kind comes from its tag, class, id or role, and holds for all below. Not so
 for mere wrappers: an element around ``main``, or around an ``article`` where the page
 has none outside of named sections, unless it lies in an article itself; and a form or
 an element of a compound name (``has-sidebar``) that holds more than half of the words,
-unless the page's article is marked elsewhere.
+unless the page's article is marked elsewhere. Within an article a compound name counts only if
+all its parts say a kind or a container (``comments-area``, not ``notice-board``), and a
+menu named so has links. Text between two marked articles is left out, unless it scores more
+than all of them.
 
 Defined cases: null or empty html gives an empty text; a page without words gives an
 empty text; broken or cut-off markup is read as far as it goes; repeated rows give
@@ -43,7 +50,7 @@ _TOKENS = re.compile(
     r"""<!--.*?(?:-->|\Z)
     | <(?P<raw>script|style|title|textarea)\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)
     | <[!?][^>]*(?:>|\Z)
-    | <(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9]*)(?P<attributes>(?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)
+    | <(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9]*)(?P<attributes>(?:[^>"']|"[^"]*"|'[^']*')*+(?=>|\Z)|[^>]*)(?:>|\Z)
     | (?P<text>[^<]+|<)""",
     re.S | re.I | re.X,
 )
@@ -53,7 +60,7 @@ _PARTS = re.compile(r"[a-z]+")
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
-PLACES = {"p", "li", "a", "td", "th", "dd", "dt", "blockquote", "pre", "figcaption", *HEADINGS}
+PLACES = {"p", "li", "td", "th", "dd", "dt", "blockquote", "pre", "figcaption", *HEADINGS}
 ARTICLE = {"article", "main"}
 #: Elements, and words in a class, id or role, that say a section is not the article.
 KIND_OF_TAG = {"nav": "menu", "menu": "menu", "footer": "footer", "header": "header", "aside": "sidebar", "form": "form", "dialog": "notice"}
@@ -70,34 +77,46 @@ KIND_WORDS = {
     "share": "share sharing social",
 }
 _KIND_BY_WORD = {w: k for k, ws in KIND_WORDS.items() for w in ws.split()}
+CONTAINERS = set("area bar block box body btn button buttons col column container content entry field group holder icon icons inner inline item items link links list module outer panel post posts row section slot text title unit wrap wrapper left right top bottom main".split())
 PRIOR_WORDS = 20.0
-PRIOR = {True: 1.0, False: -2.0}  # log odds of a word's place before any count: in no named section, in one
+#: Log odds of a word's place before any count: in a named section, in a block mostly of links, elsewhere.
+NAMED, LINKED, PLAIN = -2.0, -1.0, 1.0
+LENGTHS = (5, 20)  # words of a block, where its length makes a step
 LIMIT = 3.0
 TAG_COST = -0.2
-SECTION_LIMIT = -2 * LIMIT  # what one named section costs at most, so that an advert doesn't end its article
+SECTION_LIMIT = -LIMIT  # what one named section costs at most, so that an advert doesn't end its article
 
 
 class _Element:
     """An element. ``named`` is the kind that it would give its section, ``exact`` whether a whole name or its tag says so;
     ``words``, ``main`` and ``article`` tell what it holds. ``kind`` is known when the page has been read."""
 
-    __slots__ = ("name", "parent", "named", "exact", "articles", "place", "words", "main", "article", "kind")
+    __slots__ = ("name", "parent", "named", "exact", "articles", "place", "link", "words", "linked", "main", "article", "kind")
 
     def __init__(self, name: str = "", parent: _Element | None = None, named: str = "", exact: bool = False):
         self.name, self.parent, self.named, self.exact, self.kind = name, parent, named, exact, ""
         self.articles = (parent.articles if parent else 0) + (name in ARTICLE)
-        self.place = name if name in PLACES or not parent else parent.place
-        self.words, self.main, self.article = 0, name == "main", name == "article"
-
-
-def _named(name: str, attributes: str) -> tuple[str, bool]:
+        self.link = name == "a" or bool(parent and parent.link)
+        if name in PLACES or not parent:
+            self.place = name
+        elif name in INLINE or name in ("html", "body", *ARTICLE):
+            self.place = parent.place
+        else:
+            self.place = parent.place if parent.place in PLACES else "box"
+        self.words = self.linked = 0
+        self.main, self.article = name == "main", name == "article"
+
+
+def _named(name: str, attributes: str, within: bool) -> tuple[str, bool]:
     """The kind that an element's tag or names say, and whether it's the tag or a whole name that says so. A form says it
-    of its fields, and a name like ``has-sidebar`` may stand on what lies around one."""
+    of its fields, and a name like ``has-sidebar`` may stand on what lies around one. ``within``: in an article."""
     kind, exact = KIND_OF_TAG.get(name, ""), name in KIND_OF_TAG and name != "form"
     for m in _NAMING.finditer(attributes) if attributes else ():
         names = (m[1] or m[2] or m[3] or "").lower()
-        for word in _PARTS.findall(names):
-            kind = kind or _KIND_BY_WORD.get(word, "")
+        for one in names.split():
+            words = _PARTS.findall(one)
+            if not within or all(w in _KIND_BY_WORD or w in CONTAINERS for w in words):
+                kind = kind or next((_KIND_BY_WORD[w] for w in words if w in _KIND_BY_WORD), "")
         exact = exact or any(word in _KIND_BY_WORD for word in names.split())
     return kind, exact
 
@@ -123,13 +142,13 @@ class _Open:
                 break
 
     def open(self, name: str, attributes: str) -> None:
-        if name not in INLINE and self._count["p"]:
+        if name not in INLINE and name != "br" and self._count["p"]:
             self._pop_to("p")
         elif name == "li" and self.last.name == "li":
             self._pop_to("li")
         if name in VOID:
             return
-        kind, exact = _named(name, attributes)
+        kind, exact = _named(name, attributes, bool(self.last.articles))
         if name in ("html", "body", "article", "main") or (kind == "header" and self.last.articles):
             kind = ""
         self._stack.append(_Element(name, self.last, kind, exact))
@@ -144,7 +163,7 @@ class _Open:
         """Sections by their names, but for mere wrappers of the page's content."""
         for e in reversed(self.all[1:]):
             up = e.parent
-            up.words, up.main, up.article = up.words + e.words, up.main or e.main, up.article or e.article
+            up.words, up.linked, up.main, up.article = up.words + e.words, up.linked + e.linked, up.main or e.main, up.article or e.article
         half, marked = self.top.words / 2, self.top.main or self.top.article
 
         def resolve(held: bool) -> bool:
@@ -153,7 +172,8 @@ class _Open:
             for e in self.all[1:]:
                 holds = not e.articles and (e.main or (held and e.article))
                 wraps = holds or (not e.exact and e.words > half and (e.articles or e.article or not marked))
-                e.kind = e.parent.kind or ("" if wraps else e.named)
+                unlinked = e.articles and e.named == "menu" and e.name not in KIND_OF_TAG and not e.linked
+                e.kind = e.parent.kind or ("" if wraps or unlinked else e.named)
                 found = found or (e.name in ARTICLE and not e.kind)
             return found
 
@@ -162,24 +182,41 @@ class _Open:
             resolve(True)
 
 
-def tokens(html: str) -> Iterator[tuple[str, str, str, bool]]:
-    """``(text, tag, place, inside)``: text runs have tag "", tags have text "". inside: in a marked article."""
+def _step(value: float, steps: tuple[float, ...]) -> int:
+    return sum(value >= x for x in steps)
+
+
+def tokens(html: str) -> Iterator[tuple[str, str, str, str, bool]]:
+    """``(text, tag, kind, shape, inside)``: text runs have tag "", tags have text "". inside: in a marked article.
+
+    The shape is a block's tag, its share of linked words and its length.
+    """
     around = _Open()
-    line = []
+    line, block = [], [0, 0]  # a block's words and linked words
     for m in _TOKENS.finditer(html):
         if (text := m["text"]) is not None:
-            around.last.words += len(text.split())
-            line.append((text, "", around.last))
+            e, n = around.last, len(text.split())
+            linked = n if e.link else 0
+            e.words, e.linked = e.words + n, e.linked + linked
+            block[0] += n
+            block[1] += linked
+            line.append((text, "", e, block))
         elif m["name"]:
             name = m["name"].lower()
             if m["close"]:
                 around.close(name)
             else:
                 around.open(name, m["attributes"])
-            line.append(("", name, around.last))
+            if name not in INLINE and name != "br":
+                block = [0, 0]
+            line.append(("", name, around.last, block))
     around.see_kinds()
-    for text, name, e in line:
-        yield (text, "", f"{e.kind}|{e.place}", bool(e.articles and not e.kind)) if text else ("", name, e.kind, False)
+    for text, name, e, (words, linked) in line:
+        if text:
+            links = 2 if 2 * linked >= words > 0 else int(linked > 0)
+            yield text, "", e.kind, f"{e.place}|{links}|{_step(words, LENGTHS)}", bool(e.articles and not e.kind)
+        else:
+            yield "", name, e.kind, "", False
 
 
 def _counts(pages: list[str]) -> Counter:
@@ -188,9 +225,10 @@ def _counts(pages: list[str]) -> Counter:
     for html in pages:
         if not re.search(r"<(?:article|main)\b", html, re.I):
             continue
-        for text, _, place, inside in tokens(html):
+        for text, _, kind, shape, inside in tokens(html):
             if text and (n := len(text.split())):
-                total[place, inside] += n
+                total[f"{kind}|{shape}", inside] += n
+                total[f"|{shape}", inside] += n
     return total
 
 
@@ -209,13 +247,14 @@ def learn_weights(df: DataFrame, html_col: str = "html") -> dict[str, float]:
             )
 
     counted = df.select(F.col(html_col).cast("string").alias("html")).mapInArrow(run, "place string, inside bigint, outside bigint")
-    # At most one row per section kind and block tag.
+    # At most one row per section kind, block tag and steps.
     rows = counted.groupBy("place").agg(F.sum("inside"), F.sum("outside")).collect()
     return {place: _weight(place, inside, outside) for place, inside, outside in rows}
 
 
 def _weight(place: str, inside: int, outside: int) -> float:
-    odds = math.exp(PRIOR[place.startswith("|")])
+    kind, _, links, _ = place.split("|")
+    odds = math.exp(NAMED if kind else LINKED if links == "2" else PLAIN)
     share = odds / (1 + odds)
     w = math.log((inside + PRIOR_WORDS * share) / (outside + PRIOR_WORDS * (1 - share)))
     return max(-LIMIT, min(LIMIT, w))
@@ -236,32 +275,44 @@ def best_stretch(scores: list[float]) -> tuple[int, int]:
     return where
 
 
-def main_text(html: str, weights: dict[str, float]) -> str:
-    line = list(tokens(html))
-    of = {p: weights.get(p, _weight(p, 0, 0)) for p in {place for text, _, place, _ in line if text}}
+def _best(line: list[tuple[str, str, str, str, bool]], weights: dict[str, float]) -> tuple[list[float], int, int]:
+    of = {p: weights.get(p, _weight(p, 0, 0)) for p in {f"{kind}|{shape}" for text, _, kind, shape, _ in line if text}}
     scores, left = [], SECTION_LIMIT
-    for text, _, place, _ in line:
-        score = len(text.split()) * of[place] if text else TAG_COST
-        if not text and not place:
+    for text, _, kind, shape, inside in line:
+        score = len(text.split()) * (LIMIT if inside else of[f"{kind}|{shape}"]) if text else TAG_COST
+        if not text and not kind:
             left = SECTION_LIMIT  # outside of any named section
-        elif score < 0 and not place.startswith("|"):
+        elif score < 0 and kind:
             score = max(score, left)
             left -= score
         scores.append(score)
-    first, end = best_stretch(scores)
+    return scores, *best_stretch(scores)
+
+
+def main_text(html: str, weights: dict[str, float]) -> str:
+    line = list(tokens(html))
+    scores, first, end = _best(line, weights)
+    if first == end and weights:
+        scores, first, end = _best(line, {})
+    marked = [i for i in range(first, end) if line[i][4]]
+    between = range(marked[0], marked[-1]) if marked else range(0)
+    # What lies between marked articles, in no section of any kind.
+    apart = {i for i in between if line[i][0] and not line[i][2] and not line[i][4]}
+    if sum(scores[i] for i in apart) > sum(scores[i] for i in marked):
+        apart = set()
     blocks, block = [], []
-    for text, tag, place, _ in line[first:end]:
+    for i in range(first, end):
+        text, tag, kind, _, _ = line[i]
         if text:
-            if place.startswith("|"):  # in no named section, whatever the weight of its place
-                block.append(text)
+            if not kind and i not in apart:  # whatever the weight of its place
+                block.append(unescape(text))
         elif tag == "br":
             block.append(" ")
         elif tag not in INLINE:
             blocks.append(block)
             block = []
     blocks.append(block)
-    # References are decoded after white space is folded in the source, and what they yield is folded with it.
-    return "\n".join(t for b in blocks if (t := " ".join(unescape("".join(b)).split())))
+    return "\n".join(t for b in blocks if (t := " ".join("".join(b).split())))
 
 
 def extract(df: DataFrame, html_col: str = "html", *, weights: dict[str, float] | None = None) -> DataFrame:
