@@ -330,9 +330,12 @@ def test_quality_keeps_clean_text_and_rejects_junk(spark):
         "lists": " | ".join(f"entry{i}" for i in range(90)),
         "lines": "\n".join([line] + ["See the terms of use."] * 6),
         "short": "the cat",
+        "marked": "\n".join(f"(The {w}s) “{w}x” FÜR, {w}." for w in line.split() if w.startswith("thing")),
     }
     df = spark.createDataFrame(list(texts.items()), "name string, text string")
-    assert {r["name"]: r.kept for r in quality_rules.judge(df).collect()} == {k: k == "clean" for k in texts}
+    assert {r["name"]: r.kept for r in quality_rules.judge(df).collect()} == {k: k in ("clean", "marked") for k in texts}
+    others = quality_rules.judge(df, stop_words={"xx": "thingak"}).where("kept").count()
+    assert others == 0
 
 
 def test_empty_tables(spark, empty):

@@ -20,13 +20,16 @@ from tierline.llm.common import WORD, read_table, words
 
 SYMBOLS = "#*$%&|<>"
 
-#: Function words of the corpus languages.
-STOP_WORDS = tuple(
-    "the of and to in is a that for was on with by at are be this from as it "
-    "la le les de des du et un une est que qui dans pour sur avec par pas en au "
-    "der die das und ist von zu den mit nicht ein eine auf für sich dem es im "
-    "el los las y por con para se no su al del".split()
-)
+#: Function words by language; other languages need their own.
+STOP_WORDS = {
+    "en": "the of and to in is a that for was on with by at are be this from as it",
+    "fr": "la le les de des du et un une est que qui dans pour sur avec par pas en au",
+    "de": "der die das und ist von zu den mit nicht ein eine auf für sich dem es im",
+    "es": "el los las y por con para se no su al del",
+}
+#: Letters in upper and lower case, and marks around a word, that its look-up among the stop words ignores.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜÉÈÀÇÑ", "abcdefghijklmnopqrstuvwxyzäöüéèàçñ"
+MARKS = ".,;:!?\"'()[]{}-_«»„“”‘’…¡¿"
 
 
 @dataclass(frozen=True)
@@ -59,7 +62,11 @@ def _characters(text: Column, which: str) -> Column:
     return F.regexp_count(text, F.lit(which))
 
 
-def _with_measures(df: DataFrame, text_col: str) -> DataFrame:
+def _all_stop_words(stop_words: dict[str, str]) -> list[str]:
+    return sorted({w for ws in stop_words.values() for w in ws.split()})
+
+
+def _with_measures(df: DataFrame, text_col: str, stop_words: dict[str, str]) -> DataFrame:
     """One struct column ``_q`` of bigint measures."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
@@ -88,7 +95,8 @@ def _with_measures(df: DataFrame, text_col: str) -> DataFrame:
         lambda acc, i: F.struct((acc["n"] + F.least(F.lit(3), i - acc["last"])).alias("n"), i.alias("last")),
         lambda acc: acc["n"],
     )
-    stop = F.size(F.filter("_w", lambda w: w.isin(*STOP_WORDS)))
+    known = _all_stop_words(stop_words)
+    stop = F.size(F.filter("_w", lambda w: F.btrim(F.translate(w, UPPER, LOWER), F.lit(MARKS)).isin(*known)))
     values = {
         "n_words": n,
         "word_chars": F.char_length(F.array_join("_w", "")),
@@ -123,8 +131,13 @@ def judge(
     thresholds: tuple[Threshold, ...] = THRESHOLDS,
     min_words: int = MIN_WORDS,
     max_repeat_percent: int = MAX_REPEAT_PERCENT,
+    stop_words: dict[str, str] = STOP_WORDS,
 ) -> DataFrame:
-    """``df`` with the five measures, ``base_failed`` and ``kept``."""
+    """``df`` with the five measures, ``base_failed`` and ``kept``.
+
+    ``stop_words`` has the function words of each language of the corpus, in lower case; those of all languages count in
+    any text. Texts of a language without any fail ``n_stop``, so leave that threshold out for such a corpus.
+    """
     q = F.col("_q")
     failed = (q["n_words"] < min_words) | (q["n_repeat_words"] * 100 > q["n_words"] * max_repeat_percent)
     kept = ~F.col("_failed")
@@ -134,7 +147,7 @@ def judge(
     others = [c for c in df.columns if c.lower() not in results]
     # The row travels as one column, so that no name in it can meet those used here.
     packed = df.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("_row"), F.col(f"`{text_col}`").alias("_text"))
-    out = _with_measures(packed, "_text").withColumn("_failed", failed).withColumn("_kept", kept)
+    out = _with_measures(packed, "_text", stop_words).withColumn("_failed", failed).withColumn("_kept", kept)
     return out.select(*(F.col("_row").getField(c).alias(c) for c in others), *(v.alias(k) for k, v in results.items()))
 
 
@@ -155,7 +168,8 @@ def _sql_rule(rule: Threshold) -> str:
     return " AND ".join(sides)
 
 
-_STOP_SQL = ", ".join(f"'{w}'" for w in STOP_WORDS)
+_STOP_SQL = ", ".join(f"'{w}'" for w in _all_stop_words(STOP_WORDS))
+_MARKS_SQL = MARKS.replace("'", "''")
 _SPACE_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 #: DuckDB SQL of the measures and verdict for any relation named ``src`` with a unique key ``doc_id``.
@@ -181,7 +195,7 @@ measures AS (
          coalesce(repeats.n, 0)::BIGINT AS n_repeat_words,
          length(regexp_replace(text, '[^!]', '', 'g'))::BIGINT AS n_bangs,
          length(regexp_replace(text, '[^A-Z]', '', 'g'))::BIGINT AS n_upper,
-         len(list_filter(w, lambda x: x IN ({_STOP_SQL})))::BIGINT AS n_stop,
+         len(list_filter(w, lambda x: trim(translate(x, '{UPPER}', '{LOWER}'), '{_MARKS_SQL}') IN ({_STOP_SQL})))::BIGINT AS n_stop,
          len(l)::BIGINT AS n_lines
   FROM w JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
 judged AS (
