@@ -23,7 +23,7 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tierline.llm.common import read_table
-from tierline.llm.word_ids import WordIds, plain_pieces, text_batches, texts_of, tidy
+from tierline.llm.word_ids import MODELS, WordIds, plain_pieces, text_batches, texts_of, tidy
 
 #: Fixed value of the vocabulary: what a word is cut into.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
@@ -184,6 +184,9 @@ def _model(path: str) -> tuple[Bpe, WordIds]:
     return bpe, WordIds(bpe.encode_words, MAX_WORDS, MAX_IDS)
 
 
+MODELS["bpe"] = _model.cache_clear
+
+
 def _lists(ids: np.ndarray, starts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
 
@@ -206,7 +209,7 @@ def encode(df: DataFrame, text_col: str = "text", *, path: str | None = None, de
     if decoded:
         schema = schema.add("decoded", T.StringType())
 
-    @tidy
+    @partial(tidy, model="bpe")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, store = _model(path)
         for batch in text_batches(batches, "_text", BATCH_BYTES):

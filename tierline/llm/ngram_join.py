@@ -108,6 +108,7 @@ def _deal_shingles(parts: int):
     """Entries named by set, not by document: ``d`` and ``t`` are its fingerprint; ``x`` is 1 for a shingle that
     another set of the batch has, and ``known`` entries count such shingles of sets that didn't send them."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
             sets = Sets(batch)
@@ -168,6 +169,7 @@ def _add_up(table: pa.Table) -> pa.Table:
 def _deal_places(parts: int):
     """Each shingle of the candidate sets with its place in its set."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.take(pa.array(first_documents(names_of(batch))))
@@ -230,6 +232,7 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
     both = both.where(100 * small >= PERCENT * large).select("a", "b", "ha", "hb")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -378,6 +381,7 @@ def _candidates(sets: DataFrame, labels: DataFrame) -> DataFrame:
         key, names = (tuple(s.field(c).to_numpy() for c in KEY) for s in (label, own))
         return key, names, members.field("n").to_numpy(), members.field("s").flatten().to_numpy().reshape(len(own), -1), members.field("rest").to_numpy()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []

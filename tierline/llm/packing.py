@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 
 from tierline.llm.bpe import byte_characters
 from tierline.llm.common import read_table, stored
-from tierline.llm.word_ids import MAX_PIECES, WordIds, plain_pieces, text_batches, texts_of, tidy
+from tierline.llm.word_ids import MAX_PIECES, MODELS, WordIds, plain_pieces, text_batches, texts_of, tidy
 from tierline.session import scratch_path
 
 BLOCK_IDS = 1 << 16
@@ -137,6 +137,9 @@ def _tokenizer(path: str):
     return tok.get_vocab_size(with_added_tokens=True), WordIds(encode)
 
 
+MODELS["packing"] = _tokenizer.cache_clear
+
+
 def _shard_records(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block_ids: int) -> Iterator[bytes]:
     vocab, store = _tokenizer(path)
     bits = bits_for(max(vocab, end_id + 1))
@@ -190,7 +193,7 @@ def write_shards(
     named = df.select(F.col(id_col).cast("bigint").alias("id"), text.alias("text"), F.xxhash64(text).alias("t"), F.xxhash64(F.lit(1), text).alias("u"))
     ordered = named.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
 
-    @tidy
+    @partial(tidy, model="packing")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for record in _shard_records(batches, path, end_id, block_ids):
             yield pa.RecordBatch.from_arrays([pa.array([record], pa.binary())], names=["record"])

@@ -44,7 +44,7 @@ from tierline.llm.hashing import (
     part_count, pick, powers, runs_of, text_bytes,
 )
 from tierline.llm.suffix_sort import deep_shallow_order, neighbour_prefixes
-from tierline.llm.word_ids import text_batches
+from tierline.llm.word_ids import text_batches, tidy
 
 LENGTH = 200
 GRAM = 32  # bytes of an anchor
@@ -109,6 +109,7 @@ def _keys(data: np.ndarray, place: np.ndarray, kind: np.ndarray) -> np.ndarray:
 def _exchange_anchors(parts: int):
     """``x`` is an anchor's place and kind; above 32 bits, how many of the batch have its hash."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
             names = names_of(batch)
@@ -212,6 +213,7 @@ def _exchange_surroundings(parts: int, hot: np.ndarray):
             },
         )
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
             batch = batch.take(pa.array(first_documents(names_of(batch))))
@@ -350,6 +352,7 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     given = keyed(df, id_col, text_col, row).join(spans, list(KEY), "left")
     given = given.select("row", "text", F.coalesce("x", F.array().cast("array<bigint>")).alias("x"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
             data, bounds = text_bytes(batch.column("text"))
@@ -385,6 +388,7 @@ def strip(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> D
     )
     left = remove_repeats(packed, id_col="_id", text_col="_text").select("_row", "kept")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pa.array([k.decode("utf-8", "ignore") for k in batch.column("kept").to_pylist()], pa.string())

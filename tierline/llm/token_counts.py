@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from tierline.llm.bpe import byte_characters
 from tierline.llm.common import attach, read_table
-from tierline.llm.word_ids import PUNCTUATION, text_batches
+from tierline.llm.word_ids import MODELS, PUNCTUATION, text_batches
 from tierline.session import scratch_path
 
 LIMIT = 1024
@@ -170,6 +170,9 @@ def _tokenizer(path: str):
         return tok, cuts_before_blanks(json.load(file))
 
 
+MODELS["token_counts"] = _tokenizer.cache_clear
+
+
 def counter(path: str) -> Callable[[pa.Array], np.ndarray]:
     """From texts to their numbers of tokens. What it keeps lives as long as the function that is returned."""
     tok, pieces = _tokenizer(path)

@@ -103,19 +103,32 @@ class WordIds:
         return ids, np.concatenate([[0], np.cumsum(lengths)])[first - first[0]]
 
 
-def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``run`` for one partition; then memory that nothing holds goes back to the system, since Spark keeps idle workers."""
+#: How to drop what a worker holds of each operator's model and store.
+MODELS: dict[str, Callable[[], None]] = {}
+
+
+def give_back(model: str | None = None) -> None:
+    """Memory that nothing holds goes back to the system, since Spark keeps idle workers; with ``model``, all other models go."""
+    for name, drop in MODELS.items() if model is not None else ():
+        if name != model:
+            drop()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with suppress(OSError, AttributeError):  # another C library
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], model: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for one partition. Before it, the models of other operators go that the worker has from an earlier job."""
 
     @wraps(run)
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back(model)
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            if sys.platform == "linux":
-                with suppress(OSError, AttributeError):  # another C library
-                    ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return whole
 
