@@ -56,6 +56,54 @@ def test_ngram_join_threshold_is_met_exactly(spark):
     assert {i: c for i, (_, c) in found.items()} == {1: 1, 2: 1, 3: 3}
 
 
+def test_ngram_join_counts_shared_shingles_in_few_bytes():
+    """The exchange grows with the number of parts a set is spread over: 8 bytes of name for each, 4 for a shingle."""
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(texts)], names=["d", "text"])
+    dealt = pa.Table.from_batches(ngram_join._deal_shingles(3000)(iter([batch])))
+    entries = sum(len(x) for x in dealt["h"].to_pylist())
+    assert entries == 40 * 56
+    assert sum(pa.compute.sum(pa.compute.list_value_length(dealt[c])).as_py() * dealt[c].type.value_type.bit_width // 8 for c in "dh") <= 12 * entries
+    assert not {"t", "u"} & set(dealt.column_names)
+
+
+def test_ngram_join_never_counts_too_few_shared_shingles(monkeypatch):
+    """Shingles of which only the lower half of the hash differs, also within one set, and copies in other batches."""
+    import numpy as np
+    import pyarrow as pa
+
+    whole = ngram_join.window_hashes
+    monkeypatch.setattr(ngram_join, "window_hashes", lambda words, k: whole(words, k) & np.uint64(0x3FFFFFFFF))
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base), " ".join([*base[:30], *"abcdefgh"]), " ".join(f"v{i}" for i in range(60)), " ".join(base), "", "one two"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(t)], names=["text"]) for t in (texts[:2], texts[2:], texts[1:2])]
+    dealt = pa.Table.from_batches(x for b in batches for x in ngram_join._deal_shingles(5)(iter([b])))
+    part = lambda table, p: table.filter(pa.compute.equal(table["p"], p))
+    counted = pa.concat_tables(ngram_join._count_shared(5)(part(dealt, p)) for p in range(5))
+    found = pa.concat_tables(ngram_join._add_up(part(counted, p)) for p in range(5))
+    found = dict(zip(found["f"].to_pylist(), found["c"].to_pylist(), strict=True))
+    sets = ngram_join.Sets(pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"]))
+    members = [set(sets.h[a:b].tolist()) for a, b in zip(sets.starts[:-1], sets.starts[1:], strict=True)]
+    for own, f in zip(members, sets.fingerprints()[0].tolist(), strict=True):
+        others = set().union(*(m for m in members if m != own))
+        assert found.get(f, 0) >= len(own & others)
+
+
+def test_ngram_join_bitmap_drops_no_document_that_is_needed(spark):
+    from pyspark.sql import types as T
+
+    null = T.StructType([T.StructField(c, T.LongType()) for c in "dtu"])
+    rows = [(i, i * 7919 - 50_000, -i) for i in range(20_000)]
+    df = spark.createDataFrame([*rows, *rows[:100]], null)
+    some = spark.createDataFrame([*rows[::40], *rows[::400]], null)  # repeated names don't repeat rows
+    kept = [tuple(r) for r in ngram_join._perhaps(df, some).collect()]
+    assert set(rows[::40]) <= set(kept) and len(kept) < 600
+    assert kept.count(rows[40]) == 2 and kept.count(rows[400]) == 1
+    assert ngram_join._perhaps(df, some.limit(0)).count() == 0
+
+
 def test_ngram_join_large_group_of_near_copies(spark):
     base = [f"w{i}" for i in range(100)]
     rows = [(i, " ".join([*base[: i % 90], f"x{i}", *base[i % 90 + 1 :]]), "en", "a", 0) for i in range(600)]

@@ -111,9 +111,9 @@ def part_count(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def dealt_schema(x: str = "int", names: str = "d array<bigint>, t array<bigint>, u array<bigint>") -> str:
+def dealt_schema(x: str = "int", names: str = "d array<bigint>, t array<bigint>, u array<bigint>", h: str = "bigint") -> str:
     """Entries of one part, document by document: ``n`` says how many each has; ``x`` is each entry's number."""
-    return f"p int, known boolean, {names}, n array<int>, h array<bigint>, x array<{x}>"
+    return f"p int, known boolean, {names}, n array<int>, h array<{h}>, x array<{x}>"
 
 
 def names_of(batch: pa.RecordBatch) -> Names:
@@ -146,8 +146,11 @@ def _lists(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.ListAr
     return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, kind))
 
 
-def deal(parts: int, part: np.ndarray, doc: np.ndarray, names: Names, h: np.ndarray | None, x: np.ndarray) -> pa.RecordBatch:
-    """Entries (part, document, hash, number) as one row per part; without hashes they are ``known`` ones."""
+def deal(
+    parts: int, part: np.ndarray, doc: np.ndarray, names: Names, h: np.ndarray | None, x: np.ndarray, kind: type = np.int64
+) -> pa.RecordBatch:
+    """Entries (part, document, hash, number) as one row per part; without hashes they are ``known`` ones.
+    ``kind`` is the signed integer that hashes travel as."""
     order = np.lexsort((doc, part.astype(np.uint32)))
     part, doc = part[order].astype(np.int64), doc[order]
     new = np.ones(len(part), bool)
@@ -158,9 +161,9 @@ def deal(parts: int, part: np.ndarray, doc: np.ndarray, names: Names, h: np.ndar
     entries = np.append(np.searchsorted(part, ids), len(part))
     docs = np.append(np.searchsorted(part[runs], ids), len(runs))
     hashes = (
-        _lists(np.empty(0, np.int64), np.zeros(len(ids) + 1, np.int64), pa.int64())
+        _lists(np.empty(0, kind), np.zeros(len(ids) + 1, np.int64), pa.from_numpy_dtype(kind))
         if h is None
-        else _lists(h[order].view(np.int64), entries, pa.int64())
+        else _lists(h[order].view(kind), entries, pa.from_numpy_dtype(kind))
     )
     return pa.RecordBatch.from_arrays(
         [
@@ -187,13 +190,14 @@ class Entries:
     def __init__(self, table: pa.Table):
         self.names = tuple(_flat(table, c) for c in KEY if c in table.column_names)
         self.doc = np.repeat(np.arange(len(self.names[0])), _flat(table, "n"))
-        self.h = _flat(table, "h").view(np.uint64)
+        h = _flat(table, "h")
+        self.h = h.view(f"u{h.itemsize}")
         self.x = _flat(table, "x")
 
-    def found(self, parts: int, chosen: np.ndarray) -> pa.RecordBatch:
+    def found(self, parts: int, chosen: np.ndarray, kind: type = np.int64) -> pa.RecordBatch:
         """The numbers of the chosen entries, dealt to the parts that gather their documents."""
         doc = self.doc[chosen]
-        return deal(parts, owner_part(pick(self.names, doc), parts), doc, self.names, None, self.x[chosen])
+        return deal(parts, owner_part(pick(self.names, doc), parts), doc, self.names, None, self.x[chosen], kind)
 
 
 def runs_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,12 +1,14 @@
 """N-gram Jaccard join with signature trees, exact.
 
-A document's set is its distinct five-word shingles (128 bits name a set, 64 a shingle).
+A document's set is its distinct five-word shingles (128 bits name a set, 64 a shingle;
+step 2 counts with half of either, so that what is counted is never too little).
 Two documents link when the sets' Jaccard similarity is at least ``PERCENT`` / 100.
 
 1. Equal sets become one representative, the document with the smallest id.
 2. Hashes of all shingles are exchanged to see which occur in more than one set. A set
    links with another only if at least ``PERCENT`` per cent of its shingles do, so most
-   sets end here. Repeats within a batch are settled there and sent once.
+   sets end here. Repeats within a batch are settled there and sent once. A bitmap of what
+   is left, of bounded size, keeps most other texts from being moved to meet it.
 3. Sets that have a smallest shingle in common, under a few orders, are verified against
    one centre each. Links that this finds join sets to clusters, so that a large group of
    near copies is one cluster and its pairs need no look.
@@ -53,7 +55,7 @@ BLOCK = 256  # sets in a tree
 FAN = 16  # sets in a node above them
 BATCH_BYTES = 4 << 20
 _NODE = "struct<d:bigint,t:bigint,u:bigint>"
-_NAMED_SETS = "d array<bigint>, t array<int>"
+FILTER_WORDS = 1 << 19  # of 64 bits, in the bitmap of documents that may be needed
 
 
 # -- sets of a batch --------------------------------------------------------------------
@@ -105,29 +107,32 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _deal_shingles(parts: int):
-    """Entries named by set, not by document: ``d`` and ``t`` are its fingerprint; ``x`` is 1 for a shingle that
-    another set of the batch has, and ``known`` entries count such shingles of sets that didn't send them."""
+    """Entries named by set, not by document: ``d`` is half its fingerprint; ``x`` is 1 for a shingle that
+    another set of the batch has, and ``known`` entries count such shingles of sets that didn't send them.
+
+    A shingle is its part and the upper half of its hash. Two shingles that agree in these count as shared, also
+    those of one set: a set may get a larger count than it has, but never a smaller one."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
             sets = Sets(batch)
-            f, g = sets.fingerprints()
-            names = f, g.astype(np.int32)
-            alone = np.zeros(len(f), bool)
+            names = sets.fingerprints()[:1]
+            alone = np.zeros(len(sets.sizes), bool)
             alone[first_documents(names)] = True
             use = alone[sets.doc]
             h, doc = sets.h[use].view(np.uint64), sets.doc[use]
             if not len(h):
                 continue
-            order, runs = runs_of(h)
+            part, half = h % np.uint64(parts), h >> np.uint64(32)
+            order, runs = runs_of(part << np.uint64(32) | half)
             size = np.diff(runs)
             sent = order[runs[:-1]]
-            yield deal(parts, h[sent] % np.uint64(parts), doc[sent], names, h[sent], (size > 1).astype(np.int32))
+            yield deal(parts, part[sent], doc[sent], names, half[sent].astype(np.uint32), (size > 1).astype(np.int32), np.int32)
             others = np.delete(order, runs[:-1])
             if len(others):
                 own, n = np.unique(doc[others], return_counts=True)
-                yield deal(parts, owner_part(pick(names, own), parts), own, names, None, n.astype(np.int32))
+                yield deal(parts, owner_part(pick(names, own), parts), own, names, None, n.astype(np.int32), np.int32)
 
     return run
 
@@ -139,21 +144,16 @@ def _count_shared(parts: int):
         known = Entries(table.filter(table["known"]))
         rest = Entries(table.filter(pc.invert(table["known"])))
         # One entry for each shingle and set, however many batches hold a copy of the set.
-        f, g = pick(rest.names, rest.doc)
-        order = np.lexsort((-rest.x, g, f, rest.h))
-        h, f, g, x = rest.h[order], f[order], g[order], rest.x[order]
-        new = np.append(True, (h[1:] != h[:-1]) | (f[1:] != f[:-1]) | (g[1:] != g[:-1])) if len(h) else np.empty(0, bool)
-        h, f, g, x = h[new], f[new], g[new], x[new]
+        f = rest.names[0][rest.doc]
+        order = np.lexsort((-rest.x, f, rest.h))
+        h, f, x = rest.h[order], f[order], rest.x[order]
+        new = np.append(True, (h[1:] != h[:-1]) | (f[1:] != f[:-1])) if len(h) else np.empty(0, bool)
+        h, f, x = h[new], f[new], x[new]
         again = np.append(False, h[1:] == h[:-1]) if len(h) else np.empty(0, bool)
         shared = again | np.append(again[1:], False) | (x > 0) if len(h) else again
-        f, g = f[shared], g[shared]
-        order = np.lexsort((g, f))
-        f, g = f[order], g[order]
-        cuts = np.flatnonzero(np.append(True, (f[1:] != f[:-1]) | (g[1:] != g[:-1]))) if len(f) else np.empty(0, np.int64)
-        n = np.diff(np.append(cuts, len(f))).astype(np.int32)
-        f, g = f[cuts], g[cuts]
-        counted = deal(parts, owner_part((f, g), parts), np.arange(len(f)), (f, g), None, n)
-        return pa.Table.from_batches([known.found(parts, np.arange(len(known.x))), counted])
+        f, n = np.unique(f[shared], return_counts=True)
+        counted = deal(parts, owner_part((f,), parts), np.arange(len(f)), (f,), None, n.astype(np.int32), np.int32)
+        return pa.Table.from_batches([known.found(parts, np.arange(len(known.x)), np.int32), counted])
 
     return count
 
@@ -162,8 +162,7 @@ def _add_up(table: pa.Table) -> pa.Table:
     own = Entries(table)
     sets, number = distinct(own.names)
     total = np.bincount(number[own.doc], own.x, len(sets)) if len(sets) else np.empty(0)
-    f, g = pick(own.names, sets)
-    return pa.table({"f": pa.array(f), "g32": pa.array(g), "c": pa.array(total.astype(np.int64))})
+    return pa.table({"f": pa.array(own.names[0][sets]), "c": pa.array(total.astype(np.int64))})
 
 
 def _deal_places(parts: int):
@@ -218,6 +217,18 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _perhaps(rows: DataFrame, some: DataFrame) -> DataFrame:
+    """The ``rows`` whose document may be among ``some``: all that are, and of the others the few that share a bit of a
+    bitmap with one. The bitmap goes to every task and has at most FILTER_WORDS rows of a number each, so that rows
+    that a join would drop needn't be moved to it; the more bits are set, the fewer rows are dropped."""
+    place = F.pmod(F.xxhash64(*KEY), F.lit(64 * FILTER_WORDS))
+    bit = lambda x: F.pmod(x, F.lit(64)).cast("int")
+    bits = some.select(F.shiftright(place, 6).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit(place)).alias("_bit"))
+    bitmap = bits.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    met = rows.withColumn("_place", place).join(F.broadcast(bitmap), F.shiftright("_place", 6) == F.col("_word"))
+    return met.where(F.getbit("_bits", bit(F.col("_place"))) == 1).select(*rows.columns)
+
+
 # -- verification -----------------------------------------------------------------------
 
 
@@ -417,14 +428,14 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     reps = members.where("n > 0").groupBy("n", "f", "g").agg(F.min(node).alias("rep"))
     members = stored(members.join(reps, ["n", "f", "g"], "left").withColumn("rep", F.coalesce("rep", node)), "set-members")
 
-    dealt = docs.mapInArrow(tidy(_deal_shingles(parts)), dealt_schema(names=_NAMED_SETS))
-    dealt = dealt.groupBy("p").applyInArrow(_count_shared(parts), dealt_schema(names=_NAMED_SETS))
-    counted = stored(dealt.groupBy("p").applyInArrow(_add_up, "f bigint, g32 int, c bigint"), "shared-shingles")
-    low = F.shiftright(F.shiftleft(F.col("g"), 32), 32).cast("int")  # the part of the fingerprint that was sent
-    own = members.where(F.col("rep") == node).withColumn("g32", low)
-    maybe = own.join(counted, ["f", "g32"]).where(100 * F.col("c") >= PERCENT * F.col("n")).select(*KEY).distinct()
+    halves = dealt_schema(names="d array<bigint>", h="int")
+    dealt = docs.mapInArrow(tidy(_deal_shingles(parts)), halves).groupBy("p").applyInArrow(_count_shared(parts), halves)
+    counted = stored(dealt.groupBy("p").applyInArrow(_add_up, "f bigint, c bigint"), "shared-shingles")
+    own = members.where(F.col("rep") == node)
+    maybe = own.join(counted, "f").where(100 * F.col("c") >= PERCENT * F.col("n")).select(*KEY).distinct()
+    maybe = stored(maybe, "candidates")
     # One row for each document, however often it is repeated.
-    texts = docs.join(stored(maybe, "candidates"), list(KEY)).select(*KEY, "text").dropDuplicates(list(KEY))
+    texts = _perhaps(docs, maybe).join(maybe, list(KEY)).select(*KEY, "text").dropDuplicates(list(KEY))
     sets = stored(texts.mapInArrow(tidy(_whole_sets), _SETS), "candidate-sets")
 
     bands = sets.select(node.alias("b"), F.posexplode("k").alias("o", "k"))
