@@ -244,6 +244,34 @@ def test_packed_ids_round_trip(spark, docs, rows):
         start += len(ids)
 
 
+def test_packing_asks_for_each_piece_once():
+    """Case and punctuation make no new word of a plain one."""
+    from tierline.llm.word_ids import PieceIds
+
+    asked: list[str] = []
+
+    def encode(words):
+        asked.extend(words)
+        return [[ord(c) for c in w] for w in words]
+
+    store = PieceIds(encode)
+    ids, starts = store.encode(["Élan élan, ÉLAN! x2 elan", None or "", "élan. x2, élan,"])
+    text = lambda k: "".join(map(chr, ids[starts[k] : starts[k + 1]]))
+    assert [text(0), text(1), text(2)] == ["élan élan ,élan !x2 elan ", " ", "élan .x2, élan ,"]
+    assert sorted(asked) == sorted(set(asked)) == sorted(["", " ", " ,", " !", " .", "élan", "elan", "x2", "x2,"])
+
+
+def test_packing_cuts_every_letter_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    tok, store = Tokenizer.from_file(bpe.default_path()), packing._tokenizer(bpe.default_path())[1]
+    texts = [f"a{chr(c)}b {chr(c)} x{chr(c)}. A{chr(c)}Z?! {chr(c)}, {chr(c)}{chr(c)}'s .{chr(c)}" for c in [*range(0x600), *range(0x1E00, 0x2100)]]
+    for _ in range(2):  # met and not met before
+        ids, starts = store.encode(texts)
+        for i, e in enumerate(tok.encode_batch(texts, add_special_tokens=False)):
+            assert ids[starts[i] : starts[i + 1]].tolist() == e.ids, texts[i]
+
+
 @pytest.mark.parametrize("bits", [1, 7, 16, 17, 32])
 def test_pack_any_width(bits):
     import numpy as np

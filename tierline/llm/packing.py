@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 
 from tierline.llm.bpe import byte_characters
 from tierline.llm.common import read_table, stored
-from tierline.llm.word_ids import MAX_PIECES, MODELS, WordIds, plain_pieces, text_batches, texts_of, tidy
+from tierline.llm.word_ids import MODELS, PieceIds, plain_pieces, text_batches, texts_of, tidy
 from tierline.session import scratch_path
 
 BLOCK_IDS = 1 << 16
@@ -97,10 +97,9 @@ class Shard:
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
-    """The vocabulary's size and a store of words' ids as the tokenizers library gives them.
+    """The vocabulary's size and a store of pieces' and words' ids as the tokenizers library gives them.
 
-    A plain word's pieces go to the library's model directly and are kept, so that a word is
-    encoded once however it is written; other words take the library's whole way.
+    A plain word's pieces go to the library's model directly; other words take the library's whole way.
     """
     from tokenizers import Tokenizer
 
@@ -108,22 +107,17 @@ def _tokenizer(path: str):
     tok.no_truncation()
     tok.no_padding()
     tokenize, characters = tok.model.tokenize, byte_characters()
-    pieces: dict[str, list[int]] = {"": []}
 
     def ids_of(piece: str) -> list[int]:
-        found = pieces.get(piece)
-        if found is None:
-            if len(pieces) > MAX_PIECES:
-                pieces.clear()
-                pieces[""] = []
-            letters = piece if piece.isascii() else "".join(map(characters.__getitem__, piece.encode()))
-            found = pieces[piece] = [t.id for t in tokenize(letters)]
-        return found
+        letters = piece if piece.isascii() else "".join(map(characters.__getitem__, piece.encode()))
+        return [t.id for t in tokenize(letters)] if letters else []
 
     def encode(words: list[str]) -> list[list[int]]:
         out, others = [], []
         for word in words:
-            if cut := plain_pieces(word):
+            if word[:1] == " ":  # punctuation after a plain word
+                out.append(ids_of(word[1:]))
+            elif cut := plain_pieces(word):
                 out.append(ids_of(cut[0]) + ids_of(cut[1]))
             else:
                 others.append(len(out))
@@ -134,7 +128,7 @@ def _tokenizer(path: str):
                 out[i] = e.ids
         return out
 
-    return tok.get_vocab_size(with_added_tokens=True), WordIds(encode)
+    return tok.get_vocab_size(with_added_tokens=True), PieceIds(encode)
 
 
 MODELS["packing"] = _tokenizer.cache_clear
